@@ -1,0 +1,55 @@
+"""Running totals in a global order without a single-task window.
+
+``Window.orderBy(...)`` with no partition puts every row in one task.  Here
+the rows are range-partitioned on the order, each range gets the total of
+all earlier ranges (a table with one row per range, so its size is bounded
+by the partition count), and a window inside each range adds the local
+running sum.  Every task holds one balanced range.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def running_total(
+    df: DataFrame,
+    order_cols: list[str],
+    value: Column | str,
+    out_col: str,
+    *,
+    group_cols: list[str] | None = None,
+    exclusive: bool = False,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Add ``out_col`` = sum of ``value`` over rows before (and, unless
+    ``exclusive``, including) each row in ``order_cols`` order, restarting
+    for every ``group_cols`` value.  ``group_cols + order_cols`` must be
+    unique for the result to be deterministic.
+    """
+    group_cols = group_cols or []
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    val = F.col(value) if isinstance(value, str) else value
+    keys = [*group_cols, *order_cols]
+    ranged = (
+        df.withColumn("_v", val)
+        .repartitionByRange(n, *keys)
+        .withColumn("_part", F.spark_partition_id())
+    )
+    # One row per (range, group): bounded by partitions x groups per range.
+    totals = ranged.groupBy("_part", *group_cols).agg(F.sum("_v").alias("_t"))
+    before = Window.partitionBy(*group_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "_part", *group_cols, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off")
+    )
+    frame_end = -1 if exclusive else 0
+    local_w = (
+        Window.partitionBy("_part", *group_cols)
+        .orderBy(*order_cols)
+        .rowsBetween(Window.unboundedPreceding, frame_end)
+    )
+    local = ranged.withColumn("_local", F.coalesce(F.sum("_v").over(local_w), F.lit(0)))
+    out = local.join(F.broadcast(offsets), ["_part", *group_cols])
+    return out.withColumn(out_col, F.col("_off") + F.col("_local")).drop("_v", "_part", "_off", "_local")

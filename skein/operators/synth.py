@@ -1,0 +1,117 @@
+"""Synthetic sensor events as a distributed DataFrame job.
+
+The original generator is a single process that sleeps between batches.
+Here the pacing is a column: event ``i`` belongs to batch ``i div
+events_per_batch``; each batch has a random delay and its emit time is the
+start plus the sum of the delays of all earlier batches (a distributed
+running total).  Randomness is a hash of (seed, stream, row id), so the same
+seed gives the same rows whatever the partitioning.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from skein.functions.jsonfmt import event_key, event_value_json
+from skein.operators.enrich import broadcast_if_small
+from skein.operators.running import running_total
+
+# Fixed values of the generator: event-time jitter N(0, 3 s) clamped to
+# +-4 s; temperature N(22, 5); humidity N(55, 15) clamped to [0, 100];
+# both rounded to 2 decimals; batch delay N(5, 2) s, at least 0.5 s,
+# rounded to 2 decimals; 5 events per batch by default.
+JITTER_STD_SEC = 3.0
+JITTER_LIMIT_SEC = 4.0
+TEMPERATURE_MEAN, TEMPERATURE_STD = 22.0, 5.0
+HUMIDITY_MEAN, HUMIDITY_STD = 55.0, 15.0
+DELAY_MEAN_SEC, DELAY_STD_SEC, MIN_DELAY_SEC = 5.0, 2.0, 0.5
+EVENTS_PER_BATCH = 5
+
+_MASK53 = (1 << 53) - 1
+
+
+def uniform(seed: int, stream: int, *cols: Column) -> Column:
+    """Uniform in (0, 1] from a 64-bit hash of (seed, stream, cols)."""
+    h = F.xxhash64(F.lit(seed), F.lit(stream), *cols)
+    return (h.bitwiseAND(F.lit(_MASK53)).cast("double") + F.lit(1.0)) / F.lit(float(1 << 53))
+
+
+def normal(seed: int, stream: int, *cols: Column) -> Column:
+    """Standard normal by Box-Muller from two hash uniforms."""
+    u1 = uniform(seed, stream, *cols)
+    u2 = uniform(seed, stream + 1, *cols)
+    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
+
+
+def _clamp(c: Column, lo: float, hi: float) -> Column:
+    return F.greatest(F.lit(lo), F.least(F.lit(hi), c))
+
+
+def generate_events(
+    spark: SparkSession,
+    sensors: DataFrame,
+    n: int,
+    *,
+    seed: int = 42,
+    start: str = "2026-06-05 18:00:00",
+    events_per_batch: int = EVENTS_PER_BATCH,
+    partitions: int | None = None,
+) -> DataFrame:
+    """``n`` events over the given sensors.
+
+    Columns: ``event_id, batch, sensor_id, manufacturer_id, event_ts,
+    event_time, temperature, humidity, emit_ts, key, value``.
+    """
+    if events_per_batch <= 0:
+        raise ValueError("events_per_batch must be greater than 0")
+    if sensors.isEmpty():
+        raise RuntimeError("no sensors to generate events for")
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The sensor list is a dimension: index it in sensor_id order (a single
+    # small window, bounded by the broadcast check below).
+    indexed = sensors.select(
+        "sensor_id", "manufacturer_id", (F.row_number().over(Window.orderBy("sensor_id")) - 1).alias("sensor_idx")
+    )
+    k = indexed.count()
+    indexed = broadcast_if_small(indexed, 1_000_000)
+
+    n_batches = (n + events_per_batch - 1) // events_per_batch
+    batches = spark.range(0, n_batches, numPartitions=parts).withColumnRenamed("id", "batch")
+    delay = F.round(F.greatest(F.lit(MIN_DELAY_SEC), DELAY_MEAN_SEC + DELAY_STD_SEC * normal(seed, 10, F.col("batch"))), 2)
+    emit = running_total(batches.withColumn("delay", delay), ["batch"], "delay", "emit_offset", exclusive=True, partitions=parts)
+    start_ts = F.to_timestamp(F.lit(start))
+    emit = emit.select("batch", (start_ts + F.make_dt_interval(secs=F.col("emit_offset").cast("decimal(18,6)"))).alias("emit_ts"))
+
+    ids = spark.range(0, n, numPartitions=parts).withColumnRenamed("id", "event_id")
+    rid = F.col("event_id")
+    jitter = _clamp(JITTER_STD_SEC * normal(seed, 20, rid), -JITTER_LIMIT_SEC, JITTER_LIMIT_SEC)
+    temperature = F.round(TEMPERATURE_MEAN + TEMPERATURE_STD * normal(seed, 30, rid), 2)
+    humidity = F.round(_clamp(HUMIDITY_MEAN + HUMIDITY_STD * normal(seed, 40, rid), 0.0, 100.0), 2)
+    body = ids.select(
+        "event_id",
+        (rid / F.lit(events_per_batch)).cast("long").alias("batch"),
+        F.pmod(F.xxhash64(F.lit(seed), F.lit(50), rid), F.lit(k)).alias("sensor_idx"),
+        jitter.alias("jitter"),
+        temperature.alias("temperature"),
+        humidity.alias("humidity"),
+    )
+    out = (
+        body.join(indexed, "sensor_idx")
+        .join(emit, "batch")
+        .withColumn("event_ts", F.col("emit_ts") + F.make_dt_interval(secs=F.round("jitter", 6).cast("decimal(18,6)")))
+    )
+    out = out.select(
+        "event_id",
+        "batch",
+        "sensor_id",
+        F.col("manufacturer_id").cast("smallint").alias("manufacturer_id"),
+        "event_ts",
+        F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("event_time"),
+        "temperature",
+        "humidity",
+        "emit_ts",
+    )
+    return out.withColumn("key", event_key()).withColumn("value", event_value_json())

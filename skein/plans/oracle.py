@@ -65,14 +65,45 @@ def fmt_ts(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S') || '.000'"
 
 
-def window_sql(interval: str, source: str = "enriched", where: str = "") -> str:
-    """Window results over ``source`` bucketed by ``interval`` (DuckDB)."""
+def window_sql(interval: str, source: str = "enriched", closed_by: str | None = None, delay: str = "10 seconds") -> str:
+    """Window results over ``source`` bucketed by ``interval`` (DuckDB).
+
+    ``closed_by``: keep only windows a watermark of ``max(event_ts) - delay``
+    over that relation has closed (what an append-mode stream emits).
+    """
+    inner = f"""
+  SELECT time_bucket(INTERVAL '{interval}', event_ts) AS wb,
+         manufacturer_id, manufacturer_name, country,
+         count(*) AS events_count,
+         round(CAST(sum(CAST(round(temperature * 100) AS BIGINT)) AS DOUBLE) / count(*), 0) / 100.0 AS avg_temperature,
+         round(quantile_cont(CAST(round(humidity * 100) AS BIGINT), 0.5), 0) / 100.0 AS median_humidity
+  FROM {source}
+  GROUP BY 1, 2, 3, 4"""
+    where = ""
+    if closed_by:
+        where = f"WHERE wb + INTERVAL '{interval}' <= (SELECT max(event_ts) - INTERVAL '{delay}' FROM {closed_by})"
     return f"""
-SELECT {fmt_ts(f"time_bucket(INTERVAL '{interval}', event_ts)")} AS window_start,
-       {fmt_ts(f"time_bucket(INTERVAL '{interval}', event_ts) + INTERVAL '{interval}'")} AS window_end,
-       manufacturer_id, manufacturer_name, country,
-       count(*) AS events_count,
-       round(CAST(sum(CAST(round(temperature * 100) AS BIGINT)) AS DOUBLE) / count(*), 0) / 100.0 AS avg_temperature,
-       round(quantile_cont(CAST(round(humidity * 100) AS BIGINT), 0.5), 0) / 100.0 AS median_humidity
-FROM {source} {where}
-GROUP BY ALL"""
+SELECT {fmt_ts("wb")} AS window_start, {fmt_ts(f"wb + INTERVAL '{interval}'")} AS window_end,
+       manufacturer_id, manufacturer_name, country, events_count, avg_temperature, median_humidity
+FROM ({inner}) {where}"""
+
+
+def json_object(cols: list[str]) -> str:
+    """Compact JSON object text in column order (DuckDB), same shape as
+    Spark's ``to_json(struct(...))``."""
+    parts = [f"'\"{c}\":' || coalesce(to_json({c}), 'null')" for c in cols]
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
+
+RESULT_JSON = json_object(
+    [
+        "window_start",
+        "window_end",
+        "manufacturer_id",
+        "manufacturer_name",
+        "country",
+        "events_count",
+        "avg_temperature",
+        "median_humidity",
+    ]
+)

@@ -108,11 +108,6 @@ _REJECT_REASON = """CASE
     WHEN NOT (humidity BETWEEN 0.0 AND 100.0) THEN 'humidity_out_of_range'
   END"""
 
-_RESULT_JSON = """'{"window_start":' || to_json(window_start) || ',"window_end":' || to_json(window_end)
-  || ',"manufacturer_id":' || to_json(manufacturer_id) || ',"manufacturer_name":' || to_json(manufacturer_name)
-  || ',"country":' || to_json(country) || ',"events_count":' || to_json(events_count)
-  || ',"avg_temperature":' || to_json(avg_temperature) || ',"median_humidity":' || to_json(median_humidity) || '}'"""
-
 ORACLE: dict[str, str] = {
     "window_1min": O.BASE + O.window_sql("1 minute"),
     "window_1day": O.BASE + O.window_sql("1 day"),
@@ -129,5 +124,229 @@ ORACLE: dict[str, str] = {
     "event_time_prefix23": O.BASE
     + "SELECT event_id, event_time, strftime(date_trunc('millisecond', event_ts), '%Y-%m-%d %H:%M:%S.%f') AS parsed_ts FROM ev",
     "result_json": O.BASE
-    + f"SELECT {_RESULT_JSON} AS value FROM ({O.window_sql('1 minute')})",
+    + f"SELECT {O.RESULT_JSON} AS value FROM ({O.window_sql('1 minute')})",
 }
+
+
+# ---------------------------------------------------------------- decode
+def q_decode(mode: str):
+    """Events -> wire JSON -> decoder (lenient or strict), whole table."""
+
+    def run(spark, sf_dir):
+        from skein.functions.jsonfmt import event_value_json
+        from skein.sources.events import decode_events
+
+        wire = sensor_events(spark, sf_dir, keep=["event_id"]).select("event_id", event_value_json().alias("value"))
+        dec = decode_events(wire, DEFAULT.with_(decode=mode), keep=["event_id"])
+        return dec.select(
+            "event_id", "sensor_id", "manufacturer_id", "event_time", "temperature", "humidity",
+            _ts_text().alias("parsed_ts"),
+        )
+
+    return run
+
+
+def q_wire_messages(spark, sf_dir):
+    """Keyed event messages: key = UTF-8 sensor id (hex here), value = JSON."""
+    from skein.functions.jsonfmt import event_key, event_value_json
+
+    ev = sensor_events(spark, sf_dir, keep=["event_id"])
+    return ev.select("event_id", F.hex(event_key()).alias("key_hex"), event_value_json().alias("value"))
+
+
+def q_sql_window(spark, sf_dir):
+    from skein.plans.sql_route import sql_results
+
+    return sql_results(spark, sensor_events(spark, sf_dir), manufacturers_seed(spark), DEFAULT)
+
+
+def q_window_half_even(spark, sf_dir):
+    cfg = DEFAULT.with_(rounding="binary_half_even")
+    return results(sensor_events(spark, sf_dir), manufacturers_seed(spark), cfg)
+
+
+REGISTRY.update(
+    {
+        "decode_lenient": q_decode("lenient"),
+        "decode_strict": q_decode("strict"),
+        "wire_messages": q_wire_messages,
+        "sql_window_1min": q_sql_window,
+        "window_1min_half_even": q_window_half_even,
+    }
+)
+
+_EV_JSON = O.json_object(
+    ["sensor_id", "manufacturer_id", "event_time", "temperature", "humidity"]
+)
+ORACLE.update(
+    {
+        "decode_lenient": O.BASE
+        + "SELECT event_id, sensor_id, manufacturer_id, event_time, temperature, humidity, "
+        "strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') AS parsed_ts FROM ev",
+        "wire_messages": O.BASE + f"SELECT event_id, hex(encode(sensor_id)) AS key_hex, {_EV_JSON} AS value FROM ev",
+        "sql_window_1min": O.BASE + O.window_sql("1 minute"),
+    }
+)
+ORACLE["decode_strict"] = ORACLE["decode_lenient"]
+
+
+# ---------------------------------------------------------------- streams
+def _replay(job: str, wire: bool):
+    """Replay the whole ``events`` table through a streaming job (one
+    available-now run with a fresh checkpoint) and read its output back."""
+
+    def run(spark, sf_dir):
+        from skein.functions.jsonfmt import event_value_json
+        from skein.schemas import RESULT_COLUMNS
+        from skein.session import fresh_path
+        from skein.sources.events import table_event_stream
+        from skein.streaming.jobs import run_to_end, start_job
+        from skein.streaming.sinks import compact, read_changelog
+
+        apply_engine_conf(spark)
+        stream = table_event_stream(spark, f"{sf_dir.rstrip('/')}/events*.parquet")
+        kwargs = {"raw": stream.select(event_value_json().alias("value"))} if wire else {"events": stream}
+        root = fresh_path(spark, "replay", job)
+        running = start_job(
+            spark, job, manufacturers=manufacturers_seed(spark), output=f"{root}/out",
+            checkpoint=f"{root}/checkpoint", trigger="available_now", **kwargs,
+        )
+        run_to_end(running)
+        if running.kind == "upsert":
+            return compact(read_changelog(spark, running.output)).select("key", "value", *RESULT_COLUMNS)
+        return spark.read.parquet(running.output)
+
+    return run
+
+
+REGISTRY.update(
+    {
+        "stream_hybrid_closed": _replay("hybrid", wire=True),
+        "stream_bridge_closed": _replay("bridge", wire=False),
+        "stream_pure_closed": _replay("pure", wire=True),
+        "upsert_compacted": _replay("table_upsert", wire=False),
+    }
+)
+
+_PURE_SRC = "joined AS (SELECT c.*, m.manufacturer_name, m.country FROM ev c JOIN m ON c.manufacturer_id = m.id WHERE c.event_ts IS NOT NULL)"
+ORACLE.update(
+    {
+        "stream_hybrid_closed": O.BASE
+        + f"SELECT {O.RESULT_JSON} AS value FROM ("
+        + O.window_sql("1 minute", "enriched", closed_by="enriched")
+        + ")",
+        "stream_bridge_closed": O.BASE + O.window_sql("1 minute", "enriched", closed_by="enriched"),
+        "stream_pure_closed": O.with_ctes(O.MANUFACTURERS_CTE, O.EVENTS_CTE, _PURE_SRC)
+        + f"SELECT {O.RESULT_JSON} AS value FROM ("
+        + O.window_sql("1 minute", "joined", closed_by="joined")
+        + ")",
+        "upsert_compacted": O.BASE
+        + f"SELECT {O.json_object(['window_start', 'window_end', 'manufacturer_id'])} AS key, {O.RESULT_JSON} AS value, * FROM ("
+        + O.window_sql("1 minute")
+        + ")",
+    }
+)
+
+
+# ---------------------------------------------------------------- dimensions
+def observed_sensors(spark, sf_dir):
+    """Sensors seen in the event table with their latest reported
+    manufacturer: the update feed of the sensor dimension."""
+    from skein.operators.dimension import latest_per_key
+
+    ev = sensor_events(spark, sf_dir).filter(F.col("sensor_id").isNotNull() & F.col("manufacturer_id").isNotNull())
+    return latest_per_key(ev, "sensor_id", "manufacturer_id", "event_ts")
+
+
+def q_dim_upsert(spark, sf_dir):
+    from skein.operators.dimension import upsert_dimension
+    from skein.sources.dimensions import sensors_seed
+
+    return upsert_dimension(sensors_seed(spark), observed_sensors(spark, sf_dir), ["sensor_id"])
+
+
+def q_dim_fk_violations(spark, sf_dir):
+    from skein.operators.dimension import fk_violations
+
+    return fk_violations(q_dim_upsert(spark, sf_dir), "manufacturer_id", manufacturers_seed(spark), "id")
+
+
+def q_dim_rules(spark, sf_dir):
+    from skein.operators.dimension import rule_report
+
+    return rule_report(manufacturers_seed(spark), q_dim_upsert(spark, sf_dir))
+
+
+REGISTRY.update(
+    {
+        "dim_upsert": q_dim_upsert,
+        "dim_fk_violations": q_dim_fk_violations,
+        "dim_rules": q_dim_rules,
+    }
+)
+
+_OBSERVED = (
+    "obs AS (SELECT sensor_id, arg_max(manufacturer_id, (event_ts, manufacturer_id)) AS manufacturer_id "
+    "FROM ev WHERE sensor_id IS NOT NULL AND manufacturer_id IS NOT NULL GROUP BY sensor_id)"
+)
+_UPSERTED = (
+    "ups AS (SELECT sensor_id, manufacturer_id FROM s WHERE sensor_id NOT IN (SELECT sensor_id FROM obs) "
+    "UNION ALL SELECT sensor_id, manufacturer_id FROM obs)"
+)
+_DIM_BASE = O.with_ctes(O.MANUFACTURERS_CTE, O.SENSORS_CTE, O.EVENTS_CTE, _OBSERVED, _UPSERTED)
+ORACLE.update(
+    {
+        "dim_upsert": _DIM_BASE + "SELECT sensor_id, manufacturer_id FROM ups",
+        "dim_fk_violations": _DIM_BASE
+        + "SELECT sensor_id, manufacturer_id FROM ups WHERE manufacturer_id IS NOT NULL AND manufacturer_id NOT IN (SELECT id FROM m)",
+        "dim_rules": _DIM_BASE
+        + """SELECT 'sensors' AS "table", 'foreign_key' AS rule, 'manufacturer_id' AS "column", sensor_id AS "key", CAST(1 AS BIGINT) AS n
+             FROM ups WHERE manufacturer_id IS NOT NULL AND manufacturer_id NOT IN (SELECT id FROM m)
+             UNION ALL SELECT 'sensors', 'primary_key', 'sensor_id', sensor_id, count(*) FROM ups GROUP BY sensor_id HAVING count(*) > 1
+             UNION ALL SELECT 'manufacturers', 'primary_key', 'id', CAST(id AS VARCHAR), count(*) FROM m GROUP BY id HAVING count(*) > 1
+             UNION ALL SELECT 'manufacturers', 'unique', 'manufacturer_name', manufacturer_name, count(*) FROM m GROUP BY manufacturer_name HAVING count(*) > 1
+             UNION ALL SELECT 'sensors', 'max_length_64', 'sensor_id', sensor_id, 1 FROM ups WHERE length(sensor_id) > 64""",
+    }
+)
+
+
+# ---------------------------------------------------------------- results reader, generator
+def q_message_numbers(spark, sf_dir):
+    """Publish two result outputs of the window job (JSON append topic and
+    upsert topic) to the shared folder, read them back as a consumer and
+    number the messages per topic."""
+    from skein.operators.results_reader import read_results
+    from skein.session import fresh_path
+    from skein.streaming.sinks import changelog_rows
+
+    res = q_window("1 minute")(spark, sf_dir)
+    root = fresh_path(spark, "topics")
+    res.select(result_json_col().alias("value")).write.parquet(f"{root}/iot_window_results")
+    changelog_rows(res, 0).select("key", "value").write.parquet(f"{root}/iot_aggregates_upsert")
+    return read_results(
+        spark,
+        {
+            "iot_window_results": f"{root}/iot_window_results",
+            "iot_aggregates_upsert": f"{root}/iot_aggregates_upsert",
+        },
+    )
+
+
+def q_synthetic_events(spark, sf_dir):
+    """As many generated events as the event table has rows, over the
+    sensors the table reports."""
+    from skein.operators.synth import generate_events
+
+    n = table(spark, sf_dir, "events").count()
+    sensors = q_dim_upsert(spark, sf_dir)
+    gen = generate_events(spark, sensors, n, seed=42)
+    return gen.select("event_id", "batch", "sensor_id", "manufacturer_id", "event_time", "temperature", "humidity",
+                      F.date_format("emit_ts", TS_TEXT).alias("emit_time"), F.hex("key").alias("key_hex"), "value")
+
+
+REGISTRY.update(
+    {
+        "message_numbers": q_message_numbers,
+        "synthetic_events": q_synthetic_events,
+    }
+)
