@@ -10,30 +10,37 @@ from skein.config import EngineConfig
 REQUIRED = ["sensor_id", "manufacturer_id", "event_time", "temperature", "humidity"]
 
 
-def _rules(cfg: EngineConfig, time_col: str = "event_ts", report: bool = False) -> list[tuple[str, Column]]:
-    """(reason, predicate that must hold), in reporting order.
-
-    ``event_time IS NOT NULL`` is implied by ``event_ts IS NOT NULL`` (the
-    timestamp is parsed from, or produced together with, the text), so the
-    filter only tests the timestamp; the reject report names both.
-    """
+def _rules(cfg: EngineConfig, time_col: str = "event_ts") -> list[tuple[str, Column]]:
+    """(reason, predicate that must hold), in reporting order."""
     t_lo, t_hi = cfg.temperature_range
     h_lo, h_hi = cfg.humidity_range
-    rules = [
-        (f"null_{c}", F.col(c).isNotNull())
-        for c in REQUIRED
-        if report or c != "event_time"
-    ]
+    rules = [(f"null_{c}", F.col(c).isNotNull()) for c in REQUIRED]
     rules.append((f"null_{time_col}", F.col(time_col).isNotNull()))
     rules.append(("temperature_out_of_range", F.col("temperature").between(t_lo, t_hi)))
     rules.append(("humidity_out_of_range", F.col("humidity").between(h_lo, h_hi)))
     return rules
 
 
+# Evaluation order of the filter: cheap and selective tests first (the
+# conjunction short-circuits), text-column null tests last.
+_EVAL_ORDER = [
+    "null_temperature",
+    "null_humidity",
+    "temperature_out_of_range",
+    "humidity_out_of_range",
+    "null_manufacturer_id",
+    "null_event_ts",
+    "null_sensor_id",
+    "null_event_time",
+]
+
+
 def quality_predicate(cfg: EngineConfig, time_col: str = "event_ts") -> Column:
+    rules = dict(_rules(cfg, time_col))
+    order = [r.replace("null_event_ts", f"null_{time_col}") for r in _EVAL_ORDER]
     pred = None
-    for _, rule in _rules(cfg, time_col):
-        pred = rule if pred is None else pred & rule
+    for name in order:
+        pred = rules[name] if pred is None else pred & rules[name]
     return pred
 
 
@@ -66,6 +73,6 @@ def rejects(events: DataFrame, cfg: EngineConfig, time_col: str = "event_ts") ->
     counts as failing), so ``clean`` and ``rejects`` partition the input.
     """
     reason = F.lit(None).cast("string")
-    for name, rule in reversed(_rules(cfg, time_col, report=True)):
+    for name, rule in reversed(_rules(cfg, time_col)):
         reason = F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)).otherwise(reason)
     return events.withColumn("reason", reason).filter(F.col("reason").isNotNull())

@@ -4,7 +4,8 @@
 the rows are range-partitioned on the order, each range gets the total of
 all earlier ranges (a table with one row per range, so its size is bounded
 by the partition count), and a window inside each range adds the local
-running sum.  Every task holds one balanced range.
+running sum.  Every task holds one balanced range; the ``order_cols``
+should be (close to) unique so ranges can split evenly.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.session import shared_root
+
 
 def running_total(
     df: DataFrame,
@@ -33,10 +36,15 @@ def running_total(
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     val = F.col(value) if isinstance(value, str) else value
     keys = [*group_cols, *order_cols]
+    # The range id is read from the physical partition, so it is stored once
+    # (reliable checkpoint in the shared folder): both uses below must see
+    # the same assignment, whatever AQE does to each branch's shuffle reads.
+    shared_root(spark)
     ranged = (
         df.withColumn("_v", val)
         .repartitionByRange(n, *keys)
         .withColumn("_part", F.spark_partition_id())
+        .checkpoint(eager=True)
     )
     # One row per (range, group): bounded by partitions x groups per range.
     totals = ranged.groupBy("_part", *group_cols).agg(F.sum("_v").alias("_t"))
