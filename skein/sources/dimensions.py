@@ -34,12 +34,30 @@ SENSOR_ROWS = [
 ]
 
 
+def _sql_literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
+    """Small literal table as an SQL ``VALUES`` list: a local relation that
+    lives in the plan itself (no job to read it, and Catalyst knows its
+    size), cast to the declared schema."""
+    names = [f.name for f in schema.fields]
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    df = spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
+    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
+
+
 def manufacturers_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MANUFACTURER_ROWS, MANUFACTURERS)
+    return literal_table(spark, MANUFACTURER_ROWS, MANUFACTURERS)
 
 
 def sensors_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SENSOR_ROWS, SENSORS)
+    return literal_table(spark, SENSOR_ROWS, SENSORS)
 
 
 def read_jdbc(
