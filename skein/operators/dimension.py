@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.operators.enrich import broadcast_if_small
+from skein.session import fresh_path
 
 # Column length limits of the original schema.
 LENGTH_LIMITS = {
@@ -32,6 +33,15 @@ def upsert_dimension(base: DataFrame, updates: DataFrame, key: list[str]) -> Dat
     return kept.unionByName(updates)
 
 
+def write_version(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a dimension as a new version under the shared folder and read
+    it back.  Files under a running query are never replaced (that breaks
+    it); readers switch to the new version by path."""
+    path = fresh_path(spark, "dimensions", name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def latest_per_key(events: DataFrame, key: str, value: str, order: str) -> DataFrame:
     """Last reported ``value`` per ``key`` by ``order`` (ties broken by the
     larger value, so the choice is deterministic); a partial aggregate per

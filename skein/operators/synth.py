@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.functions.jsonfmt import event_key, event_value_json
-from skein.operators.enrich import broadcast_if_small
 from skein.operators.running import running_total
 
 # Fixed values of the generator: event-time jitter N(0, 3 s) clamped to
@@ -29,6 +28,7 @@ TEMPERATURE_MEAN, TEMPERATURE_STD = 22.0, 5.0
 HUMIDITY_MEAN, HUMIDITY_STD = 55.0, 15.0
 DELAY_MEAN_SEC, DELAY_STD_SEC, MIN_DELAY_SEC = 5.0, 2.0, 0.5
 EVENTS_PER_BATCH = 5
+MAX_SENSORS = 1_000_000
 
 _MASK53 = (1 << 53) - 1
 
@@ -67,16 +67,19 @@ def generate_events(
     """
     if events_per_batch <= 0:
         raise ValueError("events_per_batch must be greater than 0")
-    if sensors.isEmpty():
-        raise RuntimeError("no sensors to generate events for")
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The sensor list is a dimension: index it in sensor_id order (a single
-    # small window, bounded by the broadcast check below).
-    indexed = sensors.select(
-        "sensor_id", "manufacturer_id", (F.row_number().over(Window.orderBy("sensor_id")) - 1).alias("sensor_idx")
+    # The sensor list is a dimension: its size is checked first, then it is
+    # indexed in sensor_id order (one small window) and broadcast.
+    k = sensors.limit(MAX_SENSORS + 1).count()
+    if k == 0:
+        raise RuntimeError("no sensors to generate events for")
+    if k > MAX_SENSORS:
+        raise ValueError(f"more than {MAX_SENSORS} sensors; the generator broadcasts the sensor list")
+    indexed = F.broadcast(
+        sensors.select(
+            "sensor_id", "manufacturer_id", (F.row_number().over(Window.orderBy("sensor_id")) - 1).alias("sensor_idx")
+        )
     )
-    k = indexed.count()
-    indexed = broadcast_if_small(indexed, 1_000_000)
 
     n_batches = (n + events_per_batch - 1) // events_per_batch
     batches = spark.range(0, n_batches, numPartitions=parts).withColumnRenamed("id", "batch")

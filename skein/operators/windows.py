@@ -6,11 +6,11 @@ One function for batch and streaming input.  On a stream, the caller puts
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.config import EngineConfig
-from skein.functions.rounding import binary_half_even, cents_mean, cents_median, to_cents
+from skein.functions.rounding import binary_half_even, to_cents
 from skein.functions.timefmt import window_text
 from skein.schemas import RESULT_COLUMNS
 
@@ -18,29 +18,79 @@ GROUP_COLUMNS = ["manufacturer_id", "manufacturer_name", "country"]
 
 
 def window_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str] | None = None) -> DataFrame:
-    """Grouped aggregate with the window struct still typed (``window``)."""
+    """Grouped aggregate with the window struct still typed (``window``).
+
+    Batch input takes the histogram route, streaming input the single
+    ``percentile`` aggregate (a stream allows one stateful aggregation).
+    Both give the exact median.
+    """
     group_cols = group_cols or GROUP_COLUMNS
-    w = F.window("event_ts", cfg.window).alias("window")
+    if enriched.isStreaming:
+        return _percentile_aggregate(enriched, cfg, group_cols)
+    return _histogram_aggregate(enriched, cfg, group_cols)
+
+
+def _finish(out: DataFrame, cfg: EngineConfig, mean_cents, median_cents) -> DataFrame:
+    """Round (HALF_UP on exact cents, or Python-style on the double)."""
     if cfg.rounding == "half_up":
-        aggs = [
-            F.count(F.lit(1)).alias("events_count"),
-            cents_mean("temperature").alias("avg_temperature"),
-            cents_median("humidity").alias("median_humidity"),
-        ]
-    else:
-        aggs = [
-            F.count(F.lit(1)).alias("events_count"),
-            (F.sum(to_cents("temperature")).cast("double") / F.count(F.lit(1)) / F.lit(100.0)).alias("_mean"),
-            (F.percentile(to_cents("humidity"), F.lit(0.5)) / F.lit(100.0)).alias("_median"),
-        ]
-    out = enriched.groupBy(w, *group_cols).agg(*aggs)
-    if cfg.rounding != "half_up":
-        out = (
-            out.withColumn("avg_temperature", binary_half_even("_mean"))
-            .withColumn("median_humidity", binary_half_even("_median"))
-            .drop("_mean", "_median")
+        return out.withColumn("avg_temperature", F.round(mean_cents, 0) / F.lit(100.0)).withColumn(
+            "median_humidity", F.round(median_cents, 0) / F.lit(100.0)
         )
-    return out
+    return out.withColumn("avg_temperature", binary_half_even(mean_cents / F.lit(100.0))).withColumn(
+        "median_humidity", binary_half_even(median_cents / F.lit(100.0))
+    )
+
+
+def _percentile_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str]) -> DataFrame:
+    w = F.window("event_ts", cfg.window).alias("window")
+    out = enriched.groupBy(w, *group_cols).agg(
+        F.count(F.lit(1)).alias("events_count"),
+        F.sum(to_cents("temperature")).alias("_tsum"),
+        F.percentile(to_cents("humidity"), F.lit(0.5)).alias("_med"),
+    )
+    mean = F.col("_tsum").cast("double") / F.col("events_count")
+    return _finish(out, cfg, mean, F.col("_med")).drop("_tsum", "_med")
+
+
+def _histogram_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str]) -> DataFrame:
+    """Exact median from a per-group histogram of humidity cents.
+
+    1. count rows per (group, humidity cents), partial aggregation before
+       the shuffle; the shuffle key includes the humidity value, so even a
+       group holding a third of all rows spreads over many reducers;
+    2. per group, walk the histogram in value order (at most one row per
+       distinct cents value: 10,001 for the checked 0..100 range) and pick
+       the value(s) at the middle rank(s);
+    3. a final per-group aggregate on the same partitioning (no shuffle).
+    """
+    keys = ["window", *group_cols]
+    hist = (
+        enriched.select(
+            F.window("event_ts", cfg.window).alias("window"),
+            *group_cols,
+            to_cents("temperature").alias("_tc"),
+            to_cents("humidity").alias("_hc"),
+        )
+        .groupBy(*keys, "_hc")
+        .agg(F.count(F.lit(1)).alias("_c"), F.sum("_tc").alias("_ts"))
+    )
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("_hc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("_cum", F.sum("_c").over(upto)).withColumn("_n", F.sum("_c").over(group))
+    first = F.col("_cum") - F.col("_c")
+    k1 = F.floor((F.col("_n") + 1) / 2)
+    k2 = F.floor(F.col("_n") / 2) + 1
+    lo = F.when((first < k1) & (k1 <= F.col("_cum")), F.col("_hc"))
+    hi = F.when((first < k2) & (k2 <= F.col("_cum")), F.col("_hc"))
+    out = hist.groupBy(*keys).agg(
+        F.sum("_c").alias("events_count"),
+        F.sum("_ts").alias("_tsum"),
+        F.max(lo).alias("_lo"),
+        F.max(hi).alias("_hi"),
+    )
+    mean = F.col("_tsum").cast("double") / F.col("events_count")
+    median = (F.col("_lo") + F.col("_hi")).cast("double") / F.lit(2.0)
+    return _finish(out, cfg, mean, median).drop("_tsum", "_lo", "_hi")
 
 
 def format_results(agg: DataFrame) -> DataFrame:

@@ -259,10 +259,13 @@ def observed_sensors(spark, sf_dir):
 
 
 def q_dim_upsert(spark, sf_dir):
-    from skein.operators.dimension import upsert_dimension
+    """Seeded sensor dimension upserted with the sensors the events report,
+    written as a new version."""
+    from skein.operators.dimension import upsert_dimension, write_version
     from skein.sources.dimensions import sensors_seed
 
-    return upsert_dimension(sensors_seed(spark), observed_sensors(spark, sf_dir), ["sensor_id"])
+    upserted = upsert_dimension(sensors_seed(spark), observed_sensors(spark, sf_dir), ["sensor_id"])
+    return write_version(spark, upserted, "sensors")
 
 
 def q_dim_fk_violations(spark, sf_dir):
@@ -319,8 +322,10 @@ def q_message_numbers(spark, sf_dir):
     from skein.session import fresh_path
     from skein.streaming.sinks import changelog_rows
 
-    res = q_window("1 minute")(spark, sf_dir)
     root = fresh_path(spark, "topics")
+    # The typed result table is written once; both topics derive from it.
+    q_window("1 minute")(spark, sf_dir).write.parquet(f"{root}/results")
+    res = spark.read.parquet(f"{root}/results")
     res.select(result_json_col().alias("value")).write.parquet(f"{root}/iot_window_results")
     changelog_rows(res, 0).select("key", "value").write.parquet(f"{root}/iot_aggregates_upsert")
     return read_results(

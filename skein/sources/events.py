@@ -67,6 +67,11 @@ def sensor_events_from_table(events: DataFrame, keep: list[str] | None = None) -
     return events.select(*keep, *cols)
 
 
+def _parse_once(parsed: Column) -> Column:
+    """Exactly one output row per input row, holding the parsed struct."""
+    return F.explode(F.array(parsed)).alias("_e")
+
+
 def decode_events(raw: DataFrame, cfg: EngineConfig, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
     """JSON text column -> ``sensor_id, manufacturer_id, event_time,
     temperature, humidity, event_ts``.
@@ -77,17 +82,20 @@ def decode_events(raw: DataFrame, cfg: EngineConfig, value_col: str = "value", k
     strict   fields are read as text (so a quoted ``"22.5"`` is accepted),
              then a missing field, malformed record, bad number, out-of-range
              id or unparseable time raises and fails the query.
+
+    The record is parsed once per row: the parsed struct comes out of a
+    one-element ``explode``, so later references (the quality filter pushed
+    below this projection, the casts, the timestamp) read the generator's
+    output instead of re-parsing the text once per field reference.
     """
     keep = keep or []
     text = F.col(value_col).cast("string")
     if cfg.decode == "lenient":
-        parsed = raw.select(*keep, F.from_json(text, EVENT_WIRE).alias("_e"))
+        parsed = raw.select(*keep, _parse_once(F.from_json(text, EVENT_WIRE)))
         out = parsed.select(*keep, *(F.col(f"_e.{c}").alias(c) for c in EVENT_COLUMNS))
         return out.withColumn("event_ts", event_ts("event_time", cfg.time_mode))
 
-    parsed = raw.select(
-        *keep, F.from_json(text, EVENT_WIRE_TEXT, {"mode": "FAILFAST"}).alias("_e")
-    )
+    parsed = raw.select(*keep, _parse_once(F.from_json(text, EVENT_WIRE_TEXT, {"mode": "FAILFAST"})))
     record = F.when(
         F.col("_e").isNull(), F.raise_error(F.lit("malformed event record"))
     ).otherwise(F.col("_e"))
