@@ -79,6 +79,15 @@ class EngineConfig:
         return replace(self, **changes)
 
 
+# Input topic and one output topic (or folder) per job.
+EVENTS_TOPIC = "iot_events"
+OUTPUTS = {
+    "hybrid": "iot_window_results",
+    "table_upsert": "iot_aggregates_upsert",
+    "bridge": "iot_window_results_table_sink",
+    "pure": "iot_window_results_datastream",
+}
+
 # The four job variants as configurations of the one pipeline.
 JOBS: dict[str, EngineConfig] = {
     # SQL join -> keyed event-time window -> JSON string per closed window.

@@ -355,3 +355,16 @@ REGISTRY.update(
         "synthetic_events": q_synthetic_events,
     }
 )
+
+
+def q_stream_finalized(spark, sf_dir):
+    """Bridge replay (closed windows) + the trailing open windows from the
+    batch result over the same table: the complete window set."""
+    from skein.streaming.jobs import finalize_bounded
+
+    emitted = REGISTRY["stream_bridge_closed"](spark, sf_dir)
+    return finalize_bounded(spark, emitted, sensor_events(spark, sf_dir), manufacturers_seed(spark), JOBS["bridge"])
+
+
+REGISTRY["stream_finalized"] = q_stream_finalized
+ORACLE["stream_finalized"] = O.BASE + O.window_sql("1 minute")

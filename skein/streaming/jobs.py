@@ -19,7 +19,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from skein.config import JOBS, EngineConfig
+import uuid
+
+from skein.config import JOBS, OUTPUTS, EngineConfig
 from skein.plans.pipeline import results
 from skein.plans.sql_route import (
     create_enriched_view,
@@ -56,6 +58,21 @@ def job_results(spark: SparkSession, events: DataFrame, manufacturers: DataFrame
     return res
 
 
+def run_paths(spark: SparkSession, job: str, *, replay: bool = False) -> tuple[str, str]:
+    """(output, checkpoint) folders of a job under the shared folder.
+
+    ``replay=False``: stable folders, so a restart resumes where the last
+    run committed.  ``replay=True``: new folders, so the job reads its input
+    from the beginning again (and writes a new output, leaving the old one
+    untouched).
+    """
+    from skein.session import shared_root
+
+    run = uuid.uuid4().hex if replay else "current"
+    base = f"{shared_root(spark)}/jobs/{OUTPUTS.get(job, job)}/{run}"
+    return f"{base}/output", f"{base}/checkpoint"
+
+
 def start_job(
     spark: SparkSession,
     name_or_cfg: str | EngineConfig,
@@ -63,9 +80,11 @@ def start_job(
     events: DataFrame | None = None,
     raw: DataFrame | None = None,
     manufacturers: DataFrame,
-    output: str,
-    checkpoint: str,
+    output: str | None = None,
+    checkpoint: str | None = None,
     trigger: str | None = "available_now",
+    replay: bool = False,
+    kafka: dict | None = None,
 ) -> RunningJob:
     """Start one job.
 
@@ -76,6 +95,9 @@ def start_job(
     the same folder resumes.
     """
     cfg = JOBS[name_or_cfg] if isinstance(name_or_cfg, str) else name_or_cfg
+    if output is None or checkpoint is None:
+        default_out, default_ck = run_paths(spark, cfg.name, replay=replay)
+        output, checkpoint = output or default_out, checkpoint or default_ck
     if events is None:
         if raw is None:
             raise ValueError("give events or raw")
@@ -83,9 +105,9 @@ def start_job(
     dim = load_dimension(spark, manufacturers, "manufacturers", cfg.dimension, ["id", "manufacturer_name", "country"])
     res = job_results(spark, events, dim, cfg)
     if cfg.output == "update":
-        q = start_upsert(res, path=output, checkpoint=checkpoint, trigger=trigger, query_name=None)
+        q = start_upsert(res, path=output, checkpoint=checkpoint, trigger=trigger, kafka=kafka)
         return RunningJob(cfg.name, q, output, "upsert")
-    q = start_append(res, path=output, checkpoint=checkpoint, emit=cfg.emit, trigger=trigger)
+    q = start_append(res, path=output, checkpoint=checkpoint, emit=cfg.emit, trigger=trigger, kafka=kafka)
     return RunningJob(cfg.name, q, output, "append")
 
 
@@ -98,3 +120,14 @@ def run_to_end(job: RunningJob, timeout_s: int = 600) -> RunningJob:
     if job.query.exception():
         raise RuntimeError(str(job.query.exception()))
     return job
+
+
+def finalize_bounded(spark: SparkSession, emitted: DataFrame, events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Append output of a bounded replay plus the windows still open at its
+    end (a stream never closes the last windows once input stops), taken
+    from the batch result over the same input: together, every window."""
+    from skein.plans.pipeline import results as batch_results
+
+    key = ["window_start", "window_end", "manufacturer_id"]
+    rest = batch_results(events, manufacturers, cfg).join(emitted.select(*key), key, "left_anti")
+    return emitted.select(*rest.columns).unionByName(rest)

@@ -44,13 +44,32 @@ def _trigger(writer, trigger):
 def start_append(
     results: DataFrame,
     *,
-    path: str,
+    path: str | None = None,
     checkpoint: str,
     emit: str = "row",
     trigger: str | None = "available_now",
     query_name: str | None = None,
+    kafka: dict | None = None,
 ) -> StreamingQuery:
-    """Closed windows only, one row (or one JSON string) per window."""
+    """Closed windows only, one row (or one JSON string) per window.
+
+    Files (``path``): exactly-once through the sink's metadata log.  Kafka
+    (``kafka={"bootstrap_servers", "topic"}``, needs the connector on the
+    classpath): JSON values, at-least-once; the rows carry their natural key
+    (window bounds + manufacturer) so a reader can drop repeats.
+    """
+    if kafka:
+        writer = (
+            results.select(result_json().alias("value"))
+            .writeStream.outputMode("append")
+            .format("kafka")
+            .option("kafka.bootstrap.servers", kafka["bootstrap_servers"])
+            .option("topic", kafka["topic"])
+            .option("checkpointLocation", checkpoint)
+        )
+        if query_name:
+            writer = writer.queryName(query_name)
+        return _trigger(writer, trigger).start()
     out = results.select(result_json().alias("value")) if emit == "json" else results
     writer = (
         out.writeStream.outputMode("append")
@@ -75,17 +94,31 @@ def changelog_rows(batch: DataFrame, version: int) -> DataFrame:
 def start_upsert(
     results: DataFrame,
     *,
-    path: str,
+    path: str | None = None,
     checkpoint: str,
     trigger: str | None = "available_now",
     query_name: str | None = None,
+    kafka: dict | None = None,
 ) -> StreamingQuery:
-    """Every changed key of every micro-batch, versioned by batch id."""
+    """Every changed key of every micro-batch, versioned by batch id.
+
+    Files: one folder per batch id, overwritten if the batch is retried.
+    Kafka: JSON key + JSON value per changed key (a compacted topic keeps the
+    latest value per key).
+    """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        changelog_rows(batch, batch_id).drop("version").write.mode("overwrite").parquet(
-            f"{path}/version={batch_id}"
-        )
+        rows = changelog_rows(batch, batch_id)
+        if kafka:
+            (
+                rows.select("key", "value")
+                .write.format("kafka")
+                .option("kafka.bootstrap.servers", kafka["bootstrap_servers"])
+                .option("topic", kafka["topic"])
+                .save()
+            )
+            return
+        rows.drop("version").write.mode("overwrite").parquet(f"{path}/version={batch_id}")
 
     writer = (
         results.writeStream.outputMode("update")
@@ -111,3 +144,17 @@ def compact(changelog: DataFrame, key: list[str] | None = None, version: str = "
     key = key or UPSERT_KEY
     w = Window.partitionBy(*key).orderBy(F.col(version).desc())
     return changelog.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
+def write_messages(messages: DataFrame, *, path: str | None = None, kafka: dict | None = None) -> None:
+    """Batch write of keyed messages (``key``, ``value``): events or results."""
+    if kafka:
+        (
+            messages.select("key", "value")
+            .write.format("kafka")
+            .option("kafka.bootstrap.servers", kafka["bootstrap_servers"])
+            .option("topic", kafka["topic"])
+            .save()
+        )
+        return
+    messages.write.mode("append").parquet(path)

@@ -51,3 +51,46 @@ def test_rerun_same_checkpoint_adds_nothing(spark, workdir):
     first = run()
     assert first > 0
     assert run() == first
+
+
+def test_half_even_query_matches_python_rounding(spark):
+    """No SQL twin: compare with a brute-force pandas/Python computation."""
+    import pandas as pd
+
+    got = {
+        (r.window_start, r.manufacturer_id): (r.events_count, r.avg_temperature, r.median_humidity)
+        for r in REGISTRY["window_1min_half_even"](spark, SF001).collect()
+    }
+    ev = pd.read_parquet(f"{SF001}/events.parquet")
+    ev["mid"] = (ev.user_id % 10) // 2 + 1
+    ev["hum"] = ev.props.map(lambda p: float(__import__("json").loads(p)["k"])) * 1.25
+    ok = ev[(ev.value.between(-50, 80)) & (ev.hum.between(0, 100)) & (ev.mid <= 4)]
+    want = {}
+    for (w, mid), g in ok.groupby([ok.ts.dt.floor("min"), "mid"]):
+        cents_t = sorted(round(v * 100) for v in g.value)
+        cents_h = sorted(round(v * 100) for v in g.hum)
+        n = len(g)
+        med = (cents_h[(n - 1) // 2] + cents_h[n // 2]) / 2
+        key = (w.strftime("%Y-%m-%d %H:%M:%S.000"), mid)
+        want[key] = (n, round(sum(cents_t) / n / 100, 2), round(med / 100, 2))
+    assert got == want
+
+
+def test_dedupe_results(spark, workdir):
+    from skein.operators.results_reader import dedupe_results, read_topics
+
+    rows = [('{"window_start":"a","window_end":"b","manufacturer_id":1,"events_count":2}',)] * 2 + [
+        ('{"window_start":"a","window_end":"b","manufacturer_id":2,"events_count":1}',)
+    ]
+    spark.createDataFrame(rows, "value string").coalesce(1).write.parquet(f"{workdir}/t")
+    msgs = read_topics(spark, {"t": f"{workdir}/t"})
+    assert msgs.count() == 3
+    assert dedupe_results(msgs, ["window_start", "window_end", "manufacturer_id"]).count() == 2
+
+
+def test_replay_and_resume_paths(spark):
+    from skein.streaming.jobs import run_paths
+
+    assert run_paths(spark, "bridge") == run_paths(spark, "bridge")
+    assert run_paths(spark, "bridge", replay=True) != run_paths(spark, "bridge", replay=True)
+    assert "iot_window_results_table_sink" in run_paths(spark, "bridge")[0]

@@ -105,3 +105,25 @@ def test_watermark_placement_join(spark, workdir):
     )
     assert batch_progress(q)[-1]["watermark"].startswith("2026-06-05T18:13:00")
     assert [r for rs in seen.values() for r in rs] == []
+
+
+def test_no_delay_keeps_every_window_open(spark, workdir):
+    """delay=None (update output only): late rows are still counted."""
+    files = [[event(1, t)] for t in ("18:13:10", "18:14:10", "18:14:11", "18:13:40", "18:13:41")]
+    folder = stage_files(os.path.join(workdir, "in"), files)
+    cfg = EngineConfig(delay=None, output="update", quality_filter=False)
+    res = results(_stream(spark, folder, cfg), dimension(spark), cfg)
+    q, seen = collect_batches(res, os.path.join(workdir, "ck"), "update")
+    latest = {}
+    for b in sorted(seen):
+        for r in seen[b]:
+            latest[(r[0], r[1])] = r[2]
+    assert latest == {("18:13", 1): 3, ("18:14", 1): 2}
+    assert dropped_late_rows(q) == 0
+
+
+def test_append_needs_delay():
+    import pytest
+
+    with pytest.raises(ValueError):
+        EngineConfig(delay=None, output="append")
