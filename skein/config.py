@@ -55,7 +55,7 @@ class EngineConfig:
     output: str = "append"
     emit: str = "row"  # "row" (typed columns) or "json" (one string per result)
     trigger_interval: str = TRIGGER_INTERVAL
-    broadcast_max_rows: int = 1_000_000
+    broadcast_max_rows: int = 200_000
     name: str = "custom"
 
     def __post_init__(self) -> None:

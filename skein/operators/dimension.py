@@ -43,11 +43,23 @@ def write_version(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def latest_per_key(events: DataFrame, key: str, value: str, order: str) -> DataFrame:
-    """Last reported ``value`` per ``key`` by ``order`` (ties broken by the
-    larger value, so the choice is deterministic); a partial aggregate per
-    task before the shuffle, whatever the key skew."""
-    latest = F.max_by(F.col(value), F.struct(F.col(order), F.col(value)))
-    return events.groupBy(key).agg(latest.alias(value))
+    """Last reported SMALLINT ``value`` per ``key`` by the TIMESTAMP ``order``
+    (ties broken by the larger value, so the choice is deterministic).
+
+    ``(order, value)`` is packed into one exact DECIMAL(38,0),
+    ``micros * 100000 + (value + 32768)``, whose ``max`` is a fixed-width
+    buffer: a hash aggregate with partial aggregation per task, instead of
+    the sort-based aggregate a struct-ordered ``max_by`` would need.  Rows
+    without an order value cannot be placed and are skipped.
+    """
+    offset = 32768  # SMALLINT -> 0..65535, below the 10^5 slot
+    slot = F.lit(100000).cast("decimal(38,0)")
+    packed = F.unix_micros(F.col(order)).cast("decimal(38,0)") * slot + (F.col(value).cast("int") + offset)
+    best = events.filter(F.col(order).isNotNull() & F.col(value).isNotNull()).groupBy(key).agg(
+        F.max(packed.cast("decimal(38,0)")).alias("_p")
+    )
+    decoded = (F.pmod(F.col("_p"), slot).cast("int") - offset).cast("smallint")
+    return best.select(key, decoded.alias(value))
 
 
 def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:

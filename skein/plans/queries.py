@@ -290,7 +290,7 @@ REGISTRY.update(
 
 _OBSERVED = (
     "obs AS (SELECT sensor_id, arg_max(manufacturer_id, (event_ts, manufacturer_id)) AS manufacturer_id "
-    "FROM ev WHERE sensor_id IS NOT NULL AND manufacturer_id IS NOT NULL GROUP BY sensor_id)"
+    "FROM ev WHERE sensor_id IS NOT NULL AND manufacturer_id IS NOT NULL AND event_ts IS NOT NULL GROUP BY sensor_id)"
 )
 _UPSERTED = (
     "ups AS (SELECT sensor_id, manufacturer_id FROM s WHERE sensor_id NOT IN (SELECT sensor_id FROM obs) "

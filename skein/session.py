@@ -8,16 +8,34 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every session of the engine needs.  Time zone UTC: window bounds
-# and ISO parsing are defined in UTC.  AQE re-plans joins and coalesces
-# shuffle partitions at run time.
-ENGINE_CONF = {
+# Settings the engine's semantics rely on: window bounds and ISO parsing
+# are defined in UTC.
+REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+}
+# Defaults applied only where the session leaves them unset: AQE re-plans
+# joins and coalesces shuffle partitions at run time; streaming state lives
+# in RocksDB (bounded memory, spills to local disk, checkpointed to the
+# shared folder) with changelog checkpointing.
+DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+# Spark's own defaults of those keys: a key still holding it (and not given
+# at start-up) counts as unset.
+_SPARK_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "false",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false",
 }
+ENGINE_CONF = {**DEFAULT_CONF, **REQUIRED_CONF}
 
 
 def build_session(master: str = "local[8]", app: str = "skein", **conf) -> SparkSession:
@@ -48,8 +66,14 @@ def build_session(master: str = "local[8]", app: str = "skein", **conf) -> Spark
 
 
 def apply_engine_conf(spark: SparkSession) -> None:
-    for key, value in ENGINE_CONF.items():
+    for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    started_with = spark.sparkContext.getConf()
+    for key, value in DEFAULT_CONF.items():
+        if started_with.contains(key):
+            continue
+        if spark.conf.get(key, None) in (None, "", _SPARK_DEFAULTS.get(key)):
+            spark.conf.set(key, value)
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -69,3 +69,20 @@ def test_snapshot_is_pinned(spark, workdir):
     snap = load_dimension(spark, spark.read.parquet(src), "manufacturers", "snapshot", ["id", "country"])
     spark.createDataFrame([(9, "Other", "Q", None)], MANUFACTURERS).write.mode("overwrite").parquet(src)
     assert sorted(r.id for r in snap.collect()) == [1, 2, 3, 4]
+
+
+def test_latest_per_key_ties_and_old_times(spark):
+    import datetime as dt
+
+    from skein.operators.dimension import latest_per_key
+
+    t = dt.datetime(2026, 6, 5, 18, 13, 42, 123456)
+    old = dt.datetime(1960, 1, 1, 0, 0, 0, 1)
+    rows = [
+        ("a", 1, t), ("a", 3, t), ("a", 2, t - dt.timedelta(seconds=1)),   # tie at t -> larger value 3
+        ("b", -5, old), ("b", 7, old - dt.timedelta(microseconds=1)),      # pre-1970, negative id
+        ("c", 4, None), ("c", 2, old),                                    # no time -> skipped
+    ]
+    df = spark.createDataFrame(rows, "sensor_id string, manufacturer_id short, event_ts timestamp")
+    got = {r.sensor_id: r.manufacturer_id for r in latest_per_key(df, "sensor_id", "manufacturer_id", "event_ts").collect()}
+    assert got == {"a": 3, "b": -5, "c": 2}
