@@ -16,7 +16,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     The check reads at most ``max_rows + 1`` rows.  Beyond the bound the
     join is left to the planner (sort-merge, or AQE's runtime choice).
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    probe = df.limit(max_rows + 1)
+    # A local relation (literal rows in the plan) is counted on the driver
+    # without scheduling a job; anything else by a bounded count job.
+    n = len(probe.collect()) if df.isLocal() else probe.count()
+    if n <= max_rows:
         return F.broadcast(df)
     return df
 

@@ -6,7 +6,7 @@ One function for batch and streaming input.  On a stream, the caller puts
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.config import EngineConfig
@@ -18,7 +18,8 @@ GROUP_COLUMNS = ["manufacturer_id", "manufacturer_name", "country"]
 
 
 def window_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str] | None = None) -> DataFrame:
-    """Grouped aggregate with the window struct still typed (``window``).
+    """Grouped aggregate with the window struct still typed (``window``):
+    ``window, <group_cols>, events_count, avg_temperature, median_humidity``.
 
     Batch input takes the histogram route, streaming input the single
     ``percentile`` aggregate (a stream allows one stateful aggregation).
@@ -26,33 +27,31 @@ def window_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[st
     """
     group_cols = group_cols or GROUP_COLUMNS
     if enriched.isStreaming:
-        return _percentile_aggregate(enriched, cfg, group_cols)
-    return _histogram_aggregate(enriched, cfg, group_cols)
+        out, mean, median = _percentile_aggregate(enriched, cfg, group_cols)
+    else:
+        out, mean, median = _histogram_aggregate(enriched, cfg, group_cols)
+    avg, med = _rounded(cfg, mean, median)
+    return out.select("window", *group_cols, "events_count", avg.alias("avg_temperature"), med.alias("median_humidity"))
 
 
-def _finish(out: DataFrame, cfg: EngineConfig, mean_cents, median_cents) -> DataFrame:
-    """Round (HALF_UP on exact cents, or Python-style on the double)."""
+def _rounded(cfg: EngineConfig, mean_cents: Column, median_cents: Column) -> tuple[Column, Column]:
+    """HALF_UP on exact cents, or Python-style rounding of the double."""
     if cfg.rounding == "half_up":
-        return out.withColumn("avg_temperature", F.round(mean_cents, 0) / F.lit(100.0)).withColumn(
-            "median_humidity", F.round(median_cents, 0) / F.lit(100.0)
-        )
-    return out.withColumn("avg_temperature", binary_half_even(mean_cents / F.lit(100.0))).withColumn(
-        "median_humidity", binary_half_even(median_cents / F.lit(100.0))
-    )
+        return F.round(mean_cents, 0) / F.lit(100.0), F.round(median_cents, 0) / F.lit(100.0)
+    return binary_half_even(mean_cents / F.lit(100.0)), binary_half_even(median_cents / F.lit(100.0))
 
 
-def _percentile_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str]) -> DataFrame:
+def _percentile_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str]):
     w = F.window("event_ts", cfg.window).alias("window")
     out = enriched.groupBy(w, *group_cols).agg(
         F.count(F.lit(1)).alias("events_count"),
         F.sum(to_cents("temperature")).alias("_tsum"),
         F.percentile(to_cents("humidity"), F.lit(0.5)).alias("_med"),
     )
-    mean = F.col("_tsum").cast("double") / F.col("events_count")
-    return _finish(out, cfg, mean, F.col("_med")).drop("_tsum", "_med")
+    return out, F.col("_tsum").cast("double") / F.col("events_count"), F.col("_med")
 
 
-def _histogram_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str]) -> DataFrame:
+def _histogram_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str]):
     """Exact median from a per-group histogram of humidity cents.
 
     1. count rows per (group, humidity cents), partial aggregation before
@@ -76,7 +75,7 @@ def _histogram_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: lis
     )
     group = Window.partitionBy(*keys)
     upto = group.orderBy("_hc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_c").over(upto)).withColumn("_n", F.sum("_c").over(group))
+    hist = hist.select("*", F.sum("_c").over(upto).alias("_cum"), F.sum("_c").over(group).alias("_n"))
     first = F.col("_cum") - F.col("_c")
     k1 = F.floor((F.col("_n") + 1) / 2)
     k2 = F.floor(F.col("_n") / 2) + 1
@@ -90,7 +89,7 @@ def _histogram_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: lis
     )
     mean = F.col("_tsum").cast("double") / F.col("events_count")
     median = (F.col("_lo") + F.col("_hi")).cast("double") / F.lit(2.0)
-    return _finish(out, cfg, mean, median).drop("_tsum", "_lo", "_hi")
+    return out, mean, median
 
 
 def format_results(agg: DataFrame) -> DataFrame:

@@ -105,12 +105,17 @@ def decode_events(raw: DataFrame, cfg: EngineConfig, value_col: str = "value", k
         c = F.col(f"_e.{name}")
         return F.when(c.isNull(), F.raise_error(F.lit(f"missing field {name}"))).otherwise(c)
 
+    def converted(c: Column, name: str, value: Column) -> Column:
+        # try_cast + explicit error: the same under any ANSI setting
+        return F.when(value.isNull(), F.raise_error(F.concat(F.lit(f"bad {name}: "), c))).otherwise(value)
+
     target = {f.name: f.dataType for f in EVENT_WIRE.fields}
     out = parsed.select(
         *keep,
-        *(required(c).cast(target[c]).alias(c) for c in EVENT_COLUMNS),
+        *(converted(required(c), c, required(c).try_cast(target[c])).alias(c) for c in EVENT_COLUMNS),
     )
-    return out.withColumn("event_ts", event_ts("event_time", cfg.time_mode, strict=True))
+    ts = event_ts("event_time", cfg.time_mode)
+    return out.withColumn("event_ts", converted(F.col("event_time"), "event_time", ts))
 
 
 def _raw_stream(spark: SparkSession, source: dict) -> DataFrame:

@@ -219,3 +219,14 @@ def test_result_json_shape(spark):
         '"manufacturer_id":2,"manufacturer_name":"Sensirion","country":"Zürich","events_count":20,'
         '"avg_temperature":22.31,"median_humidity":null}'
     )
+
+
+@pytest.mark.parametrize("text", STRICT_FAIL)
+def test_strict_decode_raises_without_ansi(spark, text):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        raw = spark.createDataFrame([(text,)], "value string")
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            decode_events(raw, EngineConfig(decode="strict")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
