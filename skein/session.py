@@ -115,3 +115,24 @@ def ensure_dir(path: str) -> str:
     if is_local_path(path):
         os.makedirs(path.removeprefix("file:"), exist_ok=True)
     return path
+
+
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Partition settings for a cluster run over ``input_bytes`` of input.
+
+    Scan splits of ``target_partition_bytes``.  The engine's shuffles carry
+    projected, partially aggregated rows, so they are sized from a quarter
+    of the input, at least two partitions per core and at most 65,536 (more
+    makes map tasks write tiny blocks and loads the scheduler); AQE then
+    coalesces small ones.  For a stateful stream the shuffle partition count
+    is fixed by its first run (state is partitioned by it), so size it for
+    the expected peak.
+    """
+    wanted = -(-input_bytes // (4 * target_partition_bytes))
+    shuffle = min(65536, max(2 * total_cores, wanted))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 8),
+    }

@@ -127,6 +127,12 @@ def _raw_stream(spark: SparkSession, source: dict) -> DataFrame:
             .option("subscribe", source["topic"])
             .option("startingOffsets", source.get("starting_offsets", "earliest"))
         )
+        # Bound each micro-batch, and split topic partitions into more
+        # tasks than there are partitions when the cluster is wider.
+        if source.get("max_offsets_per_trigger"):
+            reader = reader.option("maxOffsetsPerTrigger", int(source["max_offsets_per_trigger"]))
+        if source.get("min_partitions"):
+            reader = reader.option("minPartitions", int(source["min_partitions"]))
         return reader.load().select(F.col("value").cast("string").alias("value"))
     reader = spark.readStream
     if source.get("max_files_per_trigger"):
@@ -138,7 +144,8 @@ def read_event_stream(spark: SparkSession, source: dict, cfg: EngineConfig) -> D
     """Streaming events from a topic or a folder of JSON-lines files.
 
     ``source``: ``{"kind": "files", "path": ..., "max_files_per_trigger": n}``
-    or ``{"kind": "kafka", "bootstrap_servers": ..., "topic": ...}``.
+    or ``{"kind": "kafka", "bootstrap_servers": ..., "topic": ...,
+    "max_offsets_per_trigger": n, "min_partitions": n}``.
     Replay from the start or resume is decided by the checkpoint location
     of the query that consumes the stream (new location = replay).
     """
