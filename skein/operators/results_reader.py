@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.operators.running import running_total
+from skein.schemas import CONSUMED_MESSAGE
 
 
 def read_topics(spark: SparkSession, topics: dict[str, str], *, kafka: dict | None = None) -> DataFrame:
@@ -52,11 +53,11 @@ def read_topics(spark: SparkSession, topics: dict[str, str], *, kafka: dict | No
     return msgs.filter(F.col("value").isNotNull())
 
 
-def number_messages(msgs: DataFrame, dedupe_key: list[str] | None = None) -> DataFrame:
+def number_messages(msgs: DataFrame) -> DataFrame:
     """Add ``topic_message_number`` (1, 2, ... per topic in partition,
     offset order), computed without gathering a topic into one task."""
     out = running_total(msgs, ["partition", "offset"], F.lit(1).cast("long"), "topic_message_number", group_cols=["topic"])
-    return out.select("topic", "value", "topic_message_number", "partition", "offset")
+    return out.to(CONSUMED_MESSAGE)
 
 
 def read_results(spark: SparkSession, topics: dict[str, str], kafka: dict | None = None) -> DataFrame:

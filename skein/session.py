@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -107,16 +106,6 @@ def fresh_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), *parts, uuid.uuid4().hex])
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_dir(path: str) -> str:
-    if is_local_path(path):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-    return path
-
-
 def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Partition settings for a cluster run over ``input_bytes`` of input.
 

@@ -28,7 +28,6 @@ CHANGELOG = T.StructType(
         T.StructField("version", T.LongType()),
     ]
 )
-MESSAGE = T.StructType([T.StructField("value", T.StringType())])
 
 
 def _trigger(writer, trigger):

@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from helpers import collect_batches, dimension, event, stage_files
 from skein.config import EngineConfig
