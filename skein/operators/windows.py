@@ -6,7 +6,7 @@ One function for batch and streaming input.  On a stream, the caller puts
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.config import EngineConfig
@@ -21,12 +21,13 @@ def window_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[st
     """Grouped aggregate with the window struct still typed (``window``):
     ``window, <group_cols>, events_count, avg_temperature, median_humidity``.
 
-    Batch input takes the histogram route, streaming input the single
-    ``percentile`` aggregate (a stream allows one stateful aggregation).
-    Both give the exact median.
+    Batch input and append-mode streams take the two-step histogram route;
+    update-mode streams one ``percentile`` aggregate (Structured Streaming
+    chains stateful aggregations in append mode only).  Both give the exact
+    median.
     """
     group_cols = group_cols or GROUP_COLUMNS
-    if enriched.isStreaming:
+    if enriched.isStreaming and cfg.output == "update":
         out, mean, median = _percentile_aggregate(enriched, cfg, group_cols)
     else:
         out, mean, median = _histogram_aggregate(enriched, cfg, group_cols)
@@ -54,13 +55,15 @@ def _percentile_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: li
 def _histogram_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str]):
     """Exact median from a per-group histogram of humidity cents.
 
-    1. count rows per (group, humidity cents), partial aggregation before
-       the shuffle; the shuffle key includes the humidity value, so even a
-       group holding a third of all rows spreads over many reducers;
-    2. per group, walk the histogram in value order (at most one row per
-       distinct cents value: 10,001 for the checked 0..100 range) and pick
-       the value(s) at the middle rank(s);
-    3. a final per-group aggregate on the same partitioning (no shuffle).
+    1. count rows (and sum temperature cents) per (window, group, humidity
+       cents), with partial aggregation before the shuffle; the shuffle key
+       includes the humidity value, so even a group holding a third of all
+       rows spreads over many reducers;
+    2. per group, ``percentile(value, 0.5, count)`` over the histogram.
+       After step 1 every humidity value of a group sits in exactly one
+       task, so a group's merged value map holds at most one entry per
+       distinct cents value (10,001 for the checked 0..100 range), however
+       many map tasks or rows there were.
     """
     keys = ["window", *group_cols]
     hist = (
@@ -73,23 +76,12 @@ def _histogram_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: lis
         .groupBy(*keys, "_hc")
         .agg(F.count(F.lit(1)).alias("_c"), F.sum("_tc").alias("_ts"))
     )
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("_hc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.select("*", F.sum("_c").over(upto).alias("_cum"), F.sum("_c").over(group).alias("_n"))
-    first = F.col("_cum") - F.col("_c")
-    k1 = F.floor((F.col("_n") + 1) / 2)
-    k2 = F.floor(F.col("_n") / 2) + 1
-    lo = F.when((first < k1) & (k1 <= F.col("_cum")), F.col("_hc"))
-    hi = F.when((first < k2) & (k2 <= F.col("_cum")), F.col("_hc"))
     out = hist.groupBy(*keys).agg(
         F.sum("_c").alias("events_count"),
         F.sum("_ts").alias("_tsum"),
-        F.max(lo).alias("_lo"),
-        F.max(hi).alias("_hi"),
+        F.percentile(F.col("_hc"), F.lit(0.5), F.col("_c")).alias("_med"),
     )
-    mean = F.col("_tsum").cast("double") / F.col("events_count")
-    median = (F.col("_lo") + F.col("_hi")).cast("double") / F.lit(2.0)
-    return out, mean, median
+    return out, F.col("_tsum").cast("double") / F.col("events_count"), F.col("_med")
 
 
 def format_results(agg: DataFrame) -> DataFrame:

@@ -65,14 +65,14 @@ def create_enriched_view(spark: SparkSession, cfg: EngineConfig, broadcast: bool
     return view
 
 
-def window_results_sql(cfg: EngineConfig, source: str = "enriched_iot_events", streaming: bool = True) -> str:
+def window_results_sql(cfg: EngineConfig, source: str = "enriched_iot_events", chained: bool = True) -> str:
     """Tumbling-window aggregate in SQL, exact-cents rounding (HALF_UP).
 
-    Streaming: one ``percentile`` aggregate (a stream allows a single
-    stateful aggregation).  Batch: the histogram route of
-    :mod:`skein.operators.windows` (bounded work per group under skew).
+    ``chained`` (batch, append-mode streams): the two-step histogram route
+    of :mod:`skein.operators.windows`, bounded work per group under skew.
+    Otherwise (update-mode streams): one ``percentile`` aggregate.
     """
-    if streaming:
+    if not chained:
         return f"""
         SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_start,
                date_format(window.end, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_end,
@@ -91,28 +91,20 @@ def window_results_sql(cfg: EngineConfig, source: str = "enriched_iot_events", s
                    sum(CAST(round(temperature * 100D) AS BIGINT)) AS tc
             FROM {source}
             GROUP BY 1, 2, 3, 4, 5
-        ), ranked AS (
-            SELECT *,
-                   sum(c) OVER (PARTITION BY w, manufacturer_id, manufacturer_name, country ORDER BY hc
-                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
-                   sum(c) OVER (PARTITION BY w, manufacturer_id, manufacturer_name, country) AS n
-            FROM hist
         )
         SELECT date_format(w.start, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_start,
                date_format(w.end, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_end,
                manufacturer_id, manufacturer_name, country,
                sum(c) AS events_count,
                round(CAST(sum(tc) AS DOUBLE) / sum(c), 0) / 100D AS avg_temperature,
-               round(CAST(max(CASE WHEN cum - c < floor((n + 1) / 2) AND floor((n + 1) / 2) <= cum THEN hc END)
-                        + max(CASE WHEN cum - c < floor(n / 2) + 1 AND floor(n / 2) + 1 <= cum THEN hc END) AS DOUBLE) / 2D, 0)
-                 / 100D AS median_humidity
-        FROM ranked
+               round(percentile(hc, 0.5D, c), 0) / 100D AS median_humidity
+        FROM hist
         GROUP BY w, manufacturer_id, manufacturer_name, country
     """
 
 
-def create_window_results_view(spark: SparkSession, cfg: EngineConfig, streaming: bool = True) -> DataFrame:
-    res = spark.sql(window_results_sql(cfg, streaming=streaming))
+def create_window_results_view(spark: SparkSession, cfg: EngineConfig, chained: bool = True) -> DataFrame:
+    res = spark.sql(window_results_sql(cfg, chained=chained))
     res.createOrReplaceTempView("window_results")
     return res
 
@@ -128,5 +120,5 @@ def sql_results(spark: SparkSession, events: DataFrame, manufacturers: DataFrame
         raise ValueError("the SQL route implements half_up rounding only")
     broadcast = register_sources(spark, events, manufacturers, cfg)
     create_enriched_view(spark, cfg, broadcast)
-    create_window_results_view(spark, cfg, streaming=events.isStreaming)
+    create_window_results_view(spark, cfg, chained=not (events.isStreaming and cfg.output == "update"))
     return select_results(spark)

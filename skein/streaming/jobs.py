@@ -48,7 +48,7 @@ def job_results(spark: SparkSession, events: DataFrame, manufacturers: DataFrame
     if cfg.name == "table_upsert":
         broadcast = register_sources(spark, events, manufacturers, cfg)
         create_enriched_view(spark, cfg, broadcast)
-        return spark.sql(window_results_sql(cfg, streaming=events.isStreaming))
+        return spark.sql(window_results_sql(cfg, chained=not (events.isStreaming and cfg.output == "update")))
     res = results(events, manufacturers, cfg)
     if cfg.name == "bridge":
         # Typed rows back to a table: declared schema check, a view, and the
