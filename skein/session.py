@@ -67,14 +67,22 @@ def build_session(master: str = "local[8]", app: str = "skein", **conf) -> Spark
 def apply_engine_conf(spark: SparkSession) -> None:
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
-    started_with = spark.sparkContext.getConf()
+    sc = _context(spark)
     for key, value in DEFAULT_CONF.items():
-        if started_with.contains(key):
+        if sc is not None and sc.getConf().contains(key):
             continue
         if spark.conf.get(key, None) in (None, "", _SPARK_DEFAULTS.get(key)):
             spark.conf.set(key, value)
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no local context
+        return None
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder for checkpoints, snapshots and sinks, shared by all executors.
 
@@ -83,21 +91,20 @@ def shared_root(spark: SparkSession) -> str:
     without it is an error, since a machine-local folder does not survive the
     loss of that machine.
     """
+    sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        sc_dir = spark.sparkContext.getCheckpointDir()
-        if sc_dir:
-            root = sc_dir
-    if not root:
-        master = spark.sparkContext.master
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; the engine needs a shared folder"
             )
         root = tempfile.mkdtemp(prefix="skein-ck-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
