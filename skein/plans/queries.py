@@ -198,7 +198,7 @@ def _replay(job: str, wire: bool):
     def run(spark, sf_dir):
         from skein.functions.jsonfmt import event_value_json
         from skein.schemas import RESULT_COLUMNS
-        from skein.session import fresh_path
+        from skein.session import default_parallelism, fresh_path
         from skein.sources.events import table_event_stream
         from skein.streaming.jobs import run_to_end, start_job
         from skein.streaming.sinks import compact, read_changelog
@@ -209,7 +209,8 @@ def _replay(job: str, wire: bool):
         root = fresh_path(spark, "replay", job)
         running = start_job(
             spark, job, manufacturers=manufacturers_seed(spark), output=f"{root}/out",
-            checkpoint=f"{root}/checkpoint", trigger="available_now", **kwargs,
+            checkpoint=f"{root}/checkpoint", trigger="available_now",
+            state_partitions=default_parallelism(spark), **kwargs,
         )
         run_to_end(running)
         if running.kind == "upsert":

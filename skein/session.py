@@ -108,6 +108,14 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Total task slots of the cluster (local: the thread count)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def fresh_path(spark: SparkSession, *parts: str) -> str:
     """A new, unused path under the shared folder."""
     return "/".join([shared_root(spark), *parts, uuid.uuid4().hex])

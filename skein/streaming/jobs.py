@@ -85,6 +85,7 @@ def start_job(
     trigger: str | None = "available_now",
     replay: bool = False,
     kafka: dict | None = None,
+    state_partitions: int | None = None,
 ) -> RunningJob:
     """Start one job.
 
@@ -104,11 +105,19 @@ def start_job(
         events = decode_events(raw, cfg)
     dim = load_dimension(spark, manufacturers, "manufacturers", cfg.dimension, ["id", "manufacturer_name", "country"])
     res = job_results(spark, events, dim, cfg)
-    if cfg.output == "update":
-        q = start_upsert(res, path=output, checkpoint=checkpoint, trigger=trigger, kafka=kafka)
-        return RunningJob(cfg.name, q, output, "upsert")
-    q = start_append(res, path=output, checkpoint=checkpoint, emit=cfg.emit, trigger=trigger, kafka=kafka)
-    return RunningJob(cfg.name, q, output, "append")
+    # The setting is read when the query starts (the stream keeps its own
+    # copy of the session settings), so it is set around start() only.
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        if cfg.output == "update":
+            q = start_upsert(res, path=output, checkpoint=checkpoint, trigger=trigger, kafka=kafka)
+            return RunningJob(cfg.name, q, output, "upsert")
+        q = start_append(res, path=output, checkpoint=checkpoint, emit=cfg.emit, trigger=trigger, kafka=kafka)
+        return RunningJob(cfg.name, q, output, "append")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
 def run_to_end(job: RunningJob, timeout_s: int = 600) -> RunningJob:
