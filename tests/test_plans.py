@@ -49,3 +49,46 @@ def test_half_even_uses_python_only_after_aggregation(spark):
     lines = [ln for ln in text.splitlines() if re.match(r"^\s*[:+\- ]*\w+", ln)]
     tree = "\n".join(lines[: lines.index(next(ln for ln in lines if "Exchange" in ln))])
     assert "ArrowEvalPython" in tree
+
+
+def test_streaming_plans(spark):
+    from conftest import SF001
+    from skein.config import JOBS
+    from skein.plans.pipeline import results
+    from skein.sources.dimensions import manufacturers_seed
+    from skein.sources.events import table_event_stream
+    from skein.streaming.jobs import job_results
+
+    stream = table_event_stream(spark, f"{SF001}/events*.parquet")
+    dim = manufacturers_seed(spark)
+    append_tree = plan_text(results(stream, dim, JOBS["bridge"])).split("\n\n")[0]
+    # append: the histogram and the per-group median are two chained
+    # stateful aggregations after one watermark on the enriched rows
+    assert append_tree.count("StateStoreSave") == 2, append_tree
+    assert append_tree.count("EventTimeWatermark") == 1
+    assert "BroadcastHashJoin" in append_tree
+    import tempfile
+
+    upd = job_results(spark, stream, dim, JOBS["table_upsert"])
+    q = (
+        upd.writeStream.outputMode("update").format("noop")
+        .option("checkpointLocation", tempfile.mkdtemp(prefix="skein-test-"))
+        .trigger(availableNow=True).start()
+    )
+    assert q.awaitTermination(300)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    update_tree = buf.getvalue()
+    assert update_tree.count("StateStoreSave") == 1, update_tree
+    # watermark at the source: the guarded quality filter stays above it
+    assert update_tree.index("Filter") < update_tree.index("EventTimeWatermark")
+
+
+def test_sizing_conf():
+    from skein.session import sizing_conf
+
+    big = sizing_conf(100 * 2**40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "65536"
+    small = sizing_conf(2 * 2**20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
