@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.operators.enrich import broadcast_if_small
 from skein.session import shared_root
 
 
@@ -46,7 +47,7 @@ def running_total(
         .withColumn("_part", F.spark_partition_id())
         .checkpoint(eager=True)
     )
-    # One row per (range, group): bounded by partitions x groups per range.
+    # One row per (range, group).
     totals = ranged.groupBy("_part", *group_cols).agg(F.sum("_v").alias("_t"))
     before = Window.partitionBy(*group_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -59,5 +60,8 @@ def running_total(
         .rowsBetween(Window.unboundedPreceding, frame_end)
     )
     local = ranged.withColumn("_local", F.coalesce(F.sum("_v").over(local_w), F.lit(0)))
-    out = local.join(F.broadcast(offsets), ["_part", *group_cols])
+    # Ranges are contiguous in (group, order) order, so the offset table has
+    # at most (ranges + groups) rows: broadcast when that is small (always
+    # without groups), joined normally otherwise.
+    out = local.join(broadcast_if_small(offsets, 1_000_000), ["_part", *group_cols])
     return out.withColumn(out_col, F.col("_off") + F.col("_local")).drop("_v", "_part", "_off", "_local")
