@@ -14,9 +14,10 @@ On a batch DataFrame the watermark is a no-op and the plan is the same.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from skein.config import EngineConfig
-from skein.operators.enrich import enrich
+from skein.operators.enrich import DIM_COLUMNS, broadcast_if_small, enrich
 from skein.operators.quality import clean
 from skein.operators.windows import format_results, window_aggregate
 
@@ -35,5 +36,24 @@ def enriched_events(events: DataFrame, manufacturers: DataFrame, cfg: EngineConf
 
 
 def results(events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Window results (typed 8 columns) for batch or streaming events."""
-    return format_results(window_aggregate(enriched_events(events, manufacturers, cfg), cfg))
+    """Window results (typed 8 columns) for batch or streaming events.
+
+    Grouped by (window, manufacturer id) as the keyed stream jobs do; the
+    events are first restricted to known manufacturers (broadcast semi
+    join, which drops unknown ids exactly like the inner join), and name
+    and country are attached to the aggregated rows afterwards (broadcast
+    join on one row per window and manufacturer).  The shuffles and the
+    streaming state then carry no text columns.
+    """
+    dim = broadcast_if_small(manufacturers.select(*DIM_COLUMNS), cfg.broadcast_max_rows)
+    streaming = events.isStreaming
+    if streaming and cfg.delay and cfg.watermark_at == "source":
+        events = clean(events.withWatermark("event_ts", cfg.delay), cfg, guard=True)
+    else:
+        events = clean(events, cfg)
+    known = events.join(dim.select("id"), events["manufacturer_id"] == F.col("id"), "left_semi")
+    if streaming and cfg.delay and cfg.watermark_at == "enriched":
+        known = known.withWatermark("event_ts", cfg.delay)
+    agg = window_aggregate(known, cfg, ["manufacturer_id"])
+    named = agg.join(dim, agg["manufacturer_id"] == dim["id"], "inner")
+    return format_results(named)
