@@ -17,24 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.config import EngineConfig
-from skein.operators.enrich import DIM_COLUMNS, broadcast_if_small, enrich
+from skein.operators.enrich import DIM_COLUMNS, broadcast_if_small
 from skein.operators.quality import clean
 from skein.operators.windows import format_results, window_aggregate
 
 
-def enriched_events(events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Clean + enrich with the watermark placed as configured (stream only)."""
-    streaming = events.isStreaming
-    if streaming and cfg.delay and cfg.watermark_at == "source":
-        events = events.withWatermark("event_ts", cfg.delay)
-        events = clean(events, cfg, guard=True)
-        return enrich(events, manufacturers, cfg.broadcast_max_rows)
-    out = enrich(clean(events, cfg), manufacturers, cfg.broadcast_max_rows)
-    if streaming and cfg.delay:
-        out = out.withWatermark("event_ts", cfg.delay)
-    return out
-
-
 def results(events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Window results (typed 8 columns) for batch or streaming events.
 

@@ -321,14 +321,14 @@ def q_message_numbers(spark, sf_dir):
     number the messages per topic."""
     from skein.operators.results_reader import read_results
     from skein.session import fresh_path
-    from skein.streaming.sinks import changelog_rows
+    from skein.streaming.sinks import changelog_rows, write_messages
 
     root = fresh_path(spark, "topics")
     # The typed result table is written once; both topics derive from it.
     q_window("1 minute")(spark, sf_dir).write.parquet(f"{root}/results")
     res = spark.read.parquet(f"{root}/results")
-    res.select(result_json_col().alias("value")).write.parquet(f"{root}/iot_window_results")
-    changelog_rows(res, 0).select("key", "value").write.parquet(f"{root}/iot_aggregates_upsert")
+    write_messages(res.select(result_json_col().alias("value")), path=f"{root}/iot_window_results")
+    write_messages(changelog_rows(res, 0).select("key", "value"), path=f"{root}/iot_aggregates_upsert")
     return read_results(
         spark,
         {

@@ -230,3 +230,13 @@ def test_strict_decode_raises_without_ansi(spark, text):
             decode_events(raw, EngineConfig(decode="strict")).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_epoch_millis_honours_offset(spark):
+    from skein.functions.timefmt import epoch_millis
+
+    df = spark.createDataFrame([("2026-06-05T18:13:42.123456+03:00",), ("2026-06-05T18:13:42",)], "event_time string")
+    got = [r[0] for r in df.select(epoch_millis(event_ts("event_time"))).collect()]
+    expected = dt.datetime(2026, 6, 5, 15, 13, 42, 123000, tzinfo=dt.timezone.utc)
+    assert got[0] == int(expected.timestamp() * 1000)
+    assert got[1] - got[0] == 3 * 3600 * 1000 - 123
