@@ -82,7 +82,7 @@ def start_job(
     manufacturers: DataFrame,
     output: str | None = None,
     checkpoint: str | None = None,
-    trigger: str | None = "available_now",
+    trigger: str | None = None,
     replay: bool = False,
     kafka: dict | None = None,
     state_partitions: int | None = None,
@@ -96,6 +96,7 @@ def start_job(
     the same folder resumes.
     """
     cfg = JOBS[name_or_cfg] if isinstance(name_or_cfg, str) else name_or_cfg
+    trigger = trigger or cfg.trigger_interval
     if output is None or checkpoint is None:
         default_out, default_ck = run_paths(spark, cfg.name, replay=replay)
         output, checkpoint = output or default_out, checkpoint or default_ck

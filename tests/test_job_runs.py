@@ -31,6 +31,7 @@ def _start(spark, workdir, job, batches):
         start_job(
             spark, job, raw=_raw(spark, folder), manufacturers=dimension(spark),
             output=os.path.join(workdir, "out"), checkpoint=os.path.join(workdir, "ck"),
+            trigger="available_now",
         )
     )
 
@@ -84,6 +85,21 @@ def test_pure_job_fails_on_malformed_record(spark, workdir):
     job = start_job(
         spark, "pure", raw=_raw(spark, folder), manufacturers=dimension(spark),
         output=os.path.join(workdir, "out"), checkpoint=os.path.join(workdir, "ck"),
+        trigger="available_now",
     )
     with pytest.raises(Exception):
         run_to_end(job)
+
+
+def test_default_trigger_runs_continuously(spark, workdir):
+    folder = stage_files(os.path.join(workdir, "in"), LIFECYCLE[:2])
+    job = start_job(
+        spark, "bridge", raw=_raw(spark, folder), manufacturers=dimension(spark),
+        output=os.path.join(workdir, "out"), checkpoint=os.path.join(workdir, "ck"),
+    )
+    try:
+        job.query.processAllAvailable()
+        assert job.query.isActive
+        assert job.query.lastProgress["batchId"] >= 1
+    finally:
+        job.query.stop()

@@ -44,7 +44,8 @@ def test_rerun_same_checkpoint_adds_nothing(spark, workdir):
     def run():
         stream = table_event_stream(spark, f"{SF001}/events*.parquet")
         job = start_job(spark, "bridge", events=stream, manufacturers=manufacturers_seed(spark),
-                        output=os.path.join(workdir, "out"), checkpoint=os.path.join(workdir, "ck"))
+                        output=os.path.join(workdir, "out"), checkpoint=os.path.join(workdir, "ck"),
+                        trigger="available_now")
         run_to_end(job)
         return spark.read.parquet(job.output).count()
 
