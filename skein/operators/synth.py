@@ -88,23 +88,29 @@ def generate_events(
     start_ts = F.to_timestamp(F.lit(start))
     emit = emit.select("batch", (start_ts + F.make_dt_interval(secs=F.col("emit_offset").cast("decimal(18,6)"))).alias("emit_ts"))
 
-    ids = spark.range(0, n, numPartitions=parts).withColumnRenamed("id", "event_id")
+    # The events of a batch are its consecutive ids: a narrow explode of
+    # the batch table (no join of the event rows with the batch rows).
+    per_batch = F.sequence(F.lit(0).cast("long"), F.lit(events_per_batch - 1).cast("long"))
+    ids = (
+        emit.select("batch", "emit_ts", F.explode(per_batch).alias("_j"))
+        .select("batch", "emit_ts", (F.col("batch") * F.lit(events_per_batch) + F.col("_j")).alias("event_id"))
+        .filter(F.col("event_id") < F.lit(n))
+    )
     rid = F.col("event_id")
     jitter = _clamp(JITTER_STD_SEC * normal(seed, 20, rid), -JITTER_LIMIT_SEC, JITTER_LIMIT_SEC)
     temperature = F.round(TEMPERATURE_MEAN + TEMPERATURE_STD * normal(seed, 30, rid), 2)
     humidity = F.round(_clamp(HUMIDITY_MEAN + HUMIDITY_STD * normal(seed, 40, rid), 0.0, 100.0), 2)
     body = ids.select(
         "event_id",
-        (rid / F.lit(events_per_batch)).cast("long").alias("batch"),
+        "batch",
+        "emit_ts",
         F.pmod(F.xxhash64(F.lit(seed), F.lit(50), rid), F.lit(k)).alias("sensor_idx"),
         jitter.alias("jitter"),
         temperature.alias("temperature"),
         humidity.alias("humidity"),
     )
-    out = (
-        body.join(indexed, "sensor_idx")
-        .join(emit, "batch")
-        .withColumn("event_ts", F.col("emit_ts") + F.make_dt_interval(secs=F.round("jitter", 6).cast("decimal(18,6)")))
+    out = body.join(indexed, "sensor_idx").withColumn(
+        "event_ts", F.col("emit_ts") + F.make_dt_interval(secs=F.round("jitter", 6).cast("decimal(18,6)"))
     )
     out = out.select(
         "event_id",
