@@ -1,12 +1,14 @@
-"""``decode -> clean -> enrich -> watermark -> window``, batch or stream.
+"""``decode -> clean -> known manufacturers -> watermark -> window -> names``,
+batch or stream.
 
 Watermark placement follows ``cfg.watermark_at``:
 
 * ``"source"``: watermark straight after decoding, then the quality filter as
-  one guarded predicate (so it stays above the watermark node), then join.
-  Rows that are later rejected still advance the watermark.
-* ``"enriched"``: filter and join first, watermark on the enriched rows.
-  Rejected and unknown-manufacturer rows do not move event time.
+  one guarded predicate (so it stays above the watermark node), then the
+  dimension join.  Rows that are later rejected still advance the watermark.
+* ``"enriched"``: filter and dimension join first, watermark on the
+  remaining rows.  Rejected and unknown-manufacturer rows do not move event
+  time.
 
 On a batch DataFrame the watermark is a no-op and the plan is the same.
 """
@@ -38,7 +40,8 @@ def results(events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig) -> D
         events = clean(events.withWatermark("event_ts", cfg.delay), cfg, guard=True)
     else:
         events = clean(events, cfg)
-    known = events.join(dim.select("id"), events["manufacturer_id"] == F.col("id"), "left_semi")
+    ids = dim.select(F.col("id").alias("_dim_id"))
+    known = events.join(ids, events["manufacturer_id"] == ids["_dim_id"], "left_semi")
     if streaming and cfg.delay and cfg.watermark_at == "enriched":
         known = known.withWatermark("event_ts", cfg.delay)
     agg = window_aggregate(known, cfg, ["manufacturer_id"])
