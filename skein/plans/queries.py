@@ -18,14 +18,19 @@ from skein.plans import oracle as O
 from skein.plans.pipeline import results
 from skein.session import apply_engine_conf
 from skein.sources.dimensions import manufacturers_seed
-from skein.sources.events import sensor_events_from_table
+from skein.sources.events import EVENTS_TABLE_SCHEMA, sensor_events_from_table
 
 DEFAULT = EngineConfig(name="default")
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A provided table; read with its declared schema when the engine has
+    one (no schema-inference job)."""
+    reader = spark.read
+    if name == "events":
+        reader = reader.schema(EVENTS_TABLE_SCHEMA)
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def sensor_events(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
