@@ -123,6 +123,8 @@ def load_dimension(
     if columns:
         df = df.select(*columns)
     require_non_empty(df, name)
-    if mode == "snapshot":
+    # A local relation (literal rows) already carries its rows in the plan:
+    # it is a snapshot as it stands.
+    if mode == "snapshot" and not df.isLocal():
         return pin_snapshot(df, spark, name)
     return df
