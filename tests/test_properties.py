@@ -69,3 +69,46 @@ def test_window_results_match_brute_force(spark, rows):
         for r in results(df, dimension(spark), EngineConfig()).collect()
     }
     assert got == brute_force(rows)
+
+
+def test_hot_manufacturer_matches_brute_force(spark):
+    """~90% of rows on one manufacturer, spread over many input partitions."""
+    from pyspark.sql import functions as F
+
+    from skein.operators.synth import generate_events
+    from skein.schemas import SENSORS
+
+    sensors = spark.createDataFrame(
+        [(f"sensor-{i:03d}", 1) for i in range(1, 19)] + [("sensor-019", 2), ("sensor-020", 2)], SENSORS
+    )
+    gen = generate_events(spark, sensors, 6000, seed=3, partitions=12).repartition(12)
+    ev = gen.select("sensor_id", "manufacturer_id", "event_time", "event_ts", "temperature", "humidity")
+    cfg = EngineConfig(window="10 minutes")
+    got = {
+        (r.window_start, r.manufacturer_id): (r.events_count, r.avg_temperature, r.median_humidity)
+        for r in results(ev, dimension(spark), cfg).collect()
+    }
+    rows = ev.select(
+        "manufacturer_id", F.unix_micros("event_ts").alias("us"),
+        F.round(F.col("temperature") * 100).cast("long").alias("tc"),
+        F.round(F.col("humidity") * 100).cast("long").alias("hc"),
+    ).collect()
+    groups = {}
+    for r in rows:
+        if not (-5000 <= r.tc <= 8000) or not (0 <= r.hc <= 10000):
+            continue
+        start = r.us // 600_000_000 * 600
+        key = (dt.datetime.fromtimestamp(start, dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.000"), r.manufacturer_id)
+        groups.setdefault(key, []).append((r.tc, r.hc))
+    want = {}
+    for key, vals in groups.items():
+        n = len(vals)
+        hs = sorted(h for _, h in vals)
+        want[key] = (
+            n,
+            half_up(Fraction(sum(t for t, _ in vals), n)) / 100.0,
+            half_up(Fraction(hs[(n - 1) // 2] + hs[n // 2], 2)) / 100.0,
+        )
+    assert got == want
+    hot = sum(v[0] for k, v in want.items() if k[1] == 1)
+    assert hot > 0.85 * sum(v[0] for v in want.values())
