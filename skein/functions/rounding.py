@@ -1,7 +1,7 @@
 """Money-style rounding of window aggregates.
 
 Inputs carry at most two decimals, so the engine aggregates whole cents
-(exact in BIGINT) and rounds once at the end.  This makes the result
+(exact, see :func:`to_cents`) and rounds once at the end.  This makes the result
 independent of summation order, which a plain ``round(avg(x), 2)`` over
 doubles is not.
 """
@@ -19,15 +19,23 @@ def _col(c) -> Column:
 
 
 def to_cents(c, decimals: int = 2) -> Column:
-    """Value scaled to an exact integer of 10^-decimals units."""
+    """Value scaled to whole units of 10^-decimals, as an integer-valued
+    DOUBLE.
+
+    Sums of such values are exact while they stay below 2^53 units (about
+    9e13 degrees at two decimals), far past any real reading; an absurd
+    value that reaches the aggregate unfiltered (the pure job has no range
+    filter) falls back to floating-point arithmetic instead of overflowing
+    a BIGINT and failing the query.  ``+ 0.0`` turns a -0.0 into 0.0.
+    """
     scale = 10**decimals
-    return F.round(_col(c) * F.lit(float(scale))).cast("bigint")
+    return F.round(_col(c) * F.lit(float(scale))) + F.lit(0.0)
 
 
 def cents_mean(c, decimals: int = 2) -> Column:
     """Mean rounded HALF_UP to ``decimals``, from an exact integer sum."""
     scale = float(10**decimals)
-    return F.round(F.sum(to_cents(c, decimals)).cast("double") / F.count(F.lit(1)), 0) / F.lit(scale)
+    return F.round(F.sum(to_cents(c, decimals)) / F.count(F.lit(1)), 0) / F.lit(scale)
 
 
 def cents_median(c, decimals: int = 2) -> Column:

@@ -49,7 +49,7 @@ def _percentile_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: li
         F.sum(to_cents("temperature")).alias("_tsum"),
         F.percentile(to_cents("humidity"), F.lit(0.5)).alias("_med"),
     )
-    return out, F.col("_tsum").cast("double") / F.col("events_count"), F.col("_med")
+    return out, F.col("_tsum") / F.col("events_count"), F.col("_med")
 
 
 def _histogram_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str]):
@@ -81,7 +81,7 @@ def _histogram_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: lis
         F.sum("_ts").alias("_tsum"),
         F.percentile(F.col("_hc"), F.lit(0.5), F.col("_c")).alias("_med"),
     )
-    return out, F.col("_tsum").cast("double") / F.col("events_count"), F.col("_med")
+    return out, F.col("_tsum") / F.col("events_count"), F.col("_med")
 
 
 def format_results(agg: DataFrame) -> DataFrame:

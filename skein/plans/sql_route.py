@@ -66,7 +66,8 @@ def create_enriched_view(spark: SparkSession, cfg: EngineConfig, broadcast: bool
 
 
 def window_results_sql(cfg: EngineConfig, source: str = "enriched_iot_events", chained: bool = True) -> str:
-    """Tumbling-window aggregate in SQL, exact-cents rounding (HALF_UP).
+    """Tumbling-window aggregate in SQL, exact-cents rounding (HALF_UP; cents
+    as integer-valued doubles, see :func:`skein.functions.rounding.to_cents`).
 
     ``chained`` (batch, append-mode streams): the two-step histogram route
     of :mod:`skein.operators.windows`, bounded work per group under skew.
@@ -78,17 +79,17 @@ def window_results_sql(cfg: EngineConfig, source: str = "enriched_iot_events", c
                date_format(window.end, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_end,
                manufacturer_id, manufacturer_name, country,
                count(*) AS events_count,
-               round(CAST(sum(CAST(round(temperature * 100D) AS BIGINT)) AS DOUBLE) / count(*), 0) / 100D AS avg_temperature,
-               round(percentile(CAST(round(humidity * 100D) AS BIGINT), 0.5D), 0) / 100D AS median_humidity
+               round(sum(round(temperature * 100D) + 0D) / count(*), 0) / 100D AS avg_temperature,
+               round(percentile(round(humidity * 100D) + 0D, 0.5D), 0) / 100D AS median_humidity
         FROM {source}
         GROUP BY window(event_ts, '{cfg.window}'), manufacturer_id, manufacturer_name, country
     """
     return f"""
         WITH hist AS (
             SELECT window(event_ts, '{cfg.window}') AS w, manufacturer_id, manufacturer_name, country,
-                   CAST(round(humidity * 100D) AS BIGINT) AS hc,
+                   round(humidity * 100D) + 0D AS hc,
                    count(*) AS c,
-                   sum(CAST(round(temperature * 100D) AS BIGINT)) AS tc
+                   sum(round(temperature * 100D) + 0D) AS tc
             FROM {source}
             GROUP BY 1, 2, 3, 4, 5
         )

@@ -103,3 +103,13 @@ def test_default_trigger_runs_continuously(spark, workdir):
         assert job.query.lastProgress["batchId"] >= 1
     finally:
         job.query.stop()
+
+
+def test_pure_job_survives_extreme_values(spark, workdir):
+    """No range filter in the pure job: an absurd but valid reading is
+    aggregated (float arithmetic) instead of failing the stream."""
+    rows = [[event(1, "18:13:10", temp=1e300), event(1, "18:13:20", temp=20.0), event(1, "18:20:00")]]
+    job = _start(spark, workdir, "pure", rows)
+    got = [json.loads(r.value) for r in spark.read.parquet(job.output).collect()]
+    assert len(got) == 1 and got[0]["events_count"] == 2
+    assert got[0]["avg_temperature"] > 1e299
