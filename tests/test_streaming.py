@@ -126,3 +126,16 @@ def test_append_needs_delay():
 
     with pytest.raises(ValueError):
         EngineConfig(delay=None, output="append")
+
+
+def test_sql_route_append_stream_matches_dataframe_route(spark, workdir):
+    from skein.plans.sql_route import sql_results
+
+    folder = stage_files(os.path.join(workdir, "in"), LIFECYCLE)
+    cfg = SOURCE_WM
+    res = sql_results(spark, _stream(spark, folder, cfg), dimension(spark), cfg)
+    _, seen = collect_batches(res, os.path.join(workdir, "ck"))
+    assert {b: rows for b, rows in seen.items() if rows} == {
+        4: [("18:13", 1, 4, 20.0, 55.0), ("18:13", 2, 1, 20.0, 50.0)],
+        6: [("18:14", 1, 2, 20.0, 50.0)],
+    }
