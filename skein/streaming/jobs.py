@@ -14,13 +14,12 @@ pure           raw strings, strict parse, no quality filter, snapshot
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-import uuid
-
 from skein.config import JOBS, OUTPUTS, EngineConfig
 from skein.plans.pipeline import results
 from skein.plans.sql_route import (
