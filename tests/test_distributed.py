@@ -81,3 +81,14 @@ def test_generator_properties(spark):
     assert min(gaps) >= 500_000
     assert abs(sum(gaps) / len(gaps) / 1e6 - 5.0) < 0.3
     assert math.isclose(len(emit), 800)
+
+
+def test_reader_skips_tombstones(spark, workdir):
+    spark.createDataFrame([("k1", '{"a":1}'), ("k2", None), ("k3", '{"a":3}')], "key string, value string").coalesce(1).write.parquet(
+        f"{workdir}/upserts"
+    )
+    got = read_results(spark, {"iot_aggregates_upsert": f"{workdir}/upserts"})
+    assert [(r.value, r.topic_message_number, r.offset) for r in got.orderBy("offset").collect()] == [
+        ('{"a":1}', 1, 0),
+        ('{"a":3}', 2, 2),
+    ]
