@@ -183,3 +183,8 @@ def long_lists(parts: list[np.ndarray], kind: pa.DataType | None = None) -> pa.A
     np.cumsum([len(p) for p in parts], out=ends[1:])
     flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64) if flat.dtype == np.uint64 else flat, type=kind))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
