@@ -13,8 +13,9 @@ the join prunes by the triangle inequality at each level:
    (Between unrelated texts the plain Jaccard distance is close to 1, so
    document pivots alone have windows that hold everything; measured, see
    README.)
-3. *Documents.*  In each region one set is the pivot, and the exact distance of
-   all others from it is computed.  Sets within the radius are linked to it and
+3. *Documents.*  In each region the set with the least hash is the pivot; regions
+   with the same pivot are joined, and the exact distance of all their other
+   sets from it is computed.  Sets within the radius are linked to it and
    need no comparison with each other.  The others, with the linked ones as
    far as needed, fall into Voronoi rings as wide as the radius around the
    pivot; a ring's cell gets the next ring replicated as its boundary, for
@@ -232,13 +233,7 @@ def _rings(members: DataFrame, near: DataFrame, num: int, den: int) -> DataFrame
     ring = F.floor(F.lit(den) * (F.col("either") - F.col("both")) / (F.lit(den - num) * F.col("either")))
     rows = members.where("fp != pivot").join(near, ["pivot", "fp"])
     linked = F.lit(den) * F.col("both") >= F.lit(num) * F.col("either")
-    rows = rows.select("region", "pivot", "fp", ring.alias("ring"), linked.alias("linked"))
-    # Regions with the same members, whatever their signature, are one.
-    sums = rows.groupBy("region").agg(
-        F.first("pivot").alias("p"), F.count("*").alias("n"), F.expr("bit_xor(xxhash64(fp))").alias("h"), F.sum((~F.col("linked")).cast("int")).alias("open")
-    )
-    one = sums.where("n > 1 and open > 0").groupBy("p", "n", "h").agg(F.min("region").alias("region")).select("region")
-    rows = rows.join(one, "region")
+    rows = rows.select("region", "fp", ring.alias("ring"), linked.alias("linked"))
     # A ring is its own cell's primary part and the boundary of the cell below.
     cells = rows.select(
         "region", "fp", "linked", "ring", F.explode(F.when(F.col("ring") > 0, F.array(F.col("ring"), F.col("ring") - 1)).otherwise(F.array("ring"))).alias("cell")
@@ -272,7 +267,9 @@ def linked_sets(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, c
     reps = some.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
     parts = classes.select("fp", F.explode("sigs").alias("region"))
     pivots = parts.groupBy("region").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last")).where("pivot != last").drop("last")
-    members = stored(parts.join(pivots, "region").select("region", "fp", "pivot"), "regions")
+    # Regions with the same pivot set become one: a pair that shares several parts is then compared once.
+    members = parts.join(pivots, "region").select(F.col("pivot").alias("region"), "pivot", "fp").distinct()
+    members = stored(members, "regions")
     wanted = members.select("fp").distinct().join(reps, "fp")
     sets = stored(contents(docs, wanted, size).dropDuplicates(["fp"]), "sets")
     close = F.lit(den) * F.col("both") >= F.lit(num) * F.col("either")
@@ -289,7 +286,7 @@ def linked_sets(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, c
         # Large cells choose new pivots among the sets without a link to the old one.
         cells = cells.where(big).select("region", "fp", "linked")
         pivots = cells.groupBy("region").agg(F.min(F.when(~F.col("linked"), F.col("fp"))).alias("pivot"))
-        members = stored(cells.join(pivots, "region").select("region", "fp", "pivot"), "regions")
+        members = stored(cells.join(pivots, "region").select("region", "pivot", "fp"), "regions")
     found = links[0]
     for more in links[1:]:
         found = found.unionByName(more)
