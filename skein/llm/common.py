@@ -188,3 +188,11 @@ def long_lists(parts: list[np.ndarray], kind: pa.DataType | None = None) -> pa.A
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def filtered(docs: DataFrame, work: Callable[[DataFrame], DataFrame], results: list[str]) -> DataFrame:
+    """``work(docs)``, a filter by result columns, with the columns of ``docs`` alone; a column that has a
+    result's name is kept as it was."""
+    own = {c: f"_own_{c}" for c in docs.columns if c in results}
+    done = work(docs.withColumnsRenamed(own))
+    return done.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])

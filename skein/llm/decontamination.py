@@ -12,7 +12,8 @@ none, is one window of its own length.
 Defined results: a null or empty text has no words and no hits; an item with
 a null id or null text is left out; a repeated item counts once per id;
 repeated documents each get their row; with an empty benchmark nothing is hit.
-Result columns replace input columns of the same name.
+The report's and ``find_hits``' columns replace input columns of the same name;
+``remove_hits`` leaves all columns but the text as they were.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import ALNUM, LOWER, append, chunks, utf8, window_hashes, word_hashes, words
+from skein.llm.common import ALNUM, LOWER, append, chunks, filtered, utf8, window_hashes, word_hashes, words
 
 SIZE = 10
 BLOCK_BYTES = 16 << 20
@@ -168,12 +169,15 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, max_share: float = 0.5, t
 
     The cut runs from the first byte of a run's first word to the last byte of its last one.
     """
-    columns = docs.columns
-    found = find_hits(docs, benchmark, text=text, **options)
-    clean = append(found, [text, "n_words", "hit_runs"], lambda: _cut(max_share), [T.StructField("_cut", T.StringType())])
-    hit = F.size("hit_runs") > 0
-    clean = clean.where(~hit | F.col("_cut").isNotNull())
-    return clean.select(*[F.when(hit, F.col("_cut")).otherwise(F.col(f"`{text}`")).alias(text) if c == text else F.col(f"`{c}`") for c in columns])
+
+    def work(rows: DataFrame) -> DataFrame:
+        found = find_hits(rows, benchmark, text=text, **options)
+        clean = append(found, [text, "n_words", "hit_runs"], lambda: _cut(max_share), [T.StructField("_cut", T.StringType())])
+        hit = F.size("hit_runs") > 0
+        clean = clean.where(~hit | F.col("_cut").isNotNull())
+        return clean.withColumn(text, F.when(hit, F.col("_cut")).otherwise(F.col(f"`{text}`")))
+
+    return filtered(docs, work, [f.name for f in FIELDS])
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

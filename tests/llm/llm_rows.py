@@ -1,0 +1,36 @@
+"""Odd documents that the tests of all operators use."""
+
+import pytest
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+LONG = " ".join(f"word{i % 997} und{i % 13}" for i in range(20000))
+
+#: (doc_id, text, lang, source, n_chars): nulls in every column, empty and long texts, equal rows.
+ODD = [
+    (None, "a text without an id", "en", "a", 20),
+    (None, None, None, None, None),
+    (1, None, "en", "a", 0),
+    (2, "", "en", None, 0),
+    (3, " \t\n\r\v\f ", None, "b", 7),
+    (4, LONG, "de", "b", len(LONG)),
+    (5, "Same words here twice over.\nSame words here twice over.", "en", "a", 55),
+    (5, "Same words here twice over.\nSame words here twice over.", "en", "a", 55),
+    (6, "Same words here twice over.\nSame words here twice over.", "en", None, 55),
+    (7, "Été naïve \U0001d11e 漢字 ▁ ### 4311575929938279 (584) 555-6753 idiot", "fr", "b", 50),
+    (8, "x", "en", "a", 1),
+]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Odd documents, with further columns named as results of operators are."""
+    rows = [(*r, 0.5, "s", 3, 4, False, [1]) for r in ODD]
+    return spark.createDataFrame(rows, SCHEMA + ", score double, shard string, slot int, n_words long, kept boolean, items array<int>").repartition(3)
+
+
+@pytest.fixture(scope="session")
+def none(odd):
+    return odd.limit(0)
