@@ -38,6 +38,8 @@ class EngineConfig:
                     "binary_half_even": Python-style rounding of the double.
     dimension       "snapshot": the dimension is read once and pinned;
                     "refresh": re-read every micro-batch.
+    bytes_per_trigger  most input bytes (whole files) of a micro-batch of a
+                    file stream.
     output          "append": one row per closed window;
                     "update": changelog with one version per changed key.
     """
@@ -55,7 +57,7 @@ class EngineConfig:
     output: str = "append"
     emit: str = "row"  # "row" (typed columns) or "json" (one string per result)
     trigger_interval: str = TRIGGER_INTERVAL
-    broadcast_max_rows: int = 200_000
+    bytes_per_trigger: int = 64 << 30
     name: str = "custom"
 
     def __post_init__(self) -> None:

@@ -1,9 +1,11 @@
-"""Money-style rounding of window aggregates.
-
-Inputs carry at most two decimals, so the engine aggregates whole cents
-(exact, see :func:`to_cents`) and rounds once at the end.  This makes the result
-independent of summation order, which a plain ``round(avg(x), 2)`` over
-doubles is not.
+"""Rounding of window aggregates: readings are aggregated as sent, and the result is rounded once.
+
+A mean must not depend on the order of summation, which a sum of doubles
+does.  So temperatures are summed as whole units of 10^-``VALUE_SCALE`` (an
+exact decimal; digits beyond that scale are rounded, which is documented and
+far below any sensor's precision), and the quotient is rounded HALF_UP to two
+decimals with whole numbers only.  The median is taken from the readings
+themselves and rounded HALF_UP through a decimal, so that 0.015 means 0.015.
 """
 
 from __future__ import annotations
@@ -13,39 +15,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Decimals of a temperature that enter the mean, and those of a result.
+VALUE_SCALE = 6
+RESULT_SCALE = 2
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
+#: SQL of a reading in whole units; null for readings of 10^15 and more, and for NaN.
+UNITS_SQL = f"CAST(try_cast({{0}} AS DECIMAL(21,{VALUE_SCALE})) * {10**VALUE_SCALE} AS DECIMAL(24,0))"
 
-def to_cents(c, decimals: int = 2) -> Column:
-    """Value scaled to whole units of 10^-decimals, as an integer-valued
-    DOUBLE.
+#: SQL of the mean of ``n`` readings with ``units`` units in all, of which ``wild`` have no units: those
+#: absurd readings, which only an unfiltered job meets, fall back to the sum of doubles ``total``.
+MEAN_SQL = (
+    "CASE WHEN wild > 0 THEN round(total / n, {r}) ELSE sign(units) * CAST((2 * abs(units) + n * {d}) div (2 * n * {d}) AS DOUBLE) / {c}D END"
+).format(r=RESULT_SCALE, d=10 ** (VALUE_SCALE - RESULT_SCALE), c=10**RESULT_SCALE)
 
-    Sums of such values are exact while they stay below 2^53 units (about
-    9e13 degrees at two decimals), far past any real reading; an absurd
-    value that reaches the aggregate unfiltered (the pure job has no range
-    filter) falls back to floating-point arithmetic instead of overflowing
-    a BIGINT and failing the query.  ``+ 0.0`` turns a -0.0 into 0.0.
-    """
-    scale = 10**decimals
-    return F.round(_col(c) * F.lit(float(scale))) + F.lit(0.0)
+#: SQL of the rounded median ``med``.
+MEDIAN_SQL = f"coalesce(CAST(round(try_cast(med AS DECIMAL(38,{VALUE_SCALE + 1})), {RESULT_SCALE}) AS DOUBLE), round(med, {RESULT_SCALE}))"
 
 
-def cents_mean(c, decimals: int = 2) -> Column:
-    """Mean rounded HALF_UP to ``decimals``, from an exact integer sum."""
-    scale = float(10**decimals)
-    return F.round(F.sum(to_cents(c, decimals)) / F.count(F.lit(1)), 0) / F.lit(scale)
-
+def _col(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
-def cents_median(c, decimals: int = 2) -> Column:
-    """Exact (interpolating) median rounded HALF_UP to ``decimals``.
 
-    ``percentile`` keeps a value -> count map per group; on integer cents of a
-    range-checked column the map is bounded by the number of distinct cents.
-    """
-    scale = float(10**decimals)
-    return F.round(F.percentile(to_cents(c, decimals), F.lit(0.5)), 0) / F.lit(scale)
+def to_units(name: str) -> Column:
+    return F.expr(UNITS_SQL.format(name))
 
 
 @F.pandas_udf(T.DoubleType())

@@ -54,7 +54,3 @@ def event_time_wire(ts="event_ts") -> Column:
 def window_text(bound) -> Column:
     """Window bound -> ``yyyy-MM-dd HH:mm:ss.SSS`` (a plain cast drops ``.000``)."""
     return F.date_format(_col(bound), WINDOW_TEXT_FORMAT)
-
-
-def epoch_millis(ts="event_ts") -> Column:
-    return F.unix_millis(_col(ts))

@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.operators.enrich import broadcast_if_small
 from skein.session import fresh_path
 
 # Column length limits of the original schema.
@@ -21,16 +20,17 @@ LENGTH_LIMITS = {
     "manufacturers": {"manufacturer_name": 128, "country": 64},
     "sensors": {"sensor_id": 64},
 }
-MAX_DIM_ROWS = 1_000_000
 
 
 def upsert_dimension(base: DataFrame, updates: DataFrame, key: list[str]) -> DataFrame:
     """Rows of ``updates`` replace rows of ``base`` with the same key; new
     keys are inserted; other base rows are kept.  Re-running with the same
-    updates gives the same table."""
-    updates = updates.select(*base.columns)
-    kept = base.join(broadcast_if_small(updates.select(*key), MAX_DIM_ROWS), key, "left_anti")
-    return kept.unionByName(updates)
+    updates gives the same table.  One full join: the updates, which may
+    come from a scan of all events, are computed once."""
+    new = updates.select(*[F.col(c).alias(f"_new_{c}") for c in base.columns], F.lit(True).alias("_new"))
+    same = [base[c] == new[f"_new_{c}"] for c in key]
+    both = base.join(new, same, "full_outer")
+    return both.select(*[F.when(F.col("_new"), F.col(f"_new_{c}")).otherwise(base[c]).alias(c) for c in base.columns])
 
 
 def write_version(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -68,7 +68,7 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
 
 def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose (non-null) foreign key has no parent row."""
-    parent_keys = broadcast_if_small(parent.select(F.col(pk).alias(fk)).distinct(), MAX_DIM_ROWS)
+    parent_keys = parent.select(F.col(pk).alias(fk)).distinct()
     return child.filter(F.col(fk).isNotNull()).join(parent_keys, fk, "left_anti")
 
 

@@ -3,42 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from skein.schemas import ENRICHED_COLUMNS
 
 DIM_COLUMNS = ["id", "manufacturer_name", "country"]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the
-    join is left to the planner (sort-merge, or AQE's runtime choice).
-    """
-    probe = df.limit(max_rows + 1)
-    # A local relation (literal rows in the plan) is counted on the driver
-    # without scheduling a job; anything else by a bounded count job.
-    n = len(probe.collect()) if df.isLocal() else probe.count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def enrich(events: DataFrame, manufacturers: DataFrame, max_rows: int = 1_000_000, keep: list[str] | None = None) -> DataFrame:
+def enrich(events: DataFrame, manufacturers: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Inner equi-join ``manufacturer_id = id``; unknown manufacturers drop out.
 
-    The dimension side is broadcast after its size check, so the (large)
-    event side is never shuffled for the join; on a stream this is a
-    stateless stream-static join.
+    The planner broadcasts a dimension whose bytes are known to be few
+    (literal rows, a pinned copy), so the large event side isn't shuffled;
+    otherwise AQE decides by what it measures.  No extra job looks at the
+    size.  On a stream this is a stateless stream-static join.
     """
-    dim = broadcast_if_small(manufacturers.select(*DIM_COLUMNS), max_rows)
+    dim = manufacturers.select(*DIM_COLUMNS)
     joined = events.join(dim, events["manufacturer_id"] == dim["id"], "inner")
     cols = [c for c in ENRICHED_COLUMNS if c in joined.columns]
     return joined.select(*(keep or []), *cols)
 
 
-def unknown_manufacturer(events: DataFrame, manufacturers: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+def unknown_manufacturer(events: DataFrame, manufacturers: DataFrame) -> DataFrame:
     """Events whose manufacturer id has no dimension row (dropped by ``enrich``)."""
-    dim = broadcast_if_small(manufacturers.select("id"), max_rows)
+    dim = manufacturers.select("id")
     return events.join(dim, events["manufacturer_id"] == dim["id"], "left_anti")

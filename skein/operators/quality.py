@@ -10,17 +10,19 @@ from skein.config import EngineConfig
 REQUIRED = ["sensor_id", "manufacturer_id", "event_time", "temperature", "humidity"]
 
 
-def _rules(cfg: EngineConfig, time_col: str = "event_ts") -> list[tuple[str, Column]]:
-    """(reason, predicate that must hold), in reporting order."""
-    t_lo, t_hi = cfg.temperature_range
-    h_lo, h_hi = cfg.humidity_range
-    rules = [(f"null_{c}", F.col(c).isNotNull()) for c in REQUIRED]
-    rules.append((f"null_{time_col}", F.col(time_col).isNotNull()))
-    rules.append(("temperature_out_of_range", F.col("temperature").between(t_lo, t_hi)))
-    rules.append(("humidity_out_of_range", F.col("humidity").between(h_lo, h_hi)))
+def rules_sql(cfg: EngineConfig, time_col: str = "event_ts") -> dict[str, str]:
+    """Reason -> SQL of the predicate that must hold, in reporting order."""
+    (t_lo, t_hi), (h_lo, h_hi) = cfg.temperature_range, cfg.humidity_range
+    rules = {f"null_{c}": f"{c} IS NOT NULL" for c in [*REQUIRED, time_col]}
+    rules["temperature_out_of_range"] = f"temperature BETWEEN {t_lo!r}D AND {t_hi!r}D"
+    rules["humidity_out_of_range"] = f"humidity BETWEEN {h_lo!r}D AND {h_hi!r}D"
     return rules
 
 
+def _rules(cfg: EngineConfig, time_col: str = "event_ts") -> list[tuple[str, Column]]:
+    return [(reason, F.expr(sql)) for reason, sql in rules_sql(cfg, time_col).items()]
+
+
 # Evaluation order of the filter: cheap and selective tests first (the
 # conjunction short-circuits), text-column null tests last.
 _EVAL_ORDER = [
@@ -35,13 +37,13 @@ _EVAL_ORDER = [
 ]
 
 
+def quality_sql(cfg: EngineConfig, time_col: str = "event_ts") -> str:
+    rules = rules_sql(cfg, time_col)
+    return " AND ".join(f"({rules[r.replace('null_event_ts', f'null_{time_col}')]})" for r in _EVAL_ORDER)
+
+
 def quality_predicate(cfg: EngineConfig, time_col: str = "event_ts") -> Column:
-    rules = dict(_rules(cfg, time_col))
-    order = [r.replace("null_event_ts", f"null_{time_col}") for r in _EVAL_ORDER]
-    pred = None
-    for name in order:
-        pred = rules[name] if pred is None else pred & rules[name]
-    return pred
+    return F.expr(quality_sql(cfg, time_col))
 
 
 def guarded(pred: Column, time_col: str = "event_ts") -> Column:

@@ -1,8 +1,9 @@
 """Reading published outputs back, as a consumer of the result topics would.
 
 A file-backed topic is a folder of parquet files with a ``value`` column
-(JSON text).  Its "partition" is the file and the "offset" the row index
-inside the file (the ``_metadata`` columns of the parquet source).  Kafka
+(JSON text).  Its "partition" is the number in the part file's name and the
+"offset" the row index inside the file (the ``_metadata`` columns of the
+parquet source).  Kafka
 topics, when the connector is present, give the same columns natively.
 """
 
@@ -10,11 +11,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skein.operators.running import running_total
-from skein.schemas import CONSUMED_MESSAGE
+from skein.schemas import CONSUMED_MESSAGE, UPSERT_KEY
+from skein.session import fresh_path
 
 
 def read_topics(spark: SparkSession, topics: dict[str, str], *, kafka: dict | None = None) -> DataFrame:
@@ -35,7 +36,7 @@ def read_topics(spark: SparkSession, topics: dict[str, str], *, kafka: dict | No
         )
         msgs = raw.select(
             "topic",
-            F.col("partition").cast("string").alias("partition"),
+            "partition",
             "offset",
             F.col("value").cast("string").alias("value"),
         )
@@ -43,7 +44,7 @@ def read_topics(spark: SparkSession, topics: dict[str, str], *, kafka: dict | No
         parts = [
             spark.read.parquet(path).select(
                 F.lit(name).alias("topic"),
-                F.col("_metadata.file_name").alias("partition"),
+                F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).try_cast("int").alias("partition"),
                 F.col("_metadata.row_index").alias("offset"),
                 F.col("value").cast("string").alias("value"),
             )
@@ -53,15 +54,31 @@ def read_topics(spark: SparkSession, topics: dict[str, str], *, kafka: dict | No
     return msgs.filter(F.col("value").isNotNull())
 
 
-def number_messages(msgs: DataFrame) -> DataFrame:
-    """Add ``topic_message_number`` (1, 2, ... per topic in partition,
-    offset order), computed without gathering a topic into one task."""
-    out = running_total(msgs, ["partition", "offset"], F.lit(1).cast("long"), "topic_message_number", group_cols=["topic"])
+def number_messages(msgs: DataFrame, key: list[str]) -> DataFrame:
+    """Add ``topic_message_number``: 1, 2, ... per topic in the order of the
+    natural ``key`` (JSON fields of the value), then of the value, so equal
+    contents are numbered alike however they were written.
+
+    One range shuffle; each sorted range is stored with a running id, and its
+    topics' counts (one row per range and topic) give the numbers to add.
+    """
+    spark = msgs.sparkSession
+    names = [f"_k{i}" for i in range(len(key))]
+    rows = msgs.select("*", F.json_tuple("value", *key).alias(*names))
+    order = ["topic", *names, "value"]
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order, "partition", "offset")
+    path = fresh_path(spark, "numbered")
+    ranged.drop(*names).withColumns({"_part": F.spark_partition_id(), "_id": F.monotonically_increasing_id()}).write.parquet(path)
+    stored = spark.read.parquet(path)
+    counts = stored.groupBy("topic", "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy("topic").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    start = counts.select("topic", "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_add"))
+    out = stored.join(start, ["topic", "_part"]).withColumn("topic_message_number", F.col("_id") + F.col("_add"))
     return out.to(CONSUMED_MESSAGE)
 
 
 def read_results(spark: SparkSession, topics: dict[str, str], kafka: dict | None = None) -> DataFrame:
-    return number_messages(read_topics(spark, topics, kafka=kafka))
+    return number_messages(read_topics(spark, topics, kafka=kafka), UPSERT_KEY)
 
 
 def dedupe_results(msgs: DataFrame, key: list[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.config import EngineConfig
-from skein.functions.rounding import binary_half_even, to_cents
+from skein.functions.rounding import MEAN_SQL, MEDIAN_SQL, VALUE_SCALE, binary_half_even, to_units
 from skein.functions.timefmt import window_text
 from skein.schemas import RESULT_COLUMNS
 
@@ -24,64 +24,61 @@ def window_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[st
     Batch input and append-mode streams take the two-step histogram route;
     update-mode streams one ``percentile`` aggregate (Structured Streaming
     chains stateful aggregations in append mode only).  Both give the exact
-    median.
+    median of the readings as sent.
     """
     group_cols = group_cols or GROUP_COLUMNS
     if enriched.isStreaming and cfg.output == "update":
-        out, mean, median = _percentile_aggregate(enriched, cfg, group_cols)
+        out = _percentile_aggregate(enriched, cfg, group_cols)
     else:
-        out, mean, median = _histogram_aggregate(enriched, cfg, group_cols)
-    avg, med = _rounded(cfg, mean, median)
-    return out.select("window", *group_cols, "events_count", avg.alias("avg_temperature"), med.alias("median_humidity"))
+        out = _histogram_aggregate(enriched, cfg, group_cols)
+    if cfg.rounding == "half_up":
+        avg, med = F.expr(MEAN_SQL), F.expr(MEDIAN_SQL)
+    else:
+        exact = F.col("units").cast("double") / F.lit(float(10**VALUE_SCALE))
+        avg = binary_half_even(F.when(F.col("wild") > 0, F.col("total")).otherwise(exact) / F.col("n"))
+        med = binary_half_even("med")
+    return out.select("window", *group_cols, F.col("n").alias("events_count"), avg.alias("avg_temperature"), med.alias("median_humidity"))
 
 
-def _rounded(cfg: EngineConfig, mean_cents: Column, median_cents: Column) -> tuple[Column, Column]:
-    """HALF_UP on exact cents, or Python-style rounding of the double."""
-    if cfg.rounding == "half_up":
-        return F.round(mean_cents, 0) / F.lit(100.0), F.round(median_cents, 0) / F.lit(100.0)
-    return binary_half_even(mean_cents / F.lit(100.0)), binary_half_even(median_cents / F.lit(100.0))
+def _sums() -> list[Column]:
+    """Rows, exact units, their plain sum, and readings without units."""
+    units = to_units("temperature")
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(units), F.lit(0).cast("decimal(24,0)")).alias("units"),
+        F.sum("temperature").alias("total"),
+        F.count_if(units.isNull()).alias("wild"),
+    ]
 
 
-def _percentile_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str]):
+def _percentile_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str]) -> DataFrame:
     w = F.window("event_ts", cfg.window).alias("window")
-    out = enriched.groupBy(w, *group_cols).agg(
-        F.count(F.lit(1)).alias("events_count"),
-        F.sum(to_cents("temperature")).alias("_tsum"),
-        F.percentile(to_cents("humidity"), F.lit(0.5)).alias("_med"),
-    )
-    return out, F.col("_tsum") / F.col("events_count"), F.col("_med")
+    return enriched.groupBy(w, *group_cols).agg(*_sums(), F.percentile("humidity", F.lit(0.5)).alias("med"))
 
 
-def _histogram_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str]):
-    """Exact median from a per-group histogram of humidity cents.
+def _histogram_aggregate(enriched: DataFrame, cfg: EngineConfig, group_cols: list[str]) -> DataFrame:
+    """Exact median from a per-group histogram of the humidity readings.
 
-    1. count rows (and sum temperature cents) per (window, group, humidity
-       cents), with partial aggregation before the shuffle; the shuffle key
-       includes the humidity value, so even a group holding a third of all
-       rows spreads over many reducers;
+    1. count rows (and sum temperatures) per (window, group, humidity), with
+       partial aggregation before the shuffle; the shuffle key includes the
+       humidity value, so even a group holding a third of all rows spreads
+       over many reducers;
     2. per group, ``percentile(value, 0.5, count)`` over the histogram.
-       After step 1 every humidity value of a group sits in exactly one
-       task, so a group's merged value map holds at most one entry per
-       distinct cents value (10,001 for the checked 0..100 range), however
-       many map tasks or rows there were.
+       After step 1 every value of a group sits in exactly one task, so a
+       group's merged value map holds one entry per different reading,
+       however many map tasks or rows there were: 10^4 for a sensor range of
+       0..100 with two decimals, 10^6 with four.
     """
     keys = ["window", *group_cols]
-    hist = (
-        enriched.select(
-            F.window("event_ts", cfg.window).alias("window"),
-            *group_cols,
-            to_cents("temperature").alias("_tc"),
-            to_cents("humidity").alias("_hc"),
-        )
-        .groupBy(*keys, "_hc")
-        .agg(F.count(F.lit(1)).alias("_c"), F.sum("_tc").alias("_ts"))
+    rows = enriched.select(F.window("event_ts", cfg.window).alias("window"), *group_cols, "temperature", (F.col("humidity") + F.lit(0.0)).alias("h"))
+    hist = rows.groupBy(*keys, "h").agg(*_sums())
+    return hist.groupBy(*keys).agg(
+        F.percentile(F.col("h"), F.lit(0.5), F.col("n")).alias("med"),
+        F.sum("n").alias("n"),
+        F.sum("units").cast("decimal(38,0)").alias("units"),
+        F.sum("total").alias("total"),
+        F.sum("wild").alias("wild"),
     )
-    out = hist.groupBy(*keys).agg(
-        F.sum("_c").alias("events_count"),
-        F.sum("_ts").alias("_tsum"),
-        F.percentile(F.col("_hc"), F.lit(0.5), F.col("_c")).alias("_med"),
-    )
-    return out, F.col("_tsum") / F.col("events_count"), F.col("_med")
 
 
 def format_results(agg: DataFrame) -> DataFrame:
@@ -91,10 +88,3 @@ def format_results(agg: DataFrame) -> DataFrame:
         window_text("window.end").alias("window_end"),
         *[c for c in RESULT_COLUMNS[2:]],
     )
-
-
-def window_results(enriched: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """``window_start, window_end, manufacturer_id, manufacturer_name, country,
-    events_count, avg_temperature, median_humidity``; no row for an empty
-    group."""
-    return format_results(window_aggregate(enriched, cfg))

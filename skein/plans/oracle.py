@@ -2,8 +2,7 @@
 
 Tables are the pre-registered views over the parquet files.  The common
 table expressions restate the table -> sensor-event mapping and the
-manufacturer rows in SQL; aggregates use the same exact-cents arithmetic as
-the engine.
+manufacturer rows in SQL; aggregates work on the raw readings.
 """
 
 from __future__ import annotations
@@ -60,28 +59,69 @@ def with_ctes(*ctes: str) -> str:
 
 BASE = with_ctes(MANUFACTURERS_CTE, EVENTS_CTE, CLEAN_CTE, ENRICHED_CTE)
 
+FINE_CTE = """fine AS (
+  SELECT * REPLACE (temperature + (event_id % 97) / 10000.0 AS temperature, humidity + (event_id % 89) / 10000.0 AS humidity) FROM ev)"""
+FINE_BASE = with_ctes(
+    MANUFACTURERS_CTE, EVENTS_CTE, FINE_CTE, CLEAN_CTE.replace("FROM ev", "FROM fine"), ENRICHED_CTE
+)
+
+
+# The dirty records, written and parsed again with DuckDB's own functions.
+DIRTY_CTES = r"""wire AS (
+  SELECT event_id, event_id % 12 AS k,
+    strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') AS t, CAST(manufacturer_id AS VARCHAR) AS mid,
+    CASE WHEN temperature IS NULL THEN NULL ELSE CAST(to_json(temperature) AS VARCHAR) END AS heat,
+    CASE WHEN humidity IS NULL THEN NULL ELSE CAST(to_json(humidity) AS VARCHAR) END AS wet, sensor_id FROM ev),
+record AS (
+  SELECT event_id, CASE WHEN k = 7 THEN substr(w, 1, 40) WHEN k = 11 THEN 'not a record' ELSE w END AS v FROM (
+    SELECT event_id, k, '{"sensor_id":' || CASE WHEN k = 10 THEN 'null' ELSE '"' || sensor_id || '"' END
+      || ',"manufacturer_id":' || CASE k WHEN 1 THEN '"' || mid || '"' WHEN 3 THEN '70000' WHEN 8 THEN mid || '.9' ELSE mid END
+      || ',"event_time":"' || CASE k WHEN 4 THEN t || '+03:00' WHEN 5 THEN t WHEN 6 THEN substr(t, 1, 19) || '+00:00' ELSE t || '+00:00' END || '"'
+      || CASE k WHEN 2 THEN '' WHEN 1 THEN ',"temperature":"' || heat || '"' WHEN 9 THEN ',"temperature":"warm"' ELSE ',"temperature":' || heat END
+      || ',"humidity":' || wet || '}' AS w FROM wire)),
+field AS (
+  SELECT event_id, v, CASE WHEN json_valid(v) THEN v END AS j FROM record),
+dirty AS (
+  SELECT event_id, v, json_extract_string(j, '$.sensor_id') AS sensor_id,
+    CASE WHEN regexp_full_match(json_extract_string(j, '$.manufacturer_id'), '-?\d+') THEN TRY_CAST(json_extract_string(j, '$.manufacturer_id') AS SMALLINT) END AS manufacturer_id,
+    json_extract_string(j, '$.event_time') AS event_time,
+    TRY_CAST(json_extract_string(j, '$.temperature') AS DOUBLE) AS temperature,
+    TRY_CAST(json_extract_string(j, '$.humidity') AS DOUBLE) AS humidity,
+    strptime(substr(event_time, 1, 19), '%Y-%m-%dT%H:%M:%S')
+      + to_microseconds(CAST(coalesce(nullif(regexp_extract(event_time, '\.(\d{6})', 1), ''), '0') AS BIGINT))
+      - to_hours(CAST(coalesce(nullif(regexp_extract(event_time, '\+(\d\d):', 1), ''), '0') AS INTEGER)) AS event_ts
+  FROM field)"""
+DIRTY_BASE = with_ctes(EVENTS_CTE, DIRTY_CTES)
+
 
 def fmt_ts(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S') || '.000'"
 
 
-def window_sql(interval: str, source: str = "enriched", closed_by: str | None = None, delay: str = "10 seconds") -> str:
+def window_sql(interval: str, source: str = "enriched", closed_by: str | None = None, delay: str = "10 seconds", half_even: bool = False, still_open: bool = False) -> str:
     """Window results over ``source`` bucketed by ``interval`` (DuckDB).
 
     ``closed_by``: keep only windows a watermark of ``max(event_ts) - delay``
-    over that relation has closed (what an append-mode stream emits).
+    over that relation has closed (what an append-mode stream emits), or with
+    ``still_open`` those that it has not.
     """
+    # The engine's arithmetic restated: raw readings, one rounding at the end.
+    if half_even:
+        avg = "CAST(printf('%.2f', CAST(sum(CAST(round(temperature * 1e6) AS HUGEINT)) AS DOUBLE) / 1e6 / count(*)) AS DOUBLE)"
+        med = "CAST(printf('%.2f', quantile_cont(humidity, 0.5)) AS DOUBLE)"
+    else:
+        units = "sum(CAST(round(temperature * 1e6) AS HUGEINT))"
+        avg = f"sign({units}) * CAST((2 * abs({units}) + 10000 * count(*)) // (20000 * count(*)) AS DOUBLE) / 100"
+        med = "CAST(round(CAST(quantile_cont(humidity, 0.5) AS DECIMAL(38,7)), 2) AS DOUBLE)"
     inner = f"""
   SELECT time_bucket(INTERVAL '{interval}', event_ts) AS wb,
          manufacturer_id, manufacturer_name, country,
-         count(*) AS events_count,
-         round(CAST(sum(CAST(round(temperature * 100) AS BIGINT)) AS DOUBLE) / count(*), 0) / 100.0 AS avg_temperature,
-         round(quantile_cont(CAST(round(humidity * 100) AS BIGINT), 0.5), 0) / 100.0 AS median_humidity
+         count(*) AS events_count, {avg} AS avg_temperature, {med} AS median_humidity
   FROM {source}
   GROUP BY 1, 2, 3, 4"""
     where = ""
     if closed_by:
-        where = f"WHERE wb + INTERVAL '{interval}' <= (SELECT max(event_ts) - INTERVAL '{delay}' FROM {closed_by})"
+        where = f"WHERE wb + INTERVAL '{interval}' {'>' if still_open else '<='} (SELECT max(event_ts) - INTERVAL '{delay}' FROM {closed_by})"
     return f"""
 SELECT {fmt_ts("wb")} AS window_start, {fmt_ts(f"wb + INTERVAL '{interval}'")} AS window_end,
        manufacturer_id, manufacturer_name, country, events_count, avg_temperature, median_humidity

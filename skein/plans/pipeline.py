@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.config import EngineConfig
-from skein.operators.enrich import DIM_COLUMNS, broadcast_if_small
+from skein.operators.enrich import DIM_COLUMNS
 from skein.operators.quality import clean
 from skein.operators.windows import format_results, window_aggregate
 
@@ -28,13 +28,15 @@ def results(events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig) -> D
     """Window results (typed 8 columns) for batch or streaming events.
 
     Grouped by (window, manufacturer id) as the keyed stream jobs do; the
-    events are first restricted to known manufacturers (broadcast semi
-    join, which drops unknown ids exactly like the inner join), and name
-    and country are attached to the aggregated rows afterwards (broadcast
-    join on one row per window and manufacturer).  The shuffles and the
+    events are first restricted to known manufacturers (semi join, which
+    drops unknown ids exactly like the inner join), and name and country are
+    attached to the aggregated rows afterwards.  That second join is a left
+    one: a window once counted stays, with null names, if a refreshed
+    dimension has lost its manufacturer meanwhile.  Ids must be unique
+    (:func:`skein.sources.dimensions.load_dimension` checks it).  The shuffles and the
     streaming state then carry no text columns.
     """
-    dim = broadcast_if_small(manufacturers.select(*DIM_COLUMNS), cfg.broadcast_max_rows)
+    dim = manufacturers.select(*DIM_COLUMNS)
     streaming = events.isStreaming
     if streaming and cfg.delay and cfg.watermark_at == "source":
         events = clean(events.withWatermark("event_ts", cfg.delay), cfg, guard=True)
@@ -45,5 +47,5 @@ def results(events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig) -> D
     if streaming and cfg.delay and cfg.watermark_at == "enriched":
         known = known.withWatermark("event_ts", cfg.delay)
     agg = window_aggregate(known, cfg, ["manufacturer_id"])
-    named = agg.join(dim, agg["manufacturer_id"] == dim["id"], "inner")
+    named = agg.join(dim, agg["manufacturer_id"] == dim["id"], "left")
     return format_results(named)

@@ -51,6 +51,23 @@ def q_window(window: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _fine_events(spark, sf_dir):
+    """The events with readings of four decimals, told from the event id."""
+    ev = sensor_events(spark, sf_dir, keep=["event_id"])
+    more = lambda c, m: F.col(c) + (F.col("event_id") % m) / F.lit(10000.0)
+    return ev.withColumns({"temperature": more("temperature", 97), "humidity": more("humidity", 89)})
+
+
+def q_window_fine(window: str, rounding: str = "half_up"):
+    """Window results over readings that carry more decimals than the results."""
+
+    def run(spark, sf_dir):
+        cfg = DEFAULT.with_(window=window, rounding=rounding)
+        return results(_fine_events(spark, sf_dir), manufacturers_seed(spark), cfg)
+
+    return run
+
+
 def q_events_clean(spark, sf_dir):
     ev = clean(sensor_events(spark, sf_dir, keep=["event_id"]), DEFAULT)
     return ev.select("event_id", "sensor_id", "manufacturer_id", "event_time", "temperature", "humidity")
@@ -63,7 +80,7 @@ def q_events_rejected(spark, sf_dir):
 
 def q_events_enriched(spark, sf_dir):
     ev = clean(sensor_events(spark, sf_dir, keep=["event_id"]), DEFAULT)
-    out = enrich(ev, manufacturers_seed(spark), DEFAULT.broadcast_max_rows, keep=["event_id"])
+    out = enrich(ev, manufacturers_seed(spark), keep=["event_id"])
     return out.select(
         "event_id", "sensor_id", "manufacturer_id", "manufacturer_name", "country",
         "event_time", "temperature", "humidity",
@@ -72,7 +89,7 @@ def q_events_enriched(spark, sf_dir):
 
 def q_unknown_manufacturer(spark, sf_dir):
     ev = clean(sensor_events(spark, sf_dir, keep=["event_id"]), DEFAULT)
-    out = unknown_manufacturer(ev, manufacturers_seed(spark), DEFAULT.broadcast_max_rows)
+    out = unknown_manufacturer(ev, manufacturers_seed(spark))
     return out.select("event_id", "sensor_id", "manufacturer_id")
 
 
@@ -93,6 +110,9 @@ def q_result_json(spark, sf_dir):
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_1min": q_window("1 minute"),
     "window_1day": q_window("1 day"),
+    "window_1min_fine": q_window_fine("1 minute"),
+    "window_1day_fine": q_window_fine("1 day"),
+    "window_1day_fine_half_even": q_window_fine("1 day", "binary_half_even"),
     "events_clean": q_events_clean,
     "events_rejected": q_events_rejected,
     "events_enriched": q_events_enriched,
@@ -116,6 +136,9 @@ _REJECT_REASON = """CASE
 ORACLE: dict[str, str] = {
     "window_1min": O.BASE + O.window_sql("1 minute"),
     "window_1day": O.BASE + O.window_sql("1 day"),
+    "window_1min_fine": O.FINE_BASE + O.window_sql("1 minute"),
+    "window_1day_fine": O.FINE_BASE + O.window_sql("1 day"),
+    "window_1day_fine_half_even": O.FINE_BASE + O.window_sql("1 day", half_even=True),
     "events_clean": O.BASE
     + "SELECT event_id, sensor_id, manufacturer_id, event_time, temperature, humidity FROM clean",
     "events_rejected": O.BASE
@@ -151,6 +174,51 @@ def q_decode(mode: str):
     return run
 
 
+def dirty_wire(spark, sf_dir):
+    """The events as JSON records of which most are unusual or broken, by the event id's remainder."""
+    ev = sensor_events(spark, sf_dir, keep=["event_id"])
+    kind = F.col("event_id") % 12
+    text = F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    time = F.when(kind == 4, F.concat(text, F.lit("+03:00"))).when(kind == 5, text)
+    time = time.when(kind == 6, F.concat(F.substring(text, 1, 19), F.lit("+00:00"))).otherwise(F.concat(text, F.lit("+00:00")))
+    number = F.col("manufacturer_id").cast("string")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    maker = F.when(kind == 1, quoted(number)).when(kind == 3, F.lit("70000")).when(kind == 8, F.concat(number, F.lit(".9"))).otherwise(number)
+    heat = F.col("temperature").cast("string")
+    heat = F.when(kind == 1, quoted(heat)).when(kind == 9, F.lit('"warm"')).otherwise(heat)
+    sensor = F.when(kind == 10, F.lit("null")).otherwise(quoted(F.col("sensor_id")))
+    parts = [F.lit('{"sensor_id":'), sensor, F.lit(',"manufacturer_id":'), maker, F.lit(',"event_time":'), quoted(time)]
+    parts += [F.when(kind == 2, F.lit("")).otherwise(F.concat(F.lit(',"temperature":'), heat)), F.lit(',"humidity":'), F.col("humidity").cast("string"), F.lit("}")]
+    whole = F.concat(*parts)
+    broken = F.when(kind == 7, F.substring(whole, 1, 40)).when(kind == 11, F.lit("not a record")).otherwise(whole)
+    return ev.select("event_id", broken.alias("value"))
+
+
+def q_decode_dirty(spark, sf_dir):
+    """Lenient decoding of broken and unusual records, whole table."""
+    from skein.sources.events import decode_events
+
+    dec = decode_events(dirty_wire(spark, sf_dir), DEFAULT, keep=["event_id"])
+    return dec.select("event_id", "sensor_id", "manufacturer_id", "temperature", "humidity", _ts_text().alias("parsed_ts"))
+
+
+def q_dirty_rejected(spark, sf_dir):
+    """Which of those records the quality rules reject, and why."""
+    from skein.sources.events import decode_events
+
+    dec = decode_events(dirty_wire(spark, sf_dir), DEFAULT, keep=["event_id"])
+    return rejects(dec, DEFAULT).select("event_id", "reason")
+
+
+def q_decode_dirty_strict(spark, sf_dir):
+    """Strict decoding of the records that are unusual but whole (quoted numbers, other time forms)."""
+    from skein.sources.events import decode_events
+
+    whole = dirty_wire(spark, sf_dir).where("event_id % 12 in (0, 1, 4, 5, 6) and value is not null")
+    dec = decode_events(whole, DEFAULT.with_(decode="strict"), keep=["event_id"])
+    return dec.select("event_id", "sensor_id", "manufacturer_id", "temperature", "humidity", _ts_text().alias("parsed_ts"))
+
+
 def q_wire_messages(spark, sf_dir):
     """Keyed event messages: key = UTF-8 sensor id (hex here), value = JSON."""
     from skein.functions.jsonfmt import event_key, event_value_json
@@ -174,6 +242,9 @@ REGISTRY.update(
     {
         "decode_lenient": q_decode("lenient"),
         "decode_strict": q_decode("strict"),
+        "decode_dirty": q_decode_dirty,
+        "decode_dirty_strict": q_decode_dirty_strict,
+        "events_dirty_rejected": q_dirty_rejected,
         "wire_messages": q_wire_messages,
         "sql_window_1min": q_sql_window,
         "window_1min_half_even": q_window_half_even,
@@ -193,6 +264,10 @@ ORACLE.update(
     }
 )
 ORACLE["decode_strict"] = ORACLE["decode_lenient"]
+ORACLE["decode_dirty"] = O.DIRTY_BASE + "SELECT event_id, sensor_id, manufacturer_id, temperature, humidity, strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') AS parsed_ts FROM dirty"
+ORACLE["decode_dirty_strict"] = ORACLE["decode_dirty"] + " WHERE event_id % 12 IN (0, 1, 4, 5, 6) AND v IS NOT NULL"
+ORACLE["events_dirty_rejected"] = O.DIRTY_BASE + f"SELECT * FROM (SELECT event_id, {_REJECT_REASON} AS reason FROM dirty) WHERE reason IS NOT NULL"
+ORACLE["window_1min_half_even"] = O.BASE + O.window_sql("1 minute", half_even=True)
 
 
 # ---------------------------------------------------------------- streams
@@ -201,36 +276,44 @@ def _replay(job: str, wire: bool):
     available-now run with a fresh checkpoint) and read its output back."""
 
     def run(spark, sf_dir):
-        from skein.functions.jsonfmt import event_value_json
         from skein.schemas import RESULT_COLUMNS
-        from skein.session import default_parallelism, fresh_path
-        from skein.sources.events import table_event_stream
-        from skein.streaming.jobs import run_to_end, start_job
-        from skein.streaming.sinks import compact, read_changelog
-
-        apply_engine_conf(spark)
-        stream = table_event_stream(spark, f"{sf_dir.rstrip('/')}/events*.parquet")
-        kwargs = {"raw": stream.select(event_value_json().alias("value"))} if wire else {"events": stream}
-        root = fresh_path(spark, "replay", job)
-        running = start_job(
-            spark, job, manufacturers=manufacturers_seed(spark), output=f"{root}/out",
-            checkpoint=f"{root}/checkpoint", trigger="available_now",
-            state_partitions=default_parallelism(spark), **kwargs,
-        )
-        run_to_end(running)
+        from skein.streaming.sinks import compact_output
+
+        running = _replayed(spark, sf_dir, job, wire)
         if running.kind == "upsert":
-            return compact(read_changelog(spark, running.output)).select("key", "value", *RESULT_COLUMNS)
+            # The compaction job gives what a reader of the output sees.
+            return compact_output(spark, running.output).select("key", "value", *RESULT_COLUMNS)
         return spark.read.parquet(running.output)
 
     return run
 
 
+def _replayed(spark, sf_dir, job: str, wire: bool):
+    """The finished replay of a job over the whole table."""
+    from skein.functions.jsonfmt import event_value_json
+    from skein.session import fresh_path, state_partitions
+    from skein.sources.events import table_event_stream
+    from skein.streaming.jobs import run_to_end, start_job
+
+    apply_engine_conf(spark)
+    files = f"{sf_dir.rstrip('/')}/events*.parquet"
+    stream = table_event_stream(spark, files)
+    kwargs = {"raw": stream.select(event_value_json().alias("value"))} if wire else {"events": stream}
+    root = fresh_path(spark, "replay", job)
+    running = start_job(
+        spark, job, manufacturers=manufacturers_seed(spark), output=f"{root}/out",
+        checkpoint=f"{root}/checkpoint", trigger="available_now",
+        state_partitions=state_partitions(spark, files), **kwargs,
+    )
+    return run_to_end(running)
+
+
 REGISTRY.update(
     {
         "stream_hybrid_closed": _replay("hybrid", wire=True),
         "stream_bridge_closed": _replay("bridge", wire=False),
         "stream_pure_closed": _replay("pure", wire=True),
-        "upsert_compacted": _replay("table_upsert", wire=False),
+        "upsert_compacted": _replay("table_upsert", wire=True),
     }
 )
 
@@ -319,58 +402,129 @@ ORACLE.update(
 )
 
 
-# ---------------------------------------------------------------- results reader, generator
-def q_message_numbers(spark, sf_dir):
-    """Publish two result outputs of the window job (JSON append topic and
-    upsert topic) to the shared folder, read them back as a consumer and
-    number the messages per topic."""
-    from skein.operators.results_reader import read_results
+def _dirty_dimensions(spark, sf_dir):
+    """Dimensions that break every rule: rows derived from the events' users."""
+    ids = table(spark, sf_dir, "events").select((F.col("user_id") % 40).alias("u")).distinct()
+    u = F.col("u")
+    makers = ids.where(u < 20).select(
+        F.when(u == 3, F.lit(None)).otherwise(u % 15).cast("smallint").alias("id"),
+        F.when(u == 4, F.lit(None)).when(u % 7 == 5, F.lit("same name")).when(u == 8, F.repeat(F.lit("n"), 129)).otherwise(F.concat(F.lit("maker "), u.cast("string"))).alias("manufacturer_name"),
+        F.when(u == 6, F.lit(None)).when(u == 9, F.repeat(F.lit("c"), 65)).otherwise(F.lit("country")).alias("country"),
+    )
+    sensors = ids.select(
+        F.when(u == 11, F.lit(None)).when(u == 12, F.repeat(F.lit("s"), 65)).otherwise(F.concat(F.lit("sensor "), (u % 36).cast("string"))).alias("sensor_id"),
+        F.when(u == 13, F.lit(None)).otherwise(u % 25).cast("smallint").alias("manufacturer_id"),
+    )
+    return makers, sensors
+
+
+def q_dim_rules_dirty(spark, sf_dir):
+    from skein.operators.dimension import rule_report
+
+    return rule_report(*_dirty_dimensions(spark, sf_dir))
+
+
+REGISTRY["dim_rules_dirty"] = q_dim_rules_dirty
+_DIRTY_DIMS = """WITH ids AS (SELECT DISTINCT user_id % 40 AS u FROM events),
+m AS (SELECT CASE WHEN u = 3 THEN NULL ELSE CAST(u % 15 AS SMALLINT) END AS id,
+        CASE WHEN u = 4 THEN NULL WHEN u % 7 = 5 THEN 'same name' WHEN u = 8 THEN repeat('n', 129) ELSE 'maker ' || u END AS manufacturer_name,
+        CASE WHEN u = 6 THEN NULL WHEN u = 9 THEN repeat('c', 65) ELSE 'country' END AS country FROM ids WHERE u < 20),
+s AS (SELECT CASE WHEN u = 11 THEN NULL WHEN u = 12 THEN repeat('s', 65) ELSE 'sensor ' || (u % 36) END AS sensor_id,
+        CASE WHEN u = 13 THEN NULL ELSE CAST(u % 25 AS SMALLINT) END AS manufacturer_id FROM ids)
+"""
+
+
+def _rule(table_name, rule, column, key, rest, n="CAST(1 AS BIGINT)"):
+    return f"""SELECT '{table_name}' AS "table", '{rule}' AS rule, '{column}' AS "column", CAST({key} AS VARCHAR) AS "key", {n} AS n FROM {rest}"""
+
+
+ORACLE["dim_rules_dirty"] = _DIRTY_DIMS + " UNION ALL ".join(
+    [
+        _rule("manufacturers", "primary_key", "id", "id", "m GROUP BY id HAVING count(*) > 1", "count(*)"),
+        _rule("sensors", "primary_key", "sensor_id", "sensor_id", "s GROUP BY sensor_id HAVING count(*) > 1", "count(*)"),
+        _rule("manufacturers", "unique", "manufacturer_name", "manufacturer_name", "m WHERE manufacturer_name IS NOT NULL GROUP BY manufacturer_name HAVING count(*) > 1", "count(*)"),
+        _rule("manufacturers", "not_null", "id", "manufacturer_name", "m WHERE id IS NULL"),
+        _rule("manufacturers", "not_null", "manufacturer_name", "id", "m WHERE manufacturer_name IS NULL"),
+        _rule("manufacturers", "not_null", "country", "id", "m WHERE country IS NULL"),
+        _rule("sensors", "not_null", "sensor_id", "manufacturer_id", "s WHERE sensor_id IS NULL"),
+        _rule("sensors", "not_null", "manufacturer_id", "sensor_id", "s WHERE manufacturer_id IS NULL"),
+        _rule("sensors", "foreign_key", "manufacturer_id", "sensor_id", "s WHERE manufacturer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM m WHERE m.id = s.manufacturer_id)"),
+        _rule("manufacturers", "max_length_128", "manufacturer_name", "id", "m WHERE length(manufacturer_name) > 128"),
+        _rule("manufacturers", "max_length_64", "country", "id", "m WHERE length(country) > 64"),
+        _rule("sensors", "max_length_64", "sensor_id", "sensor_id", "s WHERE length(sensor_id) > 64"),
+    ]
+)
+
+
+# ---------------------------------------------------------------- results reader
+def _published(spark, sf_dir, times: int = 1) -> dict[str, str]:
+    """The four jobs' results, published as file topics (``times`` over, as an at-least-once writer may);
+    the upsert topic holds a tombstone for every manufacturer 2 key as well."""
+    from skein.config import OUTPUTS
     from skein.session import fresh_path
     from skein.streaming.sinks import changelog_rows, write_messages
 
     root = fresh_path(spark, "topics")
-    # The typed result table is written once; both topics derive from it.
-    q_window("1 minute")(spark, sf_dir).write.parquet(f"{root}/results")
-    res = spark.read.parquet(f"{root}/results")
-    write_messages(res.select(result_json_col().alias("value")), path=f"{root}/iot_window_results")
-    write_messages(changelog_rows(res, 0).select("key", "value"), path=f"{root}/iot_aggregates_upsert")
-    return read_results(
-        spark,
-        {
-            "iot_window_results": f"{root}/iot_window_results",
-            "iot_aggregates_upsert": f"{root}/iot_aggregates_upsert",
-        },
-    )
+    ev = sensor_events(spark, sf_dir)
+    # Each typed result table is written once; the topics derive from it.
+    results(ev, manufacturers_seed(spark), DEFAULT).write.parquet(f"{root}/filtered")
+    results(ev, manufacturers_seed(spark), DEFAULT.with_(quality_filter=False)).write.parquet(f"{root}/unfiltered")
+    res, pure = spark.read.parquet(f"{root}/filtered"), spark.read.parquet(f"{root}/unfiltered")
+    topics = {job: f"{root}/{topic}" for job, topic in OUTPUTS.items()}
+    for _ in range(times):
+        write_messages(res.select(result_json_col().alias("value")), path=topics["hybrid"])
+        write_messages(res.select(result_json_col().alias("value")), path=topics["bridge"])
+        write_messages(pure.select(result_json_col().alias("value")), path=topics["pure"])
+        keyed = changelog_rows(res, 0)
+        gone = keyed.where("manufacturer_id = 2").select("key", F.lit(None).cast("string").alias("value"))
+        write_messages(keyed.select("key", "value").unionByName(gone), path=topics["table_upsert"])
+    return {OUTPUTS[job]: path for job, path in topics.items()}
 
 
-def q_synthetic_events(spark, sf_dir):
-    """As many generated events as the event table has rows, over the
-    sensors the table reports."""
-    from skein.operators.synth import generate_events
+def q_message_numbers(spark, sf_dir):
+    """The four outputs read back as a consumer, tombstones skipped, messages numbered per topic."""
+    from skein.operators.results_reader import read_results
 
-    n = table(spark, sf_dir, "events").count()
-    sensors = q_dim_upsert(spark, sf_dir)
-    gen = generate_events(spark, sensors, n, seed=42)
-    return gen.select("event_id", "batch", "sensor_id", "manufacturer_id", "event_time", "temperature", "humidity",
-                      F.date_format("emit_ts", TS_TEXT).alias("emit_time"), F.hex("key").alias("key_hex"), "value")
+    return read_results(spark, _published(spark, sf_dir)).select("topic", "topic_message_number", "value")
 
 
-REGISTRY.update(
-    {
-        "message_numbers": q_message_numbers,
-        "synthetic_events": q_synthetic_events,
-    }
+def q_messages_deduped(spark, sf_dir):
+    """Repeats of an at-least-once writer dropped by the results' natural key."""
+    from skein.operators.results_reader import dedupe_results, read_topics
+    from skein.schemas import UPSERT_KEY
+
+    return dedupe_results(read_topics(spark, _published(spark, sf_dir, times=2)), UPSERT_KEY).select("topic", "value")
+
+
+REGISTRY.update({"message_numbers": q_message_numbers, "messages_deduped": q_messages_deduped})
+
+_THREE = "(VALUES ('iot_window_results'), ('iot_aggregates_upsert'), ('iot_window_results_table_sink')) AS t(topic)"
+_PUBLISHED = (
+    O.with_ctes(O.MANUFACTURERS_CTE, O.EVENTS_CTE, O.CLEAN_CTE, O.ENRICHED_CTE, _PURE_SRC)
+    + f"SELECT topic, {O.RESULT_JSON} AS value, window_start, window_end, manufacturer_id FROM ({O.window_sql('1 minute')}), {_THREE}"
+    + f" UNION ALL SELECT 'iot_window_results_datastream', {O.RESULT_JSON}, window_start, window_end, manufacturer_id FROM ({O.window_sql('1 minute', 'joined')})"
+)
+ORACLE["messages_deduped"] = f"SELECT topic, value FROM ({_PUBLISHED})"
+ORACLE["message_numbers"] = (
+    "SELECT topic, row_number() OVER (PARTITION BY topic ORDER BY window_start, window_end, CAST(manufacturer_id AS VARCHAR), value) AS topic_message_number, value"
+    f" FROM ({_PUBLISHED})"
 )
 
 
 def q_stream_finalized(spark, sf_dir):
-    """Bridge replay (closed windows) + the trailing open windows from the
-    batch result over the same table: the complete window set."""
-    from skein.streaming.jobs import finalize_bounded
+    """Bridge replay (closed windows) + the windows still open at its end, from the events of these."""
+    from skein.streaming.jobs import finalize_bounded, first_open
+    from skein.streaming.metrics import final_watermark
 
-    emitted = REGISTRY["stream_bridge_closed"](spark, sf_dir)
-    return finalize_bounded(spark, emitted, sensor_events(spark, sf_dir), manufacturers_seed(spark), JOBS["bridge"])
+    running = _replayed(spark, sf_dir, "bridge", wire=False)
+    since = first_open(spark, final_watermark(running.query), JOBS["bridge"])
+    late = table(spark, sf_dir, "events").where(F.col("ts") >= F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz"))
+    emitted = spark.read.parquet(running.output)
+    return finalize_bounded(spark, emitted, sensor_events_from_table(late), manufacturers_seed(spark), JOBS["bridge"])
 
 
 REGISTRY["stream_finalized"] = q_stream_finalized
-ORACLE["stream_finalized"] = O.BASE + O.window_sql("1 minute")
+# Stated apart: what the watermark has closed, and what it has left open.
+ORACLE["stream_finalized"] = (
+    O.BASE + O.window_sql("1 minute", closed_by="enriched") + " UNION ALL " + O.window_sql("1 minute", closed_by="enriched", still_open=True)
+)

@@ -10,49 +10,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skein.config import EngineConfig
+from skein.functions.rounding import MEAN_SQL, MEDIAN_SQL, UNITS_SQL
 from skein.operators.enrich import DIM_COLUMNS
+from skein.operators.quality import quality_sql
 from skein.schemas import RESULT_COLUMNS
 
 
-def register_sources(spark: SparkSession, events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig) -> bool:
+def register_sources(spark: SparkSession, events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig) -> None:
     """Register ``iot_events`` and ``manufacturers``.
 
     With ``watermark_at="source"`` the watermark is put on ``iot_events``
-    itself.  Returns whether the dimension may be broadcast (its size
-    checked); the SQL then carries a BROADCAST hint.
+    itself.
     """
     if events.isStreaming and cfg.delay and cfg.watermark_at == "source":
         events = events.withWatermark("event_ts", cfg.delay)
     events.createOrReplaceTempView("iot_events")
-    dim = manufacturers.select(*DIM_COLUMNS)
-    dim.createOrReplaceTempView("manufacturers")
-    return dim.limit(cfg.broadcast_max_rows + 1).count() <= cfg.broadcast_max_rows
+    manufacturers.select(*DIM_COLUMNS).createOrReplaceTempView("manufacturers")
 
 
 def _quality_sql(cfg: EngineConfig, guard: bool) -> str:
-    t_lo, t_hi = cfg.temperature_range
-    h_lo, h_hi = cfg.humidity_range
-    pred = (
-        "e.sensor_id IS NOT NULL AND e.manufacturer_id IS NOT NULL "
-        "AND e.event_ts IS NOT NULL AND e.temperature IS NOT NULL AND e.humidity IS NOT NULL "
-        f"AND e.temperature BETWEEN {t_lo!r}D AND {t_hi!r}D "
-        f"AND e.humidity BETWEEN {h_lo!r}D AND {h_hi!r}D"
-    )
+    """The filter of :mod:`skein.operators.quality` as SQL text: the rules are stated once."""
     if not cfg.quality_filter:
-        return "e.event_ts IS NOT NULL"
-    if guard:
-        # One expression that mentions the event-time column: stays above
-        # the watermark node (see skein.operators.quality.guarded).
-        return f"CASE WHEN e.event_ts IS NOT NULL THEN ({pred}) ELSE false END"
-    return pred
+        return "event_ts IS NOT NULL"
+    pred = quality_sql(cfg)
+    # One expression that mentions the event-time column stays above the
+    # watermark node (see skein.operators.quality.guarded).
+    return f"CASE WHEN event_ts IS NOT NULL THEN ({pred}) ELSE false END" if guard else pred
 
 
-def create_enriched_view(spark: SparkSession, cfg: EngineConfig, broadcast: bool = True) -> DataFrame:
+def create_enriched_view(spark: SparkSession, cfg: EngineConfig) -> DataFrame:
     """``enriched_iot_events``: quality filter + inner join, as a view."""
-    hint = "/*+ BROADCAST(m) */ " if broadcast else ""
     guard = cfg.watermark_at == "source"
     sql = f"""
-        SELECT {hint}e.sensor_id, e.manufacturer_id, m.manufacturer_name, m.country,
+        SELECT e.sensor_id, e.manufacturer_id, m.manufacturer_name, m.country,
                e.event_time, e.event_ts, e.temperature, e.humidity
         FROM iot_events AS e
         JOIN manufacturers AS m ON e.manufacturer_id = m.id
@@ -66,41 +56,36 @@ def create_enriched_view(spark: SparkSession, cfg: EngineConfig, broadcast: bool
 
 
 def window_results_sql(cfg: EngineConfig, source: str = "enriched_iot_events", chained: bool = True) -> str:
-    """Tumbling-window aggregate in SQL, exact-cents rounding (HALF_UP; cents
-    as integer-valued doubles, see :func:`skein.functions.rounding.to_cents`).
+    """Tumbling-window aggregate in SQL over the readings as sent, rounded
+    once (HALF_UP, see :mod:`skein.functions.rounding`).
 
     ``chained`` (batch, append-mode streams): the two-step histogram route
     of :mod:`skein.operators.windows`, bounded work per group under skew.
     Otherwise (update-mode streams): one ``percentile`` aggregate.
     """
-    if not chained:
-        return f"""
-        SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_start,
-               date_format(window.end, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_end,
-               manufacturer_id, manufacturer_name, country,
-               count(*) AS events_count,
-               round(sum(round(temperature * 100D) + 0D) / count(*), 0) / 100D AS avg_temperature,
-               round(percentile(round(humidity * 100D) + 0D, 0.5D), 0) / 100D AS median_humidity
-        FROM {source}
-        GROUP BY window(event_ts, '{cfg.window}'), manufacturer_id, manufacturer_name, country
-    """
-    return f"""
-        WITH hist AS (
-            SELECT window(event_ts, '{cfg.window}') AS w, manufacturer_id, manufacturer_name, country,
-                   round(humidity * 100D) + 0D AS hc,
-                   count(*) AS c,
-                   sum(round(temperature * 100D) + 0D) AS tc
+    group = "manufacturer_id, manufacturer_name, country"
+    units = UNITS_SQL.format("temperature")
+    sums = f"count(*) AS n, coalesce(sum({units}), 0) AS units, sum(temperature) AS total, count_if({units} IS NULL) AS wild"
+    if chained:
+        sums_by_value = f"""
+            SELECT window(event_ts, '{cfg.window}') AS w, {group}, humidity + 0D AS h, {sums}
             FROM {source}
-            GROUP BY 1, 2, 3, 4, 5
-        )
+            GROUP BY 1, 2, 3, 4, 5"""
+        grouped = f"""
+            SELECT w, {group}, percentile(h, 0.5D, n) AS med, sum(n) AS n, CAST(sum(units) AS DECIMAL(38,0)) AS units,
+                   sum(total) AS total, sum(wild) AS wild
+            FROM ({sums_by_value})
+            GROUP BY w, {group}"""
+    else:
+        grouped = f"""
+            SELECT window(event_ts, '{cfg.window}') AS w, {group}, percentile(humidity, 0.5D) AS med, {sums}
+            FROM {source}
+            GROUP BY 1, 2, 3, 4"""
+    return f"""
         SELECT date_format(w.start, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_start,
                date_format(w.end, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_end,
-               manufacturer_id, manufacturer_name, country,
-               sum(c) AS events_count,
-               round(CAST(sum(tc) AS DOUBLE) / sum(c), 0) / 100D AS avg_temperature,
-               round(percentile(hc, 0.5D, c), 0) / 100D AS median_humidity
-        FROM hist
-        GROUP BY w, manufacturer_id, manufacturer_name, country
+               {group}, n AS events_count, {MEAN_SQL} AS avg_temperature, {MEDIAN_SQL} AS median_humidity
+        FROM ({grouped})
     """
 
 
@@ -119,7 +104,7 @@ def sql_results(spark: SparkSession, events: DataFrame, manufacturers: DataFrame
     """Whole SQL route: register sources, enriched view, window view, select."""
     if cfg.rounding != "half_up":
         raise ValueError("the SQL route implements half_up rounding only")
-    broadcast = register_sources(spark, events, manufacturers, cfg)
-    create_enriched_view(spark, cfg, broadcast)
+    register_sources(spark, events, manufacturers, cfg)
+    create_enriched_view(spark, cfg)
     create_window_results_view(spark, cfg, chained=not (events.isStreaming and cfg.output == "update"))
     return select_results(spark)

@@ -71,7 +71,7 @@ CONSUMED_MESSAGE = T.StructType(
         T.StructField("topic", T.StringType()),
         T.StructField("value", T.StringType()),
         T.StructField("topic_message_number", T.LongType()),
-        T.StructField("partition", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
     ]
 )

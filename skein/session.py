@@ -37,11 +37,16 @@ _SPARK_DEFAULTS = {
 ENGINE_CONF = {**DEFAULT_CONF, **REQUIRED_CONF}
 
 
+def is_local(master: str) -> bool:
+    """One process: not a cluster, and not ``local-cluster`` with its separate executors."""
+    return master == "local" or master.startswith("local[")
+
+
 def build_session(master: str = "local[8]", app: str = "skein", **conf) -> SparkSession:
     """Session for tests, bench and local runs.
 
-    ``spark.checkpoint.dir`` is only set here when the caller gives none; on a
-    cluster it must name a shared folder (HDFS, object store).
+    Without ``spark.checkpoint.dir`` a local session gets a local folder; a
+    cluster session is refused, as it must name a folder that all share.
     """
     builder = SparkSession.builder.master(master).appName(app)
     settings = dict(ENGINE_CONF)
@@ -55,6 +60,8 @@ def build_session(master: str = "local[8]", app: str = "skein", **conf) -> Spark
     )
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     if "spark.checkpoint.dir" not in settings:
+        if not is_local(master):
+            raise RuntimeError(f"master {master}: spark.checkpoint.dir must name a shared folder")
         settings["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="skein-ck-")
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -97,7 +104,7 @@ def shared_root(spark: SparkSession) -> str:
         root = sc.getCheckpointDir()
     if not root:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not is_local(master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; the engine needs a shared folder"
             )
@@ -121,22 +128,9 @@ def fresh_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), *parts, uuid.uuid4().hex])
 
 
-def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
-    """Partition settings for a cluster run over ``input_bytes`` of input.
-
-    Scan splits of ``target_partition_bytes``.  The engine's shuffles carry
-    projected, partially aggregated rows, so they are sized from a quarter
-    of the input, at least two partitions per core and at most 65,536 (more
-    makes map tasks write tiny blocks and loads the scheduler); AQE then
-    coalesces small ones.  For a stateful stream the shuffle partition count
-    is fixed by its first run (state is partitioned by it), so size it for
-    the expected peak.
-    """
-    wanted = -(-input_bytes // (4 * target_partition_bytes))
-    shuffle = min(65536, max(2 * total_cores, wanted))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 8),
-    }
+def state_partitions(spark: SparkSession, path: str, target_bytes: int = 256 << 20) -> int:
+    """Partitions of a stream's state, fixed at its first start: one for each ``target_bytes`` of input
+    files (their lengths only are read), and one per task slot at least."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    size = files.agg({"length": "sum"}).first()[0] or 0
+    return max(default_parallelism(spark), -(-size // target_bytes))

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from skein.schemas import MANUFACTURERS, SENSORS
 from skein.session import fresh_path
 
-# The seeded reference data (id, name, country, description)
-# and the sensors (sensor id, manufacturer id).
+# The seeded reference data (id, name, country; no query reads
+# the descriptions, which stay null) and the sensors (sensor id, manufacturer id).
 MANUFACTURER_ROWS = [
-    (1, "Bosch Sensortec", "Germany", "Manufacturer of MEMS sensors and environmental sensing components"),
-    (2, "Sensirion", "Switzerland", "Manufacturer of humidity, temperature, gas flow, and environmental sensors"),
-    (3, "Honeywell", "United States", "Industrial technology company producing sensing and control products"),
-    (4, "Texas Instruments", "United States", "Semiconductor company producing sensor ICs and embedded measurement components"),
+    (1, "Bosch Sensortec", "Germany", None),
+    (2, "Sensirion", "Switzerland", None),
+    (3, "Honeywell", "United States", None),
+    (4, "Texas Instruments", "United States", None),
 ]
 SENSOR_ROWS = [
     ("sensor-001", 1),
@@ -112,19 +112,27 @@ def pin_snapshot(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def require_unique(df: DataFrame, key: str, what: str) -> DataFrame:
+    """A repeated key would split a window's rows or count events twice."""
+    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+    if twice:
+        raise RuntimeError(f"dimension {what}: {key} {twice[0]} occurs {twice[1]} times")
+    return df
+
+
 def load_dimension(
     spark: SparkSession,
     df: DataFrame,
     name: str,
     mode: str = "snapshot",
     columns: list[str] | None = None,
+    key: str | None = "id",
 ) -> DataFrame:
-    """Project, check non-empty, and pin (snapshot) or keep live (refresh)."""
+    """Project and pin (snapshot) or keep live (refresh); checks that there
+    are rows and that ``key`` is unique (of a live one: at the start)."""
     if columns:
         df = df.select(*columns)
+    if mode == "snapshot":
+        df = pin_snapshot(df, spark, name)
     require_non_empty(df, name)
-    # A local relation (literal rows) already carries its rows in the plan:
-    # it is a snapshot as it stands.
-    if mode == "snapshot" and not df.isLocal():
-        return pin_snapshot(df, spark, name)
-    return df
+    return require_unique(df, key, name) if key else df

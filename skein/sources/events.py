@@ -76,11 +76,12 @@ def decode_events(raw: DataFrame, cfg: EngineConfig, value_col: str = "value", k
     """JSON text column -> ``sensor_id, manufacturer_id, event_time,
     temperature, humidity, event_ts``.
 
-    lenient  PERMISSIVE ``from_json`` on the declared types: malformed text,
-             wrong types and out-of-range ids give nulls, which the quality
-             filter then rejects.
-    strict   fields are read as text (so a quoted ``"22.5"`` is accepted),
-             then a missing field, malformed record, bad number, out-of-range
+    Fields are read as text, so a quoted ``"22.5"`` is a number in both modes.
+
+    lenient  malformed text, missing fields, what isn't a number and ids that
+             are no whole number of the id's range give nulls, which the
+             quality filter then rejects.
+    strict   a missing field, malformed record, bad number, out-of-range
              id or unparseable time raises and fails the query.
 
     The record is parsed once per row: the parsed struct comes out of a
@@ -91,8 +92,8 @@ def decode_events(raw: DataFrame, cfg: EngineConfig, value_col: str = "value", k
     keep = keep or []
     text = F.col(value_col).cast("string")
     if cfg.decode == "lenient":
-        parsed = raw.select(*keep, _parse_once(F.from_json(text, EVENT_WIRE)))
-        out = parsed.select(*keep, *(F.col(f"_e.{c}").alias(c) for c in EVENT_COLUMNS))
+        parsed = raw.select(*keep, _parse_once(F.from_json(text, EVENT_WIRE_TEXT)))
+        out = parsed.select(*keep, *(F.col(f"_e.{f.name}").try_cast(f.dataType).alias(f.name) for f in EVENT_WIRE.fields))
         return out.withColumn("event_ts", event_ts("event_time", cfg.time_mode))
 
     parsed = raw.select(*keep, _parse_once(F.from_json(text, EVENT_WIRE_TEXT, {"mode": "FAILFAST"})))
@@ -134,16 +135,21 @@ def _raw_stream(spark: SparkSession, source: dict) -> DataFrame:
         if source.get("min_partitions"):
             reader = reader.option("minPartitions", int(source["min_partitions"]))
         return reader.load().select(F.col("value").cast("string").alias("value"))
-    reader = spark.readStream
-    if source.get("max_files_per_trigger"):
-        reader = reader.option("maxFilesPerTrigger", int(source["max_files_per_trigger"]))
+    reader = _bounded(spark.readStream, source.get("max_files_per_trigger"), source.get("max_bytes_per_trigger"))
     return reader.text(source["path"])
 
 
+def _bounded(reader, files: int | None, size: int | None):
+    """A micro-batch of at most so many files, or else so many bytes (whole files)."""
+    if files:
+        return reader.option("maxFilesPerTrigger", int(files))
+    return reader.option("maxBytesPerTrigger", str(int(size or EngineConfig().bytes_per_trigger)))
+
+
 def read_event_stream(spark: SparkSession, source: dict, cfg: EngineConfig) -> DataFrame:
     """Streaming events from a topic or a folder of JSON-lines files.
 
-    ``source``: ``{"kind": "files", "path": ..., "max_files_per_trigger": n}``
+    ``source``: ``{"kind": "files", "path": ..., "max_files_per_trigger": n, "max_bytes_per_trigger": n}``
     or ``{"kind": "kafka", "bootstrap_servers": ..., "topic": ...,
     "max_offsets_per_trigger": n, "min_partitions": n}``.
     Replay from the start or resume is decided by the checkpoint location
@@ -157,11 +163,11 @@ def read_event_batch(spark: SparkSession, path: str, cfg: EngineConfig) -> DataF
     return decode_events(spark.read.text(path), cfg)
 
 
-def table_event_stream(spark: SparkSession, path_glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def table_event_stream(
+    spark: SparkSession, path_glob: str, max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None
+) -> DataFrame:
     """Streaming read of ``events`` parquet files (a glob such as
     ``.../events*.parquet``; the streaming file source needs a folder or a
     glob), mapped to sensor events."""
-    reader = spark.readStream.schema(EVENTS_TABLE_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = _bounded(spark.readStream.schema(EVENTS_TABLE_SCHEMA), max_files_per_trigger, max_bytes_per_trigger)
     return sensor_events_from_table(reader.parquet(path_glob))

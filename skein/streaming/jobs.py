@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skein.config import JOBS, OUTPUTS, EngineConfig
@@ -45,8 +47,8 @@ class RunningJob:
 def job_results(spark: SparkSession, events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Window results of a job configuration (streaming or batch input)."""
     if cfg.name == "table_upsert":
-        broadcast = register_sources(spark, events, manufacturers, cfg)
-        create_enriched_view(spark, cfg, broadcast)
+        register_sources(spark, events, manufacturers, cfg)
+        create_enriched_view(spark, cfg)
         return spark.sql(window_results_sql(cfg, chained=not (events.isStreaming and cfg.output == "update")))
     res = results(events, manufacturers, cfg)
     if cfg.name == "bridge":
@@ -120,9 +122,10 @@ def start_job(
         spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
-def run_to_end(job: RunningJob, timeout_s: int = 600) -> RunningJob:
-    """Wait for an ``available_now`` run to finish; re-raise its error."""
-    finished = job.query.awaitTermination(timeout_s)
+def run_to_end(job: RunningJob, timeout_s: int | None = None) -> RunningJob:
+    """Wait for an ``available_now`` run to finish, however long it takes
+    unless the caller sets a limit; re-raise its error."""
+    finished = job.query.awaitTermination(timeout_s) if timeout_s else job.query.awaitTermination() or True
     if not finished:
         job.query.stop()
         raise TimeoutError(f"job {job.name} did not finish in {timeout_s}s")
@@ -131,12 +134,23 @@ def run_to_end(job: RunningJob, timeout_s: int = 600) -> RunningJob:
     return job
 
 
-def finalize_bounded(spark: SparkSession, emitted: DataFrame, events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig) -> DataFrame:
-    """Append output of a bounded replay plus the windows still open at its
-    end (a stream never closes the last windows once input stops), taken
-    from the batch result over the same input: together, every window."""
+def first_open(spark: SparkSession, watermark: str, cfg: EngineConfig) -> datetime:
+    """Start (UTC) of the earliest window that ends after the watermark: of those the stream has closed none."""
+    w = F.window(F.lit(watermark).cast("timestamp"), cfg.window)
+    text = spark.range(1).select(F.date_format(w["start"], "yyyy-MM-dd HH:mm:ss")).first()[0]
+    return datetime.fromisoformat(text)
+
+
+def finalize_bounded(
+    spark: SparkSession, emitted: DataFrame, open_events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig
+) -> DataFrame:
+    """Append output of a bounded replay plus the windows still open at its end.
+
+    ``open_events``: the events from :func:`first_open` on (filter the source
+    by time, so that little is read).  Windows that the watermark has closed
+    are as the stream emitted them: rows that came late stay dropped.
+    """
     from skein.plans.pipeline import results as batch_results
 
-    key = ["window_start", "window_end", "manufacturer_id"]
-    rest = batch_results(events, manufacturers, cfg).join(emitted.select(*key), key, "left_anti")
+    rest = batch_results(open_events, manufacturers, cfg)
     return emitted.select(*rest.columns).unionByName(rest)

@@ -25,3 +25,9 @@ def batch_progress(query: StreamingQuery) -> list[dict]:
 def dropped_late_rows(query: StreamingQuery) -> int:
     """Rows dropped because their window had closed (no late output exists)."""
     return sum(b["dropped_late"] for b in batch_progress(query))
+
+
+def final_watermark(query: StreamingQuery) -> str | None:
+    """The watermark that the query's last micro-batch worked with; None before the first."""
+    marks = [b["watermark"] for b in batch_progress(query) if b["watermark"]]
+    return marks[-1] if marks else None

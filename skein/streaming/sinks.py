@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,11 +146,60 @@ def compact(changelog: DataFrame, key: list[str] | None = None, version: str = "
     return changelog.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def compact_output(spark: SparkSession, path: str, keep: bool = False) -> DataFrame:
+    """Compaction job of an upsert output: what :func:`read_current` gives becomes the new base.
+
+    The base of the versions up to N is written beside the versions
+    (``<path>_bases/upto=N``), then named in ``<path>_manifest``; readers
+    take the latest named base and the versions after it, so a failed job
+    changes nothing.  Without ``keep``, older bases and the versions within
+    the new base are then deleted.  Run it between the stream's batches or
+    beside it: versions that aren't complete yet are left alone.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [f.getPath() for f in files.listStatus(folder) if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+    versions = sorted(int(p.getName().split("=")[1]) for p in done if p.getName().startswith("version="))
+    upto, base = max(versions, default=None), _base(spark, path)
+    if upto is None or (base is not None and base >= upto):
+        return read_current(spark, path)
+    current = read_current(spark, path, upto)
+    current.write.mode("overwrite").parquet(f"{path}_bases/upto={upto}")
+    spark.range(1).select(F.lit(upto).cast("long").alias("upto")).write.mode("append").parquet(f"{path}_manifest")
+    if not keep:
+        gone = [f"{path}/version={v}" for v in versions] + ([f"{path}_bases/upto={base}"] if base is not None else [])
+        for old in gone:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(old), True)
+    return read_current(spark, path)
+
+
+def _base(spark: SparkSession, path: str) -> int | None:
+    """The last version within the newest base; None without one."""
+    try:
+        return spark.read.schema("upto long").parquet(f"{path}_manifest").agg(F.max("upto")).first()[0]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+
+
+def read_current(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """Latest row per key of an upsert output: its newest base and the versions after it."""
+    log, base = read_changelog(spark, path), _base(spark, path)
+    if upto is not None:
+        log = log.where(F.col("version") <= upto)
+    if base is None:
+        return compact(log)
+    # Old versions are skipped as folders: the version is the partition column.
+    rows = spark.read.schema(CHANGELOG).parquet(f"{path}_bases/upto={base}").unionByName(log.where(F.col("version") > base))
+    return compact(rows)
+
+
 def write_messages(messages: DataFrame, *, path: str | None = None, kafka: dict | None = None) -> None:
-    """Batch write of keyed messages (``key``, ``value``): events or results."""
+    """Batch write of messages (``value``, and ``key`` where there is one): events or results."""
     if kafka:
         (
-            messages.select("key", "value")
+            messages.select(*[c for c in ("key", "value") if c in messages.columns])
             .write.format("kafka")
             .option("kafka.bootstrap.servers", kafka["bootstrap_servers"])
             .option("topic", kafka["topic"])

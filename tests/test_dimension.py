@@ -86,3 +86,14 @@ def test_latest_per_key_ties_and_old_times(spark):
     df = spark.createDataFrame(rows, "sensor_id string, manufacturer_id short, event_ts timestamp")
     got = {r.sensor_id: r.manufacturer_id for r in latest_per_key(df, "sensor_id", "manufacturer_id", "event_ts").collect()}
     assert got == {"a": 3, "b": -5, "c": 2}
+
+
+def test_duplicate_ids_fail_early(spark):
+    twice = spark.createDataFrame([(1, "a", "x", None), (1, "b", "y", None)], MANUFACTURERS)
+    for mode in ("snapshot", "refresh"):
+        with pytest.raises(RuntimeError, match="occurs 2 times"):
+            load_dimension(spark, twice, "manufacturers", mode)
+
+
+def test_no_descriptions_in_the_seed(spark):
+    assert manufacturers_seed(spark).where("description is not null").count() == 0

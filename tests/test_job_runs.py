@@ -113,3 +113,54 @@ def test_pure_job_survives_extreme_values(spark, workdir):
     got = [json.loads(r.value) for r in spark.read.parquet(job.output).collect()]
     assert len(got) == 1 and got[0]["events_count"] == 2
     assert got[0]["avg_temperature"] > 1e299
+
+
+def test_compaction_job_keeps_the_latest_rows(spark, workdir):
+    from skein.streaming.sinks import compact_output, read_current
+
+    job = _start(spark, workdir, "table_upsert", LIFECYCLE[:4])
+    want = sorted(_key(r) for r in compact(read_changelog(spark, job.output)).collect())
+    versions = len([d for d in os.listdir(job.output) if d.startswith("version=")])
+    got = compact_output(spark, job.output)
+    assert sorted(_key(r) for r in got.collect()) == want and versions > 1
+    assert not [d for d in os.listdir(job.output) if d.startswith("version=")]
+    # A second run without new versions changes nothing; new versions count on top of the base.
+    assert sorted(_key(r) for r in compact_output(spark, job.output).collect()) == want
+    row = got.where("manufacturer_id = 1").first()
+    newer = spark.createDataFrame([row], got.schema).withColumn("events_count", F.lit(99).cast("long"))
+    newer.drop("version").write.parquet(f"{job.output}/version=1000")
+    after = {(r.window_start, r.manufacturer_id): r.events_count for r in read_current(spark, job.output).collect()}
+    assert after[(row.window_start, 1)] == 99 and len(after) == len(want)
+    assert {(r.window_start, r.manufacturer_id): r.events_count for r in compact_output(spark, job.output).collect()} == after
+    assert os.listdir(f"{job.output}_bases") == ["upto=1000"]
+
+
+def test_late_rows_stay_dropped_when_finalized(spark, workdir):
+    from skein.config import JOBS
+    from skein.sources.events import read_event_batch
+    from skein.streaming.jobs import finalize_bounded, first_open
+    from skein.streaming.metrics import final_watermark
+
+    batches = [[event(1, "18:20:00")], [event(1, "18:20:01")], [event(1, "18:13:10")], [event(1, "18:20:30")]]
+    job = _start(spark, workdir, "bridge", batches)
+    cfg = JOBS["bridge"]
+    since = first_open(spark, final_watermark(job.query), cfg)
+    assert since.strftime("%H:%M:%S") == "18:20:00"
+    events = read_event_batch(spark, os.path.join(workdir, "in"), cfg)
+    late = events.where(F.col("event_ts") >= F.lit(since))
+    got = finalize_bounded(spark, spark.read.schema(RESULT).parquet(job.output), late, dimension(spark), cfg)
+    assert [(r.window_start[11:16], r.events_count) for r in got.collect()] == [("18:20", 3)]
+
+
+def test_refreshed_dimension_keeps_counted_windows(spark, workdir):
+    """A manufacturer that leaves the dimension between counting and closing leaves its window without a name."""
+    from skein.config import EngineConfig
+    from skein.plans.pipeline import results
+    from skein.sources.events import read_event_batch
+
+    folder = stage_files(os.path.join(workdir, "in"), [[event(1, "18:13:10"), event(2, "18:13:20")]])
+    cfg = EngineConfig(dimension="refresh")
+    events = read_event_batch(spark, folder, cfg)
+    got = results(events, dimension(spark), cfg)
+    join = [p for p in got._jdf.queryExecution().analyzed().toString().split("\n") if "LeftOuter" in p]
+    assert join and got.count() == 2

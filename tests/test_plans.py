@@ -85,10 +85,62 @@ def test_streaming_plans(spark):
     assert update_tree.index("Filter") < update_tree.index("EventTimeWatermark")
 
 
-def test_sizing_conf():
-    from skein.session import sizing_conf
+def test_dim_upsert_scans_the_events_once(spark):
+    from skein.plans.queries import observed_sensors
+    from skein.operators.dimension import upsert_dimension
+    from skein.sources.dimensions import sensors_seed
 
-    big = sizing_conf(100 * 2**40, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "65536"
-    small = sizing_conf(2 * 2**20, 8)
-    assert small["spark.sql.shuffle.partitions"] == "16"
+    text = plan_text(upsert_dimension(sensors_seed(spark), observed_sensors(spark, SF01), ["sensor_id"]))
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text, flags=re.M)) == 1, text
+
+
+def test_no_job_runs_before_the_query(spark):
+    """Building the flagship's plan starts no job (no size probes)."""
+    sc = spark.sparkContext
+    sc.setJobGroup("probe", "plan only")
+    try:
+        df = REGISTRY["window_1min"](spark, SF01)
+        plan_text(df)
+        assert not sc.statusTracker().getJobIdsForGroup("probe")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_numbering_has_one_range_shuffle_and_narrow_totals(spark, workdir):
+    from skein.operators.results_reader import number_messages
+
+    msgs = spark.createDataFrame([("t", '{"k":1}', 0, 0)], "topic string, value string, partition int, offset long")
+    text = plan_text(number_messages(msgs, ["k"]))
+    assert "rangepartitioning" not in text  # the stored ranges are read, not dealt again
+    assert any("value" not in s for s in re.findall(r"ReadSchema: struct<(.*)>", text))
+
+
+def test_finalized_reads_open_events_only(spark):
+    import datetime as dt
+
+    from skein.plans.queries import table
+    from skein.sources.events import sensor_events_from_table
+    from pyspark.sql import functions as F
+
+    since = F.lit(str(dt.datetime(2024, 1, 1))).cast("timestamp_ntz")
+    text = plan_text(sensor_events_from_table(table(spark, SF01, "events").where(F.col("ts") >= since)))
+    assert "GreaterThanOrEqual(ts" in re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+
+
+def test_state_partitions_follow_the_input(spark):
+    from skein.session import default_parallelism, state_partitions
+
+    assert state_partitions(spark, f"{SF01}/events*.parquet") == default_parallelism(spark)
+    assert state_partitions(spark, f"{SF01}/events*.parquet", target_bytes=1000) > 100
+
+
+def test_cluster_session_needs_a_shared_folder():
+    import pytest
+
+    from skein.session import build_session, is_local
+
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://h"):
+        assert not is_local(master)
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            build_session(master=master)
+    assert is_local("local[4]") and is_local("local")
