@@ -92,49 +92,52 @@ def _asked(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([seen, other]), np.concatenate([n, np.zeros(len(other), dtype=np.int64)])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (block, key, train): each block's keys, mostly once."""
-    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-    size = 0
-
-    def out(block: int) -> Iterator[pa.RecordBatch]:
-        parts = held.pop(block)
-        keys, n = _sum(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
-        for lo in range(0, len(keys), 1 << 17):
-            k, c = keys[lo : lo + (1 << 17)], n[lo : lo + (1 << 17)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), block)), pa.array(k), pa.array(c)], names=["block", "key", "train"])
-
-    for batch in batches:
-        data, offsets = utf8(batch.column("text"))
-        blocks, train = batch.column("block").to_numpy(), batch.column("train").to_numpy(zero_copy_only=False)
-        turns = np.flatnonzero(np.diff(blocks)) + 1
-        for first, last in zip([0, *turns.tolist()], [*turns.tolist(), len(blocks)], strict=True):
-            for lo, hi in chunks(offsets[first : last + 1]):
-                lo, hi = lo + first, hi + first
-                part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-                t = train[lo:hi]
-                found = [_asked(x, t[d]) for x, d in (strings(part, at), tokens(part, at))]
-                found.append((np.array([END_WORD]), np.array([t.sum()])))
-                mine = held.setdefault(int(blocks[lo]), [])
-                mine += found
-                size += sum(len(k) for k, _ in found)
-                if len(mine) > 48:
-                    size -= sum(len(k) for k, _ in mine)
-                    mine[:] = [_sum(np.concatenate([k for k, _ in mine]), np.concatenate([c for _, c in mine]))]
-                    size += len(mine[0][0])
-                if size > HELD:
-                    for b in list(held):
-                        yield from out(b)
-                    size = 0
-    for b in list(held):
-        yield from out(b)
+def _count(order: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (block, key, train): each block's keys, mostly once."""
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size = 0
+
+        def out(block: int) -> Iterator[pa.RecordBatch]:
+            parts = held.pop(block)
+            keys, n = _sum(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
+            for lo in range(0, len(keys), 1 << 17):
+                k, c = keys[lo : lo + (1 << 17)], n[lo : lo + (1 << 17)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), block)), pa.array(k), pa.array(c)], names=["block", "key", "train"])
+
+        for batch in batches:
+            data, offsets = utf8(batch.column("text"))
+            blocks, train = batch.column("block").to_numpy(), batch.column("train").to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero(np.diff(blocks)) + 1
+            for first, last in zip([0, *turns.tolist()], [*turns.tolist(), len(blocks)], strict=True):
+                for lo, hi in chunks(offsets[first : last + 1]):
+                    lo, hi = lo + first, hi + first
+                    part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+                    t = train[lo:hi]
+                    found = [_asked(x, t[d]) for x, d in (strings(part, at, order), tokens(part, at))]
+                    found.append((np.array([END_WORD]), np.array([t.sum()])))
+                    mine = held.setdefault(int(blocks[lo]), [])
+                    mine += found
+                    size += sum(len(k) for k, _ in found)
+                    if len(mine) > 48:
+                        size -= sum(len(k) for k, _ in mine)
+                        mine[:] = [_sum(np.concatenate([k for k, _ in mine]), np.concatenate([c for _, c in mine]))]
+                        size += len(mine[0][0])
+                    if size > HELD:
+                        for b in list(held):
+                            yield from out(b)
+                        size = 0
+        for b in list(held):
+            yield from out(b)
+
+    return run
 
 
 class Table:
     """Numbers by 64-bit key, looked up for whole arrays."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.shift = np.uint64(64 - max(4, int(4 * max(1, len(keys))).bit_length()))
+        self.shift = np.uint64(64 - max(4, int(2 * max(1, len(keys))).bit_length()))
         self.size = 1 << (64 - int(self.shift))
         self.keys, self.values = np.zeros(self.size, dtype=np.int64), np.zeros(self.size)
         self.full = np.zeros(self.size, dtype=bool)
@@ -176,7 +179,7 @@ RESULT = T.StructType(
 )
 
 
-def _score(smooth: float, names: list[str]):
+def _score(smooth: float, names: list[str], order: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         keys, values = answers["key"].to_numpy(), answers["value"].to_numpy()
         of_words = keys < 0
@@ -204,7 +207,7 @@ def _score(smooth: float, names: list[str]):
                 out[0].append(np.bincount(d, minlength=m) + 1)
                 out[1].append(np.bincount(d[c > 0], minlength=m) + int(end > 0))
                 out[2].append(np.bincount(d, weights=np.log10(c + smooth), minlength=m) + math.log10(end + smooth))
-                s, d = strings(part, at)
+                s, d = strings(part, at, order)
                 out[3].append(np.bincount(d, weights=costs.get(s, np.nan), minlength=m))
         made = [np.concatenate(x) if x else np.zeros(0) for x in out]
         columns = [docs[c] for c in names] + [pa.array(made[0].astype(np.int64)), pa.array(made[1].astype(np.int64)), pa.array(made[2]), pa.array(made[3])]
@@ -295,7 +298,7 @@ def score(docs: DataFrame, train: Column, place: Column | None = None, smooth: f
     rows = blocks_of(rows, F.col("place") if place is not None else None, block_bytes)
     rows = rows.select("block", "doc_id", "text", "train")
     ship(spark)
-    asked = rows.select("block", "text", "train").mapInArrow(_count, "block long, key long, train long")
+    asked = rows.select("block", "text", "train").mapInArrow(_count(order), "block long, key long, train long")
     asked = stored(asked, "asked")
     of_words = asked.where("key < 0")
     costs = string_costs(asked.where("key >= 0").select("key", "train"), order)
@@ -315,7 +318,7 @@ def score(docs: DataFrame, train: Column, place: Column | None = None, smooth: f
     answers = said.unionByName(summed.where("key is not null").select("block", "key", "value"))
     names = ["doc_id", "train"]
     schema = T.StructType([rows.schema[c] for c in names] + RESULT.fields)
-    scored = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(smooth, names), schema)
+    scored = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(smooth, names, order), schema)
     below = math.log10(n + smooth * (v + 1))
     return scored.select(
         "doc_id",
