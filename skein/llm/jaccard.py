@@ -13,17 +13,22 @@ the join prunes by the triangle inequality at each level:
    (Between unrelated texts the plain Jaccard distance is close to 1, so
    document pivots alone have windows that hold everything; measured, see
    README.)
-3. *Documents.*  In each region the set with the least hash is the pivot; regions
-   with the same pivot are joined, and the exact distance of all their other
-   sets from it is computed.  Sets within the radius are linked to it and
-   need no comparison with each other.  The others, with the linked ones as
-   far as needed, fall into Voronoi rings as wide as the radius around the
-   pivot; a ring's cell gets the next ring replicated as its boundary, for
-   linked sets lie at most one ring apart.
+3. *Documents.*  Every set has a sketch: how many of its shingles fall into each
+   of as many buckets as it has shingles (a power of two).  The L1 distance of
+   sketches is a metric and never over the sets' symmetric difference.  In
+   each region the set with the least hash is the pivot; regions with the same
+   pivot are joined, and the sketch distance of all their other sets from it
+   is computed; where that is low enough, the exact Jaccard distance too.
+   Sets within the radius are linked to the pivot and need no comparison with
+   each other.  The others, with the linked ones as far as needed, fall into
+   Voronoi rings around the pivot, as wide as linked sets can differ; a ring's
+   cell gets the next ring replicated as its boundary, for linked sets lie at
+   most one ring apart.
 4. *Recursion.*  A cell with more than ``CELL`` members chooses its own pivot
    and goes through step 3 again, up to ``DEPTH`` times; then it is cut into
-   blocks, and pairs of blocks are compared.  Smaller cells are compared in
-   one task by a product of their membership matrices.
+   blocks, and pairs of blocks are compared.  In a cell, all sketches are
+   compared; sets whose sketches are near form groups, and the groups are
+   compared exactly by a product of their membership matrices.
 
 Nothing is capped: every pair of linked sets meets in some region, is either
 compared or known to have a common neighbour.  Sets that are equal are one
@@ -39,9 +44,11 @@ least id (null ids are left aside, and a component of null ids has null).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,10 +59,10 @@ from skein.llm.components import components
 #: A band's upper size as a multiple of its lower one.
 BAND = 1.5
 #: Members of a cell that one task compares, and levels of document pivots.
-CELL = 1500
+CELL = 1000
 DEPTH = 2
-#: Bits of the filter of documents whose sets are needed again (1 MB, whatever the input).
-FILTER_WORDS = 1 << 17
+#: 64-bit words of the filters that tell tasks which parts and sets are needed again: 4 MB, whatever the input.
+FILTER_WORDS = 1 << 19
 
 
 def _edges() -> np.ndarray:
@@ -105,39 +112,78 @@ def signatures(x: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def _profiles(size: int, num: int, den: int):
-    def step(texts: pa.Array):
-        counts, prints, ends, flat = [], [], [0], []
-        for x in _sets(texts, size):
-            counts.append(len(x))
-            prints.append(int((mix(x ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) + np.uint64(len(x))).view(np.int64)))
-            sig = signatures(x, num, den)
-            flat.append(sig)
-            ends.append(ends[-1] + len(sig))
-        values = (np.concatenate(flat) if flat else np.zeros(0, dtype=np.uint64)).view(np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(values, type=pa.int64()))
-        return [pa.array(counts, type=pa.int64()), pa.array(prints, type=pa.int64()), lists]
+def level_of(n: int) -> int:
+    """A sketch of n shingles has 2^level buckets: one or two shingles in each."""
+    return max(0, n.bit_length() - 1)
 
-    return step
 
+def sketch(x: np.ndarray) -> bytes:
+    """Shingles in each bucket, a byte each (empty: no sketch, as a bucket has over 255)."""
+    k = level_of(len(x))
+    counts = np.bincount((x >> np.uint64(64 - k)).astype(np.int64) if k else np.zeros(len(x), dtype=np.int64), minlength=1 << k)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
 
-def profiles(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, fp (a hash of the set) and sigs (hashes of its parts)."""
-    fields = [T.StructField("n_shingles", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("sigs", T.ArrayType(T.LongType()))]
-    return append(docs, ["text"], lambda: _profiles(size, num, den), fields, keep=["doc_id"])
 
+def coarser(counts: np.ndarray, buckets: int) -> np.ndarray:
+    """The sketch with fewer buckets: neighbours are added."""
+    return counts.reshape(buckets, -1).sum(axis=1, dtype=np.int32)
 
-def _contents(size: int, bits: np.ndarray):
-    def step(texts: pa.Array, at: pa.Array):
-        place = at.to_numpy(zero_copy_only=False)
-        wanted = (bits[place >> 6].view(np.uint64) >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
-        found: list[bytes | None] = [None] * len(texts)
-        which = np.flatnonzero(wanted)
-        for i, x in zip(which.tolist(), _sets(texts.take(pa.array(which)), size), strict=True):
-            found[i] = x.tobytes()
-        return [pa.array(found, type=pa.binary())]
 
-    return step
+def fingerprint(x: np.ndarray) -> int:
+    """A hash of the set."""
+    return int((mix(x ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) + np.uint64(len(x))).view(np.int64))
+
+
+def profiles(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, n_shingles, fp (a hash of the set) and sketch."""
+
+    def step(texts: pa.Array):
+        made = [(len(x), fingerprint(x), sketch(x)) for x in _sets(texts, size)]
+        return [pa.array([m[i] for m in made], type=k) for i, k in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+
+    fields = [T.StructField("n_shingles", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("sketch", T.BinaryType())]
+    return append(docs, ["text"], lambda: step, fields, keep=["doc_id"])
+
+
+def regions_of(docs: DataFrame, size: int, num: int, den: int, only: Broadcast | None = None) -> DataFrame:
+    """(region, fp): the parts of each document's set; with ``only``, a filter of ``_marks``, those it lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            regions, fps, held = [], [], 0
+            for x in _sets(batch.column(0), size):
+                sig = signatures(x, num, den)
+                if only is not None:
+                    sig = sig[_marked(only.value, sig.view(np.int64))]
+                regions.append(sig)
+                fps.append(np.full(len(sig), fingerprint(x), dtype=np.int64))
+                held += len(sig)
+                if held > 1 << 17:
+                    yield _rows(regions, fps)
+                    regions, fps, held = [], [], 0
+            if held:
+                yield _rows(regions, fps)
+
+    def _rows(regions: list[np.ndarray], fps: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(regions).view(np.int64)), pa.array(np.concatenate(fps))], names=["region", "fp"])
+
+    ship(docs.sparkSession)
+    return docs.where("doc_id is not null").select("text").mapInArrow(run, "region long, fp long")
+
+
+def _marks(keys: DataFrame, key: str) -> Broadcast:
+    """A filter of fixed size (FILTER_WORDS * 64 bits) that lets all of the keys through, and few others."""
+    spot = F.pmod(F.xxhash64(key), F.lit(FILTER_WORDS * 64)) if key != "region" else F.pmod(F.col(key), F.lit(FILTER_WORDS * 64))
+    marks = keys.select(spot.alias("p")).select((F.col("p") / 64).cast("long").alias("w"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("b"))
+    found = marks.groupBy("w").agg(F.expr("bit_or(b)").alias("b")).toArrow()  # FILTER_WORDS rows at most
+    bits = np.zeros(FILTER_WORDS, dtype=np.int64)
+    bits[found["w"].to_numpy()] = found["b"].to_numpy()
+    return keys.sparkSession.sparkContext.broadcast(bits)
+
+
+def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys % (FILTER_WORDS * 64)
+    return (bits[place >> 6].view(np.uint64) >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
 def contents(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -145,19 +191,22 @@ def contents(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     A filter of fixed size keeps most other documents from being computed and shuffled.
     """
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_WORDS * 64))
-    marks = wanted.select(spot.alias("p")).select((F.col("p") / 64).cast("long").alias("w"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("b"))
-    bits = np.zeros(FILTER_WORDS, dtype=np.int64)
-    for r in marks.groupBy("w").agg(F.expr("bit_or(b)").alias("b")).collect():  # FILTER_WORDS rows at most
-        bits[r.w] = r.b
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-    rows = docs.select("doc_id", "text", spot.alias("_spot")).where("doc_id is not null")
-    found = append(rows, ["text", "_spot"], lambda: _contents(size, shared.value), [T.StructField("x", T.BinaryType())], keep=["doc_id"])
-    return found.where("x is not null").join(wanted, "doc_id").select("fp", "x")
+    shared = _marks(wanted, "doc_id")
+
+    def step(texts: pa.Array, at: pa.Array):
+        found: list[bytes | None] = [None] * len(texts)
+        which = np.flatnonzero(_marked(shared.value, at.to_numpy(zero_copy_only=False)))
+        for i, x in zip(which.tolist(), _sets(texts.take(pa.array(which)), size), strict=True):
+            found[i] = x.tobytes()
+        return [pa.array(found, type=pa.binary())]
+
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("_hash")).where("doc_id is not null")
+    found = append(rows, ["text", "_hash"], lambda: step, [T.StructField("x", T.BinaryType())], keep=["doc_id"])
+    return found.where("x is not null").join(wanted, "doc_id").select("fp", "x").dropDuplicates(["fp"])
 
 
 def _common(rows: DataFrame) -> DataFrame:
-    """(pivot, fp, both, all): sizes of the intersection and the union of the sets x and y."""
+    """(pivot, fp, both, either): sizes of the intersection and the union of the sets x and y."""
 
     def step(xs: pa.Array, ys: pa.Array):
         both, either = [], []
@@ -175,83 +224,154 @@ def _common(rows: DataFrame) -> DataFrame:
     return append(rows, ["x", "y"], lambda: step, fields, keep=["pivot", "fp"])
 
 
-def _compare_cell(num: int, den: int):
-    """Links inside one pair of blocks of a cell: enough of them to join what is linked."""
+def _join_up(n: int, pairs: Iterator[tuple[int, int]]) -> tuple[list[int], list[tuple[int, int]]]:
+    """Each member's group, and as many of the pairs as join the groups."""
+    parent, used = list(range(n)), []
+
+    def top(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, j in pairs:
+        if (p := top(i)) != (q := top(j)):
+            parent[p] = q
+            used.append((i, j))
+    return [top(i) for i in range(n)], used
+
+
+def _near_sketches(num: int, den: int):
+    """The groups of a pair of blocks of a cell: sets with a chain of near sketches, of which no link of two
+    sets linked to the cell's pivot is needed."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        linked, primary, block = (table[c].to_numpy() for c in ("linked", "primary", "block"))
+        fps, sizes = table["fp"].to_numpy(), table["n_shingles"].to_numpy()
+        order = np.argsort(sizes, kind="stable")
+        linked, primary, block, fps, sizes = (v[order] for v in (linked, primary, block, fps, sizes))
+        raw = [np.frombuffer(v.as_buffer(), dtype=np.uint8) for v in table["sketch"].combine_chunks().take(pa.array(order))]
+        buckets = min(len(r) for r in raw)  # 0: a set has no sketch, so all pairs of a fitting size are near
+        counts = np.stack([coarser(r, buckets) for r in raw]).astype(np.int16) if buckets else np.zeros((len(raw), 1), dtype=np.int16)
+        mixed = len(set(block.tolist())) > 1
+
+        def pairs() -> Iterator[tuple[int, int]]:
+            for i in range(len(raw) - 1):
+                # The sets after it that aren't too large.
+                end = int(np.searchsorted(sizes, sizes[i] * den // num, side="right"))
+                if end <= i + 1:
+                    continue
+                apart = np.abs(counts[i + 1 : end] - counts[i]).sum(axis=1, dtype=np.int64)
+                near = apart * (den + num) <= (den - num) * (sizes[i + 1 : end] + sizes[i])
+                near &= ~(linked[i + 1 : end] & linked[i]) & (primary[i + 1 : end] | primary[i])
+                if mixed:
+                    near &= block[i + 1 : end] != block[i]
+                for j in np.flatnonzero(near).tolist():
+                    yield i, i + 1 + j
+
+        group, _ = _join_up(len(raw), pairs())
+        of = np.array(group)
+        kept = np.flatnonzero(np.bincount(of, minlength=len(of))[of] > 1)
+        seed = np.uint64((key[0].as_py() * 31 + key[1].as_py() * 1000003 + key[2].as_py()) & 0xFFFFFFFFFFFFFFFF)
+        return pa.table({"cell": pa.array(mix(fps[of[kept]].view(np.uint64) ^ mix(np.array([seed])))).view(pa.int64()), "fp": fps[kept], "linked": linked[kept]})
+
+    return run
+
+
+def _compare(num: int, den: int):
+    """Links inside a group: enough of them to join what is linked."""
 
     def run(table: pa.Table) -> pa.Table:
-        block = table["block"].to_numpy()
-        linked, primary = table["linked"].to_numpy(), table["primary"].to_numpy()
-        fps = table["fp"].to_numpy()
+        linked, fps = table["linked"].to_numpy(), table["fp"].to_numpy()
         xs = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in table["x"].combine_chunks()]
         sizes = np.array([len(x) for x in xs], dtype=np.int64)
-        values, inverse, counts = np.unique(np.concatenate(xs), return_inverse=True, return_counts=True)
+        _, inverse, counts = np.unique(np.concatenate(xs), return_inverse=True, return_counts=True)
         shared = np.cumsum(counts > 1) - 1
-        row = np.repeat(np.arange(len(xs)), sizes)
         use = counts[inverse] > 1
-        row, col = row[use], shared[inverse[use]]
+        row, col = np.repeat(np.arange(len(xs)), sizes)[use], shared[inverse[use]]
         width = int(shared[-1]) + 1 if len(shared) else 0
         both = np.zeros((len(xs), len(xs)), dtype=np.float32)
-        step = 4096
-        for lo in range(0, width, step):
-            part = (col >= lo) & (col < lo + step)
-            m = np.zeros((len(xs), min(step, width - lo)), dtype=np.float32)
+        for lo in range(0, width, 4096):
+            part = (col >= lo) & (col < lo + 4096)
+            m = np.zeros((len(xs), min(4096, width - lo)), dtype=np.float32)
             m[row[part], col[part] - lo] = 1
             both += m @ m.T
         n = both.astype(np.int64)
         near = den * n >= num * (sizes[:, None] + sizes[None, :] - n)
-        near &= ~(linked[:, None] & linked[None, :]) & (primary[:, None] | primary[None, :])
-        if len(set(block.tolist())) > 1:
-            near &= block[:, None] != block[None, :]
+        near &= ~(linked[:, None] & linked[None, :])
         a, b = np.nonzero(np.triu(near, 1))
-        parent = list(range(len(xs)))
+        _, links = _join_up(len(xs), zip(a.tolist(), b.tolist(), strict=True))
+        return pa.table({"u": pa.array([int(fps[i]) for i, _ in links], type=pa.int64()), "v": pa.array([int(fps[j]) for _, j in links], type=pa.int64())})
 
-        def top(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
+    return run
 
-        links = []
-        for i, j in zip(a.tolist(), b.tolist(), strict=True):
-            if (p := top(i)) != (q := top(j)):
-                parent[p] = q
-                links.append((int(fps[i]), int(fps[j])))
-        return pa.table({"u": pa.array([u for u, _ in links], type=pa.int64()), "v": pa.array([v for _, v in links], type=pa.int64())})
 
-    return run
+def _apart(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """``rows`` (region, level, pivot, fp) with sizes and sketches (n, sketch; pn, psketch) becomes region,
+    level, pivot, fp, n, apart (at the region's level) and near (the sketches, as fine as both are, allow a link)."""
 
+    def step(level: pa.Array, n: pa.Array, pn: pa.Array, xs: pa.Array, ps: pa.Array):
+        levels, apart, near = [], [], []
+        for given, a, b, x, y in zip(level.to_pylist(), n.to_pylist(), pn.to_pylist(), xs, ps, strict=True):
+            # The sizes in a region differ by less than a factor of two from its first pivot's.
+            k = max(0, level_of(b) - 1) if given is None else given
+            u, v = np.frombuffer(x.as_buffer(), dtype=np.uint8), np.frombuffer(y.as_buffer(), dtype=np.uint8)
+            levels.append(k)
+            if not len(u) or not len(v):
+                apart.append(0)
+                near.append(den * min(a, b) >= num * max(a, b))
+                continue
+            m = min(len(u), len(v))
+            d = int(np.abs(coarser(u, m) - coarser(v, m)).sum())
+            near.append(den * min(a, b) >= num * max(a, b) and d * (den + num) <= (den - num) * (a + b))
+            m = min(m, 1 << k)
+            apart.append(int(np.abs(coarser(u, m) - coarser(v, m)).sum()))
+        return [pa.array(levels, type=pa.int32()), pa.array(apart, type=pa.int64()), pa.array(near, type=pa.bool_())]
 
-def _distances(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exact intersections of each region's members with its pivot, each pair of sets once."""
-    pairs = members.where("fp != pivot").select("pivot", "fp").distinct()
-    left = pairs.join(sets, "fp")
-    return _common(left.join(sets.select(F.col("fp").alias("pivot"), F.col("x").alias("y")), "pivot"))
+    fields = [T.StructField("level", T.IntegerType()), T.StructField("apart", T.LongType()), T.StructField("near", T.BooleanType())]
+    return append(rows, ["level", "n", "pn", "sketch", "psketch"], lambda: step, fields, keep=["region", "pivot", "fp", "n"])
 
 
-def _rings(members: DataFrame, near: DataFrame, num: int, den: int) -> DataFrame:
-    """Cells (region, fp, linked, primary) of what is still to be compared after a round of pivots."""
-    ring = F.floor(F.lit(den) * (F.col("either") - F.col("both")) / (F.lit(den - num) * F.col("either")))
-    rows = members.where("fp != pivot").join(near, ["pivot", "fp"])
-    linked = F.lit(den) * F.col("both") >= F.lit(num) * F.col("either")
-    rows = rows.select("region", "fp", ring.alias("ring"), linked.alias("linked"))
-    # A ring is its own cell's primary part and the boundary of the cell below.
-    cells = rows.select(
-        "region", "fp", "linked", "ring", F.explode(F.when(F.col("ring") > 0, F.array(F.col("ring"), F.col("ring") - 1)).otherwise(F.array("ring"))).alias("cell")
+def _sketched(members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    one = classes.select("fp", F.col("n_shingles").alias("n"), "sketch")
+    pivot = classes.select(F.col("fp").alias("pivot"), F.col("n_shingles").alias("pn"), F.col("sketch").alias("psketch"))
+    return _apart(members.where("fp != pivot").join(one, "fp").join(pivot, "pivot"), num, den)
+
+
+def _exact(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Exact intersections of pairs (pivot, fp)."""
+    return _common(pairs.join(sets, "fp").join(sets.select(F.col("fp").alias("pivot"), F.col("x").alias("y")), "pivot"))
+
+
+def _rings(rows: DataFrame, linked: DataFrame, num: int, den: int) -> DataFrame:
+    """Cells (region, level, fp, linked, primary, n) of what is still to be compared after a round of pivots.
+
+    ``rows``: what ``_apart`` gives; ``linked``: the pairs (pivot, fp) that are linked.
+    """
+    rows = rows.join(linked.withColumn("linked", F.lit(True)), ["pivot", "fp"], "left").withColumn("linked", F.coalesce("linked", F.lit(False)))
+    # As far as two linked sets of the region can differ.
+    most = rows.groupBy("region").agg(
+        F.floor(F.lit(2 * (den - num)) * F.max("n") / F.lit(den + num)).alias("width"), F.count("*").alias("all"), F.min("linked").alias("shut")
     )
-    cells = cells.select(F.xxhash64("region", "cell").alias("region"), "fp", "linked", (F.col("ring") == F.col("cell")).alias("primary"))
+    rows = rows.join(most.where("all > 1 and not shut").select("region", F.greatest("width", F.lit(1)).alias("width")), "region")
+    ring = F.floor(F.col("apart") / F.col("width"))
+    # A ring is its own cell's primary part and the boundary of the cell below.
+    both = F.when(ring > 0, F.array(ring, ring - 1)).otherwise(F.array(ring))
+    cells = rows.select("region", "level", "fp", "linked", ring.alias("ring"), F.explode(both).alias("cell"))
+    cells = cells.select(F.xxhash64("region", "cell").alias("region"), "level", "fp", "linked", (F.col("ring") == F.col("cell")).alias("primary"))
     size = cells.groupBy("region").agg(F.count("*").alias("n"), F.max("primary").alias("some"), F.min("linked").alias("shut")).where("n > 1 and some and not shut")
     return cells.join(size.select("region", "n"), "region")
 
 
-def _leaves(cells: DataFrame, sets: DataFrame, num: int, den: int, cell: int) -> DataFrame:
-    """Links found in the cells, cut into blocks of about ``cell`` members of which each pair is compared."""
+def _groups(cells: DataFrame, classes: DataFrame, num: int, den: int, cell: int) -> DataFrame:
+    """(cell, fp, linked): groups of sets with near sketches; cells are cut into blocks of about ``cell``
+    members, of which each pair is looked at."""
     blocks = F.ceil(F.col("n") / cell).cast("int")
-    own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-    rows = cells.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = cells.withColumn("block", F.pmod(F.xxhash64("fp"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.select("region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "linked", "primary")
     ship(cells.sparkSession)
-    schema = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
-    return rows.join(sets, "fp").groupBy("region", "i", "j").applyInArrow(_compare_cell(num, den), schema)
+    rows = rows.join(classes.select("fp", "n_shingles", "sketch"), "fp")
+    return rows.groupBy("region", "i", "j").applyInArrow(_near_sketches(num, den), "cell long, fp long, linked boolean")
 
 
 def linked_sets(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, cell: int = CELL, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
@@ -260,36 +380,41 @@ def linked_sets(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, c
     Two sets link when ``den`` * intersection >= ``num`` * union.
     """
     docs = docs.select("doc_id", "text")
-    prof = stored(profiles(docs, size, num, den), "profiles")
+    prof = stored(profiles(docs, size), "profiles")
     some = prof.where("n_shingles > 0 and doc_id is not null")
-    # One row a class: equal sets have equal signatures.
-    classes = some.select("fp", "sigs").dropDuplicates(["fp"])
     reps = some.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    parts = classes.select("fp", F.explode("sigs").alias("region"))
-    pivots = parts.groupBy("region").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last")).where("pivot != last").drop("last")
+    pivots = regions_of(docs, size, num, den).groupBy("region").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last")).where("pivot != last")
+    pivots = stored(pivots.drop("last"), "pivots")
+    # The parts are computed again rather than kept: a filter lets few others than the shared ones through.
+    parts = regions_of(docs, size, num, den, _marks(pivots, "region")).distinct()
     # Regions with the same pivot set become one: a pair that shares several parts is then compared once.
-    members = parts.join(pivots, "region").select(F.col("pivot").alias("region"), "pivot", "fp").distinct()
-    members = stored(members, "regions")
-    wanted = members.select("fp").distinct().join(reps, "fp")
-    sets = stored(contents(docs, wanted, size).dropDuplicates(["fp"]), "sets")
+    members = stored(parts.join(pivots, "region").select("pivot", "fp").distinct(), "regions")
+    members = members.select(F.col("pivot").alias("region"), F.lit(None).cast("int").alias("level"), "pivot", "fp")
+    # Equal sets are one class.
+    classes = some.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", "n_shingles", "sketch").dropDuplicates(["fp"])
+    classes = stored(classes, "classes")
     close = F.lit(den) * F.col("both") >= F.lit(num) * F.col("either")
-    links = []
+    links, groups, one = [], [], ["pivot", "fp"]
     for level in range(depth):
-        near = stored(_distances(members, sets), "distances")
-        links.append(near.where(close).select(F.col("pivot").alias("u"), F.col("fp").alias("v")))
-        cells = stored(_rings(members, near, num, den), "cells")
-        big = F.col("n") > cell
-        last = level + 1 == depth
-        links.append(_leaves(cells if last else cells.where(~big), sets, num, den, cell))
+        rows = stored(_sketched(members, classes, num, den), "sketched")
+        pairs = rows.where("near").select(one).distinct()
+        needed = pairs.select("pivot").union(pairs.select("fp")).distinct().select(F.col("pivot").alias("fp"))
+        sets = stored(contents(docs, needed.join(reps, "fp"), size), "sets")
+        linked = stored(_exact(pairs, sets).where(close).select(one), "linked")
+        links.append(linked.select(F.col("pivot").alias("u"), F.col("fp").alias("v")))
+        cells = stored(_rings(rows, linked, num, den), "cells")
+        big, last = F.col("n") > cell, level + 1 == depth
+        groups.append(_groups(cells if last else cells.where(~big), classes, num, den, cell))
         if last or cells.where(big).isEmpty():
             break
         # Large cells choose new pivots among the sets without a link to the old one.
-        cells = cells.where(big).select("region", "fp", "linked")
+        cells = cells.where(big).select("region", "level", "fp", "linked")
         pivots = cells.groupBy("region").agg(F.min(F.when(~F.col("linked"), F.col("fp"))).alias("pivot"))
-        members = stored(cells.join(pivots, "region").select("region", "pivot", "fp"), "regions")
-    found = links[0]
-    for more in links[1:]:
-        found = found.unionByName(more)
+        members = stored(cells.join(pivots, "region").select("region", "level", "pivot", "fp"), "regions")
+    near = stored(reduce(DataFrame.unionByName, groups), "groups")
+    sets = contents(docs, near.select("fp").distinct().join(reps, "fp"), size)
+    links.append(near.join(sets, "fp").groupBy("cell").applyInArrow(_compare(num, den), "u long, v long"))
+    found = reduce(DataFrame.unionByName, links)
     found = found.join(reps.select(F.col("fp").alias("u"), F.col("doc_id").alias("a")), "u").join(reps.select(F.col("fp").alias("v"), F.col("doc_id").alias("b")), "v")
     return prof.select("doc_id", "n_shingles", "fp"), found.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -299,7 +424,8 @@ def component_ids(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100,
     prof, links = linked_sets(docs, size, num, den, **options)
     comp = components(links).select(F.col("u").alias("rep"), F.col("v").alias("least"))
     reps = prof.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    to = reps.join(comp, "rep", "left").select("fp", F.coalesce("least", "rep").alias("component_id"))
+    # Stored, so that the join with all documents shuffles both sides, and a class with very many copies can be split.
+    to = stored(reps.join(comp, "rep", "left").select("fp", F.coalesce("least", "rep").alias("component_id")), "classes")
     alone = prof.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return prof.where("n_shingles > 0").join(to, "fp").select("doc_id", "n_shingles", "component_id").unionByName(alone)
 
