@@ -10,8 +10,10 @@ result is the model's own segmentation.  A character without a piece becomes
 its UTF-8 bytes' pieces, and so does the word-begin mark itself where a text
 holds it; so every text decodes to itself.
 
-No piece with other characters goes on across a space or a line end, so each
-word is encoded alone.  Its segmentation depends on the seed, the word and
+No piece with other characters goes on across a space or a line end, and, where
+the vocabulary has none that does, none joins Latin letters and digits with
+other characters; so a text falls into words that are encoded alone.  A word's
+segmentation depends on the seed, the word and
 one of ``variants`` numbers, which go round from word to word from a start
 that the seed and the text give; so a word's segmentations vary within and
 across texts, and equal words with equal numbers are encoded once per task.
@@ -25,6 +27,8 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
+from array import array
 from hashlib import blake2b, sha256
 
 import numpy as np
@@ -38,11 +42,18 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 DROPOUT = 0.1
 VARIANTS = 4
-#: Words kept encoded in a task, and the longest one.
-CACHED = 150_000
+#: Words kept encoded in a worker (about 200 bytes each, in two generations), and the longest one.
+CACHED = 1_600_000
 LONGEST = 48
 
-WORD = re.compile(r" *[^ \n]+| +|\n+")
+#: In place of an id: no piece (or no merge), and merged into the piece before.
+NONE, GONE = -1, -2
+DRAWS = struct.Struct("<16I").unpack
+
+#: Latin letters and digits, and the words of a text: with pieces that join these with others, and without.
+LATIN = "0-9A-Za-zÀ-ÖØ-öø-ɏ"
+JOINED = r" *[^ \n]+| +|\n+"
+APART = rf" *[{LATIN}]+| *[^ \n{LATIN}]+| +|\n+"
 
 
 class Vocabulary:
@@ -67,20 +78,37 @@ class Vocabulary:
             else:
                 self.pieces[piece] = i
                 self.content.append(piece.replace(MARK, " ").encode())
+        # Merges by the ids of both sides: the made piece's rank (equal for equal scores) and id.
+        ranks = {r: k for k, r in enumerate(sorted({self.rank[i] for i in self.pieces.values()}))}
+        self.characters = {p: i for p, i in self.pieces.items() if len(p) == 1 and p != MARK}
+        if MARK in self.pieces:
+            self.characters[" "] = self.pieces[MARK]  # the mark as such is no space
+        self.pairs = {
+            self.pieces[p[:k]] << 17 | self.pieces[p[k:]]: ranks[self.rank[i]] << 17 | i
+            for p, i in self.pieces.items()
+            for k in range(1, len(p))
+            if p[:k] in self.pieces and p[k:] in self.pieces
+        }
         crossing = [p for p in self.pieces if len(p) > 1 and ("\n" in p or MARK in p.lstrip(MARK))]
         if crossing:
             raise ValueError("the model has pieces across words; encode whole texts as one word instead")
+        latin = re.compile(f"[{LATIN}]").match
+        mixed = any(bool(latin(a)) != bool(latin(b)) for p in self.pieces for a, b in zip(p.lstrip(MARK), p.lstrip(MARK)[1:], strict=False))
+        self.words = JOINED if mixed else APART
 
 
 class Encoder:
     """Encodes words of one seed."""
 
-    def __init__(self, vocabulary: Vocabulary, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS):
+    def __init__(self, vocabulary: Vocabulary, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS, cached: int = CACHED):
         self.v, self.seed, self.variants = vocabulary, seed, variants if dropout else 1
+        self.cached = cached
         self.key = seed.to_bytes(8, "little", signed=True)
         self.below = int(dropout * (1 << 32))
         self.cache: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.older: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.size = 0
+        self.words = re.compile(vocabulary.words).findall
         content = [np.frombuffer(c, dtype=np.uint8) for c in vocabulary.content]
         self.lengths = np.array([len(c) for c in content], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
@@ -88,60 +116,66 @@ class Encoder:
 
     def word(self, word: str, variant: int) -> list[int]:
         """Ids of a word (spaces in front included)."""
-        pieces, rank = self.v.pieces, self.v.rank
-        # The mark as such is no space: it may not merge.
-        part: list[str | None] = [MARK if c == " " else c for c in word]
-        plain = [c != MARK for c in word] if MARK in word else None
-        n = len(part)
-        agenda: list[tuple[float, int, int, int, str]] = []
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-
-        def offer(i: int, j: int) -> None:
-            both = part[i] + part[j]
-            if (p := pieces.get(both)) is not None and (plain is None or (plain[i] and plain[j])):
-                agenda.append((rank[p], i, j, p, both)) if heaped is False else heapq.heappush(agenda, (rank[p], i, j, p, both))
-
-        heaped = False
-        for i in range(n - 1):
-            offer(i, i + 1)
+        pairs, characters, n = self.v.pairs.get, self.v.characters.get, len(word)
+        ids = [characters(c, NONE) for c in word]
+        # What the pair that begins at each place would make: its rank and id; below 0 none.
+        makes = [pairs(a << 17 | b, NONE) for a, b in zip(ids, ids[1:], strict=False)]
+        makes.append(NONE)
+        shift = n.bit_length()
+        agenda = [(m >> 17) << shift | i for i, m in enumerate(makes) if m >= 0]
         if agenda:
             heapq.heapify(agenda)
-            heaped = True
-            below = self.below
-            if below:
-                mixed = int.from_bytes(blake2b(word.encode(), digest_size=8, key=self.key, salt=variant.to_bytes(8, "little")).digest(), "little")
+            pop, push, below, here = heapq.heappop, heapq.heappush, self.below, (1 << shift) - 1
+            draws: tuple[int, ...] = ()
+            turn = last = 0
+            raw, salt = word.encode(), variant.to_bytes(8, "little")
+            after, before = list(range(1, n + 1)), list(range(-1, n - 1))
             while agenda:
-                _, i, j, p, both = heapq.heappop(agenda)
-                left, right = part[i], part[j]
-                if left is None or right is None or after[i] != j or len(left) + len(right) != len(both):
-                    continue
+                x = pop(agenda)
+                i = x & here
+                m = makes[i]
+                if m < 0 or m >> 17 != x >> shift:
+                    continue  # the pair is gone
                 if below:
-                    x = (mixed ^ (i * 0x9E3779B97F4A7C15 + p * 0xC2B2AE3D27D4EB4F)) & 0xFFFFFFFFFFFFFFFF
-                    x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
-                    if x >> 32 < below:
+                    if turn == last:  # 16 numbers more, one for each candidate that the agenda gives
+                        draws = DRAWS(blake2b(raw, key=self.key, salt=salt, person=last.to_bytes(8, "little")).digest())
+                        last += 16
+                    turn += 1
+                    if draws[turn & 15] < below:
+                        makes[i] = NONE
                         continue
-                part[i], part[j] = both, None
+                made, j = m & 0x1FFFF, after[i]
+                ids[i], ids[j], makes[j] = made, GONE, NONE
                 k = after[i] = after[j]
                 if k < n:
                     before[k] = i
-                    offer(i, k)
-                if before[i] >= 0:
-                    offer(before[i], i)
+                    m = makes[i] = pairs(made << 17 | ids[k], NONE)
+                    if m >= 0:
+                        push(agenda, (m >> 17) << shift | i)
+                else:
+                    makes[i] = NONE
+                if (h := before[i]) >= 0:
+                    m = makes[h] = pairs(ids[h] << 17 | made, NONE)
+                    if m >= 0:
+                        push(agenda, (m >> 17) << shift | h)
+        if NONE not in ids:
+            return [p for p in ids if p >= 0]
         out: list[int] = []
-        for i, c in enumerate(part):
-            if c is not None:
-                p = pieces.get(c) if plain is None or plain[i] else None
-                out += [p] if p is not None else [self.v.bytes[b] for b in word[i].encode()]
+        for i, p in enumerate(ids):
+            if p >= 0:
+                out.append(p)
+            elif p == NONE:
+                out += [self.v.bytes[b] for b in word[i].encode()]
         return out
 
     def encoded(self, word: str, variant: int) -> bytes:
         """A word's ids as bytes, kept for its next occurrence."""
-        ids = np.array(self.word(word, variant), dtype="<i4").tobytes()
+        ids = self.older[variant].get(word)
+        if ids is None:
+            ids = array("i", self.word(word, variant)).tobytes()
         if len(word) <= LONGEST:
-            if self.size >= CACHED * self.variants:
-                for c in self.cache:
-                    c.clear()
-                self.size = 0
+            if self.size >= self.cached // 2:
+                self.older, self.cache, self.size = self.cache, [{} for _ in range(self.variants)], 0
             self.cache[variant][word] = ids
             self.size += 1
         return ids
@@ -149,7 +183,7 @@ class Encoder:
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, dtype="<i4")
-        found, turn = WORD.findall(" " + text), self.variants
+        found, turn = self.words(" " + text), self.variants
         at = int.from_bytes(blake2b(text.encode(), digest_size=4, key=self.key).digest(), "little") % turn
         made: list[bytes] = [b""] * len(found)
         for k in range(turn):
@@ -157,10 +191,9 @@ class Encoder:
             get, mine = self.cache[v].get, found[k::turn]
             ids = [get(w) for w in mine]
             if None in ids:
-                ids = [x if x is not None else (get(w) or self.encoded(w, v)) for x, w in zip(ids, mine, strict=True)]
-                get = self.cache[v].get
+                ids = [x if x is not None else self.cache[v].get(w) or self.encoded(w, v) for x, w in zip(ids, mine, strict=True)]
             made[k::turn] = ids
-        return np.frombuffer(b"".join(made), dtype="<i4")
+        return np.frombuffer(b"".join(made), dtype=np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         if not len(ids):
@@ -177,12 +210,12 @@ class Encoder:
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def _encoder(shared, seed: int, dropout: float, variants: int) -> Encoder:
+def _encoder(shared, seed: int, dropout: float, variants: int, cached: int) -> Encoder:
     """One encoder a worker and setting, so that its words outlive a task."""
-    key = (seed, dropout, variants, len(shared.value.pieces))
+    key = (seed, dropout, variants, cached, len(shared.value.pieces))
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(shared.value, seed, dropout, variants)
+        _ENCODERS[key] = Encoder(shared.value, seed, dropout, variants, cached)
     return _ENCODERS[key]
 
 
@@ -190,12 +223,12 @@ def _broadcast(spark: SparkSession, model: str):
     return spark.sparkContext.broadcast(Vocabulary(model))
 
 
-def encode(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS, text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS, text: str = "text", cached: int = CACHED) -> DataFrame:
     """``docs`` with ``piece_ids``."""
     shared = _broadcast(docs.sparkSession, model)
 
     def start():
-        e = _encoder(shared, seed, dropout, variants)
+        e = _encoder(shared, seed, dropout, variants, cached)
 
         def step(texts: pa.Array):
             ids = [None if t is None else e.encode(t) for t in texts.to_pylist()]
@@ -233,7 +266,7 @@ REPORT = [
 ]
 
 
-def report(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def report(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS, text: str = "text", keep: list[str] | None = None, cached: int = CACHED) -> DataFrame:
     """``docs`` with what encoding and decoding give: number of pieces and of byte pieces, SHA-256 of
     the ids (little-endian 32 bits each), and whether they decode to the text.
 
@@ -243,7 +276,7 @@ def report(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float =
     shared = _broadcast(docs.sparkSession, model)
 
     def start():
-        e = _encoder(shared, seed, dropout, variants)
+        e = _encoder(shared, seed, dropout, variants, cached)
         is_byte = np.zeros(len(e.lengths), dtype=bool)
         is_byte[e.v.bytes] = True
 
@@ -255,7 +288,7 @@ def report(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float =
                     rows.append((0, 0, None, None))
                     continue
                 ids = e.encode(t)
-                rows.append((len(ids), int(is_byte[ids].sum()), sha256(ids.tobytes()).hexdigest(), e.decode(ids) == t))
+                rows.append((len(ids), int(is_byte[ids].sum()), sha256(ids.astype("<i4").tobytes()).hexdigest(), e.decode(ids) == t))
             return [pa.array([r[i] for r in rows], type=k) for i, k in enumerate((pa.int64(), pa.int64(), pa.string(), pa.bool_()))]
 
         return step

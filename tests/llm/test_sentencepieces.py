@@ -41,10 +41,8 @@ def test_seeds_vary_and_repeat(vocabulary):
     assert len(words) > 1
 
 
-def test_words_kept_or_not_make_no_difference(vocabulary, monkeypatch):
-    monkeypatch.setattr(sp, "CACHED", 1)
-    few = sp.Encoder(vocabulary, 3, 0.2)
-    monkeypatch.undo()
+def test_words_kept_or_not_make_no_difference(vocabulary):
+    few = sp.Encoder(vocabulary, 3, 0.2, cached=2)
     many = sp.Encoder(vocabulary, 3, 0.2)
     for t in TEXTS:
         assert np.array_equal(few.encode(t), many.encode(t))
