@@ -36,7 +36,7 @@ from pyspark.ml.feature import CountVectorizerModel, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import let, share
+from skein.llm.common import let, share, stored
 
 UNKNOWN = "unknown"
 BACKGROUND = 2000
@@ -175,8 +175,9 @@ def _examples(docs: DataFrame, background: int) -> DataFrame:
 
 def fit(docs: DataFrame, background: int = BACKGROUND) -> Model:
     rows = _examples(docs, background).select("family", features(F.col("words")).alias("grams"), "seen")
-    # Equal examples become one row with a weight: the table is small.
+    # Equal examples become one row with a weight: some hundred rows, stored in one file, which the fit reads again and again.
     rows = rows.groupBy("family", "grams", "seen").agg(F.sqrt(F.count("*")).alias("weight"))
+    rows = stored(rows.coalesce(1), "licences")
     known = vocabulary()
     index = StringIndexer(inputCol="family", outputCol="label", stringOrderType="alphabetAsc").fit(rows)
     counted = CountVectorizerModel.from_vocabulary(known, "grams", "features").transform(index.transform(rows.where("seen = 1")))
