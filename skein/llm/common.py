@@ -37,6 +37,9 @@ LOWER[0x41:0x5B] += 32
 #: Texts handled at once by the array code, in bytes (a longer text is handled alone).
 CHUNK = 2 << 20
 
+#: Rows that go to Python, or come from it, at once.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
@@ -66,7 +69,10 @@ def share(column: Column, salt: int = 0) -> Column:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once a session."""
+    """Make the session ready for Python stages: send this package to the workers, once, and bound the batches."""
+    # Texts are long rows: unless the session says otherwise, a batch has a tenth of Spark's usual number.
+    if spark.conf.get(BATCH, "10000") == "10000":
+        spark.conf.set(BATCH, "1000")
     sc = spark.sparkContext
     if getattr(sc, "_skein_sent", False):
         return
@@ -97,14 +103,16 @@ def append(
     ship(df.sparkSession)
     names = [f.name for f in fields]
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
-    work = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(inputs)])
+    # An input that is kept goes to Python once.
+    more = [c for c in inputs if c not in kept]
+    work = df.select(*[F.col(f"`{c}`") for c in [*kept, *more]])
     schema = T.StructType([work.schema[c] for c in kept] + fields)
-    n = len(kept)
+    n, at = len(kept), [[*kept, *more].index(c) for c in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            made = step(*batch.columns[n:])
+            made = step(*[batch.columns[i] for i in at])
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *made], names=[*batch.schema.names[:n], *names])
 
     return work.mapInArrow(run, schema)

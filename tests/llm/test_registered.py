@@ -1,0 +1,42 @@
+"""The operators' queries: registered, and equal to DuckDB where they have SQL."""
+
+import os
+import sys
+
+import pytest
+from llm_rows import SF001, SF01
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
+
+import __spark_entry__ as E  # noqa: E402
+from check_oracle import compare  # noqa: E402
+from skein.llm.queries import ORACLE, QUERIES  # noqa: E402
+
+
+def test_all_are_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(E.queries())
+    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_duckdb(spark, name):
+    rep = compare(spark, SF01, [name])[name]
+    assert rep["cols_match"] and rep["rows"] == rep["oracle_rows"] and rep["hash_match"], rep
+
+
+CONTRACT = {
+    "op1_line_frequency": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
+    "op2_ngram_jaccard_join": {"doc_id", "n_shingles", "component_id"},
+    "op3_benchmark_decontamination": {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"},
+    "op4_toxicity": {"doc_id", "held_out", "score", "predicted"},
+    "op7_ppm": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
+    "op10_language": {"doc_id", "held_out", "lang_pred", "score"},
+}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_one_row_for_each_document(spark, name):
+    df = QUERIES[name](spark, SF001)
+    assert CONTRACT.get(name, {"doc_id"}) <= set(df.columns)
+    ids = sorted(r.doc_id for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id").collect())
+    assert sorted(r.doc_id for r in df.select("doc_id").collect()) == ids
