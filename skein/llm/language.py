@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import append, remainder, share, utf8
+from skein.llm.common import append, remainder, share, stored, utf8
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -34,6 +34,8 @@ FILTERS = 8
 VECTOR = 8
 PER_LANGUAGE = 400
 EPOCHS = 12
+#: Rows of the table of languages that are broadcast.
+FEW = 100_000
 BATCH = 64
 #: Windows handled at once in prediction: their responses take a few MB.
 WINDOWS = 64
@@ -125,8 +127,11 @@ def fit(docs: DataFrame, label: str = "lang", per_language: int = PER_LANGUAGE)
     """A network learnt from the rows given (leave held-out ones out before); None without labels."""
     rows = docs.select(F.col("doc_id"), F.col("text"), F.col(f"`{label}`").alias("lang")).where("lang is not null and text rlike '\\\\p{L}'")
     total = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    # About per_language rows a language, by the id's hash; the languages are one row each.
-    draw = rows.join(total, "lang").where(share(F.col("doc_id"), 31) * F.col("n") < per_language)
+    # About per_language rows a language, by the id's hash.  The languages are one row each: broadcast if they are
+    # few (else left to the planner), so that no text moves and no language meets in one task.
+    total = stored(total, "languages")
+    small = F.broadcast(total) if total.count() <= FEW else total
+    draw = rows.join(small, "lang").where(share(F.col("doc_id"), 31) * F.col("n") < per_language)
     raw = F.encode("text", "utf-8")
     n = F.octet_length("text")
     # The first window, and one from a place that the id's hash gives.
