@@ -12,11 +12,11 @@ holds it; so every text decodes to itself.
 
 No piece with other characters goes on across a space or a line end, and, where
 the vocabulary has none that does, none joins Latin letters and digits with
-other characters; so a text falls into words that are encoded alone.  A word's
-segmentation depends on the seed, the word and
-one of ``variants`` numbers, which go round from word to word from a start
-that the seed and the text give; so a word's segmentations vary within and
-across texts, and equal words with equal numbers are encoded once per task.
+other characters; so a text falls into words that are encoded alone.  The
+skips are keyed by the seed, the text's hash and the word's place, so every
+occurrence of a word draws anew.  How many candidates lie before the next skip
+is drawn at once (a geometric number); a word's segmentation depends on its
+skipped candidates alone, and is kept by the word and these.
 
 Defined results: a null text has null ids, which decode to null; an empty one
 has no ids, which decode to the empty text; repeated rows are encoded alike;
@@ -27,8 +27,8 @@ from __future__ import annotations
 
 import heapq
 import re
-import struct
 from array import array
+from bisect import bisect_right
 from hashlib import blake2b, sha256
 
 import numpy as np
@@ -41,14 +41,16 @@ from skein.llm.common import append
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 DROPOUT = 0.1
-VARIANTS = 4
-#: Words kept encoded in a worker (about 200 bytes each, in two generations), and the longest one.
+#: Places for words kept encoded in a worker (about 200 bytes each, in two generations; a word with skips takes two), and the longest one.
 CACHED = 1_600_000
 LONGEST = 48
 
 #: In place of an id: no piece (or no merge), and merged into the piece before.
 NONE, GONE = -1, -2
-DRAWS = struct.Struct("<16I").unpack
+#: Splitmix64's step and multipliers; the longest run without a skip that one draw gives (a longer one
+#: goes on with the next draw), more than a kept word has candidates; and a text's first draws for each word.
+STEP, MULTIPLY, ALL = 0x9E3779B97F4A7C15, (0xBF58476D1CE4E5B9, 0x94D049BB133111EB), (1 << 64) - 1
+RUN, FIRST = 256, 4
 
 #: Latin letters and digits, and the words of a text: with pieces that join these with others, and without.
 LATIN = "0-9A-Za-zÀ-ÖØ-öø-ɏ"
@@ -97,16 +99,33 @@ class Vocabulary:
         self.words = JOINED if mixed else APART
 
 
+def _mixed(x: int) -> int:
+    """Splitmix64's number for a state."""
+    x = (x ^ x >> 30) * MULTIPLY[0] & ALL
+    x = (x ^ x >> 27) * MULTIPLY[1] & ALL
+    return x ^ x >> 31
+
+
+def _all_mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(MULTIPLY[0])
+    x = (x ^ x >> np.uint64(27)) * np.uint64(MULTIPLY[1])
+    return x ^ x >> np.uint64(31)
+
+
 class Encoder:
     """Encodes words of one seed."""
 
-    def __init__(self, vocabulary: Vocabulary, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS, cached: int = CACHED):
-        self.v, self.seed, self.variants = vocabulary, seed, variants if dropout else 1
+    def __init__(self, vocabulary: Vocabulary, seed: int = 0, dropout: float = DROPOUT, cached: int = CACHED):
+        self.v, self.seed, self.dropout = vocabulary, seed, dropout
         self.cached = cached
         self.key = seed.to_bytes(8, "little", signed=True)
-        self.below = int(dropout * (1 << 32))
-        self.cache: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.older: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        # A draw under the k-th greatest of these has no skip in its first k candidates.
+        self.runs = [min(ALL, int((1 - dropout) ** k * (1 << 64))) for k in range(RUN, 0, -1)] if dropout else []
+        self.limits = np.array(self.runs, dtype=np.uint64)
+        self.steps = np.array([k * STEP & ALL for k in range(1, FIRST + 1)], dtype=np.uint64)
+        # A word, or it and its skips: the ids and the number of candidates.
+        self.cache: dict[str | tuple, tuple[bytes, int]] = {}
+        self.older: dict[str | tuple, tuple[bytes, int]] = {}
         self.size = 0
         self.words = re.compile(vocabulary.words).findall
         content = [np.frombuffer(c, dtype=np.uint8) for c in vocabulary.content]
@@ -114,8 +133,25 @@ class Encoder:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.concatenate(content)
 
-    def word(self, word: str, variant: int) -> list[int]:
-        """Ids of a word (spaces in front included)."""
+    def run(self, number: int, k: int) -> int:
+        """How many candidates lie before the skip, from the k-th draw of an occurrence; RUN: no skip yet."""
+        return RUN - bisect_right(self.runs, _mixed(number + (k + 1) * STEP & ALL))
+
+    def stop(self, number: int, k: int, at: int, end: int) -> tuple[int, int]:
+        """The next skipped candidate from ``at`` (past ``end``: none), and the next draw."""
+        if not self.runs:
+            return end + 1, k
+        while at <= end:
+            r = self.run(number, k)
+            at, k = at + r, k + 1
+            if r < RUN:
+                break
+        return at, k
+
+    def word(self, word: str, number: int) -> tuple[list[int], tuple[int, ...], int]:
+        """Ids of a word (spaces in front included) for an occurrence's number, the skipped candidates and the number of all."""
+        skips: list[int] = []
+        turn = draw = 0
         pairs, characters, n = self.v.pairs.get, self.v.characters.get, len(word)
         ids = [characters(c, NONE) for c in word]
         # What the pair that begins at each place would make: its rank and id; below 0 none.
@@ -125,10 +161,8 @@ class Encoder:
         agenda = [(m >> 17) << shift | i for i, m in enumerate(makes) if m >= 0]
         if agenda:
             heapq.heapify(agenda)
-            pop, push, below, here = heapq.heappop, heapq.heappush, self.below, (1 << shift) - 1
-            draws: tuple[int, ...] = ()
-            turn = last = 0
-            raw, salt = word.encode(), variant.to_bytes(8, "little")
+            pop, push, here = heapq.heappop, heapq.heappush, (1 << shift) - 1
+            stop, draw = self.stop(number, 0, 0, 3 * n)
             after, before = list(range(1, n + 1)), list(range(-1, n - 1))
             while agenda:
                 x = pop(agenda)
@@ -136,14 +170,12 @@ class Encoder:
                 m = makes[i]
                 if m < 0 or m >> 17 != x >> shift:
                     continue  # the pair is gone
-                if below:
-                    if turn == last:  # 16 numbers more, one for each candidate that the agenda gives
-                        draws = DRAWS(blake2b(raw, key=self.key, salt=salt, person=last.to_bytes(8, "little")).digest())
-                        last += 16
-                    turn += 1
-                    if draws[turn & 15] < below:
-                        makes[i] = NONE
-                        continue
+                turn += 1
+                if turn > stop:
+                    skips.append(stop)
+                    makes[i] = NONE
+                    stop, draw = self.stop(number, draw, turn, 3 * n)
+                    continue
                 made, j = m & 0x1FFFF, after[i]
                 ids[i], ids[j], makes[j] = made, GONE, NONE
                 k = after[i] = after[j]
@@ -159,40 +191,78 @@ class Encoder:
                     if m >= 0:
                         push(agenda, (m >> 17) << shift | h)
         if NONE not in ids:
-            return [p for p in ids if p >= 0]
+            return [p for p in ids if p >= 0], tuple(skips), turn
         out: list[int] = []
         for i, p in enumerate(ids):
             if p >= 0:
                 out.append(p)
             elif p == NONE:
                 out += [self.v.bytes[b] for b in word[i].encode()]
-        return out
+        return out, tuple(skips), turn
 
-    def encoded(self, word: str, variant: int) -> bytes:
-        """A word's ids as bytes, kept for its next occurrence."""
-        ids = self.older[variant].get(word)
-        if ids is None:
-            ids = array("i", self.word(word, variant)).tobytes()
+    def encoded(self, word: str, number: int, first: list[int] | None = None) -> bytes:
+        """A word's ids as bytes for an occurrence's number, kept for occurrences with the same skips; ``first``: its first FIRST draws."""
         if len(word) <= LONGEST:
-            if self.size >= self.cached // 2:
-                self.older, self.cache, self.size = self.cache, [{} for _ in range(self.variants)], 0
-            self.cache[variant][word] = ids
-            self.size += 1
-        return ids
+            key, k, at = word, 0, 0
+            while (kept := self.cache.get(key) or self._again(key)) is not None:
+                # A kept word has fewer candidates than RUN, so a run of RUN is past its end.
+                at += (first[k] if first and k < FIRST else self.run(number, k)) if self.runs else RUN
+                if at >= kept[1]:
+                    return kept[0]
+                key = (word, at) if not k else (*key, at)
+                k, at = k + 1, at + 1
+        ids, skips, candidates = self.word(word, number)
+        made = array("i", ids).tobytes()
+        if len(word) <= LONGEST:
+            self._keep((word, *skips) if skips else word, (made, candidates))
+        return made
+
+    def _again(self, key: str | tuple) -> tuple[bytes, int] | None:
+        """What the older generation has, kept in the newer one."""
+        kept = self.older.get(key)
+        if kept is not None:
+            self._keep(key, kept)
+        return kept
+
+    def _keep(self, key: str | tuple, kept: tuple[bytes, int]) -> None:
+        if self.size >= self.cached // 2:
+            self.older, self.cache, self.size = self.cache, {}, 0
+        self.cache[key] = kept
+        self.size += 1 if isinstance(key, str) else 2
+
+    def numbers(self, text: str, n: int) -> np.ndarray:
+        """A number for each word's place, by the seed and the text's hash."""
+        start = np.uint64(int.from_bytes(blake2b(text.encode(), digest_size=8, key=self.key).digest(), "little"))
+        return _all_mixed(start + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(STEP))
+
+    def runs_of(self, numbers: np.ndarray) -> np.ndarray:
+        """``run`` of all first draws, a row for each number."""
+        draws = _all_mixed(numbers[:, None] + self.steps)
+        return RUN - np.searchsorted(self.limits, draws, side="right")
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, dtype="<i4")
-        found, turn = self.words(" " + text), self.variants
-        at = int.from_bytes(blake2b(text.encode(), digest_size=4, key=self.key).digest(), "little") % turn
+        found = self.words(" " + text)
         made: list[bytes] = [b""] * len(found)
-        for k in range(turn):
-            v = (at + k) % turn
-            get, mine = self.cache[v].get, found[k::turn]
-            ids = [get(w) for w in mine]
-            if None in ids:
-                ids = [x if x is not None else self.cache[v].get(w) or self.encoded(w, v) for x, w in zip(ids, mine, strict=True)]
-            made[k::turn] = ids
+        for lo in range(0, len(found), 1 << 16):
+            words = found[lo : lo + (1 << 16)]
+            if not self.runs:
+                made[lo : lo + len(words)] = [self.encoded(w, 0) for w in words]
+                continue
+            if not lo:
+                numbers = self.numbers(text, len(found))
+            mine = numbers[lo : lo + len(words)]
+            runs, get, other = self.runs_of(mine), self.cache.get, []
+            for i, (w, r) in enumerate(zip(words, runs[:, 0].tolist(), strict=True)):
+                kept = get(w)
+                if kept is not None and r >= kept[1]:
+                    made[lo + i] = kept[0]
+                else:
+                    other.append(i)
+            if other:
+                for i, number, first in zip(other, mine[other].tolist(), runs[other].tolist(), strict=True):
+                    made[lo + i] = self.encoded(words[i], number, first)
         return np.frombuffer(b"".join(made), dtype=np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
@@ -210,12 +280,12 @@ class Encoder:
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def _encoder(shared, seed: int, dropout: float, variants: int, cached: int) -> Encoder:
+def _encoder(shared, seed: int, dropout: float, cached: int) -> Encoder:
     """One encoder a worker and setting, so that its words outlive a task."""
-    key = (seed, dropout, variants, cached, len(shared.value.pieces))
+    key = (seed, dropout, cached, len(shared.value.pieces))
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(shared.value, seed, dropout, variants, cached)
+        _ENCODERS[key] = Encoder(shared.value, seed, dropout, cached)
     return _ENCODERS[key]
 
 
@@ -223,12 +293,12 @@ def _broadcast(spark: SparkSession, model: str):
     return spark.sparkContext.broadcast(Vocabulary(model))
 
 
-def encode(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS, text: str = "text", cached: int = CACHED) -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT, text: str = "text", cached: int = CACHED) -> DataFrame:
     """``docs`` with ``piece_ids``."""
     shared = _broadcast(docs.sparkSession, model)
 
     def start():
-        e = _encoder(shared, seed, dropout, variants, cached)
+        e = _encoder(shared, seed, dropout, cached)
 
         def step(texts: pa.Array):
             ids = [None if t is None else e.encode(t) for t in texts.to_pylist()]
@@ -266,7 +336,7 @@ REPORT = [
 ]
 
 
-def report(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS, text: str = "text", keep: list[str] | None = None, cached: int = CACHED) -> DataFrame:
+def report(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT, text: str = "text", keep: list[str] | None = None, cached: int = CACHED) -> DataFrame:
     """``docs`` with what encoding and decoding give: number of pieces and of byte pieces, SHA-256 of
     the ids (little-endian 32 bits each), and whether they decode to the text.
 
@@ -276,7 +346,7 @@ def report(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float =
     shared = _broadcast(docs.sparkSession, model)
 
     def start():
-        e = _encoder(shared, seed, dropout, variants, cached)
+        e = _encoder(shared, seed, dropout, cached)
         is_byte = np.zeros(len(e.lengths), dtype=bool)
         is_byte[e.v.bytes] = True
 

@@ -64,3 +64,33 @@ def test_columns(spark, odd, none):
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     assert sp.report(docs, seed=42).where("not lossless").count() == 0
+
+
+def test_every_occurrence_of_a_word_draws_anew(vocabulary):
+    n, e = 4000, sp.Encoder(vocabulary, 5, 0.1)
+    _, skips, candidates = sp.Encoder(vocabulary, 5, 0.0).word(" the", 0)
+    assert candidates > 0 and not skips
+    for drawn in (e.numbers("the " * n, n).tolist(), [int(e.numbers(f"the {i}", 1)[0]) for i in range(n)]):
+        assert len(set(drawn)) == n
+        assert abs(sum(not e.word(" the", x)[1] for x in drawn) / n - 0.9**candidates) < 0.03
+    # In one text the segmentations don't come again in turn.
+    e = sp.Encoder(vocabulary, 5, 0.3)
+    made = [e.encoded(" tokenization", x) for x in e.numbers("text", 400).tolist()]
+    assert len(set(made)) > 8 and not any(made[k:] == made[:-k] for k in range(1, 9))
+
+
+def test_kept_words_equal_those_encoded_alone(vocabulary):
+    text = " ".join(["tokenization", "reasonable", "the", "x" * 60, "sentences"] * 300)
+    for dropout in (0.1, 0.5, 1.0, 1e-18):
+        e = sp.Encoder(vocabulary, 8, dropout)
+        words = e.words(" " + text)
+        alone = [p for w, x in zip(words, e.numbers(text, len(words))) for p in e.word(w, int(x))[0]]
+        assert e.encode(text).tolist() == alone == e.encode(text).tolist()
+
+
+def test_skip_rate_of_a_frequent_word(vocabulary):
+    e, skipped, asked = sp.Encoder(vocabulary, 7, 0.1), 0, 0
+    for x in e.numbers("a text", 20000):
+        _, skips, candidates = e.word(" tokenization", int(x))
+        skipped, asked = skipped + len(skips), asked + candidates
+    assert abs(skipped / asked - 0.1) < 0.005
