@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from skein.llm.common import LOWER, SPACED, chunks, ship, stored, utf8, word_hashes, words
 
-ORDER = 4
+ORDER = 5
 START, END = 0xFE, 0xFF
 SYMBOLS = 255  # bytes and the end mark, without the start mark
 BLOCK = 32 << 20

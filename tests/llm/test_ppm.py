@@ -95,3 +95,10 @@ def test_no_training_texts_and_no_texts(spark, odd, none):
     docs = odd.where("doc_id in (2, 8) or doc_id is null").select("doc_id", "text")
     close(ppm.score(docs, F.lit(False)).collect(), brute(rows))
     assert ppm.score(none, F.lit(True)).count() == 0
+
+
+def test_a_byte_five_places_back_tells(spark):
+    rows = [(i, t, i < 40) for i, t in enumerate(["xabcd1", "zabcd2"] * 20 + ["xabcd1", "xabcd2"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    got = {r.doc_id: r.score for r in ppm.score(docs, F.col("train")).where("not train").collect()}
+    assert got[40] > got[41] + 1
