@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms for validated numbers and dates.
 
-Kinds (fixed patterns below): payment card numbers that pass the Luhn check,
-phone numbers of the North American plan, social security numbers, IPv4
+Kinds (fixed patterns below): payment card numbers that pass the Luhn check
+(among groups of digits, any run of whole groups), phone numbers in the forms
+of the North American plan with any area and exchange code, social security numbers, IPv4
 addresses, dates (ISO, and day.month.year) and the letters and digits of an
 e-mail address's local part.  A match that doesn't validate stays as it is.
 
@@ -38,10 +39,19 @@ KINDS = {
     "ip": r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]|\.[0-9])",
     "iso_date": r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9]|-[0-9])",
     "dot_date": r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9]|\.[0-9])",
-    "phone": r"(?<![0-9])\([2-9][0-9]{2}\) ?[2-9][0-9]{2}-[0-9]{4}(?![0-9])|(?<![0-9-])[2-9][0-9]{2}-[2-9][0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
+    "phone": r"(?<![0-9])\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}(?![0-9])"
+    r"|(?:(?<![0-9-])|(?<=(?<![0-9])1-))[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9]|-[0-9])"
+    r"|(?:(?<![0-9.])|(?<=(?<![0-9])1\.))[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9]|\.[0-9])"
+    r"|(?<![0-9])[0-9]{3} [0-9]{3}[ -][0-9]{4}(?![0-9])"
+    r"|\+1[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-8][0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
+#: Groups of digits, 13 or more in all, up to the next value of another kind, or where two are too long for
+#: one card; cards are looked for among them.
+OTHER = "|".join(f"(?:{p})" for p in KINDS.values())
+KINDS["card"] = rf"(?<![0-9])(?=(?:[ -]?[0-9]){{13}})[0-9]{{1,19}}(?![0-9])(?:[ -](?!(?<=[0-9]{{13}}[ -])[0-9]{{13}})(?!{OTHER})[0-9]{{1,19}}(?![0-9])){{0,200}}"
+#: Cards as one group, 4-4-4-4 and 4-6-5.
+USUAL = r"^(?:[0-9]+|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})$"
 CANDIDATE = "|".join(f"(?:{p})" for p in KINDS.values())
 
 DAYS, DAYS_A, DAYS_B = 146097, 189, 773
@@ -111,13 +121,41 @@ def _permuted(digits: Column, least: Column, radices: Column, key: str, kind: st
 
 
 def _card(value: Column, key: str) -> Column:
+    """Of the runs of whole groups with 13 to 19 digits, those that are valid: the usual forms, then others, the leftmost first and the longest of these."""
+
     def change(digits: Column) -> Column:
         n = F.size(digits)
         body = feistel(F.slice(digits, 1, n - 1), F.array_repeat(F.lit(10), n - 1), key, "card")
-        whole = _let(body, lambda b: F.concat(b, F.array(F.pmod(10 - luhn(F.concat(b, F.array(F.lit(0)))), F.lit(10)).cast("int"))))
-        return F.when(luhn(digits) == 0, _filled(value, whole)).otherwise(value)
+        return _let(body, lambda b: F.concat(b, F.array(F.pmod(10 - luhn(F.concat(b, F.array(F.lit(0)))), F.lit(10)).cast("int"))))
+
+    def choose(groups: Column) -> Column:
+        n = F.size(groups)
+
+        def start(i: Column) -> Column:  # the group's place in the value, from 1
+            return F.char_length(F.array_join(F.slice(groups, 1, i), " ")) + F.when(i > 0, 2).otherwise(1)
+
+        def runs(i: Column) -> Column:
+            size = F.sequence(F.least(F.lit(19), n - i), F.lit(1), F.lit(-1))
+            found = F.transform(size, lambda k: F.struct(start(i).alias("at"), F.char_length(F.array_join(F.slice(groups, i + 1, k), " ")).alias("n")))
+            found = F.filter(found, lambda x: F.char_length(F.regexp_replace(F.substr(value, x["at"], x["n"]), "[^0-9]", "")).between(13, 19))
+            found = F.filter(found, lambda x: luhn(_digits(F.substr(value, x["at"], x["n"]))) == 0)
+            return F.transform(found, lambda x: F.struct(x["at"].alias("at"), x["n"].alias("n"), F.substr(value, x["at"], x["n"]).rlike(USUAL).alias("usual")))
+
+        def add(state: Column, x: Column) -> Column:
+            part = F.substr(value, x["at"], x["n"])
+            new = F.concat(state["out"], F.substr(value, state["next"], x["at"] - state["next"]), _filled(part, change(_digits(part))))
+            return F.when(x["at"] < state["next"], state).otherwise(F.struct(new.alias("out"), (x["at"] + x["n"]).alias("next")))
+
+        def replaced(valid: Column) -> Column:
+            def free(x: Column) -> Column:
+                return x["usual"] | ~F.exists(valid, lambda y: y["usual"] & (y["at"] < x["at"] + x["n"]) & (x["at"] < y["at"] + y["n"]))
 
-    return _let(_digits(value), change)
+            zero = F.struct(F.lit("").alias("out"), F.lit(1).alias("next"))
+            return F.aggregate(F.filter(valid, free), zero, add, lambda s: F.concat(s["out"], F.substr(value, s["next"], F.char_length(value))))
+
+        return _let(F.flatten(F.transform(F.sequence(F.lit(0), n - 1), runs)), replaced)
+
+    return _let(F.split(value, "[ -]"), choose)
 
 
 def _numbers(*values: int) -> Column:
@@ -125,8 +163,19 @@ def _numbers(*values: int) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    least, radices = _numbers(2, 0, 0, 2, 0, 0, 0, 0, 0, 0), _numbers(8, 10, 10, 8, 10, 10, 10, 10, 10, 10)
-    return _filled(value, _permuted(_digits(value), least, radices, key, "phone"))
+    """Ten digits; area and exchange codes that begin with 0 or 1 go to such codes."""
+
+    def change(d: Column) -> Column:
+        def first(x: Column) -> tuple[Column, Column]:
+            return F.when(x >= 2, 2).otherwise(0), F.when(x >= 2, 8).otherwise(2)
+
+        (a, ra), (b, rb), ten, zero = first(d[0]), first(d[3]), F.lit(10), F.lit(0)
+        least, radices = F.array(a, zero, zero, b, *[zero] * 6), F.array(ra, ten, ten, rb, *[ten] * 6)
+        return _permuted(d, least, radices, key, "phone")
+
+    country = F.regexp_extract(value, r"^\+1", 0)
+    number = F.regexp_replace(value, r"^\+1", "")
+    return F.concat(country, _let(number, lambda x: _filled(x, _let(_digits(x), change))))
 
 
 def _ssn(value: Column, key: str) -> Column:

@@ -109,3 +109,25 @@ def test_odd_rows_and_whole_table(spark, odd, none):
     assert seen
     plan = pii.pseudonymise(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_phones_of_any_code_and_separator(spark):
+    values = {
+        "+1 (017) 555-7713": r"\+1 \([01]\d\d\) [2-9]\d\d-\d{4}", "+1-415-555-1234": r"\+1-[2-9]\d\d-[2-9]\d\d-\d{4}", "415.555.1234": r"[2-9]\d\d\.[2-9]\d\d\.\d{4}",
+        "415 555 1234": r"[2-9]\d\d [2-9]\d\d \d{4}", "+14155551234": r"\+1[2-9]\d\d[2-9]\d{6}", "415-155-1234": r"[2-9]\d\d-[01]\d\d-\d{4}", "+1 415 555 1234": r"\+1 [2-9]\d\d [2-9]\d\d \d{4}",
+    }
+    got = pseudonyms(spark, values)
+    for v, p in values.items():
+        assert got[v] != v and re.fullmatch(p, got[v]), (v, got[v])
+    same = [re.sub("[^0-9]", "", got[v])[-10:] for v in ("+1-415-555-1234", "415.555.1234", "415 555 1234", "+14155551234", "+1 415 555 1234")]
+    assert len(set(same)) == 1
+
+
+def test_neighbours_hide_no_card(spark):
+    card, ip = "4311575929938279", "81.190.225.143"
+    values = [f"{card} 123", f"12 {card}", f"{card} {ip}", "1 2024 4311 5759 2993 8279", f"{card} {card}", f"7 {card} 415 555 1234", "1 " * 3000 + card, card * 400, card, ip, "4311 5759 2993 8279"]
+    got = pseudonyms(spark, values)
+    for v in values:
+        assert card * 2 in v or (card not in got[v] and "4311 5759 2993 8279" not in got[v] and ip not in got[v]), (v, got[v])
+    assert got[f"{card} {ip}"] == f"{got[card]} {got[ip]}" and got[f"{card} {card}"] == f"{got[card]} {got[card]}"
+    assert got[f"12 {card}"] == f"12 {got[card]}" and got["1 2024 4311 5759 2993 8279"] == "1 2024 " + got["4311 5759 2993 8279"]
