@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import decontamination, jaccard, language, licences, line_frequency, pii, ppm, sentencepieces, sharding, toxicity
+from skein.llm import decontamination, jaccard, language, licences, line_frequency, periodic_runs, pii, ppm, sentencepieces, sharding, toxicity
 from skein.llm.common import documents, remainder
 
 
@@ -72,6 +72,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(documents(spark, sf_dir, "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_licences,
         op9_pii_pseudonyms,
         op10_language,
+        op13_periodic_runs,
     )
 }
 

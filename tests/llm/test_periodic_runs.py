@@ -1,0 +1,125 @@
+"""Periodic runs against a brute-force version: every period of every text."""
+
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_rows import LONG, SF001, none, odd  # noqa: F401
+
+from skein.llm import periodic_runs as P
+from skein.llm.common import SPACED, word_hashes, words
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(t, min_length, min_periods):
+    """Runs of a list, by comparing it with itself at every distance."""
+    a, found = np.array([hash(x) for x in t], dtype=np.int64), []
+    for q in range(1, len(t) // min_periods + 1):
+        same = np.concatenate([[False], a[:-q] == a[q:], [False]]).astype(np.int8)
+        for s, e in zip(np.flatnonzero(np.diff(same) == 1), np.flatnonzero(np.diff(same) == -1) + q):
+            if e - s >= max(min_length, min_periods * q):
+                if not any(f[0] <= s and s + e - s <= f[0] + f[1] and q % f[2] == 0 for f in found):
+                    found.append((int(s), int(e - s), q))
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def expected(doc_id, text):
+    """The contract's row of one document."""
+    w = WORD.findall(text or "")
+    n, h = len(w), zlib.crc32(str(doc_id).encode() if doc_id is not None else b"")
+    g = h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    runs = brute(w, 24, 3)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if runs else (None,) * 3
+    sha = lambda x: hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest()
+    milli = 1000 * best[1] // best[2] if runs else None
+    kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+    return (doc_id, len(runs), *best, milli, sha("".join(f"{s},{length},{q}\n" for s, length, q in runs)), sha(kept))
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_whole_table_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    got = rows(P.report(docs))
+    assert got == sorted((expected(r.doc_id, r.text) for r in docs.collect()), key=str)
+    assert sum(r[1] > 0 for r in got) > 5
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(1, 4).flatmap(lambda k: st.lists(st.integers(1, k), max_size=40)), st.integers(2, 4), st.integers(0, 20))
+def test_runs_of_small_lists(t, min_periods, more):
+    found = [tuple(r) for r in P.find_runs(t, min_periods + more, min_periods).tolist()]
+    assert found == brute(t, min_periods + more, min_periods)
+
+
+def test_extensions_of_suffix_trees():
+    rng = random.Random(5)
+    for _ in range(50):
+        t = [rng.randint(1, 3) for _ in range(rng.randint(2, 30))]
+        tree = P.SuffixTree(t, inverse=True)
+        n = len(t)
+        assert tree.rank.tolist() == np.argsort(sorted(range(n + 1), key=lambda i: [*t[i:], 0])).tolist()
+        assert tree.inverse.tolist() == np.argsort(sorted(range(n + 1), key=lambda i: [-x for x in t[i:]])).tolist()
+        pairs = [(i, j) for i in range(n + 1) for j in range(n + 1) if i != j]
+        i, j = np.array(pairs).T
+        same = lambda x, y: next((k for k in range(n) if t[x + k : x + k + 1] != t[y + k : y + k + 1] or x + k >= n), 0)
+        assert tree.extension(i, j).tolist() == [same(x, y) for x, y in pairs]
+
+
+@pytest.mark.parametrize("min_length,min_periods", [(24, 3), (6, 3), (4, 2), (12, 4)])
+def test_stretches_hold_every_run(min_length, min_periods):
+    rng = random.Random(min_length)
+    for _ in range(60):
+        texts = []
+        for _ in range(rng.randint(1, 4)):
+            part = [rng.choice("abcdefgh") for _ in range(rng.randint(1, 60))]
+            for _ in range(rng.randint(0, 2)):
+                unit = [rng.choice("abcd") for _ in range(rng.randint(1, 8))]
+                part += unit * rng.randint(2, 8) + [rng.choice("xyz") for _ in range(rng.randint(0, 9))]
+            texts.append(" ".join(part).encode())
+        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+        s, e, t = words(data, offsets, SPACED)
+        held = P.stretches(word_hashes(data, s, e), t, min_length, min_periods)
+        for k, text in enumerate(texts):
+            first = int(np.searchsorted(t, k))
+            for start, length, _ in brute(text.decode().split(), min_length, min_periods):
+                assert any(a <= first + start and first + start + length <= b for a, b in held)
+
+
+def test_odd_rows(odd, none):
+    got = P.report(odd)
+    assert rows(got) == sorted((expected(r.doc_id, r.text) for r in odd.collect()), key=str)
+    assert P.report(none).count() == 0 and P.report(none).columns == got.columns
+    whole = P.periodic_runs(odd.withColumnRenamed("slot", "runs"))
+    assert whole.count() == odd.count() and whole.schema["runs"].dataType.typeName() == "array"
+
+
+def test_ties_neighbours_and_spaces(spark):
+    a, b = " ".join(["x y z"] * 10), " ".join(["p q r"] * 10)
+    text = f"\n first\t{a}   {b}\r\nlast {LONG}"
+    r = P.periodic_runs(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [tuple(x) for x in r.runs][:2] == [(1, 30, 3), (32, 30, 3)]
+    assert tuple(r.strongest) == (1, 30, 3) and len(r.runs) == 2
+    assert r.collapsed == f"first x y z   p q r last {LONG}"
+
+
+def test_settings_are_checked(odd):
+    with pytest.raises(ValueError):
+        P.periodic_runs(odd, min_periods=1)
+    with pytest.raises(ValueError):
+        P.periodic_runs(odd, min_length=2)

@@ -31,6 +31,7 @@ CONTRACT = {
     "op4_toxicity": {"doc_id", "held_out", "score", "predicted"},
     "op7_ppm": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
     "op10_language": {"doc_id", "held_out", "lang_pred", "score"},
+    "op13_periodic_runs": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
 }
 
 
