@@ -15,7 +15,7 @@ from skein.llm.queries import ORACLE, QUERIES  # noqa: E402
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -31,6 +31,7 @@ CONTRACT = {
     "op4_toxicity": {"doc_id", "held_out", "score", "predicted"},
     "op7_ppm": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
     "op10_language": {"doc_id", "held_out", "lang_pred", "score"},
+    "op11_warc": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
     "op12_hard_negatives": {"anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"},
     "op13_periodic_runs": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
 }
@@ -42,5 +43,9 @@ def test_one_row_for_each_document(spark, name):
     assert CONTRACT.get(name, {"doc_id"}) <= set(df.columns)
     if name == "op12_hard_negatives":
         return  # rows of pairs: tests/llm/test_hard_negatives.py
+    if name == "op11_warc":
+        ids = spark.read.parquet(f"{SF001}/pages.parquet").select("page_id").collect()
+        assert sorted(r.page_id for r in df.select("page_id").collect()) == sorted(r.page_id for r in ids)
+        return
     ids = sorted(r.doc_id for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id").collect())
     assert sorted(r.doc_id for r in df.select("doc_id").collect()) == ids
