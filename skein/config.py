@@ -36,6 +36,9 @@ class EngineConfig:
                     output only, unbounded state).
     rounding        "half_up": exact-cents arithmetic, HALF_UP;
                     "binary_half_even": Python-style rounding of the double.
+    median          "histogram": a group's different readings meet in one task;
+                    "rank": distributed rank selection, for readings of any
+                    precision without a range filter (batches, cell sinks).
     dimension       "snapshot": the dimension is read once and pinned;
                     "refresh": re-read every micro-batch.
     bytes_per_trigger  most input bytes (whole files) of a micro-batch of a
@@ -53,6 +56,7 @@ class EngineConfig:
     quality_filter: bool = True
     watermark_at: str = "enriched"
     rounding: str = "half_up"
+    median: str = "histogram"
     dimension: str = "snapshot"
     output: str = "append"
     emit: str = "row"  # "row" (typed columns) or "json" (one string per result)
@@ -66,6 +70,7 @@ class EngineConfig:
             "decode": ("lenient", "strict"),
             "watermark_at": ("enriched", "source"),
             "rounding": ("half_up", "binary_half_even"),
+            "median": ("histogram", "rank"),
             "dimension": ("snapshot", "refresh"),
             "output": ("append", "update"),
             "emit": ("row", "json"),

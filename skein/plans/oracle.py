@@ -66,6 +66,20 @@ FINE_BASE = with_ctes(
 )
 
 
+PRECISE_CTE = """precise AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 5 = 0 THEN floor(temperature) + 0.01499999999::DOUBLE ELSE temperature + CAST(event_id % 9973 AS DOUBLE) / 997300.0::DOUBLE END AS temperature,
+    CASE WHEN event_id % 5 = 0 THEN floor(humidity) + 0.00499999999::DOUBLE ELSE humidity + CAST(event_id % 9901 AS DOUBLE) / 990100.0::DOUBLE END AS humidity) FROM ev)"""
+UNFILTERED_CTE = """unfiltered AS (
+  SELECT c.*, m.manufacturer_name, m.country FROM precise c JOIN m ON c.manufacturer_id = m.id WHERE c.event_ts IS NOT NULL)"""
+PRECISE_BASE = with_ctes(
+    MANUFACTURERS_CTE, EVENTS_CTE, PRECISE_CTE, CLEAN_CTE.replace("FROM ev", "FROM precise"), ENRICHED_CTE, UNFILTERED_CTE
+)
+HOT_CTE = """hot AS (
+  SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN CAST(1 AS SMALLINT) ELSE manufacturer_id END AS manufacturer_id) FROM precise)"""
+HOT_BASE = with_ctes(MANUFACTURERS_CTE, EVENTS_CTE, PRECISE_CTE, HOT_CTE, CLEAN_CTE.replace("FROM ev", "FROM hot"), ENRICHED_CTE)
+
+
 # The dirty records, written and parsed again with DuckDB's own functions.
 DIRTY_CTES = r"""wire AS (
   SELECT event_id, event_id % 12 AS k,
@@ -98,15 +112,23 @@ def fmt_ts(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S') || '.000'"
 
 
-def window_sql(interval: str, source: str = "enriched", closed_by: str | None = None, delay: str = "10 seconds", half_even: bool = False, still_open: bool = False) -> str:
+def window_sql(interval: str, source: str = "enriched", closed_by: str | None = None, delay: str = "10 seconds", half_even: bool = False, still_open: bool = False, exact: bool = False) -> str:
     """Window results over ``source`` bucketed by ``interval`` (DuckDB).
 
     ``closed_by``: keep only windows a watermark of ``max(event_ts) - delay``
     over that relation has closed (what an append-mode stream emits), or with
-    ``still_open`` those that it has not.
+    ``still_open`` those that it has not.  ``exact``: the readings' decimal
+    texts added up as whole numbers of 10^-18, for readings of any precision.
     """
     # The engine's arithmetic restated: raw readings, one rounding at the end.
-    if half_even:
+    if exact:
+        text = lambda c: f"CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,18))"
+        whole = lambda d: f"CAST(replace(CAST({d} AS VARCHAR), '.', '') AS HUGEINT)"
+        cents = lambda u, n: f"sign({u}) * CAST((2 * abs({u}) + CAST({n} AS HUGEINT) * 10000000000000000) // (CAST({n} AS HUGEINT) * 20000000000000000) AS DOUBLE) / 100"
+        avg = cents(whole(f"sum({text('temperature')})"), "count(*)")
+        place = lambda k: text(f"list(humidity ORDER BY humidity)[{k}]")
+        med = cents(whole(f"{place('(count(*) + 1) // 2')} + {place('count(*) // 2 + 1')}"), "2")
+    elif half_even:
         avg = "CAST(printf('%.2f', CAST(sum(CAST(round(temperature * 1e6) AS HUGEINT)) AS DOUBLE) / 1e6 / count(*)) AS DOUBLE)"
         med = "CAST(printf('%.2f', quantile_cont(humidity, 0.5)) AS DOUBLE)"
     else:

@@ -68,6 +68,28 @@ def q_window_fine(window: str, rounding: str = "half_up"):
     return run
 
 
+def precise_events(events):
+    """The events with readings of 15 and more digits; a fifth of them a hair below a half cent."""
+    close = F.col("event_id") % 5 == 0
+    more = lambda c, m: F.col(c) + (F.col("event_id") % m).cast("double") / F.lit(m * 100.0)
+    return events.withColumns(
+        {
+            "temperature": F.when(close, F.floor("temperature") + F.lit(0.01499999999)).otherwise(more("temperature", 9973)),
+            "humidity": F.when(close, F.floor("humidity") + F.lit(0.00499999999)).otherwise(more("humidity", 9901)),
+        }
+    )
+
+
+def q_window_precise(window: str, **options):
+    """Window results over readings of full precision, exact in mean and median."""
+
+    def run(spark, sf_dir):
+        cfg = DEFAULT.with_(window=window, **options)
+        return results(precise_events(sensor_events(spark, sf_dir, keep=["event_id"])), manufacturers_seed(spark), cfg)
+
+    return run
+
+
 def q_events_clean(spark, sf_dir):
     ev = clean(sensor_events(spark, sf_dir, keep=["event_id"]), DEFAULT)
     return ev.select("event_id", "sensor_id", "manufacturer_id", "event_time", "temperature", "humidity")
@@ -113,6 +135,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_1min_fine": q_window_fine("1 minute"),
     "window_1day_fine": q_window_fine("1 day"),
     "window_1day_fine_half_even": q_window_fine("1 day", "binary_half_even"),
+    "window_1min_precise": q_window_precise("1 minute"),
+    "window_1day_precise_rank": q_window_precise("1 day", quality_filter=False, median="rank"),
     "events_clean": q_events_clean,
     "events_rejected": q_events_rejected,
     "events_enriched": q_events_enriched,
@@ -139,6 +163,8 @@ ORACLE: dict[str, str] = {
     "window_1min_fine": O.FINE_BASE + O.window_sql("1 minute"),
     "window_1day_fine": O.FINE_BASE + O.window_sql("1 day"),
     "window_1day_fine_half_even": O.FINE_BASE + O.window_sql("1 day", half_even=True),
+    "window_1min_precise": O.PRECISE_BASE + O.window_sql("1 minute", exact=True),
+    "window_1day_precise_rank": O.PRECISE_BASE + O.window_sql("1 day", "unfiltered", exact=True),
     "events_clean": O.BASE
     + "SELECT event_id, sensor_id, manufacturer_id, event_time, temperature, humidity FROM clean",
     "events_rejected": O.BASE
@@ -174,10 +200,15 @@ def q_decode(mode: str):
     return run
 
 
-def dirty_wire(spark, sf_dir):
-    """The events as JSON records of which most are unusual or broken, by the event id's remainder."""
+#: The kinds of :func:`dirty_wire` that are unusual but whole.
+WHOLE_KINDS = (0, 1, 4, 5, 6)
+
+
+def dirty_wire(spark, sf_dir, whole: bool = False):
+    """The events as JSON records of which most are unusual or broken, by the event id's remainder; with ``whole``
+    unusual at most."""
     ev = sensor_events(spark, sf_dir, keep=["event_id"])
-    kind = F.col("event_id") % 12
+    kind = F.element_at(F.array(*map(F.lit, WHOLE_KINDS)), (F.col("event_id") % len(WHOLE_KINDS) + 1).cast("int")) if whole else F.col("event_id") % 12
     text = F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     time = F.when(kind == 4, F.concat(text, F.lit("+03:00"))).when(kind == 5, text)
     time = time.when(kind == 6, F.concat(F.substring(text, 1, 19), F.lit("+00:00"))).otherwise(F.concat(text, F.lit("+00:00")))
@@ -211,11 +242,10 @@ def q_dirty_rejected(spark, sf_dir):
 
 
 def q_decode_dirty_strict(spark, sf_dir):
-    """Strict decoding of the records that are unusual but whole (quoted numbers, other time forms)."""
+    """Strict decoding of records that are unusual but whole (quoted numbers, other time forms), whole table."""
     from skein.sources.events import decode_events
 
-    whole = dirty_wire(spark, sf_dir).where("event_id % 12 in (0, 1, 4, 5, 6) and value is not null")
-    dec = decode_events(whole, DEFAULT.with_(decode="strict"), keep=["event_id"])
+    dec = decode_events(dirty_wire(spark, sf_dir, whole=True), DEFAULT.with_(decode="strict"), keep=["event_id"])
     return dec.select("event_id", "sensor_id", "manufacturer_id", "temperature", "humidity", _ts_text().alias("parsed_ts"))
 
 
@@ -265,7 +295,7 @@ ORACLE.update(
 )
 ORACLE["decode_strict"] = ORACLE["decode_lenient"]
 ORACLE["decode_dirty"] = O.DIRTY_BASE + "SELECT event_id, sensor_id, manufacturer_id, temperature, humidity, strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') AS parsed_ts FROM dirty"
-ORACLE["decode_dirty_strict"] = ORACLE["decode_dirty"] + " WHERE event_id % 12 IN (0, 1, 4, 5, 6) AND v IS NOT NULL"
+ORACLE["decode_dirty_strict"] = ORACLE["decode_dirty"].replace("event_id % 12 AS k", "[0, 1, 4, 5, 6][event_id % 5 + 1] AS k")
 ORACLE["events_dirty_rejected"] = O.DIRTY_BASE + f"SELECT * FROM (SELECT event_id, {_REJECT_REASON} AS reason FROM dirty) WHERE reason IS NOT NULL"
 ORACLE["window_1min_half_even"] = O.BASE + O.window_sql("1 minute", half_even=True)
 
@@ -288,8 +318,8 @@ def _replay(job: str, wire: bool):
     return run
 
 
-def _replayed(spark, sf_dir, job: str, wire: bool):
-    """The finished replay of a job over the whole table."""
+def _replayed(spark, sf_dir, job: str | EngineConfig, wire: bool, change=None):
+    """The finished replay of a job over the whole table, its events first changed by ``change``."""
     from skein.functions.jsonfmt import event_value_json
     from skein.session import fresh_path, state_partitions
     from skein.sources.events import table_event_stream
@@ -297,9 +327,11 @@ def _replayed(spark, sf_dir, job: str, wire: bool):
 
     apply_engine_conf(spark)
     files = f"{sf_dir.rstrip('/')}/events*.parquet"
-    stream = table_event_stream(spark, files)
+    stream = table_event_stream(spark, files, keep=["event_id"] if change else None)
+    if change:
+        stream = change(stream)
     kwargs = {"raw": stream.select(event_value_json().alias("value"))} if wire else {"events": stream}
-    root = fresh_path(spark, "replay", job)
+    root = fresh_path(spark, "replay", job if isinstance(job, str) else job.name)
     running = start_job(
         spark, job, manufacturers=manufacturers_seed(spark), output=f"{root}/out",
         checkpoint=f"{root}/checkpoint", trigger="available_now",
@@ -337,6 +369,36 @@ ORACLE.update(
 )
 
 
+HOT = EngineConfig(name="hot", output="update", watermark_at="source", window="1 day", median="rank")
+
+
+def hot_events(events):
+    """Readings of full precision, and one manufacturer with half of all rows."""
+    return precise_events(events).withColumn("manufacturer_id", F.when(F.col("event_id") % 2 == 0, 1).otherwise(F.col("manufacturer_id")).cast("smallint"))
+
+
+def q_upsert_hot_group(spark, sf_dir):
+    """Replay in update mode of a stream with one hot manufacturer and full-precision readings, compacted."""
+    from skein.schemas import RESULT_COLUMNS
+    from skein.streaming.sinks import compact_output
+
+    running = _replayed(spark, sf_dir, HOT, wire=False, change=hot_events)
+    return compact_output(spark, running.output).select(*RESULT_COLUMNS)
+
+
+def q_stream_pure_precise(spark, sf_dir):
+    """Replay of the job without a range filter over full-precision readings: medians by rank selection."""
+    from skein.schemas import RESULT_COLUMNS
+
+    cfg = JOBS["pure"].with_(median="rank", emit="row", window="1 hour")
+    return spark.read.parquet(_replayed(spark, sf_dir, cfg, wire=False, change=precise_events).output).select(*RESULT_COLUMNS)
+
+
+REGISTRY.update({"upsert_hot_group": q_upsert_hot_group, "stream_pure_precise": q_stream_pure_precise})
+ORACLE["upsert_hot_group"] = O.HOT_BASE + O.window_sql("1 day", exact=True)
+ORACLE["stream_pure_precise"] = O.PRECISE_BASE + O.window_sql("1 hour", "unfiltered", closed_by="unfiltered", exact=True)
+
+
 # ---------------------------------------------------------------- dimensions
 def observed_sensors(spark, sf_dir):
     """Sensors seen in the event table with their latest reported

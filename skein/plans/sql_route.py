@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skein.config import EngineConfig
-from skein.functions.rounding import MEAN_SQL, MEDIAN_SQL, UNITS_SQL
+from skein.functions.rounding import SINGLE_MEAN_SQL, SINGLE_MEDIAN_SQL, SINGLE_SQL, bin_sql, mean_sql, median_sql, middle_sql, units_sql
 from skein.operators.enrich import DIM_COLUMNS
 from skein.operators.quality import quality_sql
+from skein.operators.windows import GROUP_SQL, HIST_SQL
 from skein.schemas import RESULT_COLUMNS
 
 
@@ -55,36 +56,40 @@ def create_enriched_view(spark: SparkSession, cfg: EngineConfig) -> DataFrame:
     return view
 
 
+def _named(aggregates: dict[str, str]) -> str:
+    return ", ".join(f"{sql} AS {name}" for name, sql in aggregates.items())
+
+
+def cells_sql(cfg: EngineConfig, source: str = "enriched_iot_events", group: str = "manufacturer_id, manufacturer_name, country") -> str:
+    """The cells of :mod:`skein.operators.windows` in SQL."""
+    return f"""
+        SELECT window, {group}, h, bin, count(*) AS n, sum(u) AS s, sum(IF(bin IS NULL, temperature, NULL)) AS odd
+        FROM (SELECT window(event_ts, '{cfg.window}') AS window, {group}, humidity + 0D AS h, temperature,
+                     {bin_sql("temperature")} AS bin, {units_sql("temperature")} AS u
+              FROM {source})
+        GROUP BY window, {group}, h, bin"""
+
+
 def window_results_sql(cfg: EngineConfig, source: str = "enriched_iot_events", chained: bool = True) -> str:
     """Tumbling-window aggregate in SQL over the readings as sent, rounded
     once (HALF_UP, see :mod:`skein.functions.rounding`).
 
-    ``chained`` (batch, append-mode streams): the two-step histogram route
-    of :mod:`skein.operators.windows`, bounded work per group under skew.
+    ``chained`` (batch, append-mode streams): through the cells of
+    :mod:`skein.operators.windows`, bounded work per group under skew.
     Otherwise (update-mode streams): one ``percentile`` aggregate.
     """
     group = "manufacturer_id, manufacturer_name, country"
-    units = UNITS_SQL.format("temperature")
-    sums = f"count(*) AS n, coalesce(sum({units}), 0) AS units, sum(temperature) AS total, count_if({units} IS NULL) AS wild"
     if chained:
-        sums_by_value = f"""
-            SELECT window(event_ts, '{cfg.window}') AS w, {group}, humidity + 0D AS h, {sums}
-            FROM {source}
-            GROUP BY 1, 2, 3, 4, 5"""
-        grouped = f"""
-            SELECT w, {group}, percentile(h, 0.5D, n) AS med, sum(n) AS n, CAST(sum(units) AS DECIMAL(38,0)) AS units,
-                   sum(total) AS total, sum(wild) AS wild
-            FROM ({sums_by_value})
-            GROUP BY w, {group}"""
+        grouped = f"SELECT window AS w, {group}, {_named(GROUP_SQL | HIST_SQL)} FROM ({cells_sql(cfg, source, group)}) GROUP BY window, {group}"
+        grouped = f"SELECT *, {middle_sql('hist')} AS mid FROM ({grouped})"
+        mean, median = mean_sql("usual", "unusual", "n", "odd"), median_sql("mid.low", "mid.high")
     else:
-        grouped = f"""
-            SELECT window(event_ts, '{cfg.window}') AS w, {group}, percentile(humidity, 0.5D) AS med, {sums}
-            FROM {source}
-            GROUP BY 1, 2, 3, 4"""
+        grouped = f"SELECT window(event_ts, '{cfg.window}') AS w, {group}, {_named(SINGLE_SQL)} FROM {source} GROUP BY 1, 2, 3, 4"
+        mean, median = SINGLE_MEAN_SQL, SINGLE_MEDIAN_SQL
     return f"""
         SELECT date_format(w.start, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_start,
                date_format(w.end, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_end,
-               {group}, n AS events_count, {MEAN_SQL} AS avg_temperature, {MEDIAN_SQL} AS median_humidity
+               {group}, n AS events_count, {mean} AS avg_temperature, {median} AS median_humidity
         FROM ({grouped})
     """
 

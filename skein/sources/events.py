@@ -119,7 +119,7 @@ def decode_events(raw: DataFrame, cfg: EngineConfig, value_col: str = "value", k
     return out.withColumn("event_ts", converted(F.col("event_time"), "event_time", ts))
 
 
-def _raw_stream(spark: SparkSession, source: dict) -> DataFrame:
+def _raw_stream(spark: SparkSession, source: dict, cfg: EngineConfig) -> DataFrame:
     kind = source.get("kind", "files")
     if kind == "kafka":
         reader = (
@@ -135,7 +135,7 @@ def _raw_stream(spark: SparkSession, source: dict) -> DataFrame:
         if source.get("min_partitions"):
             reader = reader.option("minPartitions", int(source["min_partitions"]))
         return reader.load().select(F.col("value").cast("string").alias("value"))
-    reader = _bounded(spark.readStream, source.get("max_files_per_trigger"), source.get("max_bytes_per_trigger"))
+    reader = _bounded(spark.readStream, source.get("max_files_per_trigger"), source.get("max_bytes_per_trigger") or cfg.bytes_per_trigger)
     return reader.text(source["path"])
 
 
@@ -155,7 +155,7 @@ def read_event_stream(spark: SparkSession, source: dict, cfg: EngineConfig) -> D
     Replay from the start or resume is decided by the checkpoint location
     of the query that consumes the stream (new location = replay).
     """
-    return decode_events(_raw_stream(spark, source), cfg)
+    return decode_events(_raw_stream(spark, source, cfg), cfg)
 
 
 def read_event_batch(spark: SparkSession, path: str, cfg: EngineConfig) -> DataFrame:
@@ -164,10 +164,11 @@ def read_event_batch(spark: SparkSession, path: str, cfg: EngineConfig) -> DataF
 
 
 def table_event_stream(
-    spark: SparkSession, path_glob: str, max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None
-) -> DataFrame:
+    spark: SparkSession, path_glob: str, max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None,
+    keep: list[str] | None = None,
+) -> DataFrame:
     """Streaming read of ``events`` parquet files (a glob such as
     ``.../events*.parquet``; the streaming file source needs a folder or a
     glob), mapped to sensor events."""
     reader = _bounded(spark.readStream.schema(EVENTS_TABLE_SCHEMA), max_files_per_trigger, max_bytes_per_trigger)
-    return sensor_events_from_table(reader.parquet(path_glob))
+    return sensor_events_from_table(reader.parquet(path_glob), keep=keep)

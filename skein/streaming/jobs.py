@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skein.config import JOBS, OUTPUTS, EngineConfig
 from skein.plans.pipeline import results
 from skein.plans.sql_route import (
+    cells_sql,
     create_enriched_view,
     register_sources,
     select_results,
@@ -33,7 +34,8 @@ from skein.plans.sql_route import (
 from skein.schemas import RESULT
 from skein.sources.dimensions import load_dimension
 from skein.sources.events import decode_events
-from skein.streaming.sinks import start_append, start_upsert
+from skein.streaming.cells import start_cells, stream_cells
+from skein.streaming.sinks import publish_changelog, start_append
 
 
 @dataclass
@@ -59,6 +61,15 @@ def job_results(spark: SparkSession, events: DataFrame, manufacturers: DataFrame
     return res
 
 
+def job_cells(spark: SparkSession, events: DataFrame, manufacturers: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """The job's pipeline up to the cells (see :mod:`skein.streaming.cells`); the table job's in SQL."""
+    if cfg.name != "table_upsert":
+        return stream_cells(events, manufacturers, cfg)
+    register_sources(spark, events, manufacturers, cfg)
+    create_enriched_view(spark, cfg)
+    return spark.sql(cells_sql(cfg, group="manufacturer_id"))
+
+
 def run_paths(spark: SparkSession, job: str, *, replay: bool = False) -> tuple[str, str]:
     """(output, checkpoint) folders of a job under the shared folder.
 
@@ -106,16 +117,19 @@ def start_job(
             raise ValueError("give events or raw")
         events = decode_events(raw, cfg)
     dim = load_dimension(spark, manufacturers, "manufacturers", cfg.dimension, ["id", "manufacturer_name", "country"])
-    res = job_results(spark, events, dim, cfg)
+    # Update output, and medians by rank selection, are worked out from cells in plain batches.
+    by_cells = cfg.output == "update" or cfg.median == "rank"
+    res = (job_cells if by_cells else job_results)(spark, events, dim, cfg)
     # The setting is read when the query starts (the stream keeps its own
     # copy of the session settings), so it is set around start() only.
     previous = spark.conf.get("spark.sql.shuffle.partitions")
     if state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     try:
-        if cfg.output == "update":
-            q = start_upsert(res, path=output, checkpoint=checkpoint, trigger=trigger, kafka=kafka)
-            return RunningJob(cfg.name, q, output, "upsert")
+        if by_cells:
+            publish = publish_changelog(kafka) if kafka else None
+            q = start_cells(res, dim, cfg, path=output, checkpoint=checkpoint, trigger=trigger, publish=publish)
+            return RunningJob(cfg.name, q, output, "upsert" if cfg.output == "update" else "append")
         q = start_append(res, path=output, checkpoint=checkpoint, emit=cfg.emit, trigger=trigger, kafka=kafka)
         return RunningJob(cfg.name, q, output, "append")
     finally:

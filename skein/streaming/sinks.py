@@ -130,6 +130,17 @@ def start_upsert(
     return _trigger(writer, trigger).start()
 
 
+def publish_changelog(kafka: dict):
+    """A writer of batches of results as keyed JSON messages."""
+
+    def publish(rows: DataFrame, batch_id: int) -> None:
+        keyed = rows if "key" in rows.columns else rows.select(F.lit(None).cast("string").alias("key"), "*")
+        keyed = keyed if "value" in keyed.columns else keyed.select("key", result_json().alias("value"))
+        write_messages(keyed.select("key", "value"), kafka=kafka)
+
+    return publish
+
+
 def read_changelog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CHANGELOG).parquet(path)
 
