@@ -112,29 +112,24 @@ def fmt_ts(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S') || '.000'"
 
 
-def window_sql(interval: str, source: str = "enriched", closed_by: str | None = None, delay: str = "10 seconds", half_even: bool = False, still_open: bool = False, exact: bool = False) -> str:
+def window_sql(interval: str, source: str = "enriched", closed_by: str | None = None, delay: str = "10 seconds", half_even: bool = False, still_open: bool = False) -> str:
     """Window results over ``source`` bucketed by ``interval`` (DuckDB).
 
     ``closed_by``: keep only windows a watermark of ``max(event_ts) - delay``
     over that relation has closed (what an append-mode stream emits), or with
-    ``still_open`` those that it has not.  ``exact``: the readings' decimal
-    texts added up as whole numbers of 10^-18, for readings of any precision.
+    ``still_open`` those that it has not.
     """
-    # The engine's arithmetic restated: raw readings, one rounding at the end.
-    if exact:
+    # Raw readings: their decimal texts added up as whole numbers of 10^-18, one rounding at the end.
+    if half_even:
+        avg = "CAST(printf('%.2f', CAST(sum(CAST(round(temperature * 1e6) AS HUGEINT)) AS DOUBLE) / 1e6 / count(*)) AS DOUBLE)"
+        med = "CAST(printf('%.2f', quantile_cont(humidity, 0.5)) AS DOUBLE)"
+    else:
         text = lambda c: f"CAST(CAST({c} AS VARCHAR) AS DECIMAL(38,18))"
         whole = lambda d: f"CAST(replace(CAST({d} AS VARCHAR), '.', '') AS HUGEINT)"
         cents = lambda u, n: f"sign({u}) * CAST((2 * abs({u}) + CAST({n} AS HUGEINT) * 10000000000000000) // (CAST({n} AS HUGEINT) * 20000000000000000) AS DOUBLE) / 100"
         avg = cents(whole(f"sum({text('temperature')})"), "count(*)")
         place = lambda k: text(f"list(humidity ORDER BY humidity)[{k}]")
         med = cents(whole(f"{place('(count(*) + 1) // 2')} + {place('count(*) // 2 + 1')}"), "2")
-    elif half_even:
-        avg = "CAST(printf('%.2f', CAST(sum(CAST(round(temperature * 1e6) AS HUGEINT)) AS DOUBLE) / 1e6 / count(*)) AS DOUBLE)"
-        med = "CAST(printf('%.2f', quantile_cont(humidity, 0.5)) AS DOUBLE)"
-    else:
-        units = "sum(CAST(round(temperature * 1e6) AS HUGEINT))"
-        avg = f"sign({units}) * CAST((2 * abs({units}) + 10000 * count(*)) // (20000 * count(*)) AS DOUBLE) / 100"
-        med = "CAST(round(CAST(quantile_cont(humidity, 0.5) AS DECIMAL(38,7)), 2) AS DOUBLE)"
     inner = f"""
   SELECT time_bucket(INTERVAL '{interval}', event_ts) AS wb,
          manufacturer_id, manufacturer_name, country,

@@ -163,8 +163,8 @@ ORACLE: dict[str, str] = {
     "window_1min_fine": O.FINE_BASE + O.window_sql("1 minute"),
     "window_1day_fine": O.FINE_BASE + O.window_sql("1 day"),
     "window_1day_fine_half_even": O.FINE_BASE + O.window_sql("1 day", half_even=True),
-    "window_1min_precise": O.PRECISE_BASE + O.window_sql("1 minute", exact=True),
-    "window_1day_precise_rank": O.PRECISE_BASE + O.window_sql("1 day", "unfiltered", exact=True),
+    "window_1min_precise": O.PRECISE_BASE + O.window_sql("1 minute"),
+    "window_1day_precise_rank": O.PRECISE_BASE + O.window_sql("1 day", "unfiltered"),
     "events_clean": O.BASE
     + "SELECT event_id, sensor_id, manufacturer_id, event_time, temperature, humidity FROM clean",
     "events_rejected": O.BASE
@@ -220,8 +220,8 @@ def dirty_wire(spark, sf_dir, whole: bool = False):
     sensor = F.when(kind == 10, F.lit("null")).otherwise(quoted(F.col("sensor_id")))
     parts = [F.lit('{"sensor_id":'), sensor, F.lit(',"manufacturer_id":'), maker, F.lit(',"event_time":'), quoted(time)]
     parts += [F.when(kind == 2, F.lit("")).otherwise(F.concat(F.lit(',"temperature":'), heat)), F.lit(',"humidity":'), F.col("humidity").cast("string"), F.lit("}")]
-    whole = F.concat(*parts)
-    broken = F.when(kind == 7, F.substring(whole, 1, 40)).when(kind == 11, F.lit("not a record")).otherwise(whole)
+    record = F.concat(*parts)
+    broken = F.when(kind == 7, F.substring(record, 1, 40)).when(kind == 11, F.lit("not a record")).otherwise(record)
     return ev.select("event_id", broken.alias("value"))
 
 
@@ -395,8 +395,8 @@ def q_stream_pure_precise(spark, sf_dir):
 
 
 REGISTRY.update({"upsert_hot_group": q_upsert_hot_group, "stream_pure_precise": q_stream_pure_precise})
-ORACLE["upsert_hot_group"] = O.HOT_BASE + O.window_sql("1 day", exact=True)
-ORACLE["stream_pure_precise"] = O.PRECISE_BASE + O.window_sql("1 hour", "unfiltered", closed_by="unfiltered", exact=True)
+ORACLE["upsert_hot_group"] = O.HOT_BASE + O.window_sql("1 day")
+ORACLE["stream_pure_precise"] = O.PRECISE_BASE + O.window_sql("1 hour", "unfiltered", closed_by="unfiltered")
 
 
 # ---------------------------------------------------------------- dimensions
