@@ -585,8 +585,47 @@ def q_stream_finalized(spark, sf_dir):
     return finalize_bounded(spark, emitted, sensor_events_from_table(late), manufacturers_seed(spark), JOBS["bridge"])
 
 
-REGISTRY["stream_finalized"] = q_stream_finalized
+def q_stream_finalized_state(spark, sf_dir):
+    """Bridge replay + the windows still open at its end, from the stream's saved state: the source is not read again."""
+    import os
+
+    from skein.streaming.state import finalize_from_state
+
+    running = _replayed(spark, sf_dir, "bridge", wire=False)
+    checkpoint = f"{os.path.dirname(running.output)}/checkpoint"
+    return finalize_from_state(spark, spark.read.parquet(running.output), checkpoint, manufacturers_seed(spark), JOBS["bridge"])
+
+
+def q_upsert_levels(spark, sf_dir):
+    """Replay of the table job in three batches of files, compacted in levels after each; what a reader then sees."""
+    from skein.schemas import RESULT_COLUMNS
+    from skein.session import default_parallelism, fresh_path
+    from skein.sources.events import table_event_stream
+    from skein.streaming.jobs import run_to_end, start_job
+    from skein.streaming.levels import compact_levels, read_levels
+
+    apply_engine_conf(spark)
+    root = fresh_path(spark, "replay", "levels")
+    events = table(spark, sf_dir, "events")
+    for part in range(3):
+        # The table's rows come in three deliveries; the stream resumes after each from its checkpoint.
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part).write.parquet(f"{root}/in/part={part}")
+        running = run_to_end(
+            start_job(
+                spark, UPSERT_OPEN, events=table_event_stream(spark, f"{root}/in/part=*"), manufacturers=manufacturers_seed(spark),
+                output=f"{root}/out", checkpoint=f"{root}/checkpoint", trigger="available_now", state_partitions=default_parallelism(spark),
+            )
+        )
+        compact_levels(spark, running.output, fanout=2)
+    return read_levels(spark, running.output).select(*RESULT_COLUMNS)
+
+
+#: Every window stays open: deliveries out of order are all counted.
+UPSERT_OPEN = EngineConfig(name="upsert_open", output="update", delay=None, window="1 hour")
+REGISTRY.update({"stream_finalized": q_stream_finalized, "stream_finalized_state": q_stream_finalized_state, "upsert_levels": q_upsert_levels})
+ORACLE["upsert_levels"] = O.BASE + O.window_sql("1 hour")
 # Stated apart: what the watermark has closed, and what it has left open.
 ORACLE["stream_finalized"] = (
     O.BASE + O.window_sql("1 minute", closed_by="enriched") + " UNION ALL " + O.window_sql("1 minute", closed_by="enriched", still_open=True)
 )
+ORACLE["stream_finalized_state"] = ORACLE["stream_finalized"]
