@@ -7,6 +7,7 @@ an empty one.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -58,6 +59,18 @@ def stored(df: DataFrame, *name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps.
+
+    Spark deletes them once the driver's JVM has collected the plans that made
+    them, which by itself may take half an hour; a job of many steps would
+    hold all of theirs on disk at a time.
+    """
+    gc.collect()
+    if spark.sparkContext is not None:
+        spark.sparkContext._jvm.System.gc()
+
+
 def remainder(doc_id: Column, mod: int) -> Column:
     """crc32 of the id's text modulo ``mod``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod

@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import LOWER, SPACED, append, chunks, mix, ship, stored, utf8, window_hashes, word_hashes, words
+from skein.llm.common import LOWER, SPACED, append, chunks, mix, released, ship, stored, utf8, window_hashes, word_hashes, words
 from skein.llm.components import components
 
 #: A band's upper size as a multiple of its lower one.
@@ -189,20 +189,22 @@ def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def contents(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(fp, x): the sets of ``wanted`` (fp, doc_id), recomputed from the texts.
 
-    A filter of fixed size keeps most other documents from being computed and shuffled.
+    A filter of fixed size keeps most other documents from being computed and
+    shuffled.  An id may have several texts: the set is the one with the hash.
     """
     shared = _marks(wanted, "doc_id")
 
     def step(texts: pa.Array, at: pa.Array):
         found: list[bytes | None] = [None] * len(texts)
+        fps: list[int | None] = [None] * len(texts)
         which = np.flatnonzero(_marked(shared.value, at.to_numpy(zero_copy_only=False)))
         for i, x in zip(which.tolist(), _sets(texts.take(pa.array(which)), size), strict=True):
-            found[i] = x.tobytes()
-        return [pa.array(found, type=pa.binary())]
+            found[i], fps[i] = x.tobytes(), fingerprint(x)
+        return [pa.array(found, type=pa.binary()), pa.array(fps, type=pa.int64())]
 
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("_hash")).where("doc_id is not null")
-    found = append(rows, ["text", "_hash"], lambda: step, [T.StructField("x", T.BinaryType())], keep=["doc_id"])
-    return found.where("x is not null").join(wanted, "doc_id").select("fp", "x").dropDuplicates(["fp"])
+    found = append(rows, ["text", "_hash"], lambda: step, [T.StructField("x", T.BinaryType()), T.StructField("fp", T.LongType())], keep=["doc_id"])
+    return found.where("x is not null").join(wanted, ["doc_id", "fp"]).select("fp", "x").dropDuplicates(["fp"])
 
 
 def _common(rows: DataFrame) -> DataFrame:
@@ -379,6 +381,13 @@ def linked_sets(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, c
 
     Two sets link when ``den`` * intersection >= ``num`` * union.
     """
+    prof, reps, found = _linked(docs, size, num, den, cell, depth)
+    found = found.join(reps.select(F.col("fp").alias("u"), F.col("doc_id").alias("a")), "u").join(reps.select(F.col("fp").alias("v"), F.col("doc_id").alias("b")), "v")
+    return prof.select("doc_id", "n_shingles", "fp"), found.select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _linked(docs: DataFrame, size: int, num: int, den: int, cell: int = CELL, depth: int = DEPTH) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(profiles; of each set its least doc_id: fp, doc_id; links between sets by their hashes: u, v)."""
     docs = docs.select("doc_id", "text")
     prof = stored(profiles(docs, size), "profiles")
     some = prof.where("n_shingles > 0 and doc_id is not null")
@@ -393,6 +402,7 @@ def linked_sets(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, c
     # Equal sets are one class.
     classes = some.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", "n_shingles", "sketch").dropDuplicates(["fp"])
     classes = stored(classes, "classes")
+    released(docs.sparkSession)
     close = F.lit(den) * F.col("both") >= F.lit(num) * F.col("either")
     links, groups, one = [], [], ["pivot", "fp"]
     for level in range(depth):
@@ -401,6 +411,7 @@ def linked_sets(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, c
         needed = pairs.select("pivot").union(pairs.select("fp")).distinct().select(F.col("pivot").alias("fp"))
         sets = stored(contents(docs, needed.join(reps, "fp"), size), "sets")
         linked = stored(_exact(pairs, sets).where(close).select(one), "linked")
+        released(docs.sparkSession)
         links.append(linked.select(F.col("pivot").alias("u"), F.col("fp").alias("v")))
         cells = stored(_rings(rows, linked, num, den), "cells")
         big, last = F.col("n") > cell, level + 1 == depth
@@ -412,30 +423,55 @@ def linked_sets(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, c
         pivots = cells.groupBy("region").agg(F.min(F.when(~F.col("linked"), F.col("fp"))).alias("pivot"))
         members = stored(cells.join(pivots, "region").select("region", "level", "pivot", "fp"), "regions")
     near = stored(reduce(DataFrame.unionByName, groups), "groups")
+    released(docs.sparkSession)
     sets = contents(docs, near.select("fp").distinct().join(reps, "fp"), size)
     links.append(near.join(sets, "fp").groupBy("cell").applyInArrow(_compare(num, den), "u long, v long"))
-    found = reduce(DataFrame.unionByName, links)
-    found = found.join(reps.select(F.col("fp").alias("u"), F.col("doc_id").alias("a")), "u").join(reps.select(F.col("fp").alias("v"), F.col("doc_id").alias("b")), "v")
-    return prof.select("doc_id", "n_shingles", "fp"), found.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    found = stored(reduce(DataFrame.unionByName, links), "found")
+    released(docs.sparkSession)
+    return prof, reps, found
 
 
-def component_ids(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, **options) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (least id that links reach, itself included)."""
-    prof, links = linked_sets(docs, size, num, den, **options)
-    comp = components(links).select(F.col("u").alias("rep"), F.col("v").alias("least"))
+def _classified(docs: DataFrame, size: int, num: int, den: int, **options) -> DataFrame:
+    """Per document: doc_id, n_shingles, fp, component_id, and the hash ``first`` of the set that stands for its
+    component.  Components are of sets, not ids: two texts of one id are linked only if they are alike."""
+    prof, _, links = _linked(docs, size, num, den, **options)
+    comp = components(links).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     reps = prof.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    rooted = reps.join(comp, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    # The least id, and of its sets the one with the least hash; sets that have no id come last.
+    least = rooted.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "fp")).alias("least"))
     # Stored, so that the join with all documents shuffles both sides, and a class with very many copies can be split.
-    to = stored(reps.join(comp, "rep", "left").select("fp", F.coalesce("least", "rep").alias("component_id")), "classes")
-    alone = prof.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return prof.where("n_shingles > 0").join(to, "fp").select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    to = rooted.join(least, "root").select("fp", F.col("least.rep").alias("component_id"), F.col("least.fp").alias("first"))
+    columns = ["doc_id", "n_shingles", "fp", "component_id", "first"]
+    alone = prof.where("n_shingles = 0").select("doc_id", "n_shingles", "fp", F.col("doc_id").alias("component_id"), F.col("fp").alias("first"))
+    return prof.where("n_shingles > 0").join(stored(to, "classes"), "fp").select(columns).unionByName(alone.select(columns))
+
+
+def component_ids(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, **options) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (least id that links reach, itself included)."""
+    return _classified(docs, size, num, den, **options).select("doc_id", "n_shingles", "component_id")
 
 
 def near_duplicates_removed(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, **options) -> DataFrame:
-    """``docs`` with one document of each component: the one whose id is the component's.
+    """``docs`` with one document of each component: that of the least id, and of its texts the one with the least
+    hash.
 
-    Documents without words stay, and so do repeated rows of the document that stays.
+    Documents without words stay, and so do repeated rows of the document that
+    stays.  What goes is listed by id and text; a row without an id stays.
     """
-    ids = component_ids(docs, size, num, den, **options)
-    # What goes is listed by id; a null id can't be listed and stays.
-    gone = ids.where("n_shingles > 0 and doc_id != component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    ids = _classified(docs, size, num, den, **options)
+    gone = ids.where("n_shingles > 0 and not (doc_id = component_id and fp = first)").select("doc_id", "fp").distinct()
+    gone = stored(gone.where("doc_id is not null"), "gone")
+    several = ids.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a != b")
+    several = stored(several.select("doc_id"), "several")
+    # The id tells the text, but for ids with several texts: of these the sets are looked at again.
+    left = docs.join(gone.join(several, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_anti")
+    if several.isEmpty():
+        return left.select(*docs.columns)
+
+    def step(texts: pa.Array):
+        return [pa.array([fingerprint(x) for x in _sets(texts, size)], type=pa.int64())]
+
+    mixed = append(left.join(several, "doc_id", "left_semi"), ["text"], lambda: step, [T.StructField("_fp", T.LongType())])
+    mixed = mixed.join(gone.withColumnRenamed("fp", "_fp"), ["doc_id", "_fp"], "left_anti")
+    return left.join(several, "doc_id", "left_anti").select(*docs.columns).unionByName(mixed.select(*docs.columns))

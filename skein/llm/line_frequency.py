@@ -7,10 +7,10 @@ that occur twice or more in the document.
 
 The method: lines are normalised (lower case, white space to one space, none
 at the ends) and hashed to 64 bits; lines without a word don't count.  For
-each host (``source``) the distinct documents of each line are counted, which
-needs no more than a count, as a document gives each of its lines once.  A
-line is removed from a host's documents if more than ``max(MIN_DOCS,
-MAX_SHARE * documents of the host)`` of them have it.  A document is depleted,
+each host (``source``) the distinct documents (ids) of each line are counted.
+A line is removed from a host's documents if more than ``MIN_DOCS`` of them
+have it, however many documents the host has; a caller may ask for a share of
+the host's rows besides.  A document is depleted,
 and not kept, if removed lines hold more than ``MAX_REMOVED`` of its words or
 leave fewer than ``MIN_WORDS``.
 
@@ -20,9 +20,9 @@ lines with the removed ones has one row a line on one side and may be split on
 the other.  Texts are never shuffled: the lines' hashes are.
 
 Defined results: a null or empty text has zero counts and fails the base rule;
-a null host is a host of its own; rows with equal doc_id, host and text are
-separate documents in the counts and get the same result; an empty table gives
-an empty result.
+a null host is a host of its own; rows with equal doc_id are one document in
+the counts (those without an id together, too), whatever their texts, and each
+gets the result of its text; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from skein.llm.common import SPACE
 
 MIN_WORDS = 50
 MIN_DOCS = 10
-MAX_SHARE = 0.005
+MAX_SHARE = 0.0
 MAX_REMOVED = 0.5
 
 
@@ -101,18 +101,21 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """(host, line hash) for each document and distinct normalised line."""
+    """(doc_id, host, line hash) for each row and distinct normalised line."""
     text = F.coalesce(F.col("text"), F.lit(""))
     one = F.filter(F.transform(F.split(text, "\n"), normalised), lambda x: x != "")
     hashed = F.array_distinct(F.transform(one, lambda x: F.xxhash64(x)))
-    return docs.select(F.col("source").alias("_host"), F.explode(hashed).alias("_line"))
+    return docs.select("doc_id", F.col("source").alias("_host"), F.explode(hashed).alias("_line"))
 
 
 def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """(host, line hash, documents) of the lines above the limits."""
     hosts = docs.groupBy(F.col("source").alias("_h")).agg(F.count("*").alias("_in_host"))
-    # The count is at least min_docs + 1 either way, which leaves few rows for the join.
-    many = distinct_lines(docs).groupBy("_host", "_line").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > min_docs)
+    # The id is in the first shuffle's key, so a line of very many documents is many groups there.
+    distinct = F.count_distinct(F.struct("doc_id"))
+    many = distinct_lines(docs).groupBy("_host", "_line").agg(distinct.alias("n_docs")).where(F.col("n_docs") > min_docs)
+    if max_share <= 0:
+        return many
     many = many.join(hosts, F.col("_host").eqNullSafe(F.col("_h")))
     return many.where(F.col("n_docs") > F.lit(max_share) * F.col("_in_host")).select("_host", "_line", "n_docs")
 
@@ -179,11 +182,9 @@ with d as (
 ), q as (
   select r, count(*) as n from t group by r
 ), x as (
-  select r, doc_id, source, trim(regexp_replace(lower(unnest(string_split(text, chr(10)))), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as line from d
+  select r, doc_id, coalesce(cast(doc_id as varchar), '-') as i, source, trim(regexp_replace(lower(unnest(string_split(text, chr(10)))), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as line from d
 ), f as (
-  select source, line from (select source, line, count(distinct r) as n from x where line <> '' group by source, line) a
-  join (select source as s, count(*) as m from d group by source) b on source is not distinct from s
-  where n > {MIN_DOCS} and n > {MAX_SHARE} * m
+  select source, line from x where line <> '' group by source, line having count(distinct i) > {MIN_DOCS}
 ), z as (
   select r, sum(len(string_split(x.line, ' '))) as words, count(distinct x.line) as lines
   from x join f on x.line = f.line and x.source is not distinct from f.source group by r

@@ -102,3 +102,24 @@ def test_long_chain_of_links(spark):
     got = {r.u: r.v for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, 101: 100}
     assert components(links.limit(0)).count() == 0
+
+
+def test_whole_table_with_the_registered_parameters(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    got = sorted(map(tuple, jaccard.component_ids(docs, 3, 90, 100).collect()), key=repr)
+    assert got == brute([tuple(r) for r in docs.collect()], 3, 90, 100)
+
+
+def test_one_id_on_several_texts(spark):
+    """Links are between texts: an id's texts keep theirs, and only the text that is a copy goes."""
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(100))
+    rows = [(1, text("a")), (1, text("b")), (5, text("a") + " more"), (6, text("b") + " more"), (2, text("a")), (2, text("unique"))]
+    rows += [(7, text("p")), (3, text("p") + " x"), (7, text("q")), (9, text("q") + " x"), (11, text("r")), (11, text("r") + " x"), (11, text("r"))]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_shingles int").repartition(4)
+    for _ in range(2):
+        ids = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.component_ids(docs).collect()}
+        assert ids == {(1, 98, 1), (5, 99, 1), (6, 99, 1), (2, 98, 1), (2, 98, 2), (7, 98, 3), (3, 99, 3), (7, 98, 7), (9, 99, 7), (11, 98, 11), (11, 99, 11)}
+        left = sorted((r.doc_id, r.text.split()[0][0], len(r.text.split())) for r in jaccard.near_duplicates_removed(docs).collect())
+        assert [x for x in left if x[0] != 11] == [(1, "a", 100), (1, "b", 100), (2, "u", 100), (3, "p", 101), (7, "q", 100)]
+        # Of one id's two like texts one stays, with its repeats.
+        assert [x for x in left if x[0] == 11] in ([(11, "r", 100)] * 2, [(11, "r", 101)])

@@ -11,11 +11,11 @@ SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 def brute(rows, min_docs, max_share):
     lines = lambda t: [y for x in (t or "").split("\n") if (y := SPACE.sub(" ", x.lower()).strip(" "))]
-    hosts, many = Counter(s for _, _, s in rows), defaultdict(int)
-    for _, t, s in rows:
+    hosts, many = Counter(s for _, _, s in rows), defaultdict(set)
+    for i, t, s in rows:
         for x in set(lines(t)):
-            many[s, x] += 1
-    bad = {k for k, n in many.items() if n > min_docs and n > max_share * hosts[k[0]]}
+            many[s, x].add(i)
+    bad = {k for k, ids in many.items() if len(ids) > min_docs and len(ids) > max_share * hosts[k[0]]}
     out = []
     for i, t, s in rows:
         t = t or ""
@@ -63,3 +63,17 @@ def test_cleaned_text(spark, none):
 def test_no_python_in_the_plan(spark, odd):
     plan = lf.report(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_repeats_of_one_document_are_one(spark):
+    text = "\n".join(" ".join(f"w{k}x{i}" for i in range(12)) for k in range(8))
+    rows = [(1, text, "h")] * 11 + [(2, text, "h")]
+    got = lf.report(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert [(r.n_removed_words, r.kept) for r in got] == [(0, True)] * 12
+
+
+def test_limit_does_not_grow_with_the_host(spark):
+    body = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    rows = [(i, body(i) + ("\na line of eleven documents" if i < 11 else ""), "h") for i in range(4000)]
+    got = lf.report(spark.createDataFrame(rows, "doc_id long, text string, source string")).where("n_removed_lines > 0")
+    assert sorted(r.doc_id for r in got.collect()) == list(range(11))
