@@ -56,7 +56,19 @@ def stored(df: DataFrame, *name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, "llm", *name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read._stored_at = path
+    return read
+
+
+def discarded(df: DataFrame) -> None:
+    """Delete the table behind a result of :func:`stored` that nothing reads any more; call it once what was made
+    from it is stored itself."""
+    path = getattr(df, "_stored_at", None)
+    if path is None:
+        raise ValueError("not a stored table")
+    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def released(spark: SparkSession) -> None:

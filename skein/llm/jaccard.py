@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import LOWER, SPACED, append, chunks, mix, released, ship, stored, utf8, window_hashes, word_hashes, words
+from skein.llm.common import LOWER, SPACED, append, chunks, discarded, mix, released, ship, stored, utf8, window_hashes, word_hashes, words
 from skein.llm.components import components
 
 #: A band's upper size as a multiple of its lower one.
@@ -411,6 +411,7 @@ def _linked(docs: DataFrame, size: int, num: int, den: int, cell: int = CELL, de
         needed = pairs.select("pivot").union(pairs.select("fp")).distinct().select(F.col("pivot").alias("fp"))
         sets = stored(contents(docs, needed.join(reps, "fp"), size), "sets")
         linked = stored(_exact(pairs, sets).where(close).select(one), "linked")
+        discarded(sets)
         released(docs.sparkSession)
         links.append(linked.select(F.col("pivot").alias("u"), F.col("fp").alias("v")))
         cells = stored(_rings(rows, linked, num, den), "cells")

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import LOWER, SPACED, chunks, ship, stored, utf8, word_hashes, words
+from skein.llm.common import LOWER, SPACED, chunks, discarded, released, ship, stored, utf8, word_hashes, words
 
 ORDER = 5
 START, END = 0xFE, 0xFF
@@ -267,7 +267,12 @@ def string_costs(asked: DataFrame, order: int = ORDER) -> DataFrame:
             # A context's bytes: 256 at most.
             by = level.groupBy(F.col("context").alias("c")).agg(F.collect_list(F.struct("s", "n")).alias("x"))
             by = by.select("c", F.col("x.s").alias(f"s{k}"), F.col("x.n").alias(f"n{k}"))
-            rows = rows.join(by, F.col("context").bitwiseAND(F.lit((1 << 8 * k) - 1)) == F.col("c"), "left").drop("c")
+            wider = rows.join(by, F.col("context").bitwiseAND(F.lit((1 << 8 * k) - 1)) == F.col("c"), "left").drop("c")
+            # One level's shuffle and table on disk at a time.
+            before, rows = rows, stored(wider, "contexts")
+            if k < order:
+                discarded(before)
+            released(spark)
         else:
             for r in level.collect():  # at most 256 * 256 rows, then 256
                 low.setdefault(r.context, {})[r.s] = r.n
@@ -313,8 +318,11 @@ def score(docs: DataFrame, train: Column, place: Column | None = None, smooth: f
         F.when(several, F.col("block")).alias("block"), F.when(several, F.col("key")).alias("key"), F.when(several, F.col("n")).cast("double").alias("value"), first.alias("first")
     )
     summed = stored(summed, "words")
+    released(spark)
     n = int(of_words.agg(F.coalesce(F.sum("train"), F.lit(0)).alias("n")).first().n)
     v = summed.where("first").count()
+    said = stored(said, "said")
+    released(spark)
     answers = said.unionByName(summed.where("key is not null").select("block", "key", "value"))
     names = ["doc_id", "train"]
     schema = T.StructType([rows.schema[c] for c in names] + RESULT.fields)
