@@ -71,7 +71,7 @@ class EngineConfig:
             "watermark_at": ("enriched", "source"),
             "rounding": ("half_up", "binary_half_even"),
             "median": ("histogram", "rank"),
-            "dimension": ("snapshot", "refresh"),
+            "dimension": ("snapshot", "refresh", "versions"),
             "output": ("append", "update"),
             "emit": ("row", "json"),
         }
@@ -81,6 +81,8 @@ class EngineConfig:
                 raise ValueError(f"{attr}={value!r}; expected one of {allowed}")
         if self.delay is None and self.output == "append":
             raise ValueError("append output needs a watermark delay")
+        if self.dimension == "versions" and self.output == "update":
+            raise ValueError("dimension versions need append output: a group's key holds the version")
 
     def with_(self, **changes) -> "EngineConfig":
         return replace(self, **changes)

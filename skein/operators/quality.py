@@ -68,13 +68,18 @@ def clean(events: DataFrame, cfg: EngineConfig, *, guard: bool = False, time_col
     return events.filter(guarded(pred, time_col) if guard else pred)
 
 
-def rejects(events: DataFrame, cfg: EngineConfig, time_col: str = "event_ts") -> DataFrame:
-    """Rows the quality rules drop, with the first failing rule as ``reason``.
+def judged(events: DataFrame, cfg: EngineConfig, time_col: str = "event_ts") -> DataFrame:
+    """All rows, with the first failing rule as ``reason``; null for a row that passes.
 
     Same predicates as :func:`clean`, negated null-safely (a null comparison
-    counts as failing), so ``clean`` and ``rejects`` partition the input.
+    counts as failing).
     """
     reason = F.lit(None).cast("string")
     for name, rule in reversed(_rules(cfg, time_col)):
         reason = F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)).otherwise(reason)
-    return events.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    return events.withColumn("reason", reason)
+
+
+def rejects(events: DataFrame, cfg: EngineConfig, time_col: str = "event_ts") -> DataFrame:
+    """Rows the quality rules drop, with their ``reason``; ``clean`` and ``rejects`` partition the input."""
+    return judged(events, cfg, time_col).filter(F.col("reason").isNotNull())

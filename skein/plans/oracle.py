@@ -79,6 +79,17 @@ HOT_CTE = """hot AS (
   SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN CAST(1 AS SMALLINT) ELSE manufacturer_id END AS manufacturer_id) FROM precise)"""
 HOT_BASE = with_ctes(MANUFACTURERS_CTE, EVENTS_CTE, PRECISE_CTE, HOT_CTE, CLEAN_CTE.replace("FROM ev", "FROM hot"), ENRICHED_CTE)
 
+# Versions of the manufacturers; ``later`` stands for the rows that begin at the middle hour.
+VERSIONED_BASE = with_ctes(
+    MANUFACTURERS_CTE, EVENTS_CTE, CLEAN_CTE,
+    "middle AS (SELECT date_trunc('hour', make_timestamp((epoch_us(min(event_ts)) + epoch_us(max(event_ts))) // 2)) AS t FROM ev)",
+    "later(id, manufacturer_name, country) AS (VALUES {later})",
+    """named AS (
+  SELECT c.*, coalesce(l.manufacturer_name, m.manufacturer_name) AS manufacturer_name, coalesce(l.country, m.country) AS country
+  FROM clean c CROSS JOIN middle LEFT JOIN m ON c.manufacturer_id = m.id LEFT JOIN later l ON c.manufacturer_id = l.id AND c.event_ts >= middle.t
+  WHERE m.id IS NOT NULL OR l.id IS NOT NULL)""",
+)
+
 
 # The dirty records, written and parsed again with DuckDB's own functions.
 DIRTY_CTES = r"""wire AS (

@@ -204,10 +204,9 @@ def q_decode(mode: str):
 WHOLE_KINDS = (0, 1, 4, 5, 6)
 
 
-def dirty_wire(spark, sf_dir, whole: bool = False):
-    """The events as JSON records of which most are unusual or broken, by the event id's remainder; with ``whole``
+def dirty_wire(ev, whole: bool = False):
+    """Events as JSON records of which most are unusual or broken, by the event id's remainder; with ``whole``
     unusual at most."""
-    ev = sensor_events(spark, sf_dir, keep=["event_id"])
     kind = F.element_at(F.array(*map(F.lit, WHOLE_KINDS)), (F.col("event_id") % len(WHOLE_KINDS) + 1).cast("int")) if whole else F.col("event_id") % 12
     text = F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     time = F.when(kind == 4, F.concat(text, F.lit("+03:00"))).when(kind == 5, text)
@@ -229,7 +228,7 @@ def q_decode_dirty(spark, sf_dir):
     """Lenient decoding of broken and unusual records, whole table."""
     from skein.sources.events import decode_events
 
-    dec = decode_events(dirty_wire(spark, sf_dir), DEFAULT, keep=["event_id"])
+    dec = decode_events(dirty_wire(sensor_events(spark, sf_dir, keep=["event_id"])), DEFAULT, keep=["event_id"])
     return dec.select("event_id", "sensor_id", "manufacturer_id", "temperature", "humidity", _ts_text().alias("parsed_ts"))
 
 
@@ -237,7 +236,7 @@ def q_dirty_rejected(spark, sf_dir):
     """Which of those records the quality rules reject, and why."""
     from skein.sources.events import decode_events
 
-    dec = decode_events(dirty_wire(spark, sf_dir), DEFAULT, keep=["event_id"])
+    dec = decode_events(dirty_wire(sensor_events(spark, sf_dir, keep=["event_id"])), DEFAULT, keep=["event_id"])
     return rejects(dec, DEFAULT).select("event_id", "reason")
 
 
@@ -245,7 +244,7 @@ def q_decode_dirty_strict(spark, sf_dir):
     """Strict decoding of records that are unusual but whole (quoted numbers, other time forms), whole table."""
     from skein.sources.events import decode_events
 
-    dec = decode_events(dirty_wire(spark, sf_dir, whole=True), DEFAULT.with_(decode="strict"), keep=["event_id"])
+    dec = decode_events(dirty_wire(sensor_events(spark, sf_dir, keep=["event_id"]), whole=True), DEFAULT.with_(decode="strict"), keep=["event_id"])
     return dec.select("event_id", "sensor_id", "manufacturer_id", "temperature", "humidity", _ts_text().alias("parsed_ts"))
 
 
@@ -318,7 +317,7 @@ def _replay(job: str, wire: bool):
     return run
 
 
-def _replayed(spark, sf_dir, job: str | EngineConfig, wire: bool, change=None):
+def _replayed(spark, sf_dir, job: str | EngineConfig, wire: bool, change=None, manufacturers=None):
     """The finished replay of a job over the whole table, its events first changed by ``change``."""
     from skein.functions.jsonfmt import event_value_json
     from skein.session import fresh_path, state_partitions
@@ -333,7 +332,7 @@ def _replayed(spark, sf_dir, job: str | EngineConfig, wire: bool, change=None):
     kwargs = {"raw": stream.select(event_value_json().alias("value"))} if wire else {"events": stream}
     root = fresh_path(spark, "replay", job if isinstance(job, str) else job.name)
     running = start_job(
-        spark, job, manufacturers=manufacturers_seed(spark), output=f"{root}/out",
+        spark, job, manufacturers=manufacturers or manufacturers_seed(spark), output=f"{root}/out",
         checkpoint=f"{root}/checkpoint", trigger="available_now",
         state_partitions=state_partitions(spark, files), **kwargs,
     )
@@ -629,3 +628,61 @@ ORACLE["stream_finalized"] = (
     O.BASE + O.window_sql("1 minute", closed_by="enriched") + " UNION ALL " + O.window_sql("1 minute", closed_by="enriched", still_open=True)
 )
 ORACLE["stream_finalized_state"] = ORACLE["stream_finalized"]
+
+
+# ---------------------------------------------------------------- a dimension that changes
+#: What takes effect in the middle of the events' time: two new names, and a manufacturer unknown until then.
+LATER_MANUFACTURERS = [(1, "Bosch Sensortec II", "Germany"), (3, "Honeywell II", "Canada"), (5, "Fifth Maker", "France")]
+
+
+def manufacturer_versions(spark, sf_dir):
+    """The seeded manufacturers since ever, and the later ones from an hour in the middle of the events' time, written as a version table."""
+    from skein.operators.dimension import write_version
+    from skein.operators.versions import dimension_versions
+
+    middle = sensor_events(spark, sf_dir).agg(F.floor((F.unix_micros(F.min("event_ts")) + F.unix_micros(F.max("event_ts"))) / 2).alias("us"))
+    rows = ", ".join(f"struct(CAST({i} AS SMALLINT) AS id, '{n}' AS manufacturer_name, '{c}' AS country)" for i, n, c in LATER_MANUFACTURERS)
+    later = middle.selectExpr("date_trunc('hour', timestamp_micros(us)) AS valid_from", f"inline(array({rows}))")
+    first = manufacturers_seed(spark).select("id", "manufacturer_name", "country", F.lit(None).cast("timestamp").alias("valid_from"))
+    return write_version(spark, dimension_versions(first.unionByName(later.where("valid_from IS NOT NULL"))), "manufacturer_versions")
+
+
+def q_window_versions(spark, sf_dir):
+    """Daily results, each event under the manufacturer version of its time."""
+    return results(sensor_events(spark, sf_dir), manufacturer_versions(spark, sf_dir), VERSIONED)
+
+
+def q_stream_versions_closed(spark, sf_dir):
+    """Replay of the bridge job over a dimension of which two versions exist."""
+    return spark.read.parquet(_replayed(spark, sf_dir, VERSIONED, wire=False, manufacturers=manufacturer_versions(spark, sf_dir)).output)
+
+
+VERSIONED = EngineConfig(name="versioned", dimension="versions", window="1 day")
+REGISTRY.update({"window_1day_versions": q_window_versions, "stream_versions_closed": q_stream_versions_closed})
+ORACLE["window_1day_versions"] = O.VERSIONED_BASE.format(later=", ".join(map(str, LATER_MANUFACTURERS))) + O.window_sql("1 day", "named")
+ORACLE["stream_versions_closed"] = O.VERSIONED_BASE.format(later=", ".join(map(str, LATER_MANUFACTURERS))) + O.window_sql("1 day", "named", closed_by="named")
+
+
+# ---------------------------------------------------------------- both outcomes of the quality rules
+def q_stream_split(spark, sf_dir):
+    """Replay of the dirty records: accepted and rejected events of one scan, read back from the sink's two sides."""
+    from skein.session import fresh_path
+    from skein.sources.events import decode_events, table_event_stream
+    from skein.streaming.sinks import read_split, start_split
+
+    apply_engine_conf(spark)
+    raw = dirty_wire(table_event_stream(spark, f"{sf_dir.rstrip('/')}/events*.parquet", keep=["event_id"]))
+    events = decode_events(raw, DEFAULT, keep=["event_id"]).select("event_id", "sensor_id", "manufacturer_id", "temperature", "humidity", "event_time", "event_ts")
+    root = fresh_path(spark, "replay", "split")
+    query = start_split(events, DEFAULT, path=f"{root}/out", checkpoint=f"{root}/checkpoint")
+    query.awaitTermination()
+    good, bad = (read_split(spark, f"{root}/out", events.schema, accepted) for accepted in (True, False))
+    rows = good.withColumns({"outcome": F.lit("accepted"), "reason": F.lit(None).cast("string")}).unionByName(bad.withColumn("outcome", F.lit("rejected")))
+    return rows.select("event_id", "outcome", "reason", "sensor_id", "manufacturer_id", "temperature", "humidity", _ts_text().alias("parsed_ts"))
+
+
+REGISTRY["stream_split"] = q_stream_split
+ORACLE["stream_split"] = O.DIRTY_BASE + (
+    f"SELECT event_id, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome, reason, sensor_id, manufacturer_id, temperature, humidity, parsed_ts"
+    f" FROM (SELECT *, {_REJECT_REASON} AS reason, strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') AS parsed_ts FROM dirty)"
+)

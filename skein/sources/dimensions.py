@@ -112,11 +112,12 @@ def pin_snapshot(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def require_unique(df: DataFrame, key: str, what: str) -> DataFrame:
+def require_unique(df: DataFrame, key: str | list[str], what: str) -> DataFrame:
     """A repeated key would split a window's rows or count events twice."""
-    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+    keys = [key] if isinstance(key, str) else key
+    twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
     if twice:
-        raise RuntimeError(f"dimension {what}: {key} {twice[0]} occurs {twice[1]} times")
+        raise RuntimeError(f"dimension {what}: {', '.join(keys)} {', '.join(map(str, twice[:-1]))} occurs {twice[-1]} times")
     return df
 
 
@@ -126,10 +127,10 @@ def load_dimension(
     name: str,
     mode: str = "snapshot",
     columns: list[str] | None = None,
-    key: str | None = "id",
+    key: str | list[str] | None = "id",
 ) -> DataFrame:
-    """Project and pin (snapshot) or keep live (refresh); checks that there
-    are rows and that ``key`` is unique (of a live one: at the start)."""
+    """Project and pin (snapshot) or keep live (refresh, versions); checks that
+    there are rows and that ``key`` is unique (of a live one: at the start)."""
     if columns:
         df = df.select(*columns)
     if mode == "snapshot":

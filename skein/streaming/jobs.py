@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skein.config import JOBS, OUTPUTS, EngineConfig
+from skein.operators.enrich import DIM_COLUMNS
+from skein.operators.versions import VERSION_COLUMNS
 from skein.plans.pipeline import results
 from skein.plans.sql_route import (
     cells_sql,
@@ -116,9 +118,14 @@ def start_job(
         if raw is None:
             raise ValueError("give events or raw")
         events = decode_events(raw, cfg)
-    dim = load_dimension(spark, manufacturers, "manufacturers", cfg.dimension, ["id", "manufacturer_name", "country"])
     # Update output, and medians by rank selection, are worked out from cells in plain batches.
     by_cells = cfg.output == "update" or cfg.median == "rank"
+    if cfg.dimension == "versions":
+        if by_cells:
+            raise ValueError("cells are counted per manufacturer: dimension versions need append output and median='histogram'")
+        dim = load_dimension(spark, manufacturers, "manufacturers", "versions", VERSION_COLUMNS, ["id", "valid_from"])
+    else:
+        dim = load_dimension(spark, manufacturers, "manufacturers", cfg.dimension, DIM_COLUMNS)
     res = (job_cells if by_cells else job_results)(spark, events, dim, cfg)
     # The setting is read when the query starts (the stream keeps its own
     # copy of the session settings), so it is set around start() only.

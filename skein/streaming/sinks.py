@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from skein.config import EngineConfig
 from skein.functions.jsonfmt import result_json, upsert_key_json
+from skein.operators.quality import judged
 from skein.schemas import RESULT, RESULT_COLUMNS, UPSERT_KEY
 
 CHANGELOG = T.StructType(
@@ -82,6 +84,37 @@ def start_append(
     return _trigger(writer, trigger).start()
 
 
+def start_split(
+    events: DataFrame, cfg: EngineConfig, *, path: str, checkpoint: str, trigger: str | None = "available_now", query_name: str | None = None
+) -> StreamingQuery:
+    """Accepted and rejected events of one scan, as the two partitions (``outcome``) of one file sink.
+
+    A micro-batch's files of both kinds enter the sink's metadata log in one
+    commit: a reader sees both or none, and a retried batch leaves no repeat.
+    """
+    kind = F.when(F.col("reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected"))
+    writer = (
+        judged(events, cfg)
+        .withColumn("outcome", kind)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .partitionBy("outcome")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    if query_name:
+        writer = writer.queryName(query_name)
+    return _trigger(writer, trigger).start()
+
+
+def read_split(spark: SparkSession, path: str, schema: T.StructType, accepted: bool) -> DataFrame:
+    """One side of :func:`start_split`; the other's files are not read.  ``schema``: that of the events."""
+    names = [f.name for f in schema.fields]
+    whole = T.StructType([*schema.fields, T.StructField("reason", T.StringType()), T.StructField("outcome", T.StringType())])
+    rows = spark.read.schema(whole).parquet(path).where(F.col("outcome") == ("accepted" if accepted else "rejected"))
+    return rows.select(*names) if accepted else rows.select(*names, "reason")
+
+
 def changelog_rows(batch: DataFrame, version: int) -> DataFrame:
     return batch.select(
         upsert_key_json().alias("key"),
