@@ -1,34 +1,39 @@
 """Toxicity by the nearest labelled examples.
 
 Examples are labelled training texts, drawn by a hash of their id: at most
-about ``per_class`` of each label (a documented bound; the draw is a filter
-on the hash, so it is the same in every run).  Terms are words (letters and
-digits, A-Z in lower case) whose presence depends on the label by a chi-square
-test over the examples, ``max_terms`` at most.  Texts and examples become
-TF-IDF vectors over these terms with unit length, and similarity is their
-exact cosine.
+about ``per_class`` of each label, and of these so many that they have about
+``max_postings`` different words in all, each text's counted by itself
+(documented bounds; the draw is a filter on the hash, so it is the same in
+every run).  Terms are all their words (letters and digits, A-Z in lower
+case).  A term's weight is its inverse document frequency times
+``FLOOR + chi / (chi + HALF)``, where chi is the chi-square statistic (with
+Yates's correction) of its presence and the label over the examples: words that go with a label lead, and
+no word is left out.  Texts and examples become TF-IDF vectors of unit length
+with these weights, and similarity is their exact cosine.
 
 The index holds the examples in blocks with the highest weight of every term
 in each block.  A search bounds every block's best cosine by these maxima,
-takes blocks in falling order of the bound and stops when no block left can
-reach the k-th best; this loses nothing.  Ties go to the lower example number.
+takes blocks in falling order of the bound and leaves out those that can't
+reach the k-th best so far; this loses nothing.  Ties go to the lower example
+number.
 
 The votes of the k nearest, weighted by 1 / (distance + ``soft``) and by how
-many labelled rows an example stands for, give a raw share, which a logistic
-curve fitted on the examples themselves (each without itself) calibrates.  A
-text without any of the terms has no neighbours and gets the examples' share
-of toxic among such texts.
+many labelled rows an example stands for, give a raw share.  A logistic curve
+calibrates it, fitted in ``FOLDS`` parts: the examples of a part are searched
+in an index whose examples and weights come from the others alone.  A text
+without any of the terms has no neighbours and gets the share of toxic among
+such examples, drawn towards the share of all.
 
 Defined results: null and empty texts have no terms; labels other than 0 and
 1 and labels without a document are ignored; a repeated label row counts as
-toxic if any says so; without labelled examples every score is 0.0;
-repeated documents each get their row.
+toxic if any says so; of several texts of one id one is the example, the same
+in every run; without labelled examples every score is 0.0; repeated documents
+each get their row.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +44,15 @@ from pyspark.sql import types as T
 from skein.llm.common import ALNUM, LOWER, append, chunks, remainder, share, stored, utf8, word_hashes, words
 
 PER_CLASS = 3000
-MAX_TERMS = 2048
-CHI_SQUARE = 15.0
-MIN_DOCS = 4
+MAX_POSTINGS = 2_000_000
+#: A term's weight: FLOOR for a word that says nothing of the label, half of the most at a chi-square of HALF.
+FLOOR = 0.01
+HALF = 15.0
+FOLDS = 4
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks searched before the bounds are compared again; then all the rest.
+WAVES = (4, 16)
 SOFT = 0.05
 
 FIELDS = [
@@ -77,77 +86,125 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.array([p.tolist() for p in parts], type=pa.list_(pa.int64()))
 
 
+def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges, one after the other, and the range of each."""
+    n = last - first
+    of = np.repeat(np.arange(len(n)), n)
+    return np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n), of
+
+
 class Index:
-    """Unit TF-IDF vectors of examples in blocks, with each term's highest weight in each block."""
+    """Unit vectors of examples in blocks, with each term's highest weight in each block that has it.
+
+    A vector is a pair of arrays: term numbers, rising, and weights over 0.
+    """
 
-    def __init__(self, terms: list[int], idf: list[float], vectors: list[list[tuple[int, float]]]):
-        self.terms = np.array(terms, dtype=np.int64)  # sorted
-        self.idf = np.array(idf)
+    def __init__(self, terms: np.ndarray, weights: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]]):
+        self.terms, self.weights = np.asarray(terms, dtype=np.int64), np.asarray(weights, dtype=np.float64)  # terms: sorted
+        n, v = len(vectors), len(self.terms)
         # Examples with the same strongest term stand together, which keeps the blocks' maxima apart.
-        order = sorted(range(len(vectors)), key=lambda i: (max(vectors[i], key=lambda x: (x[1], x[0])), i))
-        self.example = np.array(order, dtype=np.int64)
-        self.blocks = -(-len(order) // BLOCK)
-        self.most = np.zeros((len(terms), max(1, self.blocks)))
-        postings: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for at, i in enumerate(order):
-            for t, w in vectors[i]:
-                self.most[t, at // BLOCK] = max(self.most[t, at // BLOCK], w)
-                postings.setdefault((t, at // BLOCK), []).append((at % BLOCK, w))
-        self.postings = {k: (np.array([a for a, _ in v]), np.array([w for _, w in v])) for k, v in postings.items()}
-
-    def vector(self, hashes: np.ndarray, counts: np.ndarray) -> list[tuple[int, float]]:
-        """The unit vector of a text with these words; empty if none is a term."""
-        if not len(self.terms):
-            return []
+        lead = np.array([t[np.argmax(w)] if len(t) else v for t, w in vectors], dtype=np.int64)
+        self.example = np.lexsort((np.arange(n), lead))
+        self.blocks = -(-n // BLOCK)
+        place = np.empty(n, dtype=np.int64)
+        place[self.example] = np.arange(n)
+        t = np.concatenate([t for t, _ in vectors]) if n else np.zeros(0, dtype=np.int64)
+        w = np.concatenate([w for _, w in vectors]) if n else np.zeros(0)
+        at = np.repeat(place, [len(t) for t, _ in vectors])
+        o = np.lexsort((at, t))
+        t, self.posting, self.part = t[o], at[o].astype(np.int32), w[o]
+        # Runs: the postings of one term in one block.
+        block = self.posting // BLOCK
+        begin = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (block[1:] != block[:-1])])) if len(t) else np.zeros(0, dtype=np.int64)
+        self.run = np.append(begin, len(t))
+        self.run_block = block[begin]
+        self.most = np.maximum.reduceat(self.part, begin) if len(t) else np.zeros(0)
+        self.of_term = np.searchsorted(t[begin], np.arange(v + 1))
+
+    def vector(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The unit vector of a text with these words (sorted); empty if none is a term."""
         at = np.searchsorted(self.terms, hashes)
         at[at == len(self.terms)] = 0
-        known = self.terms[at] == hashes
-        w = (1 + np.log(counts[known])) * self.idf[at[known]]
-        length = math.sqrt(float((w * w).sum()))
-        return sorted(zip(at[known].tolist(), (w / length).tolist(), strict=True)) if length else []
+        known = self.terms[at] == hashes if len(self.terms) else np.zeros(len(hashes), dtype=bool)
+        at = at[known]
+        w = (1 + np.log(counts[known])) * self.weights[at]
+        return at, w / math.sqrt(float((w * w).sum())) if len(w) else w
 
-    def nearest(self, vector: list[tuple[int, float]], k: int, without: int = -1) -> list[tuple[float, int]]:
+    def nearest(self, vector: tuple[np.ndarray, np.ndarray], k: int) -> list[tuple[float, int]]:
         """The k examples of highest cosine over 0: (cosine, example), best first."""
-        if not vector or not self.blocks:
+        t, w = vector
+        runs, of = _ranges(self.of_term[t], self.of_term[t + 1])
+        if not len(runs):
             return []
-        t, w = np.array([t for t, _ in vector]), np.array([w for _, w in vector])
-        bound = w @ self.most[t]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            # The slack keeps examples that tie with the k-th but for rounding.
-            if bound[b] <= 0 or (len(best) >= k and bound[b] < best[k - 1][0] - 1e-9):
-                break
-            dot = np.zeros(BLOCK)
-            for x, y in vector:
-                if (p := self.postings.get((x, b))) is not None:
-                    dot[p[0]] += y * p[1]
+        block, w = self.run_block[runs], w[of]
+        bound = np.bincount(block, weights=w * self.most[runs], minlength=self.blocks)
+        left = np.argsort(-bound, kind="stable")
+        left = left[bound[left] > 0]
+        sims, who = np.zeros(0), np.zeros(0, dtype=np.int64)
+        for wave in (*WAVES, self.blocks):
+            chosen = np.zeros(self.blocks, dtype=bool)
+            chosen[left[:wave]] = True
+            left = left[wave:]
+            mine = np.flatnonzero(chosen[block])
+            at, of_run = _ranges(self.run[runs[mine]], self.run[runs[mine] + 1])
+            dot = np.bincount(self.posting[at], weights=w[mine][of_run] * self.part[at], minlength=len(self.example))
             hit = np.flatnonzero(dot)
-            found = [(round(float(dot[j]), 12), int(self.example[b * BLOCK + j])) for j in hit]
-            best = sorted([*best, *(x for x in found if x[1] != without)], key=lambda x: (-x[0], x[1]))[: k + 8]
-        return best[:k]
+            sims, who = np.concatenate([sims, np.round(dot[hit], 12)]), np.concatenate([who, self.example[hit]])
+            best = np.lexsort((who, -sims))[:k]
+            sims, who = sims[best], who[best]
+            if len(sims) == k:
+                # The slack keeps examples that tie with the k-th but for rounding.
+                left = left[bound[left] >= sims[-1] - 1e-9]
+            if not len(left):
+                break
+        return list(zip(sims.tolist(), who.tolist(), strict=True))
+
+
+def term_weights(terms: np.ndarray, toxic: np.ndarray, n1: int, n0: int) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of ``n1`` toxic and ``n0`` other examples, sorted, and their weights.
+
+    ``terms``: the examples' different words, one example after the other;
+    ``toxic``: 1 for those of toxic ones.
+    """
+    names, inverse = np.unique(terms, return_inverse=True)
+    a = np.bincount(inverse, weights=toxic, minlength=len(names))
+    n = np.bincount(inverse, minlength=len(names)).astype(np.float64)
+    b, all_ = n - a, float(n1 + n0)
+    c, d = n1 - a, n0 - b
+    below = n * (c + d) * n1 * n0
+    # Yates's correction: a word seen once or twice says little, whatever its label.
+    apart = np.maximum(0.0, np.abs(a * d - b * c) - all_ / 2)
+    chi = np.divide(all_ * apart**2, below, out=np.zeros(len(names)), where=below > 0)
+    return names, (np.log((1 + all_) / (1 + n)) + 1) * (FLOOR + chi / (chi + HALF))
 
 
 class Model:
     """Index, labels and weights of the examples, and the calibration."""
 
-    def __init__(self, terms, idf, examples, weights, k=NEIGHBOURS):
-        """examples: (doc_id, label, {term hash: count}) in order of doc_id; weights: by label."""
-        self.k, self.weight = k, weights
-        self.cache: dict[tuple, tuple] = {}
-        keys = np.array(terms, dtype=np.int64)
-        self.index = Index(terms, idf, [])
-        vectors = [self.index.vector(h := np.array(sorted(c), dtype=np.int64), np.array([c[x] for x in h.tolist()])) for _, _, c in examples]
-        bare = Counter(y for (_, y, _), v in zip(examples, vectors, strict=True) if not v)
-        kept = [(i, y, v) for (i, y, _), v in zip(examples, vectors, strict=True) if v]
-        self.ids, self.labels = [i for i, _, _ in kept], np.array([y for _, y, _ in kept], dtype=np.int64)
-        self.index = Index(keys.tolist(), idf, [v for _, _, v in kept])
-        mass = {y: sum(1 for _, x, _ in examples if x == y) * weights.get(y, 0.0) for y in (0, 1)}
-        self.prior = mass[1] / (mass[0] + mass[1]) if mass[0] + mass[1] else 0.0
-        heavy = {y: bare[y] * weights.get(y, 0.0) for y in (0, 1)}
-        self.bare = (heavy[1] + self.prior) / (heavy[0] + heavy[1] + 1) if mass[0] + mass[1] else 0.0
-        self.curve = (1.0, 0.0)
-        raw = [self.votes(self.index.nearest(v, k, without=n)) for n, (_, _, v) in enumerate(kept)]
-        self.curve = _logistic(raw, self.labels, np.array([weights[y] for _, y, _ in kept]))
+    def __init__(self, ids: list, labels: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]], weights: dict[int, float], k: int = NEIGHBOURS, curve=None):
+        """texts: the examples' words (hashes, sorted) and counts; weights: how many labelled rows an example of a label stands for."""
+        self.k, self.weight, self.curve = k, weights, curve or (1.0, 0.0)
+        heavy = np.array([weights[int(y)] for y in labels])
+        self.prior = float((heavy * labels).sum() / heavy.sum()) if len(labels) else 0.0
+        full = np.array([len(h) > 0 for h, _ in texts], dtype=bool)
+        self.bare = float(((heavy * labels)[~full].sum() + self.prior) / (heavy[~full].sum() + 1)) if len(labels) else 0.0
+        if curve is None and len(labels):
+            raw = np.zeros(len(labels))
+            for f in range(FOLDS):
+                mine = np.arange(len(labels)) % FOLDS == f
+                rest = np.flatnonzero(~mine)
+                other = Model([ids[i] for i in rest], labels[rest], [texts[i] for i in rest], weights, k, curve=self.curve)
+                for i in np.flatnonzero(mine & full):
+                    raw[i] = other.votes(other.index.nearest(other.index.vector(*texts[i]), k))
+            self.curve = _logistic(raw[full].tolist(), labels[full], heavy[full])
+        kept = np.flatnonzero(full)
+        self.ids, self.labels = [ids[i] for i in kept], np.asarray(labels, dtype=np.int64)[kept]
+        sizes = [len(texts[i][0]) for i in kept]
+        words_ = np.concatenate([texts[i][0] for i in kept]) if len(kept) else np.zeros(0, dtype=np.int64)
+        n1 = int(np.sum(labels)) if len(labels) else 0
+        names, value = term_weights(words_, np.repeat(self.labels, sizes), n1, len(labels) - n1)
+        plain = Index(names, value, [])
+        self.index = Index(names, value, [plain.vector(*texts[i]) for i in kept])
 
     def votes(self, near: list[tuple[float, int]]) -> float:
         """Log odds of the weighted votes, with one vote's weight on the prior."""
@@ -159,18 +216,11 @@ class Model:
         return math.log(p / (1 - p))
 
     def score(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[float, list[int], list[float]]:
-        vector = self.index.vector(hashes, counts)
-        if not vector:
+        near = self.index.nearest(self.index.vector(hashes, counts), self.k)
+        if not near:
             return self.bare, [], []
-        key = tuple(vector)
-        if (got := self.cache.get(key)) is None:
-            near = self.index.nearest(vector, self.k)
-            z = self.curve[0] * self.votes(near) + self.curve[1]
-            got = 1 / (1 + math.exp(-min(max(z, -30), 30))), [self.ids[i] for _, i in near], [s for s, _ in near]
-            if len(self.cache) > 50_000:
-                self.cache.clear()
-            self.cache[key] = got
-        return got
+        z = self.curve[0] * self.votes(near) + self.curve[1]
+        return 1 / (1 + math.exp(-min(max(z, -30), 30))), [self.ids[i] for _, i in near], [s for s, _ in near]
 
 
 def _logistic(raw: list[float], labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
@@ -187,40 +237,39 @@ def _logistic(raw: list[float], labels: np.ndarray, weights: np.ndarray) -> tupl
     return float(max(v[0], 0.05)), float(v[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_terms: int = MAX_TERMS, k: int = NEIGHBOURS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_postings: int = MAX_POSTINGS, k: int = NEIGHBOURS) -> Model:
     """Learn from the labelled rows given (leave held-out ones out before)."""
+    nothing = Model([], np.zeros(0, dtype=np.int64), [], {}, k)
     known = labels.select(F.col("doc_id").alias("i"), F.col("toxic").cast("int").alias("y")).where("i is not null and y in (0, 1)")
     known = known.groupBy("i").agg(F.max("y").alias("y"))
     # Two rows: how many labelled ids have each label.
     total = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not total:
-        return Model([], [], [], {}, k)
+        return nothing
     rate = {y: min(1.0, per_class / n) for y, n in total.items()}
-    sample = known.where(share(F.col("i"), 17) < F.when(F.col("y") == 1, rate.get(1, 0.0)).otherwise(rate.get(0, 0.0)))
-    # Bounded by about 2 * per_class rows.
-    texts = docs.select(F.col("doc_id").alias("i"), F.col("text")).join(F.broadcast(sample), "i")
+    wanted = F.when(F.col("y") == 1, rate.get(1, 0.0)).otherwise(rate.get(0, 0.0))
+    # Bounded by about 2 * per_class ids.
+    texts = docs.select(F.col("doc_id").alias("i"), F.col("text")).join(F.broadcast(known.where(share(F.col("i"), 17) < wanted)), "i")
     lists = [T.StructField(c, T.ArrayType(T.LongType())) for c in ("terms", "counts")]
-    rows = append(texts, ["text"], _terms, lists, keep=["i", "y"]).dropDuplicates(["i"])
+    rows = append(texts, ["text"], _terms, lists, keep=["i", "y"])
+    rows = rows.groupBy("i", "y").agg(F.min(F.struct("terms", "counts")).alias("t")).select("i", "y", "t.terms", "t.counts")
     rows = stored(rows, "toxicity")
-    size = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    if not size:
-        return Model([], [], [], {}, k)
-    n1, n0 = size.get(1, 0), size.get(0, 0)
-    by = rows.select("y", F.explode("terms").alias("h")).groupBy("h").agg(F.sum("y").alias("a"), F.count("*").alias("n"))
-    a, b = F.col("a").cast("double"), (F.col("n") - F.col("a")).cast("double")
-    c, d, n = F.lit(float(n1)) - a, F.lit(float(n0)) - b, float(n1 + n0)
-    below = (a + b) * (c + d) * float(n1) * float(n0)
-    chi = F.when(below > 0, n * (a * d - b * c) * (a * d - b * c) / below).otherwise(0.0)
-    odds = F.abs(F.log((a + 0.5) / (n1 + 1.0)) - F.log((b + 0.5) / (n0 + 1.0)))
-    chosen = by.withColumn("chi", chi).where((F.col("chi") >= CHI_SQUARE) & (F.col("n") >= MIN_DOCS) & (odds >= math.log(3)))
-    chosen = chosen.orderBy(F.desc("chi"), "h").limit(max_terms).orderBy("h")
-    terms = chosen.collect()
-    idf = [math.log((1 + n1 + n0) / (1 + r.n)) + 1 for r in terms]
-    pick = set(r.h for r in terms)
-    # The examples leave Spark with the chosen terms only.
-    slim = rows.select("i", "y", F.filter(F.arrays_zip("terms", "counts"), lambda x: x["terms"].isin(list(pick)) if pick else F.lit(False)).alias("v"))
-    examples = [(r.i, r.y, {x.terms: x.counts for x in r.v}) for r in slim.orderBy("i").collect()]
-    return Model([r.h for r in terms], idf, examples, {y: total[y] / size[y] for y in size}, k)
+    postings = rows.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("n")).first().n
+    if postings > max_postings:
+        rows = rows.where(share(F.col("i"), 18) < max_postings / postings)
+    # The examples, bounded in rows and in words.
+    table = rows.orderBy("i").toArrow()
+    if not table.num_rows:
+        return nothing
+    y = np.array(table["y"].to_pylist(), dtype=np.int64)
+    words_ = [(np.array(t, dtype=np.int64), np.array(c, dtype=np.int64)) for t, c in zip(_arrays(table["terms"]), _arrays(table["counts"]), strict=True)]
+    return Model(table["i"].to_pylist(), y, words_, {x: total[x] / int((y == x).sum()) for x in set(y.tolist())}, k)
+
+
+def _arrays(column: pa.ChunkedArray):
+    for chunk in column.chunks:
+        for x in chunk:
+            yield x.values.to_numpy()
 
 
 def _scored(model: Model):

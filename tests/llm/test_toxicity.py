@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from skein.llm import toxicity
 from skein.llm.common import remainder
 
+SF1 = "/root/testdata/sf0.1"
+
 
 def test_search_equals_all_cosines():
     r = np.random.default_rng(3)
@@ -18,18 +20,18 @@ def test_search_equals_all_cosines():
         pick = np.sort(r.choice(40, r.integers(1, 9), replace=False))
         return np.array(terms)[pick], r.integers(1, 4, len(pick))
 
-    vectors = [index.vector(*text()) for _ in range(700)]
+    vectors = [index.vector(*text()) for _ in range(2000)]
     vectors += vectors[:90]  # ties
+    vectors.append((np.zeros(0, dtype=np.int64), np.zeros(0)))
     index = toxicity.Index(terms, idf, vectors)
+    assert index.blocks > sum(toxicity.WAVES)
     dense = np.zeros((len(vectors), 40))
-    for i, v in enumerate(vectors):
-        for t, w in v:
-            dense[i, t] = w
+    for i, (t, w) in enumerate(vectors):
+        dense[i, t] = w
     for _ in range(60):
         q = index.vector(*text())
         x = np.zeros(40)
-        for t, w in q:
-            x[t] = w
+        x[q[0]] = q[1]
         sims = np.round(dense @ x, 12)
         want = [i for i in np.lexsort((np.arange(len(sims)), -sims))[:15].tolist() if sims[i] > 0]
         got = index.nearest(q, 15)
@@ -37,19 +39,43 @@ def test_search_equals_all_cosines():
         assert all(math.isclose(s, sims[i], abs_tol=1e-9) for s, i in got)
 
 
+def test_term_weights_by_hand():
+    # Word 5 is in both toxic examples alone, 7 in all, 9 in one of the two others.
+    terms, toxic = np.array([5, 7, 5, 7, 7, 9, 7]), np.array([1, 1, 1, 1, 0, 0, 0])
+    names, w = toxicity.term_weights(terms, toxic, 2, 2)
+    assert names.tolist() == [5, 7, 9]
+    idf = [math.log(5 / (1 + n)) + 1 for n in (2, 4, 1)]
+    chi = [4 * (4 - 2) ** 2 / (2 * 2 * 2 * 2), 0.0, 4 * (2 - 2) ** 2 / (1 * 3 * 2 * 2)]
+    assert np.allclose(w, [i * (toxicity.FLOOR + c / (c + toxicity.HALF)) for i, c in zip(idf, chi)])
+
+
 def test_held_out_rows(spark):
-    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"{SF1}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(docs, toxicity.trained(labels))
-    out = toxicity.score(docs, model).join(labels, "doc_id").where(remainder(F.col("doc_id"), 5) == 0)
-    rows = [(r.score, r.toxic) for r in out.collect()]
-    assert all(0 <= s <= 1 for s, _ in rows)
-    good = sum((s >= 0.5) == (y == 1) for s, y in rows) / len(rows)
-    assert good > 0.9
-    clean = [s for s, y in rows if y == 0]
-    assert sum(s >= 0.5 for s in clean) <= 0.02 * len(clean)
-    # A fit repeats itself.
-    again = toxicity.fit(docs, toxicity.trained(labels))
-    assert again.index.terms.tolist() == model.index.terms.tolist() and again.ids == model.ids and again.curve == model.curve
+    out = toxicity.score(docs, model).join(labels.where("toxic is not null"), "doc_id").where(remainder(F.col("doc_id"), 5) == 0)
+    rows = [(r.score, r.toxic, r.text, r.neighbours) for r in out.select("score", "toxic", "text", "neighbours").collect()]
+    assert all(0 <= s <= 1 for s, *_ in rows)
+    assert sum(not n for _, _, t, n in rows if t) < 0.05 * len(rows)
+    bad, clean = [s for s, y, *_ in rows if y == 1], [s for s, y, *_ in rows if y == 0]
+    assert sum(s >= 0.5 for s in bad) >= 0.9 * len(bad)
+    assert sum(s >= 0.5 for s in clean) < 0.01 * len(clean)
+    # Calibrated: scores add up to about the number of toxic rows.
+    assert 0.85 * len(bad) < sum(s for s, *_ in rows) < 1.15 * len(bad)
+
+
+def test_fit_repeats_itself(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    one, two = (toxicity.fit(docs, toxicity.trained(labels)) for _ in range(2))
+    assert one.index.terms.tolist() == two.index.terms.tolist() and one.ids == two.ids and one.curve == two.curve
+    few = toxicity.fit(docs, toxicity.trained(labels), max_postings=5000)
+    assert 0 < len(few.ids) < len(one.ids) and len(few.index.part) < 10_000
+
+
+def test_one_id_with_two_texts(spark):
+    docs = spark.createDataFrame([(i % 30, f"{'bad' if i % 2 else 'good'} word{i}") for i in range(60)], "doc_id int, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id int, toxic int")
+    fits = [toxicity.fit(d, labels) for d in (docs, docs.orderBy(F.desc("text")).repartition(3))]
+    assert len(fits[0].ids) == 30 and fits[0].index.terms.tolist() == fits[1].index.terms.tolist()
 
 
 def test_odd_rows(spark, odd, none):
