@@ -12,10 +12,12 @@ no word is left out.  Texts and examples become TF-IDF vectors of unit length
 with these weights, and similarity is their exact cosine.
 
 The index holds the examples in blocks with the highest weight of every term
-in each block.  A search bounds every block's best cosine by these maxima,
-takes blocks in falling order of the bound and leaves out those that can't
-reach the k-th best so far; this loses nothing.  Ties go to the lower example
-number.
+in each block.  Terms that more than one of 24 examples has are kept as
+rows of a matrix instead: their part of the cosines comes from one product for
+many texts.  A search bounds every block's best cosine by the best of that part
+and the maxima of the other terms, takes blocks in falling order of the bound
+and leaves out those that can't reach the k-th best so far; this loses nothing.
+Ties go to the lower example number.
 
 The votes of the k nearest, weighted by 1 / (distance + ``soft``) and by how
 many labelled rows an example stands for, give a raw share.  A logistic curve
@@ -34,6 +36,7 @@ each get their row.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +54,9 @@ HALF = 15.0
 FOLDS = 4
 NEIGHBOURS = 15
 BLOCK = 64
+#: A term in more than one of DENSE examples is a row of the matrix; texts whose products are made at once.
+DENSE = 24
+TOGETHER = 128
 #: Blocks searched before the bounds are compared again; then all the rest.
 WAVES = (4, 16)
 SOFT = 0.05
@@ -112,7 +118,14 @@ class Index:
         w = np.concatenate([w for _, w in vectors]) if n else np.zeros(0)
         at = np.repeat(place, [len(t) for t, _ in vectors])
         o = np.lexsort((at, t))
-        t, self.posting, self.part = t[o], at[o].astype(np.int32), w[o]
+        t, at, w = t[o], at[o], w[o]
+        often = np.flatnonzero(np.bincount(t, minlength=v) > n / DENSE)
+        self.row = np.full(v, -1, dtype=np.int64)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), n))
+        in_row = self.row[t] >= 0
+        self.dense[self.row[t[in_row]], at[in_row]] = w[in_row]
+        t, self.posting, self.part = t[~in_row], at[~in_row].astype(np.int32), w[~in_row]
         # Runs: the postings of one term in one block.
         block = self.posting // BLOCK
         begin = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (block[1:] != block[:-1])])) if len(t) else np.zeros(0, dtype=np.int64)
@@ -130,14 +143,26 @@ class Index:
         w = (1 + np.log(counts[known])) * self.weights[at]
         return at, w / math.sqrt(float((w * w).sum())) if len(w) else w
 
-    def nearest(self, vector: tuple[np.ndarray, np.ndarray], k: int) -> list[tuple[float, int]]:
-        """The k examples of highest cosine over 0: (cosine, example), best first."""
-        t, w = vector
-        runs, of = _ranges(self.of_term[t], self.of_term[t + 1])
-        if not len(runs):
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[list[tuple[float, int]]]:
+        """For each vector the k examples of highest cosine over 0: (cosine, example), best first."""
+        for lo in range(0, len(vectors), TOGETHER):
+            group = vectors[lo : lo + TOGETHER]
+            often = np.zeros((len(group), len(self.dense)))
+            for i, (t, w) in enumerate(group):
+                row = self.row[t]
+                often[i, row[row >= 0]] = w[row >= 0]
+            for (t, w), dots in zip(group, often @ self.dense, strict=True):
+                rare = self.row[t] < 0
+                yield self._search(t[rare], w[rare], dots, k)
+
+    def _search(self, t: np.ndarray, w: np.ndarray, dots: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """The nearest of a text with these rare terms; ``dots``: the other terms' part of all cosines."""
+        if not self.blocks:
             return []
+        runs, of = _ranges(self.of_term[t], self.of_term[t + 1])
         block, w = self.run_block[runs], w[of]
-        bound = np.bincount(block, weights=w * self.most[runs], minlength=self.blocks)
+        bound = np.maximum.reduceat(dots, np.arange(0, len(dots), BLOCK))
+        bound += np.bincount(block, weights=w * self.most[runs], minlength=self.blocks)
         left = np.argsort(-bound, kind="stable")
         left = left[bound[left] > 0]
         sims, who = np.zeros(0), np.zeros(0, dtype=np.int64)
@@ -147,14 +172,15 @@ class Index:
             left = left[wave:]
             mine = np.flatnonzero(chosen[block])
             at, of_run = _ranges(self.run[runs[mine]], self.run[runs[mine] + 1])
-            dot = np.bincount(self.posting[at], weights=w[mine][of_run] * self.part[at], minlength=len(self.example))
-            hit = np.flatnonzero(dot)
+            dot = dots + np.bincount(self.posting[at], weights=w[mine][of_run] * self.part[at], minlength=len(dots))
+            # Parts of cosines are never more than the cosines: the k-th best of them all is at least this.
+            least = np.partition(dot, -k)[-k] - 1e-9 if len(dot) > k else 0.0
+            hit = np.flatnonzero((dot > 0) & (dot >= least) & np.repeat(chosen, BLOCK)[: len(dot)])
             sims, who = np.concatenate([sims, np.round(dot[hit], 12)]), np.concatenate([who, self.example[hit]])
             best = np.lexsort((who, -sims))[:k]
             sims, who = sims[best], who[best]
-            if len(sims) == k:
-                # The slack keeps examples that tie with the k-th but for rounding.
-                left = left[bound[left] >= sims[-1] - 1e-9]
+            # The slack keeps examples that tie with the k-th but for rounding.
+            left = left[bound[left] >= max(least, sims[-1] - 1e-9 if len(sims) == k else 0.0)]
             if not len(left):
                 break
         return list(zip(sims.tolist(), who.tolist(), strict=True))
@@ -194,8 +220,9 @@ class Model:
                 mine = np.arange(len(labels)) % FOLDS == f
                 rest = np.flatnonzero(~mine)
                 other = Model([ids[i] for i in rest], labels[rest], [texts[i] for i in rest], weights, k, curve=self.curve)
-                for i in np.flatnonzero(mine & full):
-                    raw[i] = other.votes(other.index.nearest(other.index.vector(*texts[i]), k))
+                at = np.flatnonzero(mine & full)
+                near = other.index.nearest([other.index.vector(*texts[i]) for i in at], k)
+                raw[at] = [other.votes(x) for x in near]
             self.curve = _logistic(raw[full].tolist(), labels[full], heavy[full])
         kept = np.flatnonzero(full)
         self.ids, self.labels = [ids[i] for i in kept], np.asarray(labels, dtype=np.int64)[kept]
@@ -215,12 +242,14 @@ class Model:
         p = min(max(yes / all_, 1e-6), 1 - 1e-6)
         return math.log(p / (1 - p))
 
-    def score(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[float, list[int], list[float]]:
-        near = self.index.nearest(self.index.vector(hashes, counts), self.k)
-        if not near:
-            return self.bare, [], []
-        z = self.curve[0] * self.votes(near) + self.curve[1]
-        return 1 / (1 + math.exp(-min(max(z, -30), 30))), [self.ids[i] for _, i in near], [s for s, _ in near]
+    def scores(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, list[int], list[float]]]:
+        """Score, neighbours' ids and similarities of each text, given as words (hashes, sorted) and counts."""
+        for near in self.index.nearest([self.index.vector(h, c) for h, c in texts], self.k):
+            if not near:
+                yield self.bare, [], []
+                continue
+            z = self.curve[0] * self.votes(near) + self.curve[1]
+            yield 1 / (1 + math.exp(-min(max(z, -30), 30))), [self.ids[i] for _, i in near], [s for s, _ in near]
 
 
 def _logistic(raw: list[float], labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
@@ -285,9 +314,7 @@ def _scored(model: Model):
             known = np.flatnonzero(np.isin(h, keys)) if len(keys) else np.zeros(0, dtype=np.int64)
             h, d = h[known], d[known]
             cut = np.searchsorted(d, np.arange(hi - lo + 1))
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                t, c = np.unique(h[a:b], return_counts=True) if b > a else (h[:0], np.zeros(0, dtype=np.int64))
-                out.append(model.score(t, c))
+            out += model.scores([np.unique(h[a:b], return_counts=True) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)])
         return [
             pa.array([x[0] for x in out], type=pa.float64()),
             pa.array([x[1] for x in out], type=pa.list_(pa.int64())),

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from llm_rows import SF01, none, odd  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -10,7 +11,10 @@ from skein.llm.common import remainder
 SF1 = "/root/testdata/sf0.1"
 
 
-def test_search_equals_all_cosines():
+@pytest.mark.parametrize("dense", [1, 8, 1000])
+def test_search_equals_all_cosines(monkeypatch, dense):
+    # No term, some terms and all terms as rows of the matrix.
+    monkeypatch.setattr(toxicity, "DENSE", dense)
     r = np.random.default_rng(3)
     terms = sorted(r.integers(-(1 << 60), 1 << 60, 40).tolist())
     idf = r.uniform(0.5, 3, 40).tolist()
@@ -28,13 +32,12 @@ def test_search_equals_all_cosines():
     dense = np.zeros((len(vectors), 40))
     for i, (t, w) in enumerate(vectors):
         dense[i, t] = w
-    for _ in range(60):
-        q = index.vector(*text())
+    queries = [index.vector(*text()) for _ in range(200)]
+    for q, got in zip(queries, index.nearest(queries, 15), strict=True):
         x = np.zeros(40)
         x[q[0]] = q[1]
         sims = np.round(dense @ x, 12)
         want = [i for i in np.lexsort((np.arange(len(sims)), -sims))[:15].tolist() if sims[i] > 0]
-        got = index.nearest(q, 15)
         assert [i for _, i in got] == want
         assert all(math.isclose(s, sims[i], abs_tol=1e-9) for s, i in got)
 
