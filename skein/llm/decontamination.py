@@ -1,9 +1,12 @@
 """Benchmark decontamination: windows of test words looked up while the training texts are scanned.
 
-The windows of the test items form a hash set that is broadcast.  Its size is
-bounded: the items are taken in blocks of at most ``block_bytes`` of text, one
-scan of the documents per block.  A window whose hash is in the set is
-verified word by word, so the result is exact.
+The windows of the test items form a hash set that is broadcast: sorted hashes
+in an array, and for each the place of its words in the items' text, some 30
+bytes a window beside the text.  Its size is bounded: the items, cut into
+pieces that overlap by a window less one word, are dealt out to blocks of about
+``block_bytes`` of text, one scan of the documents per block, stored before the
+next one.  A window whose hash is in the set is verified word by word, so the
+result is exact.
 
 Words are maximal runs of ASCII letters and digits and non-ASCII characters,
 A-Z in lower case.  A window has ``size`` words; an item with fewer, but not
@@ -18,18 +21,18 @@ The report's and ``find_hits``' columns replace input columns of the same name;
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import ALNUM, LOWER, append, chunks, filtered, utf8, window_hashes, word_hashes, words
+from skein.llm.common import ALNUM, LOWER, append, chunks, filtered, stored, utf8, window_hashes, word_hashes, words
 
 SIZE = 10
 BLOCK_BYTES = 16 << 20
+#: An item has at most so much of a block in one piece: 1 / PIECES.
+PIECES = 16
 
 #: ``hit_runs``: word numbers (first, past the last) of the merged hit runs, one after the other.
 FIELDS = [
@@ -48,25 +51,54 @@ def _texts(column: pa.Array):
         yield part, s, e, d, lo, hi - lo
 
 
-def window_table(items: list[tuple[str, str]], size: int = SIZE) -> dict[int, dict]:
-    """Per window length: sorted hashes, a filter on their upper bits, and for each hash the windows with their items."""
-    found: dict[int, dict[int, dict[bytes, set[str]]]] = defaultdict(lambda: defaultdict(lambda: defaultdict(set)))
-    ids = [i for i, _ in items]
-    for part, s, e, d, lo, n in _texts(pa.array([t for _, t in items], type=pa.string())):
-        h, raw = word_hashes(part, s, e), part.tobytes()
-        ends = np.searchsorted(d, np.arange(n + 1))
-        for i in range(n):
-            a, b = int(ends[i]), int(ends[i + 1])
-            if k := min(size, b - a):
-                for j, x in zip(range(a, b - k + 1), window_hashes(h[a:b], k).tolist(), strict=True):
-                    found[k][x][b" ".join(raw[s[m] : e[m]] for m in range(j, j + k))].add(ids[lo + i])
-    table = {}
-    for k, at in found.items():
-        hashes = np.array(sorted(at), dtype=np.uint64)
-        bits = np.zeros(1 << 20, dtype=bool)
-        bits[hashes >> np.uint64(44)] = True
-        table[k] = {"hashes": hashes, "bits": bits, "windows": {x: {w: sorted(v) for w, v in ws.items()} for x, ws in at.items()}}
-    return table
+class Table:
+    """The items' windows of ``k`` words: hashes, sorted, with the first word and the item of each; the items' text."""
+
+    def __init__(self, k: int, hashes: np.ndarray, first: np.ndarray, item: np.ndarray, text: "Texts"):
+        o = np.lexsort((item, hashes))
+        self.k, self.hashes, self.first, self.item, self.text = k, hashes[o], first[o], item[o], text
+        self.bits = np.zeros(1 << 20, dtype=bool)
+        self.bits[self.hashes >> np.uint64(44)] = True
+
+    def items_of(self, h: np.uint64, said: bytes) -> list[str]:
+        """Items with this window, its words compared one by one."""
+        lo, hi = np.searchsorted(self.hashes, h), np.searchsorted(self.hashes, h, side="right")
+        return [self.text.names[i] for f, i in zip(self.first[lo:hi].tolist(), self.item[lo:hi].tolist(), strict=True) if self.text.words(f, self.k) == said]
+
+
+class Texts:
+    """Lower-case text of a block of items, and the places of its words."""
+
+    def __init__(self, names: list[str], raw: bytes, s: np.ndarray, e: np.ndarray):
+        self.names, self.raw, self.s, self.e = names, raw, s.astype(np.uint32), e.astype(np.uint32)
+
+    def words(self, first: int, k: int) -> bytes:
+        return b" ".join(self.raw[a:b] for a, b in zip(self.s[first : first + k].tolist(), self.e[first : first + k].tolist(), strict=True))
+
+
+def window_table(items: list[tuple[str, str]], size: int = SIZE) -> list[Table]:
+    """A table per window length."""
+    names = [i for i, _ in items]
+    raw, starts, ends, hashes, owner, base = [], [], [], [], [], 0
+    for part, s, e, d, lo, _ in _texts(pa.array([t for _, t in items], type=pa.string())):
+        raw.append(part.tobytes())
+        starts.append(s + base)
+        ends.append(e + base)
+        hashes.append(word_hashes(part, s, e))
+        owner.append(d + lo)
+        base += len(part)
+    if not raw:
+        return []
+    s, e, h, d = (np.concatenate(x) for x in (starts, ends, hashes, owner))
+    text = Texts(names, b"".join(raw), s, e)
+    n = np.bincount(d, minlength=len(items))
+    short = np.minimum(n, size)
+    out = []
+    for k in sorted(set(short.tolist()) - {0}):
+        w = window_hashes(h, k)
+        first = np.flatnonzero((d[: len(w)] == d[k - 1 :]) & (short[d[: len(w)]] == k))
+        out.append(Table(k, w[first], first.astype(np.uint32), d[first].astype(np.uint32), text))
+    return out
 
 
 def _merged(runs: list[tuple[int, int]]) -> list[int]:
@@ -79,7 +111,7 @@ def _merged(runs: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def _scan(table: dict[int, dict]):
+def _scan(tables: list[Table]):
     """Scans a batch: number of words, hit runs and items of each text, joined with those found before."""
 
     def step(texts: pa.Array, runs: pa.Array | None = None, items: pa.Array | None = None):
@@ -90,15 +122,16 @@ def _scan(table: dict[int, dict]):
         for part, s, e, d, lo, m in _texts(texts):
             counts[lo : lo + m] = np.bincount(d, minlength=m)
             h, firsts = word_hashes(part, s, e), np.searchsorted(d, np.arange(m))
-            for k, t in table.items():
-                w = window_hashes(h, k)
+            for t in tables:
+                k, w = t.k, window_hashes(h, t.k)
                 if not len(w):
                     continue
-                may = np.flatnonzero(t["bits"][w >> np.uint64(44)] & (d[: len(w)] == d[k - 1 :]))
-                may = may[np.isin(w[may], t["hashes"])]
+                may = np.flatnonzero(t.bits[w >> np.uint64(44)] & (d[: len(w)] == d[k - 1 :]))
+                at = np.minimum(np.searchsorted(t.hashes, w[may]), len(t.hashes) - 1)
+                may = may[t.hashes[at] == w[may]]
                 for j in may.tolist():
                     said = b" ".join(part[s[q] : e[q]].tobytes() for q in range(j, j + k))
-                    if of := t["windows"][int(w[j])].get(said):
+                    if of := t.items_of(w[j], said):
                         at = int(d[j])
                         first = j - int(firsts[at])
                         hit[lo + at].append((first, first + k))
@@ -112,6 +145,31 @@ def _scan(table: dict[int, dict]):
     return step
 
 
+def _pieces(size: int, most: int):
+    """Texts cut at words into pieces of about ``most`` bytes, each with the ``size - 1`` words after it: every window is in one piece.
+
+    A shorter text, or one of ``size`` words at most, stays as it is.
+    """
+
+    def step(texts: pa.Array):
+        out = []
+        for text in texts.to_pylist():
+            raw = text.encode()
+            if len(raw) <= most:
+                out.append([text])
+                continue
+            s, e, _ = words(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]), ALNUM)
+            n, a, parts = len(s), 0, []
+            while a <= n - size:
+                b = max(a + 1, int(np.searchsorted(s, s[a] + most)))
+                parts.append(raw[s[a] : e[min(n, b + size - 1) - 1]].decode())
+                a = b
+            out.append(parts or [text])
+        return [pa.array(out, type=pa.list_(pa.string()))]
+
+    return step
+
+
 def find_hits(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -125,17 +183,24 @@ def find_hits(
     """``docs`` with ``n_words``, ``hit_runs`` and ``items`` (ids of the items with occurring windows, sorted)."""
     spark = docs.sparkSession
     bench = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).dropna()
-    size_row = bench.agg(F.coalesce(F.sum(F.octet_length("t") + F.octet_length("i")), F.lit(0)).alias("b")).first()
-    blocks = max(1, -(-int(size_row.b) // block_bytes))
+    total = bench.agg(F.coalesce(F.sum(F.octet_length("t") + F.octet_length("i")), F.lit(0)).alias("b")).first().b
+    blocks = max(1, -(-int(total) // block_bytes))
+    if blocks > 1:
+        cut = append(bench, ["t"], lambda: _pieces(size, max(1, block_bytes // PIECES)), [T.StructField("p", T.ArrayType(T.StringType()))], keep=["i"])
+        bench = cut.select("i", F.explode("p").alias("t"))
+        bench = stored(bench.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)).cast("int")), "decontamination", "items")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in {f.name for f in FIELDS}]
     out = docs
     for k in range(blocks):
         # One block of items, of bounded size, goes through the driver into the broadcast.
-        block = bench.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k) if blocks > 1 else bench
-        table = spark.sparkContext.broadcast(window_table([(r.i, r.t) for r in block.collect()], size))
+        rows = (bench.where(F.col("block") == k) if blocks > 1 else bench).select("i", "t").collect()
+        shared = spark.sparkContext.broadcast(window_table([(r.i, r.t) for r in rows], size))
         seen = ["hit_runs", "items"] if k else []
         more = [] if k + 1 == blocks or text in kept else [text]
-        out = append(out, [text, *seen], lambda table=table: _scan(table.value), FIELDS, keep=kept + more)
+        out = append(out, [text, *seen], lambda shared=shared: _scan(shared.value), FIELDS, keep=kept + more)
+        if k + 1 < blocks:
+            # One scan, and one block in a worker's memory, at a time.
+            out = stored(out, "decontamination", "scan")
     return out
 
 

@@ -1,6 +1,8 @@
 import re
 from hashlib import sha256
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_rows import SF001, none, odd  # noqa: F401
@@ -67,3 +69,31 @@ def test_removal(spark, odd, none):
     assert got == {1: ("Keep these words: , and these too; they are the larger part of all words in here.", 1), 3: ("clean", 3), 4: (None, 4)}
     assert dc.remove_hits(odd, bench.limit(0)).count() == odd.count()
     assert dc.report(none, bench).count() == 0
+
+
+def test_pieces_hold_every_window_once():
+    text = "  ".join(f"wörd{i}," for i in range(57)) + " x"
+    (parts,) = dc._pieces(10, 40)(pa.array([text]))[0].to_pylist()
+    assert len(parts) > 5 and all(len(split(p)) >= 10 for p in parts)
+    found = [tuple(w[j : j + 10]) for w in map(split, parts) for j in range(len(w) - 9)]
+    w = split(text)
+    assert found == [tuple(w[j : j + 10]) for j in range(len(w) - 9)]
+    assert dc._pieces(10, 4)(pa.array(["only four words here", ""]))[0].to_pylist() == [["only four words here"], [""]]
+
+
+def test_equal_hashes_are_told_apart():
+    (table,) = dc.window_table([("a", "p q r"), ("b", "x y z"), ("c", "P q; r")], 3)
+    table.hashes[:] = table.hashes[0]  # as if all collided
+    assert sorted(table.items_of(table.hashes[0], b"p q r")) == ["a", "c"] and table.items_of(table.hashes[0], b"x y z") == ["b"]
+    assert table.items_of(table.hashes[0], b"x y q") == []
+
+
+def test_a_full_block_has_bounded_memory():
+    """16 MB of items: the table's arrays, with the text, are under 200 MB."""
+    r = np.random.default_rng(5)
+    names = np.char.add("w", r.integers(0, 50_000, 2_800_000).astype("U"))
+    items = [(str(i), " ".join(x)) for i, x in enumerate(np.split(names, 700))]
+    assert 15 << 20 < sum(len(t) for _, t in items) < 20 << 20
+    (table,) = dc.window_table(items)
+    held = sum(x.nbytes for x in (table.hashes, table.first, table.item, table.bits, table.text.s, table.text.e)) + len(table.text.raw)
+    assert held < 200 << 20 and len(table.hashes) > 2_700_000
