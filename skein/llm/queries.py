@@ -62,7 +62,7 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pii.pseudonymise(documents(spark, sf_dir, "doc_id", "text"), found="found")
+    out = pii.pseudonymise(documents(spark, sf_dir, "doc_id", "text"), spark.conf.get("spark.skein.pii.key", "not secret"), found="found")
     return out.select("doc_id", "text", F.size("found").alias("n_changed"), "found")
 
 
