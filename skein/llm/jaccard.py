@@ -61,8 +61,11 @@ BAND = 1.5
 #: Members of a cell that one task compares, and levels of document pivots.
 CELL = 1000
 DEPTH = 2
-#: 64-bit words of the filters that tell tasks which parts and sets are needed again: 4 MB, whatever the input.
-FILTER_WORDS = 1 << 19
+#: 64-bit words of the filters that tell tasks which parts and sets are needed again: 8 to 16 bits a key, and 32 MB
+#: at most.  Beyond 33 million keys a filter lets more and more through, and the joins after it drop that.
+FILTER_WORDS = 1 << 22
+#: Coarse sketches have a quarter of a sketch's buckets, and 2^COARSE at least where the sketch has as many.
+COARSE = 5
 
 
 def _edges() -> np.ndarray:
@@ -117,16 +120,38 @@ def level_of(n: int) -> int:
     return max(0, n.bit_length() - 1)
 
 
+def coarse_level(level):
+    """The level of the coarse sketch; it never falls as the set grows."""
+    return np.minimum(level, np.maximum(level - 2, COARSE))
+
+
 def sketch(x: np.ndarray) -> bytes:
-    """Shingles in each bucket, a byte each (empty: no sketch, as a bucket has over 255)."""
+    """Shingles in each bucket modulo 256, a byte each."""
     k = level_of(len(x))
     counts = np.bincount((x >> np.uint64(64 - k)).astype(np.int64) if k else np.zeros(len(x), dtype=np.int64), minlength=1 << k)
-    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+    return counts.astype(np.uint8).tobytes()
 
 
 def coarser(counts: np.ndarray, buckets: int) -> np.ndarray:
-    """The sketch with fewer buckets: neighbours are added."""
-    return counts.reshape(buckets, -1).sum(axis=1, dtype=np.int32)
+    """Sketches (rows) with fewer buckets: neighbours are added, modulo 256."""
+    return counts.reshape(len(counts), buckets, -1).sum(axis=2, dtype=np.uint8)
+
+
+def distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances of sketches (rows) with equally many buckets: a bucket's is the shorter way round 256, so it is never
+    over the buckets' difference, and the triangle inequality holds."""
+    d = x - y
+    return np.minimum(d, np.uint8(0) - d).sum(axis=1, dtype=np.int64)
+
+
+def _stacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all sketches, where each begins, and their numbers of buckets."""
+    data, at = utf8(column)
+    return data, at[:-1], np.diff(at)
+
+
+def _taken(data: np.ndarray, at: np.ndarray, buckets: int) -> np.ndarray:
+    return data[at[:, None] + np.arange(buckets)]
 
 
 def fingerprint(x: np.ndarray) -> int:
@@ -172,17 +197,18 @@ def regions_of(docs: DataFrame, size: int, num: int, den: int, only: Broadcast |
 
 
 def _marks(keys: DataFrame, key: str) -> Broadcast:
-    """A filter of fixed size (FILTER_WORDS * 64 bits) that lets all of the keys through, and few others."""
-    spot = F.pmod(F.xxhash64(key), F.lit(FILTER_WORDS * 64)) if key != "region" else F.pmod(F.col(key), F.lit(FILTER_WORDS * 64))
+    """A filter, sized by the number of keys (FILTER_WORDS at most), that lets all of them through and few others."""
+    n = min(FILTER_WORDS, 1 << (keys.count() // 8).bit_length())
+    spot = F.pmod(F.xxhash64(key), F.lit(n * 64)) if key != "region" else F.pmod(F.col(key), F.lit(n * 64))
     marks = keys.select(spot.alias("p")).select((F.col("p") / 64).cast("long").alias("w"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("b"))
     found = marks.groupBy("w").agg(F.expr("bit_or(b)").alias("b")).toArrow()  # FILTER_WORDS rows at most
-    bits = np.zeros(FILTER_WORDS, dtype=np.int64)
+    bits = np.zeros(n, dtype=np.int64)
     bits[found["w"].to_numpy()] = found["b"].to_numpy()
     return keys.sparkSession.sparkContext.broadcast(bits)
 
 
 def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    place = keys % (FILTER_WORDS * 64)
+    place = keys % (len(bits) * 64)
     return (bits[place >> 6].view(np.uint64) >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
@@ -252,18 +278,20 @@ def _near_sketches(num: int, den: int):
         fps, sizes = table["fp"].to_numpy(), table["n_shingles"].to_numpy()
         order = np.argsort(sizes, kind="stable")
         linked, primary, block, fps, sizes = (v[order] for v in (linked, primary, block, fps, sizes))
-        raw = [np.frombuffer(v.as_buffer(), dtype=np.uint8) for v in table["sketch"].combine_chunks().take(pa.array(order))]
-        buckets = min(len(r) for r in raw)  # 0: a set has no sketch, so all pairs of a fitting size are near
-        counts = np.stack([coarser(r, buckets) for r in raw]).astype(np.int16) if buckets else np.zeros((len(raw), 1), dtype=np.int16)
+        data, at, wide = _stacked(table["sketch"].combine_chunks().take(pa.array(order)))
+        buckets = int(wide.min())
+        counts = np.empty((len(at), buckets), dtype=np.uint8)
+        for w in np.unique(wide).tolist():
+            counts[wide == w] = coarser(_taken(data, at[wide == w], w), buckets)
         mixed = len(set(block.tolist())) > 1
 
         def pairs() -> Iterator[tuple[int, int]]:
-            for i in range(len(raw) - 1):
+            for i in range(len(counts) - 1):
                 # The sets after it that aren't too large.
                 end = int(np.searchsorted(sizes, sizes[i] * den // num, side="right"))
                 if end <= i + 1:
                     continue
-                apart = np.abs(counts[i + 1 : end] - counts[i]).sum(axis=1, dtype=np.int64)
+                apart = distance(counts[i + 1 : end], counts[i])
                 near = apart * (den + num) <= (den - num) * (sizes[i + 1 : end] + sizes[i])
                 near &= ~(linked[i + 1 : end] & linked[i]) & (primary[i + 1 : end] | primary[i])
                 if mixed:
@@ -271,7 +299,7 @@ def _near_sketches(num: int, den: int):
                 for j in np.flatnonzero(near).tolist():
                     yield i, i + 1 + j
 
-        group, _ = _join_up(len(raw), pairs())
+        group, _ = _join_up(len(counts), pairs())
         of = np.array(group)
         kept = np.flatnonzero(np.bincount(of, minlength=len(of))[of] > 1)
         seed = np.uint64((key[0].as_py() * 31 + key[1].as_py() * 1000003 + key[2].as_py()) & 0xFFFFFFFFFFFFFFFF)
@@ -308,36 +336,74 @@ def _compare(num: int, den: int):
     return run
 
 
+def _pairwise(xs: pa.Array, ps: pa.Array, levels: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of each row's two sketches: as fine as both are, and at the row's level."""
+    (xd, xo, xw), (pd, po, pw) = _stacked(xs), _stacked(ps)
+    at = np.minimum(xw, pw) if levels is None else np.minimum(np.minimum(xw, pw), 1 << levels)
+    fine, apart = np.zeros(len(xw), dtype=np.int64), np.zeros(len(xw), dtype=np.int64)
+    kinds, kind = np.unique(np.stack([xw, pw, at], axis=1), axis=0, return_inverse=True)
+    for k, (w, v, m) in enumerate(kinds.tolist()):
+        rows = np.flatnonzero(kind.reshape(-1) == k)
+        n = min(w, v)
+        x, y = coarser(_taken(xd, xo[rows], w), n), coarser(_taken(pd, po[rows], v), n)
+        fine[rows] = distance(x, y)
+        apart[rows] = distance(coarser(x, m), coarser(y, m)) if m < n else fine[rows]
+    return fine, apart
+
+
+def _may_link(a: np.ndarray, b: np.ndarray, d: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of these sizes, with sketches so far apart, can be linked."""
+    return (den * np.minimum(a, b) >= num * np.maximum(a, b)) & (d * (den + num) <= (den - num) * (a + b))
+
+
 def _apart(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """``rows`` (region, level, pivot, fp) with sizes and sketches (n, sketch; pn, psketch) becomes region,
-    level, pivot, fp, n, apart (at the region's level) and near (the sketches, as fine as both are, allow a link)."""
+    """``rows`` (region, level, pivot, fp) with sizes and coarse sketches (n, sketch; pn, psketch) becomes region,
+    level, pivot, fp, n, apart (at the region's level) and near (the coarse sketches allow a link)."""
 
     def step(level: pa.Array, n: pa.Array, pn: pa.Array, xs: pa.Array, ps: pa.Array):
-        levels, apart, near = [], [], []
-        for given, a, b, x, y in zip(level.to_pylist(), n.to_pylist(), pn.to_pylist(), xs, ps, strict=True):
-            # The sizes in a region differ by less than a factor of two from its first pivot's.
-            k = max(0, level_of(b) - 1) if given is None else given
-            u, v = np.frombuffer(x.as_buffer(), dtype=np.uint8), np.frombuffer(y.as_buffer(), dtype=np.uint8)
-            levels.append(k)
-            if not len(u) or not len(v):
-                apart.append(0)
-                near.append(den * min(a, b) >= num * max(a, b))
-                continue
-            m = min(len(u), len(v))
-            d = int(np.abs(coarser(u, m) - coarser(v, m)).sum())
-            near.append(den * min(a, b) >= num * max(a, b) and d * (den + num) <= (den - num) * (a + b))
-            m = min(m, 1 << k)
-            apart.append(int(np.abs(coarser(u, m) - coarser(v, m)).sum()))
+        a, b, given = (c.to_numpy(zero_copy_only=False) for c in (n, pn, level.fill_null(-1)))
+        # The sizes in a region differ by less than a factor of two from its first pivot's.
+        own = coarse_level(np.maximum(0, np.frexp(b.astype(np.float64))[1] - 2))
+        levels = np.where(given < 0, own, given).astype(np.int64)
+        fine, apart = _pairwise(xs, ps, levels)
+        near = _may_link(a, b, fine, num, den)
         return [pa.array(levels, type=pa.int32()), pa.array(apart, type=pa.int64()), pa.array(near, type=pa.bool_())]
 
     fields = [T.StructField("level", T.IntegerType()), T.StructField("apart", T.LongType()), T.StructField("near", T.BooleanType())]
     return append(rows, ["level", "n", "pn", "sketch", "psketch"], lambda: step, fields, keep=["region", "pivot", "fp", "n"])
 
 
-def _sketched(members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    one = classes.select("fp", F.col("n_shingles").alias("n"), "sketch")
-    pivot = classes.select(F.col("fp").alias("pivot"), F.col("n_shingles").alias("pn"), F.col("sketch").alias("psketch"))
-    return _apart(members.where("fp != pivot").join(one, "fp").join(pivot, "pivot"), num, den)
+def _both(rows: DataFrame, classes: DataFrame, sketch: str) -> DataFrame:
+    """``rows`` (pivot, fp, ...) with the sizes and sketches of both sets."""
+    one = classes.select("fp", F.col("n_shingles").alias("n"), F.col(sketch).alias("sketch"))
+    pivot = classes.select(F.col("fp").alias("pivot"), F.col("n_shingles").alias("pn"), F.col(sketch).alias("psketch"))
+    return rows.where("fp != pivot").join(one, "fp").join(pivot, "pivot")
+
+
+def _near(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Of the pairs (pivot, fp) those whose full sketches allow a link."""
+
+    def step(n: pa.Array, pn: pa.Array, xs: pa.Array, ps: pa.Array):
+        return [pa.array(_may_link(n.to_numpy(), pn.to_numpy(), _pairwise(xs, ps)[0], num, den), type=pa.bool_())]
+
+    rows = append(_both(pairs, classes, "sketch"), ["n", "pn", "sketch", "psketch"], lambda: step, [T.StructField("near", T.BooleanType())], keep=["pivot", "fp"])
+    return rows.where("near").select("pivot", "fp")
+
+
+def _coarse(classes: DataFrame) -> DataFrame:
+    """``classes`` with their coarse sketches."""
+
+    def step(sketches: pa.Array):
+        data, at, wide = _stacked(sketches)
+        out: list[bytes | None] = [None] * len(at)
+        for w in np.unique(wide).tolist():
+            rows = np.flatnonzero(wide == w)
+            made = coarser(_taken(data, at[rows], w), 1 << int(coarse_level(level_of(w))))
+            for i, row in zip(rows.tolist(), made, strict=True):
+                out[i] = row.tobytes()
+        return [pa.array(out, type=pa.binary())]
+
+    return append(classes, ["sketch"], lambda: step, [T.StructField("coarse", T.BinaryType())])
 
 
 def _exact(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -401,13 +467,14 @@ def _linked(docs: DataFrame, size: int, num: int, den: int, cell: int = CELL, de
     members = members.select(F.col("pivot").alias("region"), F.lit(None).cast("int").alias("level"), "pivot", "fp")
     # Equal sets are one class.
     classes = some.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", "n_shingles", "sketch").dropDuplicates(["fp"])
-    classes = stored(classes, "classes")
+    classes = stored(_coarse(classes), "classes")
     released(docs.sparkSession)
     close = F.lit(den) * F.col("both") >= F.lit(num) * F.col("either")
     links, groups, one = [], [], ["pivot", "fp"]
     for level in range(depth):
-        rows = stored(_sketched(members, classes, num, den), "sketched")
-        pairs = rows.where("near").select(one).distinct()
+        rows = stored(_apart(_both(members, classes, "coarse"), num, den), "sketched")
+        released(docs.sparkSession)
+        pairs = stored(_near(rows.where("near").select(one).distinct(), classes, num, den), "pairs")
         needed = pairs.select("pivot").union(pairs.select("fp")).distinct().select(F.col("pivot").alias("fp"))
         sets = stored(contents(docs, needed.join(reps, "fp"), size), "sets")
         linked = stored(_exact(pairs, sets).where(close).select(one), "linked")
