@@ -12,10 +12,14 @@ the join prunes by the triangle inequality at each level:
    part's subspace, and the sets at distance 0 from it are its region.
    (Between unrelated texts the plain Jaccard distance is close to 1, so
    document pivots alone have windows that hold everything; measured, see
-   README.)
+   README.)  A set leaves out its most frequent parts, as many as
+   may go for linked sets to agree in one more: regions that boilerplate makes
+   of unlike texts mostly vanish, and no link is lost.
 3. *Documents.*  Every set has a sketch: how many of its shingles fall into each
-   of as many buckets as it has shingles (a power of two).  The L1 distance of
-   sketches is a metric and never over the sets' symmetric difference.  In
+   of as many buckets as it has shingles (a power of two), modulo 256.  The L1
+   distance of sketches, the shorter way round in each bucket, obeys the
+   triangle inequality and is never over the sets' symmetric difference; so is
+   that of coarse sketches, a quarter as long, which the rows of regions carry.  In
    each region the set with the least hash is the pivot; regions with the same
    pivot are joined, and the sketch distance of all their other sets from it
    is computed; where that is low enough, the exact Jaccard distance too.
@@ -49,7 +53,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +68,9 @@ DEPTH = 2
 #: 64-bit words of the filters that tell tasks which parts and sets are needed again: 8 to 16 bits a key, and 32 MB
 #: at most.  Beyond 33 million keys a filter lets more and more through, and the joins after it drop that.
 FILTER_WORDS = 1 << 22
+#: One part in so many, more or less, is spare: the most frequent parts of a set, which texts share that are not alike
+#: (boilerplate), need not be compared.
+SPARE = 4
 #: Coarse sketches have a quarter of a sketch's buckets, and 2^COARSE at least where the sketch has as many.
 COARSE = 5
 
@@ -93,26 +100,36 @@ def _sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 def signatures(x: np.ndarray, num: int, den: int) -> np.ndarray:
     """Hashes of the parts of a set, for its band and, in the window, the next one."""
-    n, out = len(x), []
+    return parts_of(x, num, den)[0]
+
+
+def parts_of(x: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`signatures`, and beside each how many of the set's parts of that band may still be left out, times
+    two, plus which of the set's bands it is."""
+    n, out, drops = len(x), [], []
     band = int(np.searchsorted(EDGES, n, side="right")) - 1
-    for i in {band, int(np.searchsorted(EDGES, n * den // num, side="right")) - 1} if n else ():
+    for slot, i in enumerate(sorted({band, int(np.searchsorted(EDGES, n * den // num, side="right")) - 1}) if n else ()):
         differ = (den - num) * 2 * int(EDGES[i + 1] - 1) // (den + num)
         if not differ:
             continue  # linked sets of this band are equal
-        # Up to ``spare`` empty parts may be left out: the linked sets agree in one more part than that.
-        spare = 1 + differ // 64
+        # Up to ``spare`` parts may be left out, the empty ones and then the most frequent: linked sets agree in one
+        # more part than that, and the rarest of these is among the first ``spare`` of neither set.
+        spare = 1 + differ // SPARE
         m = differ + 1 + spare
         part = ((x >> np.uint64(7)) % np.uint64(m)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         p = part[order]
         first = np.flatnonzero(np.r_[True, p[1:] != p[:-1]])
         value, which = np.add.reduceat(mix(x[order] + np.uint64(1)), first), p[first]
-        if m - len(first) > spare:
+        left = spare - (m - len(first))
+        if left < 0:
+            left = 0
             full = np.zeros(m, dtype=np.uint64)
             full[which] = value
             value, which = full, np.arange(m)
         out.append(mix(value + mix(which.astype(np.uint64) + np.uint64(i << 40))))
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+        drops.append(np.full(len(value), 2 * left + slot, dtype=np.int64))
+    return (np.concatenate(out), np.concatenate(drops)) if out else (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
 
 
 def level_of(n: int) -> int:
@@ -171,29 +188,36 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
 
 
 def regions_of(docs: DataFrame, size: int, num: int, den: int, only: Broadcast | None = None) -> DataFrame:
-    """(region, fp): the parts of each document's set; with ``only``, a filter of ``_marks``, those it lets through."""
+    """(region, fp, drop): the parts of each document's set, and what ``parts_of`` has beside them; with ``only``, a
+    filter of ``_marks``, the parts it lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            regions, fps, held = [], [], 0
+            held, n = [], 0
             for x in _sets(batch.column(0), size):
-                sig = signatures(x, num, den)
+                sig, drop = parts_of(x, num, den)
                 if only is not None:
-                    sig = sig[_marked(only.value, sig.view(np.int64))]
-                regions.append(sig)
-                fps.append(np.full(len(sig), fingerprint(x), dtype=np.int64))
-                held += len(sig)
-                if held > 1 << 17:
-                    yield _rows(regions, fps)
-                    regions, fps, held = [], [], 0
-            if held:
-                yield _rows(regions, fps)
-
-    def _rows(regions: list[np.ndarray], fps: list[np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(regions).view(np.int64)), pa.array(np.concatenate(fps))], names=["region", "fp"])
+                    through = _marked(only.value, sig.view(np.int64))
+                    sig, drop = sig[through], drop[through]
+                held.append((sig.view(np.int64), np.full(len(sig), fingerprint(x), dtype=np.int64), drop))
+                n += len(sig)
+                if n > 1 << 17:
+                    yield _rows(held)
+                    held, n = [], 0
+            if n:
+                yield _rows(held)
+
+    def _rows(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=["region", "fp", "drop"])
 
     ship(docs.sparkSession)
-    return docs.where("doc_id is not null").select("text").mapInArrow(run, "region long, fp long")
+    return docs.where("doc_id is not null").select("text").mapInArrow(run, "region long, fp long, drop long")
+
+
+def _rarest(parts: DataFrame) -> DataFrame:
+    """``parts`` (region, fp, drop, often) without the most frequent ones of each set and band, as many as may go."""
+    order = Window.partitionBy("fp", "drop").orderBy(F.desc("often"), "region")
+    return parts.withColumn("place", F.row_number().over(order)).where(F.col("place") > F.floor(F.col("drop") / 2))
 
 
 def _marks(keys: DataFrame, key: str) -> Broadcast:
@@ -438,7 +462,7 @@ def _groups(cells: DataFrame, classes: DataFrame, num: int, den: int, cell: int)
     rows = cells.withColumn("block", F.pmod(F.xxhash64("fp"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.select("region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "linked", "primary")
     ship(cells.sparkSession)
-    rows = rows.join(classes.select("fp", "n_shingles", "sketch"), "fp")
+    rows = rows.join(classes.select("fp", "n_shingles", F.col("coarse").alias("sketch")), "fp")
     return rows.groupBy("region", "i", "j").applyInArrow(_near_sketches(num, den), "cell long, fp long, linked boolean")
 
 
@@ -458,12 +482,19 @@ def _linked(docs: DataFrame, size: int, num: int, den: int, cell: int = CELL, de
     prof = stored(profiles(docs, size), "profiles")
     some = prof.where("n_shingles > 0 and doc_id is not null")
     reps = some.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    pivots = regions_of(docs, size, num, den).groupBy("region").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last")).where("pivot != last")
+    pivots = regions_of(docs, size, num, den).groupBy("region").agg(
+        F.min("fp").alias("pivot"), F.max("fp").alias("last"), F.count(F.lit(1)).alias("often")
+    )
+    pivots = pivots.where("pivot != last")
     pivots = stored(pivots.drop("last"), "pivots")
     # The parts are computed again rather than kept: a filter lets few others than the shared ones through.
     parts = regions_of(docs, size, num, den, _marks(pivots, "region")).distinct()
     # Regions with the same pivot set become one: a pair that shares several parts is then compared once.
-    members = stored(parts.join(pivots, "region").select("pivot", "fp").distinct(), "regions")
+    members = stored(_rarest(parts.join(pivots.drop("pivot"), "region")).select("region", "fp"), "parts")
+    released(docs.sparkSession)
+    # What is left of a region may be one set, and its first pivot may have gone.
+    pivots = members.groupBy("region").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last")).where("pivot != last")
+    members = stored(members.join(pivots, "region").select("pivot", "fp").distinct(), "regions")
     members = members.select(F.col("pivot").alias("region"), F.lit(None).cast("int").alias("level"), "pivot", "fp")
     # Equal sets are one class.
     classes = some.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", "n_shingles", "sketch").dropDuplicates(["fp"])
@@ -483,14 +514,15 @@ def _linked(docs: DataFrame, size: int, num: int, den: int, cell: int = CELL, de
         links.append(linked.select(F.col("pivot").alias("u"), F.col("fp").alias("v")))
         cells = stored(_rings(rows, linked, num, den), "cells")
         big, last = F.col("n") > cell, level + 1 == depth
-        groups.append(_groups(cells if last else cells.where(~big), classes, num, den, cell))
+        groups.append(stored(_groups(cells if last else cells.where(~big), classes, num, den, cell), "groups"))
+        released(docs.sparkSession)
         if last or cells.where(big).isEmpty():
             break
         # Large cells choose new pivots among the sets without a link to the old one.
         cells = cells.where(big).select("region", "level", "fp", "linked")
         pivots = cells.groupBy("region").agg(F.min(F.when(~F.col("linked"), F.col("fp"))).alias("pivot"))
         members = stored(cells.join(pivots, "region").select("region", "level", "pivot", "fp"), "regions")
-    near = stored(reduce(DataFrame.unionByName, groups), "groups")
+    near = reduce(DataFrame.unionByName, groups)
     released(docs.sparkSession)
     sets = contents(docs, near.select("fp").distinct().join(reps, "fp"), size)
     links.append(near.join(sets, "fp").groupBy("cell").applyInArrow(_compare(num, den), "u long, v long"))

@@ -86,6 +86,39 @@ def test_linked_sets_share_a_signature():
             if drop + add:
                 a, b = (jaccard.signatures(np.unique(v), 90, 100) for v in (x, y))
                 assert len(np.intersect1d(a, b)), (n, drop, add)
+                # Nor does leaving out the most frequent parts, however the frequencies lie: here those of x and y alike.
+                for often in (lambda r: r % np.uint64(7), lambda r: np.isin(r, a) & np.isin(r, b)):
+                    left = [rarest(*jaccard.parts_of(np.unique(v), 90, 100), often) for v in (x, y)]
+                    assert left[0] & left[1], (n, drop, add)
+
+
+def rarest(parts, drops, often):
+    """The plan's choice, in Python."""
+    kept = set()
+    for d in set(drops.tolist()):
+        mine = parts[drops == d]
+        ranked = sorted(zip((-often(mine).astype(int)).tolist(), mine.view("int64").tolist(), strict=True))
+        kept |= {r for _, r in ranked[d // 2 :]}
+    return kept
+
+
+def test_rarest_parts_of_the_plan(spark):
+    rows = [(r, 1, 2 * 2, often) for r, often in [(5, 9), (6, 3), (7, 9), (8, 1)]] + [(5, 1, 1, 9), (5, 2, 0, 9), (6, 2, 9, 3)]
+    got = jaccard._rarest(spark.createDataFrame(rows, "region long, fp long, drop long, often long"))
+    assert sorted((r.region, r.fp, r["drop"]) for r in got.collect()) == [(5, 1, 1), (5, 2, 0), (6, 1, 4), (8, 1, 4)]
+
+
+def test_boilerplate_makes_no_large_cells(spark):
+    """Different texts that share a passage, and near copies among them: whole links, and few pairs looked at."""
+    r, shared, rows = random.Random(7), " ".join(f"b{i}" for i in range(60)), []
+    for g in range(300):
+        own = [f"o{g}w{i}" for i in range(r.randint(60, 90))]
+        rows.append((len(rows), " ".join(own[:30]) + " " + shared + " " + " ".join(own[30:])))
+        if g % 10 == 0:
+            rows.append((len(rows), rows[-1][1] + " end"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(tuple, jaccard.component_ids(docs, 5, 80, 100, cell=20).collect()), key=repr)
+    assert got == brute(rows, 5, 80, 100)
 
 
 def test_removal_keeps_one_of_each_component(spark, none):
