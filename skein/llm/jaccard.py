@@ -187,14 +187,15 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
     return append(docs, ["text"], lambda: step, fields, keep=["doc_id"])
 
 
-def regions_of(docs: DataFrame, size: int, num: int, den: int, only: Broadcast | None = None) -> DataFrame:
-    """(region, fp, drop): the parts of each document's set, and what ``parts_of`` has beside them; with ``only``, a
-    filter of ``_marks``, the parts it lets through."""
+def regions_of(docs: DataFrame, size: int, num: int, den: int, ids: Broadcast, only: Broadcast | None = None) -> DataFrame:
+    """(region, fp, drop): the parts of the sets of documents that the filter ``ids`` lets through, and what
+    ``parts_of`` has beside them; with ``only``, the parts that this filter lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, n = [], 0
-            for x in _sets(batch.column(0), size):
+            which = np.flatnonzero(_marked(ids.value, batch.column(1).to_numpy(zero_copy_only=False)))
+            for x in _sets(batch.column(0).take(pa.array(which)), size):
                 sig, drop = parts_of(x, num, den)
                 if only is not None:
                     through = _marked(only.value, sig.view(np.int64))
@@ -211,7 +212,7 @@ def regions_of(docs: DataFrame, size: int, num: int, den: int, only: Broadcast |
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=["region", "fp", "drop"])
 
     ship(docs.sparkSession)
-    return docs.where("doc_id is not null").select("text").mapInArrow(run, "region long, fp long, drop long")
+    return docs.where("doc_id is not null").select("text", F.xxhash64("doc_id")).mapInArrow(run, "region long, fp long, drop long")
 
 
 def _rarest(parts: DataFrame) -> DataFrame:
@@ -482,15 +483,15 @@ def _linked(docs: DataFrame, size: int, num: int, den: int, cell: int = CELL, de
     prof = stored(profiles(docs, size), "profiles")
     some = prof.where("n_shingles > 0 and doc_id is not null")
     reps = some.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    pivots = regions_of(docs, size, num, den).groupBy("region").agg(
-        F.min("fp").alias("pivot"), F.max("fp").alias("last"), F.count(F.lit(1)).alias("often")
-    )
-    pivots = pivots.where("pivot != last")
-    pivots = stored(pivots.drop("last"), "pivots")
+    # A document of each set will do: copies that the filter lets through are only counted more than once.
+    ids = _marks(reps, "doc_id")
+    shared = regions_of(docs, size, num, den, ids).groupBy("region").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    shared = stored(shared, "shared")
+    released(docs.sparkSession)
     # The parts are computed again rather than kept: a filter lets few others than the shared ones through.
-    parts = regions_of(docs, size, num, den, _marks(pivots, "region")).distinct()
+    parts = regions_of(docs, size, num, den, ids, _marks(shared, "region")).distinct()
     # Regions with the same pivot set become one: a pair that shares several parts is then compared once.
-    members = stored(_rarest(parts.join(pivots.drop("pivot"), "region")).select("region", "fp"), "parts")
+    members = stored(_rarest(parts.join(shared, "region")).select("region", "fp"), "parts")
     released(docs.sparkSession)
     # What is left of a region may be one set, and its first pivot may have gone.
     pivots = members.groupBy("region").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last")).where("pivot != last")
