@@ -18,8 +18,8 @@ bytes:
    within the tasks that read them.
 2. Sums over the blocks give the words' counts and the trie; each string's
    cost comes from a join of its contexts' distributions, level by level.
-3. Each block gets back the counts and costs it asked for, and its texts are
-   scored by lookup.
+3. Each block gets back the counts and costs it asked for, packed as arrays
+   of up to ``PACKED`` keys, and its texts are scored by lookup.
 
 Defined results: a null text counts as an empty one, which has the end only;
 without training texts all words are unknown and all bytes equally likely;
@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +48,8 @@ BLOCK = 32 << 20
 ALONE = 4 << 20
 #: Different keys that a counting task holds before it hands them on.
 HELD = 3 << 20
+#: Answers in a packed row, and answers that a packing task holds.
+PACKED, PACKING = 1 << 16, 1 << 21
 
 #: Words have negative keys, byte strings others; this one is a text's end as a token.
 TOP = np.uint64(1 << 63)
@@ -80,15 +83,25 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _sum(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    u, at = np.unique(keys, return_inverse=True)
-    return u, np.bincount(at, weights=counts, minlength=len(u)).astype(np.int64)
+    # The keys come as sorted runs, which a stable sort only merges.
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
+    return keys[first], np.add.reduceat(counts[order], first) if len(keys) else counts[:0].astype(np.int64)
+
+
+def _within(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which of the keys the sorted table has."""
+    if not len(table):
+        return np.zeros(len(keys), dtype=bool)
+    return table[np.minimum(np.searchsorted(table, keys), len(table) - 1)] == keys
 
 
 def _asked(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different keys, and how often each occurs in training texts."""
     seen, n = np.unique(keys[train], return_counts=True)
     other = np.unique(keys[~train]) if not train.all() else keys[:0]
-    other = other[~np.isin(other, seen)] if len(other) else other
+    other = other[~_within(other, seen)]
     return np.concatenate([seen, other]), np.concatenate([n, np.zeros(len(other), dtype=np.int64)])
 
 
@@ -134,19 +147,21 @@ def _count(order: int):
 
 
 class Table:
-    """Numbers by 64-bit key, looked up for whole arrays."""
+    """Numbers by 64-bit key, looked up for whole arrays; ``FREE`` is no key."""
+
+    FREE = np.int64(-(1 << 63))
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.shift = np.uint64(64 - max(4, int(2 * max(1, len(keys))).bit_length()))
+        if (keys == self.FREE).any():
+            raise ValueError("a key that stands for none")
+        self.shift = np.uint64(64 - max(4, (3 * max(1, len(keys)) // 2).bit_length()))
         self.size = 1 << (64 - int(self.shift))
-        self.keys, self.values = np.zeros(self.size, dtype=np.int64), np.zeros(self.size)
-        self.full = np.zeros(self.size, dtype=bool)
+        self.keys, self.values = np.full(self.size, self.FREE), np.zeros(self.size)
         left = np.arange(len(keys))
         at = self._at(keys)
         while len(left):
-            free = ~self.full[at]
+            free = self.keys[at] == self.FREE
             self.keys[at[free]], self.values[at[free]] = keys[left[free]], values[left[free]]
-            self.full[at[free]] = True
             lost = self.keys[at] != keys[left]
             left, at = left[lost], (at[lost] + 1) % self.size
 
@@ -157,11 +172,12 @@ class Table:
         out = np.full(len(keys), without)
         at, left = self._at(keys), None
         while len(at):
-            same = (self.keys[at] == keys) & self.full[at]
-            more = ~same & self.full[at]
+            there = self.keys[at]
+            same = there == keys
+            more = np.flatnonzero(~same & (there != self.FREE))
             if left is None:
-                out[same] = self.values[at[same]]
-                left = np.flatnonzero(more)
+                out = np.where(same, self.values[at], without)
+                left = more
             else:
                 out[left[same]] = self.values[at[same]]
                 left = left[more]
@@ -179,11 +195,48 @@ RESULT = T.StructType(
 )
 
 
+ANSWERS = "block long, words boolean, keys binary, numbers binary"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ANSWERS: rising keys as differences, which take less disk, and their values (64 bits each), words and strings apart."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        blocks, keys, values = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((keys, blocks))  # words first
+        blocks, keys, values = blocks[order], keys[order], values[order]
+        turns = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(keys < 0) != 0)) + 1
+        for first, last in zip([0, *turns.tolist()], [*turns.tolist(), len(blocks)], strict=True):
+            for lo in range(first, last, PACKED):
+                hi = min(lo + PACKED, last)
+                row = [[int(blocks[lo])], [bool(keys[lo] < 0)], [np.diff(keys[lo:hi], prepend=0).tobytes()], [values[lo:hi].tobytes()]]
+                kinds = (pa.int64(), pa.bool_(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, type=k) for x, k in zip(row, kinds, strict=True)], names=["block", "words", "keys", "numbers"])
+        held.clear()
+
+    for batch in batches:
+        held.append(tuple(batch.column(c).to_numpy() for c in ("block", "key", "value")))
+        size += batch.num_rows
+        if size > PACKING:
+            yield from out()
+            size = 0
+    if size:
+        yield from out()
+
+
+def _unpacked(answers: pa.Table, words_: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values of the packed rows of words, or of strings."""
+    rows = answers.filter(answers["words"] if words_ else pc.invert(answers["words"]))
+    keys = [np.cumsum(np.frombuffer(x.as_buffer(), dtype=np.int64)) for x in rows["keys"]]
+    numbers = [np.frombuffer(x.as_buffer(), dtype=np.float64) for x in rows["numbers"]]
+    return np.concatenate([np.zeros(0, dtype=np.int64), *keys]), np.concatenate([np.zeros(0), *numbers])
+
+
 def _score(smooth: float, names: list[str], order: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        keys, values = answers["key"].to_numpy(), answers["value"].to_numpy()
-        of_words = keys < 0
-        costs = Table(keys[~of_words], values[~of_words])
+        costs, (asked, values) = Table(*_unpacked(answers, False)), _unpacked(answers, True)
         # A word without an answer occurs in this block alone: its own count is the whole one.
         known = []
         for batch in docs.to_batches():
@@ -193,9 +246,10 @@ def _score(smooth: float, names: list[str], order: int):
                 k, d = tokens(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 known.append(_asked(k, train[lo:hi][d]))
             known.append((np.array([END_WORD]), np.array([train.sum()])))
-        own, n = _sum(np.concatenate([k for k, _ in known]), np.concatenate([c for _, c in known])) if known else (keys[:0], values[:0])
-        alone = ~np.isin(own, keys[of_words])
-        counts = Table(np.concatenate([keys[of_words], own[alone]]), np.concatenate([values[of_words], n[alone].astype(np.float64)]))
+        own, n = _sum(np.concatenate([k for k, _ in known]), np.concatenate([c for _, c in known])) if known else (asked[:0], values[:0])
+        alone = ~_within(own, np.sort(asked))
+        counts = Table(np.concatenate([asked, own[alone]]), np.concatenate([values, n[alone].astype(np.float64)]))
+        del known, asked, values, own, n, alone
         end = float(counts.get(np.array([END_WORD]), 0.0)[0])
         out: list[list[np.ndarray]] = [[], [], [], []]
         for batch in docs.to_batches():
@@ -321,9 +375,11 @@ def score(docs: DataFrame, train: Column, place: Column | None = None, smooth: f
     released(spark)
     n = int(of_words.agg(F.coalesce(F.sum("train"), F.lit(0)).alias("n")).first().n)
     v = summed.where("first").count()
-    said = stored(said, "said")
-    released(spark)
     answers = said.unionByName(summed.where("key is not null").select("block", "key", "value"))
+    answers = stored(answers.mapInArrow(_pack, ANSWERS), "answers")
+    for finished in (asked, summed):
+        discarded(finished)
+    released(spark)
     names = ["doc_id", "train"]
     schema = T.StructType([rows.schema[c] for c in names] + RESULT.fields)
     scored = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(smooth, names, order), schema)

@@ -3,6 +3,8 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from llm_rows import SF001, none, odd  # noqa: F401
 from pyspark.sql import functions as F
@@ -102,3 +104,34 @@ def test_a_byte_five_places_back_tells(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
     got = {r.doc_id: r.score for r in ppm.score(docs, F.col("train")).where("not train").collect()}
     assert got[40] > got[41] + 1
+
+
+def test_answers_come_as_packed_rows(monkeypatch):
+    # Few long rows for a block, not a row for each string and word.
+    monkeypatch.setattr(ppm, "PACKED", 1000)
+    monkeypatch.setattr(ppm, "PACKING", 20_000)
+    r = np.random.default_rng(5)
+    want = {(b, int(k)): float(r.random()) for b in range(3) for k in r.integers(-(1 << 62), 1 << 48, 20_000)}
+    keys = np.array([k for _, k in want], dtype=np.int64)
+    blocks, values = np.array([b for b, _ in want], dtype=np.int64), np.array(list(want.values()))
+    o = r.permutation(len(keys))
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[o][lo : lo + 5000]) for x in (blocks, keys, values)], names=["block", "key", "value"]) for lo in range(0, len(o), 5000)]
+    rows = pa.Table.from_batches(list(ppm._pack(iter(batches))))
+    assert rows.num_rows < 3 * 2 * 4 + len(keys) / 1000 * 2 and max(len(x.as_py()) for x in rows["keys"]) <= 8000
+    for b in range(3):
+        mine = rows.filter(pc.equal(rows["block"], b))
+        got = {}
+        for words in (True, False):
+            k, v = ppm._unpacked(mine, words)
+            assert ((k < 0) == words).all()
+            got |= dict(zip(k.tolist(), v.tolist(), strict=True))
+        assert got == {k: v for (x, k), v in want.items() if x == b}
+    assert list(ppm._pack(iter([]))) == [] and len(ppm._unpacked(rows.slice(0, 0), True)[0]) == 0
+
+
+def test_sums_of_sorted_runs():
+    keys = np.concatenate([np.arange(-5, 5), np.arange(0, 9, 2), np.array([3])])
+    u, n = ppm._sum(keys, np.arange(len(keys)))
+    assert u.tolist() == sorted(set(keys.tolist()))
+    assert n.tolist() == [sum(c for c, k in enumerate(keys.tolist()) if k == x) for x in u.tolist()]
+    assert [len(x) for x in ppm._sum(keys[:0], keys[:0])] == [0, 0]
