@@ -16,7 +16,8 @@ other characters; so a text falls into words that are encoded alone.  The
 skips are keyed by the seed, the text's hash and the word's place, so every
 occurrence of a word draws anew.  How many candidates lie before the next skip
 is drawn at once (a geometric number); a word's segmentation depends on its
-skipped candidates alone, and is kept by the word and these.
+skipped candidates alone, and is kept by the word and these.  Words that are
+not kept are encoded together, one candidate of each at a time.
 
 Defined results: a null text has null ids, which decode to null; an empty one
 has no ids, which decode to the empty text; repeated rows are encoded alike;
@@ -29,10 +30,12 @@ import heapq
 import re
 from array import array
 from bisect import bisect_right
+from collections.abc import Iterator
 from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -41,16 +44,24 @@ from skein.llm.common import append
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 DROPOUT = 0.1
-#: Places for words kept encoded in a worker (about 200 bytes each, in two generations; a word with skips takes two), and the longest one.
+#: Places for words kept encoded in a worker (about 150 bytes each, in two generations; a word with skips takes two), and the longest one.
 CACHED = 1_600_000
 LONGEST = 48
 
 #: In place of an id: no piece (or no merge), and merged into the piece before.
 NONE, GONE = -1, -2
+#: A skipped candidate in a kept word's key; the (low) byte of a kept word's number of candidates.
+SKIP, COUNT = 0xD800, -4
+#: A table's slot without a pair (ids are not below 0, so no pair has this key).
+FREE = -(1 << 62)
 #: Splitmix64's step and multipliers; the longest run without a skip that one draw gives (a longer one
 #: goes on with the next draw), more than a kept word has candidates; and a text's first draws for each word.
 STEP, MULTIPLY, ALL = 0x9E3779B97F4A7C15, (0xBF58476D1CE4E5B9, 0x94D049BB133111EB), (1 << 64) - 1
 RUN, FIRST = 256, 4
+#: Words encoded together; words looked up, and characters of the texts taken, at a time.
+TOGETHER, LOOKED, CHARACTERS = 1 << 14, 1 << 16, 1 << 20
+#: The place in a word below its rank (LONGEST at most), and in place of both: no pair.
+PLACE, LAST = 6, np.iinfo(np.int32).max
 
 #: Latin letters and digits, and the words of a text: with pieces that join these with others, and without.
 LATIN = "0-9A-Za-zÀ-ÖØ-öø-ɏ"
@@ -91,6 +102,10 @@ class Vocabulary:
             for k in range(1, len(p))
             if p[:k] in self.pieces and p[k:] in self.pieces
         }
+        # The same as arrays: each character's id, the last entry for all others; the pairs by hash.
+        self.of_code = np.full(max(map(ord, self.characters), default=0) + 2, NONE, dtype=np.int32)
+        self.of_code[[ord(c) for c in self.characters]] = list(self.characters.values())
+        self.tables = _tables(self.pairs)
         crossing = [p for p in self.pieces if len(p) > 1 and ("\n" in p or MARK in p.lstrip(MARK))]
         if crossing:
             raise ValueError("the model has pieces across words; encode whole texts as one word instead")
@@ -98,6 +113,47 @@ class Vocabulary:
         mixed = any(bool(latin(a)) != bool(latin(b)) for p in self.pieces for a, b in zip(p.lstrip(MARK), p.lstrip(MARK)[1:], strict=False))
         self.words = JOINED if mixed else APART
 
+    def made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What each two neighbours' ids would make: its rank and id; below 0 none."""
+        keys = left.astype(np.int64) << 17 | right
+        out, rest = np.full(len(keys), NONE, dtype=np.int64), None
+        for level, known, makes in self.tables:
+            at = _slot(keys, level)
+            there = known[at]
+            same = there == keys
+            if rest is None:
+                out[same] = makes[at[same]]
+                rest = np.flatnonzero(~same & (there != FREE))
+            else:
+                out[rest[same]] = makes[at[same]]
+                rest = rest[~same & (there != FREE)]
+            if not len(rest):
+                break
+            keys = left[rest].astype(np.int64) << 17 | right[rest]
+        return out
+
+
+def _slot(keys: np.ndarray, level: int) -> np.ndarray:
+    """A slot of 17 bits, other bits of the product at each level."""
+    return ((keys.view(np.uint64) * np.uint64(STEP)) >> np.uint64(47 - 7 * level)).astype(np.int64) & 0x1FFFF
+
+
+def _tables(pairs: dict[int, int]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Tables of pairs by slot; those that find theirs taken are in the next one."""
+    keys, made = (np.fromiter(x, dtype=np.int64, count=len(pairs)) for x in (pairs.keys(), pairs.values()))
+    out: list[tuple[int, np.ndarray, np.ndarray]] = []
+    while len(keys):
+        if len(out) > 6:
+            raise ValueError("the model has too many merges for the tables")
+        known, makes = np.full(1 << 17, FREE, dtype=np.int64), np.zeros(1 << 17, dtype=np.int64)
+        slots, first = np.unique(_slot(keys, len(out)), return_index=True)
+        known[slots], makes[slots] = keys[first], made[first]
+        out.append((len(out), known, makes))
+        rest = np.ones(len(keys), dtype=bool)
+        rest[first] = False
+        keys, made = keys[rest], made[rest]
+    return out
+
 
 def _mixed(x: int) -> int:
     """Splitmix64's number for a state."""
@@ -122,10 +178,10 @@ class Encoder:
         # A draw under the k-th greatest of these has no skip in its first k candidates.
         self.runs = [min(ALL, int((1 - dropout) ** k * (1 << 64))) for k in range(RUN, 0, -1)] if dropout else []
         self.limits = np.array(self.runs, dtype=np.uint64)
-        self.steps = np.array([k * STEP & ALL for k in range(1, FIRST + 1)], dtype=np.uint64)
-        # A word, or it and its skips: the ids and the number of candidates.
-        self.cache: dict[str | tuple, tuple[bytes, int]] = {}
-        self.older: dict[str | tuple, tuple[bytes, int]] = {}
+        # A word, or it and its skips as lone surrogates (which no text has): the ids, then the number of
+        # candidates, as 32 bits each.  Strings and bytes alone: nothing that the garbage collector looks through.
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.size = 0
         self.words = re.compile(vocabulary.words).findall
         content = [np.frombuffer(c, dtype=np.uint8) for c in vocabulary.content]
@@ -192,78 +248,181 @@ class Encoder:
                         push(agenda, (m >> 17) << shift | h)
         if NONE not in ids:
             return [p for p in ids if p >= 0], tuple(skips), turn
+        return self._bytes(word, ids), tuple(skips), turn
+
+    def together(self, words: list[str], numbers: np.ndarray) -> list[tuple[str, bytes]]:
+        """What is to be kept, and as what, of many words of LONGEST characters at most; numbers: one for each."""
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        order = np.argsort(sizes, kind="stable")
+        out = [("", b"")] * len(words)
+        for lo in range(0, len(words), TOGETHER):
+            part = order[lo : lo + TOGETHER]
+            at = part.tolist()
+            for i, made in zip(at, self._together([words[i] for i in at], numbers[part], sizes[part]), strict=True):
+                out[i] = made
+        return out
+
+    def _together(self, words: list[str], numbers: np.ndarray, n: np.ndarray) -> list[tuple[str, bytes]]:
+        count, width = len(words), int(n.max())
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
+        flat = self.v.of_code[np.minimum(codes, len(self.v.of_code) - 1)]
+        of = np.repeat(np.arange(count), n)
+        place = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        # A column for each word, with an empty row above and one below it, as flat arrays.
+        # best: rank and row of the pair that begins there; makes: the id it would make.
+        rows = width + 2
+        ids = np.full(rows * count, GONE, dtype=np.int32)
+        own = (place + 1) * count + of
+        ids[own] = flat
+        best = np.full(rows * count, LAST, dtype=np.int32)
+        makes = np.zeros(rows * count, dtype=np.int32)
+        after, before = np.arange(rows * count) + count, np.arange(rows * count) - count
+
+        def begin(at: np.ndarray, pair: np.ndarray) -> None:
+            best[at] = np.where(pair >= 0, pair >> 17 << PLACE | at // count, LAST)
+            makes[at] = pair & 0x1FFFF
+
+        inner = np.flatnonzero(of[1:] == of[:-1])
+        begin(own[inner], self.v.made(flat[inner], flat[inner + 1]))
+        stop = self.runs_of(numbers, 0) if self.runs else np.full(count, 3 * LONGEST)
+        draw, candidates, turn = np.ones(count, dtype=np.int64), np.zeros(count, dtype=np.int64), 0
+        names = list(words)
+        while True:
+            top = best.reshape(rows, count).min(axis=0)
+            c = np.flatnonzero(top < LAST)
+            if not len(c):
+                break
+            turn += 1
+            candidates[c] = turn
+            at = (top[c] & ((1 << PLACE) - 1)).astype(np.int64) * count + c
+            skipped = turn > stop[c]
+            if skipped.any():
+                c = c[skipped]
+                for k, x in zip(c.tolist(), stop[c].tolist(), strict=True):
+                    names[k] += chr(SKIP + x)
+                best[at[skipped]] = LAST
+                # One draw is enough: a run of RUN is past the word's end.
+                stop[c] = turn + self.runs_of(numbers[c], draw[c])
+                draw[c] += 1
+                at = at[~skipped]
+            x, j, h = makes[at], after[at], before[at]
+            k = after[j]
+            after[at], before[k] = k, at
+            ids[at], ids[j], best[j] = x, GONE, LAST
+            pair = self.v.made(np.concatenate([x, ids[h]]), np.concatenate([ids[k], x]))
+            begin(at, pair[: len(at)])
+            begin(h, pair[len(at) :])
+        table = np.concatenate([ids.reshape(rows, count)[1:-1], candidates[None, :].astype(np.int32)]).T
+        kept = table >= 0
+        raw = table[kept].tobytes()
+        ends = (4 * np.cumsum(kept.sum(axis=1))).tolist()
+        out = [(name, raw[a:b]) for name, a, b in zip(names, [0, *ends], ends)]
+        for k in np.flatnonzero((table == NONE).any(axis=1)).tolist():
+            out[k] = (names[k], array("i", [*self._bytes(words[k], table[k, : n[k]].tolist()), candidates[k]]).tobytes())
+        return out
+
+    def _bytes(self, word: str, ids: list[int]) -> list[int]:
+        """The ids, characters without a piece as their bytes' pieces."""
         out: list[int] = []
         for i, p in enumerate(ids):
             if p >= 0:
                 out.append(p)
             elif p == NONE:
                 out += [self.v.bytes[b] for b in word[i].encode()]
-        return out, tuple(skips), turn
-
-    def encoded(self, word: str, number: int, first: list[int] | None = None) -> bytes:
-        """A word's ids as bytes for an occurrence's number, kept for occurrences with the same skips; ``first``: its first FIRST draws."""
-        if len(word) <= LONGEST:
-            key, k, at = word, 0, 0
-            while (kept := self.cache.get(key) or self._again(key)) is not None:
-                # A kept word has fewer candidates than RUN, so a run of RUN is past its end.
-                at += (first[k] if first and k < FIRST else self.run(number, k)) if self.runs else RUN
-                if at >= kept[1]:
-                    return kept[0]
-                key = (word, at) if not k else (*key, at)
-                k, at = k + 1, at + 1
-        ids, skips, candidates = self.word(word, number)
-        made = array("i", ids).tobytes()
-        if len(word) <= LONGEST:
-            self._keep((word, *skips) if skips else word, (made, candidates))
-        return made
-
-    def _again(self, key: str | tuple) -> tuple[bytes, int] | None:
-        """What the older generation has, kept in the newer one."""
-        kept = self.older.get(key)
-        if kept is not None:
-            self._keep(key, kept)
-        return kept
-
-    def _keep(self, key: str | tuple, kept: tuple[bytes, int]) -> None:
+        return out
+
+    def kept(self, word: str, number: int, first: list[int] | None = None) -> bytes | None:
+        """What is kept of a word for an occurrence's number, if so; ``first``: its first FIRST draws."""
+        key, k, at = word, 0, 0
+        get, again = self.cache.get, self.older.get
+        while True:
+            kept = get(key)
+            if kept is None:
+                kept = again(key)
+                if kept is None:
+                    return None
+                self._keep(key, kept)  # in the newer generation
+            # A kept word has fewer candidates than RUN, so a run of RUN is past its end.
+            at += (first[k] if first and k < FIRST else self.run(number, k)) if self.runs else RUN
+            if at >= kept[COUNT]:
+                return kept
+            key += chr(SKIP + at)
+            k, at = k + 1, at + 1
+
+    def encoded(self, word: str, number: int) -> bytes:
+        """A word's ids as bytes for an occurrence's number, kept for occurrences with the same skips."""
+        if len(word) > LONGEST:
+            return array("i", self.word(word, number)[0]).tobytes()
+        made = self.kept(word, number)
+        if made is None:
+            ids, skips, candidates = self.word(word, number)
+            made = array("i", [*ids, candidates]).tobytes()
+            self._keep(word + "".join(chr(SKIP + x) for x in skips), made)
+        return made[:COUNT]
+
+    def _keep(self, key: str, kept: bytes) -> None:
         if self.size >= self.cached // 2:
             self.older, self.cache, self.size = self.cache, {}, 0
         self.cache[key] = kept
-        self.size += 1 if isinstance(key, str) else 2
+        self.size += 2 if SKIP <= ord(key[-1]) < SKIP + RUN else 1
 
     def numbers(self, text: str, n: int) -> np.ndarray:
         """A number for each word's place, by the seed and the text's hash."""
         start = np.uint64(int.from_bytes(blake2b(text.encode(), digest_size=8, key=self.key).digest(), "little"))
         return _all_mixed(start + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(STEP))
 
-    def runs_of(self, numbers: np.ndarray) -> np.ndarray:
-        """``run`` of all first draws, a row for each number."""
-        draws = _all_mixed(numbers[:, None] + self.steps)
+    def runs_of(self, numbers: np.ndarray, k: int | np.ndarray) -> np.ndarray:
+        """``run`` of the k-th draw for each number."""
+        draws = _all_mixed(numbers + (np.atleast_1d(k).astype(np.uint64) + np.uint64(1)) * np.uint64(STEP))
         return RUN - np.searchsorted(self.limits, draws, side="right")
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, dtype="<i4")
-        found = self.words(" " + text)
-        made: list[bytes] = [b""] * len(found)
-        for lo in range(0, len(found), 1 << 16):
-            words = found[lo : lo + (1 << 16)]
-            if not self.runs:
-                made[lo : lo + len(words)] = [self.encoded(w, 0) for w in words]
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        found = [self.words(" " + t) if t else [] for t in texts]
+        words = [w for x in found for w in x]
+        ends = np.cumsum([len(x) for x in found])
+        numbers = np.zeros(len(words), dtype=np.uint64)
+        if self.runs:
+            for t, x, end in zip(texts, found, ends.tolist(), strict=True):
+                if x:
+                    numbers[end - len(x) : end] = self.numbers(t, len(x))
+        del found
+        made: list[bytes] = []
+        for lo in range(0, len(words), LOOKED):
+            made += self._looked_up(words[lo : lo + LOOKED], numbers[lo : lo + LOOKED])
+        sizes = np.zeros(len(made) + 1, dtype=np.int64)
+        np.cumsum(np.fromiter(map(len, made), dtype=np.int64, count=len(made)), out=sizes[1:])
+        ids = np.frombuffer(b"".join(made), dtype=np.int32)
+        without = np.ones(len(ids), dtype=bool)  # the numbers of candidates
+        without[sizes[1:] // 4 - 1] = False
+        ids, cut = ids[without], sizes[ends] // 4 - ends
+        return [ids[a:b] for a, b in zip([0, *cut.tolist()], cut.tolist())]
+
+    def _looked_up(self, words: list[str], numbers: np.ndarray) -> list[bytes]:
+        """What is kept of words: of those that are, then of all others together."""
+        runs = self.runs_of(numbers, 0) if self.runs else np.full(len(words), RUN)
+        made = [x if x is not None and r >= x[COUNT] else None for x, r in zip(map(self.cache.get, words), runs.tolist(), strict=True)]
+        other = [i for i, x in enumerate(made) if x is None]
+        if not other:
+            return made
+        first = [runs[other], *(self.runs_of(numbers[other], k) for k in range(1, FIRST))] if self.runs else []
+        draws = np.stack(first, axis=1).tolist() if first else [None] * len(other)
+        missing = []
+        for i, number, mine in zip(other, numbers[other].tolist(), draws, strict=True):
+            if len(words[i]) > LONGEST:
+                made[i] = self.encoded(words[i], number) + bytes(4)
                 continue
-            if not lo:
-                numbers = self.numbers(text, len(found))
-            mine = numbers[lo : lo + len(words)]
-            runs, get, other = self.runs_of(mine), self.cache.get, []
-            for i, (w, r) in enumerate(zip(words, runs[:, 0].tolist(), strict=True)):
-                kept = get(w)
-                if kept is not None and r >= kept[1]:
-                    made[lo + i] = kept[0]
-                else:
-                    other.append(i)
-            if other:
-                for i, number, first in zip(other, mine[other].tolist(), runs[other].tolist(), strict=True):
-                    made[lo + i] = self.encoded(words[i], number, first)
-        return np.frombuffer(b"".join(made), dtype=np.int32)
+            made[i] = self.kept(words[i], number, mine)
+            if made[i] is None:
+                missing.append(i)
+        if missing:
+            for i, (key, x) in zip(missing, self.together([words[i] for i in missing], numbers[missing]), strict=True):
+                made[i] = x
+                self._keep(key, x)
+        return made
 
     def decode(self, ids: np.ndarray) -> str:
         if not len(ids):
@@ -277,31 +436,32 @@ class Encoder:
         return b"".join(out)[1:].decode()  # without the space in front
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
+def _broadcast(spark: SparkSession, model: str, seed: int = 0, dropout: float = 0.0, cached: int = CACHED):
+    """The encoder: a worker has one while the broadcast lives, so its words outlive a task, but not the query's steps."""
+    return spark.sparkContext.broadcast(Encoder(Vocabulary(model), seed, dropout, cached))
 
 
-def _encoder(shared, seed: int, dropout: float, cached: int) -> Encoder:
-    """One encoder a worker and setting, so that its words outlive a task."""
-    key = (seed, dropout, cached, len(shared.value.pieces))
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(shared.value, seed, dropout, cached)
-    return _ENCODERS[key]
-
-
-def _broadcast(spark: SparkSession, model: str):
-    return spark.sparkContext.broadcast(Vocabulary(model))
+def _encoded(e: Encoder, texts: pa.Array) -> Iterator[np.ndarray | None]:
+    """The ids of each text; null: None.  So many texts at a time as have about CHARACTERS characters."""
+    lo = 0
+    sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False))
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + CHARACTERS, side="right")))
+        part = texts.slice(lo, hi - lo).to_pylist()
+        made = iter(e.encode_all([t for t in part if t is not None]))
+        yield from (None if t is None else next(made) for t in part)
+        lo = hi
 
 
 def encode(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT, text: str = "text", cached: int = CACHED) -> DataFrame:
     """``docs`` with ``piece_ids``."""
-    shared = _broadcast(docs.sparkSession, model)
+    shared = _broadcast(docs.sparkSession, model, seed, dropout, cached)
 
     def start():
-        e = _encoder(shared, seed, dropout, cached)
+        e = shared.value
 
         def step(texts: pa.Array):
-            ids = [None if t is None else e.encode(t) for t in texts.to_pylist()]
+            ids = list(_encoded(e, texts))
             ends = np.zeros(len(ids) + 1, dtype=np.int64)
             np.cumsum([0 if x is None else len(x) for x in ids], out=ends[1:])
             flat = np.concatenate([x for x in ids if x is not None] or [np.zeros(0, dtype="<i4")])
@@ -318,7 +478,7 @@ def decode(docs: DataFrame, model: str = MODEL, ids: str = "piece_ids", out: str
     shared = _broadcast(docs.sparkSession, model)
 
     def start():
-        e = Encoder(shared.value, 0, 0.0)
+        e = shared.value
 
         def step(lists: pa.Array):
             return [pa.array([None if not x.is_valid else e.decode(x.values.to_numpy()) for x in lists], type=pa.string())]
@@ -343,21 +503,20 @@ def report(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float =
     The ids go from the encoder to the decoder in the task, in place of a
     column about twice as large as the texts.
     """
-    shared = _broadcast(docs.sparkSession, model)
+    shared = _broadcast(docs.sparkSession, model, seed, dropout, cached)
 
     def start():
-        e = _encoder(shared, seed, dropout, cached)
+        e = shared.value
         is_byte = np.zeros(len(e.lengths), dtype=bool)
         is_byte[e.v.bytes] = True
 
         def step(texts: pa.Array):
             rows = []
-            for t in texts:
+            for t, ids in zip(texts, _encoded(e, texts), strict=True):
                 t = t.as_py()
                 if t is None:
                     rows.append((0, 0, None, None))
                     continue
-                ids = e.encode(t)
                 rows.append((len(ids), int(is_byte[ids].sum()), sha256(ids.astype("<i4").tobytes()).hexdigest(), e.decode(ids) == t))
             return [pa.array([r[i] for r in rows], type=k) for i, k in enumerate((pa.int64(), pa.int64(), pa.string(), pa.bool_()))]
 

@@ -94,3 +94,25 @@ def test_skip_rate_of_a_frequent_word(vocabulary):
         _, skips, candidates = e.word(" tokenization", int(x))
         skipped, asked = skipped + len(skips), asked + candidates
     assert abs(skipped / asked - 0.1) < 0.005
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 1.0, 1e-18])
+def test_words_not_kept_are_encoded_together(vocabulary, monkeypatch, dropout):
+    e, alone = sp.Encoder(vocabulary, 8, dropout), sp.Encoder(vocabulary, 8, dropout)
+    r = np.random.default_rng(4)
+    made = ["".join(r.choice(list("aeinrst xéß漢▁\n\U0001d11e"), r.integers(1, 60))) for _ in range(300)]
+    texts = [*TEXTS, *made, "", "tokenization of reasonable sentences varies " * 20]
+    found = [alone.words(" " + t) if t else [] for t in texts]
+    want = [[p for w, x in zip(f, alone.numbers(t, len(f))) for p in alone.word(w, int(x))[0]] for t, f in zip(texts, found)]
+    one = sp.Encoder.word
+    monkeypatch.setattr(sp.Encoder, "word", lambda self, w, x: one(self, w, x) if len(w) > sp.LONGEST else pytest.fail(f"{w!r} was encoded by itself"))
+    assert [x.tolist() for x in e.encode_all(texts)] == want == [e.encode(t).tolist() for t in texts]
+
+
+def test_an_encoder_ends_with_its_broadcast(vocabulary):
+    # No words of an earlier step stay in a worker: the encoder is the broadcast's value.
+    import pickle
+
+    e = pickle.loads(pickle.dumps(sp.Encoder(vocabulary, 8, 0.3)))
+    assert np.array_equal(e.encode(TEXTS[0]), sp.Encoder(vocabulary, 8, 0.3).encode(TEXTS[0]))
+    assert not hasattr(sp, "_ENCODERS")
