@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import ALNUM, LOWER, append, chunks, remainder, share, stored, utf8, word_hashes, words
+from skein.llm.common import ALNUM, LOWER, append, chunks, remainder, share, stored, trimmed, utf8, word_hashes, words
 
 PER_CLASS = 3000
 MAX_POSTINGS = 2_000_000
@@ -114,18 +114,20 @@ class Index:
         self.blocks = -(-n // BLOCK)
         place = np.empty(n, dtype=np.int64)
         place[self.example] = np.arange(n)
-        t = np.concatenate([t for t, _ in vectors]) if n else np.zeros(0, dtype=np.int64)
-        w = np.concatenate([w for _, w in vectors]) if n else np.zeros(0)
-        at = np.repeat(place, [len(t) for t, _ in vectors])
+        t = np.concatenate([t.astype(np.int32) for t, _ in vectors]) if n else np.zeros(0, dtype=np.int32)
+        at = np.repeat(place.astype(np.int32), [len(t) for t, _ in vectors])
         o = np.lexsort((at, t))
-        t, at, w = t[o], at[o], w[o]
+        t, at = t[o], at[o]
+        w = np.concatenate([w for _, w in vectors])[o] if n else np.zeros(0)
+        del o
         often = np.flatnonzero(np.bincount(t, minlength=v) > n / DENSE)
         self.row = np.full(v, -1, dtype=np.int64)
         self.row[often] = np.arange(len(often))
         self.dense = np.zeros((len(often), n))
         in_row = self.row[t] >= 0
         self.dense[self.row[t[in_row]], at[in_row]] = w[in_row]
-        t, self.posting, self.part = t[~in_row], at[~in_row].astype(np.int32), w[~in_row]
+        t, self.posting, self.part = t[~in_row], at[~in_row], w[~in_row]
+        del at, w, in_row
         # Runs: the postings of one term in one block.
         block = self.posting // BLOCK
         begin = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (block[1:] != block[:-1])])) if len(t) else np.zeros(0, dtype=np.int64)
@@ -223,6 +225,7 @@ class Model:
                 at = np.flatnonzero(mine & full)
                 near = other.index.nearest([other.index.vector(*texts[i]) for i in at], k)
                 raw[at] = [other.votes(x) for x in near]
+                del other, near
             self.curve = _logistic(raw[full].tolist(), labels[full], heavy[full])
         kept = np.flatnonzero(full)
         self.ids, self.labels = [ids[i] for i in kept], np.asarray(labels, dtype=np.int64)[kept]
@@ -291,8 +294,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_post
     if not table.num_rows:
         return nothing
     y = np.array(table["y"].to_pylist(), dtype=np.int64)
-    words_ = [(np.array(t, dtype=np.int64), np.array(c, dtype=np.int64)) for t, c in zip(_arrays(table["terms"]), _arrays(table["counts"]), strict=True)]
-    return Model(table["i"].to_pylist(), y, words_, {x: total[x] / int((y == x).sum()) for x in set(y.tolist())}, k)
+    # Parts of the table's own arrays, not copies of them.
+    words_ = list(zip(_arrays(table["terms"]), _arrays(table["counts"]), strict=True))
+    model = Model(table["i"].to_pylist(), y, words_, {x: total[x] / int((y == x).sum()) for x in set(y.tolist())}, k)
+    del table, words_
+    trimmed()
+    return model
 
 
 def _arrays(column: pa.ChunkedArray):
@@ -327,6 +334,7 @@ def _scored(model: Model):
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with score, and as evidence the ids of the nearest examples and their similarities."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    trimmed()
     return append(docs, [text], lambda: _scored(shared.value), FIELDS, keep=keep)
 
 

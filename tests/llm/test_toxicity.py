@@ -101,3 +101,19 @@ def test_empty_text_gets_the_share_of_texts_without_terms(spark):
     model = toxicity.fit(docs, labels)
     got = {r.text: r.score for r in toxicity.score(docs, model).collect()}
     assert got[""] < 0.2 and got["awful"] > 0.8
+
+
+def test_the_driver_keeps_no_memory_of_the_fit(spark):
+    def resident():
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(int(line.split()[1]) for line in f if line.startswith(("Pss_Anon:", "Pss_Shmem:"))) / 1024
+
+    words = F.transform(F.sequence(F.lit(1), F.lit(400)), lambda x: F.concat(F.lit("w"), F.pmod(F.xxhash64("doc_id", x), F.lit(60000))))
+    docs = spark.range(3000).select(F.col("id").alias("doc_id")).withColumn("text", F.concat_ws(" ", words))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
+    toxicity.fit(docs.limit(20), labels)
+    before = resident()
+    model = toxicity.fit(docs, labels)
+    own = sum(x.nbytes for x in vars(model.index).values() if isinstance(x, np.ndarray)) / (1 << 20)
+    assert len(model.ids) > 2500 and own > 10
+    assert resident() - before < own + 40
