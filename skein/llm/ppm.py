@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import LOWER, SPACED, chunks, discarded, released, ship, stored, utf8, word_hashes, words
+from skein.llm.common import LOWER, SPACED, chunks, discarded, released, ship, stored, trimmed, utf8, word_hashes, words
 
 ORDER = 5
 START, END = 0xFE, 0xFF
@@ -50,6 +51,11 @@ ALONE = 4 << 20
 HELD = 3 << 20
 #: Answers in a packed row, and answers that a packing task holds.
 PACKED, PACKING = 1 << 16, 1 << 21
+#: Parts of the strings that are answered one after the other.
+TURNS = 2
+
+#: Parquet's second version writes rising numbers as packed differences, in fewer bytes.
+PACKED_NUMBERS = {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary": "false"}
 
 #: Words have negative keys, byte strings others; this one is a text's end as a token.
 TOP = np.uint64(1 << 63)
@@ -142,6 +148,7 @@ def _count(order: int):
                         size = 0
         for b in list(held):
             yield from out(b)
+        trimmed(collect=False)
 
     return run
 
@@ -224,6 +231,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = 0
     if size:
         yield from out()
+    trimmed(collect=False)
 
 
 def _unpacked(answers: pa.Table, words_: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -236,6 +244,7 @@ def _unpacked(answers: pa.Table, words_: bool) -> tuple[np.ndarray, np.ndarray]:
 
 def _score(smooth: float, names: list[str], order: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        trimmed(collect=False)  # of the block before
         costs, (asked, values) = Table(*_unpacked(answers, False)), _unpacked(answers, True)
         # A word without an answer occurs in this block alone: its own count is the whole one.
         known = []
@@ -302,6 +311,7 @@ def _price(order: int, low: dict[int, dict[int, int]]):
                 codes += [row["context"] << 8 | s for s in row["wanted"]]
                 prices += costs_of(row["wanted"], levels)
             yield pa.RecordBatch.from_arrays([pa.array(codes, type=pa.int64()), pa.array(prices, type=pa.float64())], names=["key", "value"])
+        trimmed(collect=False)
 
     return run
 
@@ -332,7 +342,10 @@ def string_costs(asked: DataFrame, order: int = ORDER) -> DataFrame:
                 low.setdefault(r.context, {})[r.s] = r.n
     ship(spark)
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("value", T.DoubleType())])
-    return rows.mapInArrow(_price(order, low), schema)
+    costs = stored(rows.mapInArrow(_price(order, low), schema), "costs")
+    for finished in (rows, total):
+        discarded(finished)
+    return costs
 
 
 def blocks_of(docs: DataFrame, place: Column | None, block_bytes: int) -> DataFrame:
@@ -358,10 +371,9 @@ def score(docs: DataFrame, train: Column, place: Column | None = None, smooth: f
     rows = rows.select("block", "doc_id", "text", "train")
     ship(spark)
     asked = rows.select("block", "text", "train").mapInArrow(_count(order), "block long, key long, train long")
-    asked = stored(asked, "asked")
+    asked = stored(asked, "asked", **PACKED_NUMBERS)
     of_words = asked.where("key < 0")
     costs = string_costs(asked.where("key >= 0").select("key", "train"), order)
-    said = asked.where("key >= 0").select("block", "key").join(costs, "key").select("block", "key", "value")
     # Words of several blocks are answered; of the others one row each is kept for the number of words.
     w = Window.partitionBy("key")
     summed = of_words.select(
@@ -375,9 +387,18 @@ def score(docs: DataFrame, train: Column, place: Column | None = None, smooth: f
     released(spark)
     n = int(of_words.agg(F.coalesce(F.sum("train"), F.lit(0)).alias("n")).first().n)
     v = summed.where("first").count()
-    answers = said.unionByName(summed.where("key is not null").select("block", "key", "value"))
-    answers = stored(answers.mapInArrow(_pack, ANSWERS), "answers")
-    for finished in (asked, summed):
+    # The largest shuffle, in turns: that of one is on disk at a time.
+    turns = []
+    for i in range(TURNS):
+        mine = F.pmod("key", F.lit(TURNS)) == i
+        said = asked.where("key >= 0").where(mine).select("block", "key").join(costs.where(mine), "key").select("block", "key", "value")
+        if i == 0:
+            said = said.unionByName(summed.where("key is not null").select("block", "key", "value"))
+        turns.append(stored(said.mapInArrow(_pack, ANSWERS), "answers"))
+        del said
+        released(spark)
+    answers = reduce(DataFrame.unionByName, turns)
+    for finished in (asked, summed, costs):
         discarded(finished)
     released(spark)
     names = ["doc_id", "train"]

@@ -1,4 +1,6 @@
+import itertools
 import math
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -9,7 +11,7 @@ import pytest
 from llm_rows import SF001, none, odd  # noqa: F401
 from pyspark.sql import functions as F
 
-from skein.llm import ppm
+from skein.llm import common, ppm
 from skein.llm.common import remainder
 
 
@@ -135,3 +137,19 @@ def test_sums_of_sorted_runs():
     assert u.tolist() == sorted(set(keys.tolist()))
     assert n.tolist() == [sum(c for c, k in enumerate(keys.tolist()) if k == x) for x in u.tolist()]
     assert [len(x) for x in ppm._sum(keys[:0], keys[:0])] == [0, 0]
+
+
+def test_finished_tables_go(spark, odd, workdir, monkeypatch):
+    monkeypatch.setattr(common, "fresh_path", lambda s, *name: os.path.join(workdir, *name))
+    numbers = itertools.count()
+    monkeypatch.setattr(ppm, "stored", lambda df, *name, **options: common.stored(df, f"{name[0]}-{next(numbers)}", **options))
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    whole = ppm.score(docs, remainder(F.col("doc_id"), 10) != 0, block_bytes=1 << 16)
+    keys = docs.count()
+    assert {n.split("-")[0] for n in os.listdir(os.path.join(workdir, "llm"))} == {"answers"}
+    assert whole.count() == keys
+    # Rising keys lie as packed differences.
+    rows = docs.select(F.lit(1).cast("long").alias("block"), "text", F.lit(True).alias("train")).coalesce(1).mapInArrow(ppm._count(ppm.ORDER), "block long, key long, train long")
+    packed = common.stored(rows, "packed", **ppm.PACKED_NUMBERS)
+    size = sum(os.path.getsize(os.path.join(packed._stored_at, f)) for f in os.listdir(packed._stored_at) if f.endswith(".parquet"))
+    assert size < 7 * packed.count()
