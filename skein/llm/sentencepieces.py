@@ -16,8 +16,10 @@ other characters; so a text falls into words that are encoded alone.  The
 skips are keyed by the seed, the text's hash and the word's place, so every
 occurrence of a word draws anew.  How many candidates lie before the next skip
 is drawn at once (a geometric number); a word's segmentation depends on its
-skipped candidates alone, and is kept by the word and these.  Words that are
-not kept are encoded together, one candidate of each at a time.
+skipped candidates alone, and is kept in a tree by the word and these.  All words
+of some texts go down the trees together, a skip of each at a time, as array
+operations; those that are not kept are encoded together, one candidate of each
+at a time.
 
 Defined results: a null text has null ids, which decode to null; an empty one
 has no ids, which decode to the empty text; repeated rows are encoded alike;
@@ -39,27 +41,27 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from skein.llm.common import append
+from skein.llm.common import append, chunks, utf8
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 DROPOUT = 0.1
-#: Places for words kept encoded in a worker (about 150 bytes each, in two generations; a word with skips takes two), and the longest one.
+#: Segmentations kept in a worker (about 100 bytes each), the longest word of them and the most skips in one.
 CACHED = 1_600_000
-LONGEST = 48
+LONGEST, DEEP = 48, 3
 
 #: In place of an id: no piece (or no merge), and merged into the piece before.
 NONE, GONE = -1, -2
-#: A skipped candidate in a kept word's key; the (low) byte of a kept word's number of candidates.
-SKIP, COUNT = 0xD800, -4
 #: A table's slot without a pair (ids are not below 0, so no pair has this key).
 FREE = -(1 << 62)
 #: Splitmix64's step and multipliers; the longest run without a skip that one draw gives (a longer one
-#: goes on with the next draw), more than a kept word has candidates; and a text's first draws for each word.
+#: goes on with the next draw), more than a kept word has candidates.
 STEP, MULTIPLY, ALL = 0x9E3779B97F4A7C15, (0xBF58476D1CE4E5B9, 0x94D049BB133111EB), (1 << 64) - 1
-RUN, FIRST = 256, 4
-#: Words encoded together; words looked up, and characters of the texts taken, at a time.
-TOGETHER, LOOKED, CHARACTERS = 1 << 14, 1 << 16, 1 << 20
+RUN = 256
+#: A skip past the end of every word of LONGEST characters.
+NEVER = 3 * LONGEST
+#: Words encoded together, and words looked up at a time.
+TOGETHER, LOOKED = 1 << 14, 1 << 18
 #: The place in a word below its rank (LONGEST at most), and in place of both: no pair.
 PLACE, LAST = 6, np.iinfo(np.int32).max
 
@@ -67,6 +69,10 @@ PLACE, LAST = 6, np.iinfo(np.int32).max
 LATIN = "0-9A-Za-zÀ-ÖØ-öø-ɏ"
 JOINED = r" *[^ \n]+| +|\n+"
 APART = rf" *[{LATIN}]+| *[^ \n{LATIN}]+| +|\n+"
+#: Kinds of characters: a space, a line end, Latin and other ones; and by two neighbours' kinds whether a word
+#: begins between them (spaces belong to the word after them).
+BLANK, LINE, LETTER, OTHER = range(4)
+EDGE = np.array([a != b and not (a == BLANK and b >= LETTER) for a in range(4) for b in range(4)])
 
 
 class Vocabulary:
@@ -112,6 +118,22 @@ class Vocabulary:
         latin = re.compile(f"[{LATIN}]").match
         mixed = any(bool(latin(a)) != bool(latin(b)) for p in self.pieces for a, b in zip(p.lstrip(MARK), p.lstrip(MARK)[1:], strict=False))
         self.words = JOINED if mixed else APART
+        # The kinds of bytes (those beyond ASCII as parts of other characters), and which characters of two bytes are Latin.
+        self.kinds = np.full(256, OTHER, dtype=np.uint8)
+        self.kinds[[0x20, 0x0A]] = BLANK, LINE
+        self.latin = np.array([not mixed and bool(latin(chr(c))) for c in range(0x800)])
+        self.kinds[:0x80][self.latin[:0x80]] = LETTER
+
+    def begins(self, data: np.ndarray) -> np.ndarray:
+        """Which bytes begin a word (of one text)."""
+        kinds = self.kinds[data]
+        two = np.flatnonzero((data >= 0xC2) & (data < 0xE0))
+        if len(two):
+            two = two[self.latin[(data[two] & 0x1F).astype(np.int64) << 6 | data[two + 1] & 0x3F]]
+            kinds[two] = kinds[two + 1] = LETTER
+        out = np.ones(len(data), dtype=bool)
+        out[1:] = EDGE[kinds[:-1] << 2 | kinds[1:]]
+        return out
 
     def made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """What each two neighbours' ids would make: its rank and id; below 0 none."""
@@ -163,9 +185,97 @@ def _mixed(x: int) -> int:
 
 
 def _all_mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ x >> np.uint64(30)) * np.uint64(MULTIPLY[0])
-    x = (x ^ x >> np.uint64(27)) * np.uint64(MULTIPLY[1])
-    return x ^ x >> np.uint64(31)
+    """The same for many; in place."""
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(MULTIPLY[0])
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(MULTIPLY[1])
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of ranges, one range after the other."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    out = np.repeat(starts - ends + sizes, sizes)
+    out += np.arange(len(out))
+    return out
+
+
+class Rows:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.all, self.n = np.zeros(1 << 10, dtype=kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        n = self.n + len(more)
+        if n > len(self.all):
+            grown = np.zeros(max(n, len(self.all) * 3 // 2), dtype=self.all.dtype)
+            grown[: self.n] = self.all[: self.n]
+            self.all = grown
+        self.all[self.n : n] = more
+        self.n = n
+
+
+class Kept:
+    """Segmentations: a tree for each word, from the one without skips; a child has one skip more, after its parent's.
+
+    A node has its ids, its number of candidates and, for each candidate, a
+    slot for the child that skips it.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.roots: dict[bytes, int] = {}
+        self.ids, self.children = Rows(np.int32), Rows(np.int32)
+        self.start, self.size, self.candidates = Rows(np.int64), Rows(np.int32), Rows(np.int16)
+        self.first, self.slots = Rows(np.int64), Rows(np.int16)
+        # Asked for since it was made, or since the last time that room was made.
+        self.used = Rows(np.bool_)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray, candidates: np.ndarray, leaf: bool = False) -> np.ndarray:
+        """New nodes; a leaf has no slots."""
+        n, slots = self.start.n, np.zeros(len(sizes), dtype=np.int64) if leaf else candidates.astype(np.int64)
+        self.start.add(self.ids.n + np.cumsum(sizes) - sizes)
+        self.first.add(self.children.n + np.cumsum(slots) - slots)
+        self.ids.add(ids)
+        self.children.add(np.full(slots.sum(), NONE, dtype=np.int32))
+        for rows, more in ((self.size, sizes), (self.candidates, candidates), (self.slots, slots), (self.used, np.zeros(len(sizes), dtype=bool))):
+            rows.add(more)
+        return np.arange(n, self.start.n)
+
+    def cut(self, n: int) -> None:
+        """Forget all but the first n nodes; none of those has the others as children."""
+        if n < self.start.n:
+            self.ids.n, self.children.n = int(self.start.all[n]), int(self.first.all[n])
+            for rows in (self.start, self.size, self.candidates, self.first, self.slots, self.used):
+                rows.n = n
+
+    def room(self) -> None:
+        """At the limit, keep only what was asked for again (with a node its parents were, too), if that is not most of all."""
+        if self.start.n < self.limit:
+            return
+        kept = np.flatnonzero(self.used.all[: self.used.n])
+        if len(kept) > self.limit * 3 // 4:
+            kept = kept[:0]
+        new = np.full(self.start.n + 1, NONE, dtype=np.int32)  # the last entry: no child
+        new[kept] = np.arange(len(kept))
+        size, candidates, slots = self.size.all[kept], self.candidates.all[kept], self.slots.all[kept]
+        ids = self.ids.all[_ranges(self.start.all[kept], size)]
+        children = new[self.children.all[_ranges(self.first.all[kept], slots)]]
+        roots = self.roots
+        self.clear()
+        self.ids.add(ids)
+        self.children.add(children)
+        self.start.add(np.cumsum(size, dtype=np.int64) - size)
+        self.first.add(np.cumsum(slots, dtype=np.int64) - slots)
+        for rows, more in ((self.size, size), (self.candidates, candidates), (self.slots, slots), (self.used, np.zeros(len(kept), dtype=bool))):
+            rows.add(more)
+        self.roots = {w: i for w, i in zip(roots, new[np.fromiter(roots.values(), dtype=np.int64, count=len(roots))].tolist(), strict=True) if i >= 0}
 
 
 class Encoder:
@@ -173,16 +283,13 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, seed: int = 0, dropout: float = DROPOUT, cached: int = CACHED):
         self.v, self.seed, self.dropout = vocabulary, seed, dropout
-        self.cached = cached
         self.key = seed.to_bytes(8, "little", signed=True)
         # A draw under the k-th greatest of these has no skip in its first k candidates.
         self.runs = [min(ALL, int((1 - dropout) ** k * (1 << 64))) for k in range(RUN, 0, -1)] if dropout else []
         self.limits = np.array(self.runs, dtype=np.uint64)
-        # A word, or it and its skips as lone surrogates (which no text has): the ids, then the number of
-        # candidates, as 32 bits each.  Strings and bytes alone: nothing that the garbage collector looks through.
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.size = 0
+        # By a word's number of candidates: a first draw under it has no skip.
+        self.under = np.array([ALL, *self.runs[::-1]], dtype=np.uint64)
+        self.kept = Kept(cached)
         self.words = re.compile(vocabulary.words).findall
         content = [np.frombuffer(c, dtype=np.uint8) for c in vocabulary.content]
         self.lengths = np.array([len(c) for c in content], dtype=np.int64)
@@ -250,21 +357,18 @@ class Encoder:
             return [p for p in ids if p >= 0], tuple(skips), turn
         return self._bytes(word, ids), tuple(skips), turn
 
-    def together(self, words: list[str], numbers: np.ndarray) -> list[tuple[str, bytes]]:
-        """What is to be kept, and as what, of many words of LONGEST characters at most; numbers: one for each."""
-        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    def together(self, words: pa.Array, skips: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Many words of LONGEST characters at most with the skipped candidates of each (a row of rising numbers, NEVER
+        in the last column): all ids, how many each has, the numbers of candidates, and the words' order in these."""
+        sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         order = np.argsort(sizes, kind="stable")
-        out = [("", b"")] * len(words)
-        for lo in range(0, len(words), TOGETHER):
-            part = order[lo : lo + TOGETHER]
-            at = part.tolist()
-            for i, made in zip(at, self._together([words[i] for i in at], numbers[part], sizes[part]), strict=True):
-                out[i] = made
-        return out
+        parts = [order[lo : lo + TOGETHER] for lo in range(0, len(order), TOGETHER)]
+        made = [self._together(words.take(pa.array(part)), skips[part], sizes[part]) for part in parts]
+        return *(np.concatenate(x) for x in zip(*made, strict=True)), order
 
-    def _together(self, words: list[str], numbers: np.ndarray, n: np.ndarray) -> list[tuple[str, bytes]]:
+    def _together(self, words: pa.Array, skips: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         count, width = len(words), int(n.max())
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
+        codes = np.frombuffer(utf8(words)[0].tobytes().decode().encode("utf-32-le"), dtype=np.uint32)
         flat = self.v.of_code[np.minimum(codes, len(self.v.of_code) - 1)]
         of = np.repeat(np.arange(count), n)
         place = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
@@ -284,9 +388,8 @@ class Encoder:
 
         inner = np.flatnonzero(of[1:] == of[:-1])
         begin(own[inner], self.v.made(flat[inner], flat[inner + 1]))
-        stop = self.runs_of(numbers, 0) if self.runs else np.full(count, 3 * LONGEST)
-        draw, candidates, turn = np.ones(count, dtype=np.int64), np.zeros(count, dtype=np.int64), 0
-        names = list(words)
+        stop = skips[:, 0].copy()
+        nth, candidates, turn = np.zeros(count, dtype=np.int64), np.zeros(count, dtype=np.int16), 0
         while True:
             top = best.reshape(rows, count).min(axis=0)
             c = np.flatnonzero(top < LAST)
@@ -298,12 +401,9 @@ class Encoder:
             skipped = turn > stop[c]
             if skipped.any():
                 c = c[skipped]
-                for k, x in zip(c.tolist(), stop[c].tolist(), strict=True):
-                    names[k] += chr(SKIP + x)
                 best[at[skipped]] = LAST
-                # One draw is enough: a run of RUN is past the word's end.
-                stop[c] = turn + self.runs_of(numbers[c], draw[c])
-                draw[c] += 1
+                nth[c] += 1
+                stop[c] = skips[c, nth[c]]
                 at = at[~skipped]
             x, j, h = makes[at], after[at], before[at]
             k = after[j]
@@ -312,14 +412,13 @@ class Encoder:
             pair = self.v.made(np.concatenate([x, ids[h]]), np.concatenate([ids[k], x]))
             begin(at, pair[: len(at)])
             begin(h, pair[len(at) :])
-        table = np.concatenate([ids.reshape(rows, count)[1:-1], candidates[None, :].astype(np.int32)]).T
-        kept = table >= 0
-        raw = table[kept].tobytes()
-        ends = (4 * np.cumsum(kept.sum(axis=1))).tolist()
-        out = [(name, raw[a:b]) for name, a, b in zip(names, [0, *ends], ends)]
-        for k in np.flatnonzero((table == NONE).any(axis=1)).tolist():
-            out[k] = (names[k], array("i", [*self._bytes(words[k], table[k, : n[k]].tolist()), candidates[k]]).tobytes())
-        return out
+        table = ids.reshape(rows, count)[1:-1].T
+        if (flat == NONE).any() and len(odd := np.flatnonzero((table == NONE).any(axis=1))):
+            spelt = {k: self._bytes(words[k].as_py(), table[k, : n[k]].tolist()) for k in odd.tolist()}
+            made = [spelt[k] if k in spelt else row[row >= 0] for k, row in enumerate(table)]
+            return np.concatenate(made).astype(np.int32), np.array([len(x) for x in made]), candidates
+        there = table >= 0
+        return table[there], there.sum(axis=1), candidates
 
     def _bytes(self, word: str, ids: list[int]) -> list[int]:
         """The ids, characters without a piece as their bytes' pieces."""
@@ -331,49 +430,28 @@ class Encoder:
                 out += [self.v.bytes[b] for b in word[i].encode()]
         return out
 
-    def kept(self, word: str, number: int, first: list[int] | None = None) -> bytes | None:
-        """What is kept of a word for an occurrence's number, if so; ``first``: its first FIRST draws."""
-        key, k, at = word, 0, 0
-        get, again = self.cache.get, self.older.get
-        while True:
-            kept = get(key)
-            if kept is None:
-                kept = again(key)
-                if kept is None:
-                    return None
-                self._keep(key, kept)  # in the newer generation
-            # A kept word has fewer candidates than RUN, so a run of RUN is past its end.
-            at += (first[k] if first and k < FIRST else self.run(number, k)) if self.runs else RUN
-            if at >= kept[COUNT]:
-                return kept
-            key += chr(SKIP + at)
-            k, at = k + 1, at + 1
-
     def encoded(self, word: str, number: int) -> bytes:
-        """A word's ids as bytes for an occurrence's number, kept for occurrences with the same skips."""
-        if len(word) > LONGEST:
-            return array("i", self.word(word, number)[0]).tobytes()
-        made = self.kept(word, number)
-        if made is None:
-            ids, skips, candidates = self.word(word, number)
-            made = array("i", [*ids, candidates]).tobytes()
-            self._keep(word + "".join(chr(SKIP + x) for x in skips), made)
-        return made[:COUNT]
-
-    def _keep(self, key: str, kept: bytes) -> None:
-        if self.size >= self.cached // 2:
-            self.older, self.cache, self.size = self.cache, {}, 0
-        self.cache[key] = kept
-        self.size += 2 if SKIP <= ord(key[-1]) < SKIP + RUN else 1
+        """A word's ids as bytes for an occurrence's number."""
+        return array("i", self.word(word, number)[0]).tobytes()
 
     def numbers(self, text: str, n: int) -> np.ndarray:
         """A number for each word's place, by the seed and the text's hash."""
-        start = np.uint64(int.from_bytes(blake2b(text.encode(), digest_size=8, key=self.key).digest(), "little"))
-        return _all_mixed(start + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(STEP))
-
-    def runs_of(self, numbers: np.ndarray, k: int | np.ndarray) -> np.ndarray:
-        """``run`` of the k-th draw for each number."""
-        draws = _all_mixed(numbers + (np.atleast_1d(k).astype(np.uint64) + np.uint64(1)) * np.uint64(STEP))
+        return self._numbers([text.encode()], np.array([n]))
+
+    def _numbers(self, texts: list, n: np.ndarray) -> np.ndarray:
+        """The same for the n words of each text's bytes, one text after the other."""
+        starts = [int.from_bytes(blake2b(t, digest_size=8, key=self.key).digest(), "little") for t in texts]
+        out = np.arange(1, n.sum() + 1, dtype=np.uint64) - np.repeat(np.cumsum(n) - n, n).astype(np.uint64)
+        out *= np.uint64(STEP)
+        out += np.repeat(np.array(starts, dtype=np.uint64), n)
+        return _all_mixed(out)
+
+    def draws(self, numbers: np.ndarray, k: int) -> np.ndarray:
+        """The k-th draw for each number."""
+        return _all_mixed(numbers + np.uint64((k + 1) * STEP & ALL))
+
+    def runs_of(self, draws: np.ndarray) -> np.ndarray:
+        """How many candidates lie before the skip, for each draw; RUN: no skip yet."""
         return RUN - np.searchsorted(self.limits, draws, side="right")
 
     def encode(self, text: str) -> np.ndarray:
@@ -381,59 +459,106 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        found = [self.words(" " + t) if t else [] for t in texts]
-        words = [w for x in found for w in x]
-        ends = np.cumsum([len(x) for x in found])
-        numbers = np.zeros(len(words), dtype=np.uint64)
+        ids, cut = self.encode_bytes(*utf8(pa.array(texts, type=pa.large_string())))
+        return [ids[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+
+    def encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts, given as all their bytes and where each begins (and the last ends), and where each
+        text's ids begin (and the last's end)."""
+        some = np.flatnonzero(offsets[1:] > offsets[:-1])
+        if not len(some):
+            return np.zeros(0, dtype=np.int32), np.zeros(len(offsets), dtype=np.int64)
+        spaced, ends = np.insert(data, offsets[some], 0x20), offsets[1:][some] + np.arange(1, len(some) + 1)
+        begins = self.v.begins(spaced)
+        begins[ends[:-1]] = True
+        starts = np.append(np.flatnonzero(begins), len(spaced))
+        del begins
+        last = np.searchsorted(starts, ends)  # the number of words up to each text's end
+        n = np.diff(last, prepend=0)
+        numbers = self._numbers([data[offsets[i] : offsets[i + 1]] for i in some.tolist()], n) if self.runs else np.zeros(last[-1], dtype=np.uint64)
+        made, sizes = [], [np.zeros(1, dtype=np.int64)]
+        for lo in range(0, len(numbers), LOOKED):
+            at = starts[lo : lo + LOOKED + 1]
+            ids, size = self._looked_up(spaced[at[0] : at[-1]], at - at[0], numbers[lo : lo + LOOKED])
+            made.append(ids)
+            sizes.append(size)
+        cut = np.zeros(len(offsets), dtype=np.int64)
+        cut[some + 1] = np.diff(np.cumsum(np.concatenate(sizes))[last], prepend=0)
+        return np.concatenate(made), np.cumsum(cut)
+
+    def _looked_up(self, data: np.ndarray, offsets: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that lie one after the other, and how many each has."""
+        kept, n = self.kept, len(numbers)
+        kept.room()
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        # Each occurrence's word, and the distinct words.
+        of, words = words.indices.to_numpy(), words.dictionary
+        keys, words = words.to_pylist(), words.cast(pa.large_string())
+        root = np.fromiter((kept.roots.get(w, NONE) for w in keys), dtype=np.int64, count=len(keys))
+        kept.used.all[root[root >= 0]] = True
+        long = pc.utf8_length(words).to_numpy(zero_copy_only=False) > LONGEST
+        new = np.flatnonzero((root < 0) & ~long)
+        if len(new):
+            root[new] = self._new(words, new, np.full((len(new), 1), NEVER))
+            kept.roots.update(zip([keys[i] for i in new.tolist()], root[new].tolist(), strict=True))
+        node = root[of]
+        todo = np.flatnonzero(node >= 0) if long.any() else np.arange(n)
         if self.runs:
-            for t, x, end in zip(texts, found, ends.tolist(), strict=True):
-                if x:
-                    numbers[end - len(x) : end] = self.numbers(t, len(x))
-        del found
-        made: list[bytes] = []
-        for lo in range(0, len(words), LOOKED):
-            made += self._looked_up(words[lo : lo + LOOKED], numbers[lo : lo + LOOKED])
-        sizes = np.zeros(len(made) + 1, dtype=np.int64)
-        np.cumsum(np.fromiter(map(len, made), dtype=np.int64, count=len(made)), out=sizes[1:])
-        ids = np.frombuffer(b"".join(made), dtype=np.int32)
-        without = np.ones(len(ids), dtype=bool)  # the numbers of candidates
-        without[sizes[1:] // 4 - 1] = False
-        ids, cut = ids[without], sizes[ends] // 4 - ends
-        return [ids[a:b] for a, b in zip([0, *cut.tolist()], cut.tolist())]
-
-    def _looked_up(self, words: list[str], numbers: np.ndarray) -> list[bytes]:
-        """What is kept of words: of those that are, then of all others together."""
-        runs = self.runs_of(numbers, 0) if self.runs else np.full(len(words), RUN)
-        made = [x if x is not None and r >= x[COUNT] else None for x, r in zip(map(self.cache.get, words), runs.tolist(), strict=True)]
-        other = [i for i, x in enumerate(made) if x is None]
-        if not other:
-            return made
-        first = [runs[other], *(self.runs_of(numbers[other], k) for k in range(1, FIRST))] if self.runs else []
-        draws = np.stack(first, axis=1).tolist() if first else [None] * len(other)
-        missing = []
-        for i, number, mine in zip(other, numbers[other].tolist(), draws, strict=True):
-            if len(words[i]) > LONGEST:
-                made[i] = self.encoded(words[i], number) + bytes(4)
-                continue
-            made[i] = self.kept(words[i], number, mine)
-            if made[i] is None:
-                missing.append(i)
-        if missing:
-            for i, (key, x) in zip(missing, self.together([words[i] for i in missing], numbers[missing]), strict=True):
-                made[i] = x
-                self._keep(key, x)
-        return made
+            first = self.draws(numbers[todo], 0)
+            may = np.flatnonzero(first >= self.under[kept.candidates.all[node[todo]]])
+            todo, at = todo[may], self.runs_of(first[may])
+            skips = np.full((len(todo), DEEP + 1), NEVER)
+            for depth in range(1, DEEP + 2):
+                on = np.flatnonzero(at < kept.candidates.all[node[todo]])
+                todo, at, skips = todo[on], at[on], skips[on]
+                if not len(todo) or depth > DEEP:
+                    break
+                skips[:, depth - 1] = at
+                slot = kept.first.all[node[todo]] + at
+                child = kept.children.all[slot]
+                kept.used.all[child[child >= 0]] = True
+                if len(none := np.flatnonzero(child < 0)):
+                    slots, one, same = np.unique(slot[none], return_index=True, return_inverse=True)
+                    one = none[one]
+                    made = self._new(words, of[todo[one]], skips[one], leaf=depth == DEEP)
+                    kept.children.all[slots] = made
+                    child[none] = made[same]
+                node[todo] = child
+                at = at + 1 + self.runs_of(self.draws(numbers[todo], depth))
+        # Those with more skips, and long words, are kept for this time only.
+        here = kept.start.n
+        for lo in range(0, len(todo) if self.runs else 0, TOGETHER):
+            part = slice(lo, lo + TOGETHER)
+            columns = [*skips[part, :DEEP].T, at[part]]
+            while (columns[-1] < NEVER).any():
+                columns.append(np.minimum(columns[-1] + 1 + self.runs_of(self.draws(numbers[todo[part]], len(columns))), NEVER))
+            node[todo[part]] = self._new(words, of[todo[part]], np.stack(columns, axis=1), leaf=True)
+        if long.any():
+            for i in np.flatnonzero(long[of]).tolist():
+                ids = np.frombuffer(self.encoded(keys[of[i]].decode(), int(numbers[i])), dtype=np.int32)
+                node[i] = kept.add(ids, np.array([len(ids)]), np.zeros(1, dtype=np.int16), leaf=True)[0]
+        sizes = kept.size.all[node].astype(np.int64)
+        ids = kept.ids.all[_ranges(kept.start.all[node], sizes)]
+        kept.cut(here)
+        return ids, sizes
+
+    def _new(self, words: pa.Array, at: np.ndarray, skips: np.ndarray, leaf: bool = False) -> np.ndarray:
+        """Nodes for some of the words, with the skips of each."""
+        *made, order = self.together(words.take(pa.array(at)), skips)
+        out = np.empty(len(at), dtype=np.int64)
+        out[order] = self.kept.add(*made, leaf=leaf)
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
-        if not len(ids):
-            return ""
-        out = []
-        for lo in range(0, len(ids), 1 << 18):
-            part = ids[lo : lo + (1 << 18)]
-            n, s = self.lengths[part], self.starts[part]
-            ends = np.cumsum(n)
-            out.append(self.flat[np.repeat(s - ends + n, n) + np.arange(ends[-1])].tobytes())
-        return b"".join(out)[1:].decode()  # without the space in front
+        return self.decode_bytes(ids)[1:].tobytes().decode()  # without the space in front
+
+    def decode_bytes(self, ids: np.ndarray) -> np.ndarray:
+        """What ids of one or more texts stand for, with the space in front of each."""
+        out = [np.zeros(0, dtype=np.uint8)]
+        for lo in range(0, len(ids), 1 << 16):
+            part = ids[lo : lo + (1 << 16)]
+            out.append(self.flat[_ranges(self.starts[part], self.lengths[part])])
+        return np.concatenate(out)
 
 
 def _broadcast(spark: SparkSession, model: str, seed: int = 0, dropout: float = 0.0, cached: int = CACHED):
@@ -441,16 +566,13 @@ def _broadcast(spark: SparkSession, model: str, seed: int = 0, dropout: float =
     return spark.sparkContext.broadcast(Encoder(Vocabulary(model), seed, dropout, cached))
 
 
-def _encoded(e: Encoder, texts: pa.Array) -> Iterator[np.ndarray | None]:
-    """The ids of each text; null: None.  So many texts at a time as have about CHARACTERS characters."""
-    lo = 0
-    sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False))
-    while lo < len(texts):
-        hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + CHARACTERS, side="right")))
-        part = texts.slice(lo, hi - lo).to_pylist()
-        made = iter(e.encode_all([t for t in part if t is not None]))
-        yield from (None if t is None else next(made) for t in part)
-        lo = hi
+def _encoded(e: Encoder, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Some texts at a time: their bytes and where each begins (and the last ends), and the same of their ids."""
+    data, offsets = utf8(texts)
+    for lo, hi in chunks(offsets):
+        at = offsets[lo : hi + 1]
+        part = data[at[0] : at[-1]]
+        yield part, at - at[0], *e.encode_bytes(part, at - at[0])
 
 
 def encode(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float = DROPOUT, text: str = "text", cached: int = CACHED) -> DataFrame:
@@ -461,11 +583,11 @@ def encode(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float =
         e = shared.value
 
         def step(texts: pa.Array):
-            ids = list(_encoded(e, texts))
-            ends = np.zeros(len(ids) + 1, dtype=np.int64)
-            np.cumsum([0 if x is None else len(x) for x in ids], out=ends[1:])
-            flat = np.concatenate([x for x in ids if x is not None] or [np.zeros(0, dtype="<i4")])
-            offsets = pa.array(ends.astype(np.int32), mask=np.array([*(x is None for x in ids), False]))
+            made = [x[2:] for x in _encoded(e, texts)]
+            flat = np.concatenate([np.zeros(0, dtype=np.int32), *(ids for ids, _ in made)])
+            ends = np.cumsum(np.concatenate([[0], *(np.diff(cut) for _, cut in made)]))
+            null = texts.is_null().to_numpy(zero_copy_only=False)
+            offsets = pa.array(ends.astype(np.int32), mask=np.append(null, False))
             return [pa.ListArray.from_arrays(offsets, pa.array(flat, type=pa.int32()))]
 
         return step
@@ -512,13 +634,18 @@ def report(docs: DataFrame, model: str = MODEL, seed: int = 0, dropout: float =
 
         def step(texts: pa.Array):
             rows = []
-            for t, ids in zip(texts, _encoded(e, texts), strict=True):
-                t = t.as_py()
-                if t is None:
-                    rows.append((0, 0, None, None))
-                    continue
-                rows.append((len(ids), int(is_byte[ids].sum()), sha256(ids.astype("<i4").tobytes()).hexdigest(), e.decode(ids) == t))
-            return [pa.array([r[i] for r in rows], type=k) for i, k in enumerate((pa.int64(), pa.int64(), pa.string(), pa.bool_()))]
+            for data, offsets, ids, cut in _encoded(e, texts):
+                n_bytes = np.concatenate([[0], np.cumsum(is_byte[ids])])[cut]
+                decoded = e.decode_bytes(ids)
+                # Where each text lies in what was decoded, if its ids stand for as many bytes as it has and the space.
+                length = np.concatenate([[0], np.cumsum(e.lengths[ids])])[cut]
+                numbers = zip(np.diff(cut).tolist(), np.diff(n_bytes).tolist(), cut.tolist(), length.tolist(), offsets.tolist(), strict=False)
+                for k, (n, b, c, d, at) in enumerate(numbers):
+                    text, back = data[at : offsets[k + 1]], decoded[d : length[k + 1]][1:]
+                    rows.append((n, b, sha256(ids[c : c + n].astype("<i4", copy=False)).hexdigest(), back.tobytes() == text.tobytes()))
+            null = texts.is_null().to_numpy(zero_copy_only=False)
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.bool_())
+            return [pa.array([r[i] for r in rows], type=k, mask=null if i > 1 else None) for i, k in enumerate(kinds)]
 
         return step
 

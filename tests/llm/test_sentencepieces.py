@@ -116,3 +116,111 @@ def test_an_encoder_ends_with_its_broadcast(vocabulary):
     e = pickle.loads(pickle.dumps(sp.Encoder(vocabulary, 8, 0.3)))
     assert np.array_equal(e.encode(TEXTS[0]), sp.Encoder(vocabulary, 8, 0.3).encode(TEXTS[0]))
     assert not hasattr(sp, "_ENCODERS")
+
+
+def naive(e, word, number):
+    """A word's ids by looking at all pairs for each candidate."""
+    v, ids, codes = e.v, [], list(word)
+    parts, lost = [v.characters.get(c, sp.NONE) for c in codes], [False] * len(codes)
+    k, turn, stop = 0, 0, None
+    while True:
+        free = [(v.pairs[x] >> 17, i) for i in range(len(parts) - 1) if not lost[i] and (x := parts[i] << 17 | parts[i + 1]) in v.pairs]
+        if not free:
+            break
+        while e.runs and (stop is None or (again and stop <= turn)):
+            run = e.run(number, k)
+            stop, again, k = (turn if stop is None else stop) + run, run == sp.RUN, k + 1
+        _, i = min(free)
+        if turn == stop:
+            lost[i], stop = True, None
+        else:
+            parts[i : i + 2] = [v.pairs[parts[i] << 17 | parts[i + 1]] & 0x1FFFF]
+            codes[i : i + 2] = [codes[i] + codes[i + 1]]
+            del lost[i + 1]
+            lost[i] = False
+            if i:
+                lost[i - 1] = False
+        turn += 1
+    for c, p in zip(codes, parts):
+        ids += [v.bytes[b] for b in c.encode()] if p == sp.NONE else [p]
+    return ids
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 1.0])
+def test_words_equal_the_naive_agenda(vocabulary, dropout):
+    e, r = sp.Encoder(vocabulary, 8, dropout), np.random.default_rng(7)
+    made = "".join(r.choice(list("aaeeiinnrrsstt  xéß漢▁\n"), 4000))
+    for t in [made, *TEXTS, "tokenization of reasonable sentences varies " * 60]:
+        words = e.words(" " + t) if t else []
+        numbers = e.numbers(t, len(words)).tolist()
+        assert e.encode(t).tolist() == [p for w, x in zip(words, numbers) for p in naive(e, w, x)]
+
+
+@pytest.mark.parametrize("apart", [True, False])
+def test_words_are_those_of_the_expression(vocabulary, apart):
+    import copy
+    import re
+
+    v, r = copy.copy(vocabulary), np.random.default_rng(3)
+    assert v.words == sp.APART
+    if not apart:
+        v.latin, v.kinds = np.zeros_like(v.latin), np.where(v.kinds == sp.LETTER, sp.OTHER, v.kinds)
+    for n in (1, 2, 7, 3000):
+        text = "".join(r.choice(list("  \n\t\ra09Zz.-¿À×Ö÷ÿĀɏɐ߿ࠀ漢\U0001d11e\x00\x7f\x80"), n))
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        found = re.findall(sp.APART if apart else sp.JOINED, text)
+        assert np.flatnonzero(v.begins(data)).tolist() == np.cumsum([0, *(len(w.encode()) for w in found[:-1])]).tolist()
+
+
+def test_kept_words_take_no_steps_of_their_own(vocabulary):
+    import sys
+
+    def calls(n):
+        seen = []
+        sys.setprofile(lambda frame, event, arg: seen.append(event) if event.endswith("call") else None)
+        try:
+            e.encode(text[: n * len(line)])
+        finally:
+            sys.setprofile(None)
+        return len(seen)
+
+    e, line = sp.Encoder(vocabulary, 4), "tokenization of the reasonable sentences that the others have "
+    text = line * 4000
+    for n in (1000, 4000):
+        e.encode(text[: n * len(line)])
+    # Words that are kept, with as many calls for 36,000 as for 9,000: before, each with a skip took several.
+    assert calls(4000) < 2 * calls(1000) < 4000
+
+
+def test_room_for_new_words(vocabulary):
+    r = np.random.default_rng(2)
+    made = ["".join(r.choice(list("aeinrst"), 5)) for _ in range(6000)]
+    texts = [" ".join(["tokenization of sentences"] * 50 + made[lo : lo + 100]) for lo in range(0, 6000, 100)]
+    e, all_kept = sp.Encoder(vocabulary, 3, cached=1500), sp.Encoder(vocabulary, 3)
+    rooms = 0
+    for t in texts:
+        before = e.kept.start.n
+        assert np.array_equal(e.encode(t), all_kept.encode(t))
+        k = e.kept
+        rooms += k.start.n < before
+        n = k.start.n
+        # Words asked for again stay; every child is a node, and of a bounded number.
+        assert n < 1500 + 600 and b" tokenization" in k.roots and max(k.roots.values()) < n
+        assert k.children.all[: k.children.n].max() < n
+        assert int(k.first.all[n - 1] + k.slots.all[n - 1]) == k.children.n and int(k.start.all[n - 1] + k.size.all[n - 1]) == k.ids.n
+    assert rooms > 2
+    some = k.roots[b" tokenization"]
+    assert (k.children.all[k.first.all[some] :][: k.slots.all[some]] >= 0).any()
+
+
+def test_lossless_is_what_the_ids_stand_for(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one text"), (2, None), (3, ""), (4, "a b"), (5, "the end")], "doc_id long, text string")
+    assert {r.doc_id: r.lossless for r in sp.report(docs, seed=1).collect()} == {1: True, 2: None, 3: True, 4: True, 5: True}
+    made = sp.Encoder.__init__
+
+    def broken(self, *args, **more):
+        made(self, *args, **more)
+        self.flat = np.where(self.flat == ord("x"), ord("y"), self.flat)
+
+    monkeypatch.setattr(sp.Encoder, "__init__", broken)
+    assert {r.doc_id: r.lossless for r in sp.report(docs, seed=1).collect()} == {1: False, 2: None, 3: True, 4: True, 5: True}
