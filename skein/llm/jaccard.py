@@ -57,7 +57,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import LOWER, SPACED, append, chunks, discarded, mix, released, ship, stored, utf8, window_hashes, word_hashes, words
+from skein.llm.common import LOWER, SPACED, append, chunks, discarded, mix, released, ship, stored, trimmed, utf8, window_hashes, word_hashes, words
 from skein.llm.components import components
 
 #: A band's upper size as a multiple of its lower one.
@@ -68,6 +68,8 @@ DEPTH = 2
 #: 64-bit words of the filters that tell tasks which parts and sets are needed again: 8 to 16 bits a key, and 32 MB
 #: at most.  Beyond 33 million keys a filter lets more and more through, and the joins after it drop that.
 FILTER_WORDS = 1 << 22
+#: Words of a filter that the driver collects at once: beside the filter itself it never holds more of it.
+PIECE = 1 << 19
 #: One part in so many, more or less, is spare: the most frequent parts of a set, which texts share that are not alike
 #: (boilerplate), need not be compared.
 SPARE = 4
@@ -222,13 +224,22 @@ def _rarest(parts: DataFrame) -> DataFrame:
 
 
 def _marks(keys: DataFrame, key: str) -> Broadcast:
-    """A filter, sized by the number of keys (FILTER_WORDS at most), that lets all of them through and few others."""
+    """A filter, sized by the number of keys (FILTER_WORDS at most), that lets all of them through and few others.
+    The driver's JVM holds it until it is destroyed: do so when what needs it is stored."""
     n = min(FILTER_WORDS, 1 << (keys.count() // 8).bit_length())
     spot = F.pmod(F.xxhash64(key), F.lit(n * 64)) if key != "region" else F.pmod(F.col(key), F.lit(n * 64))
     marks = keys.select(spot.alias("p")).select((F.col("p") / 64).cast("long").alias("w"), F.expr("shiftleft(1L, cast(p % 64 as int))").alias("b"))
-    found = marks.groupBy("w").agg(F.expr("bit_or(b)").alias("b")).toArrow()  # FILTER_WORDS rows at most
+    found = marks.groupBy("w").agg(F.expr("bit_or(b)").alias("b"))
+    # A small one comes as it is made; of a large one each piece is read from the table of its words.
+    several = stored(found, "marks") if n > PIECE else None
     bits = np.zeros(n, dtype=np.int64)
-    bits[found["w"].to_numpy()] = found["b"].to_numpy()
+    for lo in range(0, n, PIECE):
+        piece = found if several is None else several.where(F.col("w").between(lo, lo + PIECE - 1))
+        for batch in piece.toArrow().to_batches():
+            bits[batch["w"].to_numpy()] = batch["b"].to_numpy()
+        trimmed()
+    if several is not None:
+        discarded(several)
     return keys.sparkSession.sparkContext.broadcast(bits)
 
 
@@ -237,18 +248,17 @@ def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[place >> 6].view(np.uint64) >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def contents(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+def contents(docs: DataFrame, wanted: DataFrame, size: int, ids: Broadcast) -> DataFrame:
     """(fp, x): the sets of ``wanted`` (fp, doc_id), recomputed from the texts.
 
-    A filter of fixed size keeps most other documents from being computed and
+    The filter ``ids`` of their documents keeps most others from being computed and
     shuffled.  An id may have several texts: the set is the one with the hash.
     """
-    shared = _marks(wanted, "doc_id")
 
     def step(texts: pa.Array, at: pa.Array):
         found: list[bytes | None] = [None] * len(texts)
         fps: list[int | None] = [None] * len(texts)
-        which = np.flatnonzero(_marked(shared.value, at.to_numpy(zero_copy_only=False)))
+        which = np.flatnonzero(_marked(ids.value, at.to_numpy(zero_copy_only=False)))
         for i, x in zip(which.tolist(), _sets(texts.take(pa.array(which)), size), strict=True):
             found[i], fps[i] = x.tobytes(), fingerprint(x)
         return [pa.array(found, type=pa.binary()), pa.array(fps, type=pa.int64())]
@@ -490,9 +500,12 @@ def _linked(docs: DataFrame, size: int, num: int, den: int, cell: int = CELL, de
     shared = stored(shared, "shared")
     released(docs.sparkSession)
     # The parts are computed again rather than kept: a filter lets few others than the shared ones through.
-    parts = regions_of(docs, size, num, den, ids, _marks(shared, "region")).distinct()
+    often = _marks(shared, "region")
+    parts = regions_of(docs, size, num, den, ids, often).distinct()
     # Regions with the same pivot set become one: a pair that shares several parts is then compared once.
     members = stored(_rarest(parts.join(shared, "region")).select("region", "fp"), "parts")
+    ids.destroy()
+    often.destroy()
     released(docs.sparkSession)
     # What is left of a region may be one set, and its first pivot may have gone.
     pivots = members.groupBy("region").agg(F.min("fp").alias("pivot"), F.max("fp").alias("last")).where("pivot != last")
@@ -509,7 +522,10 @@ def _linked(docs: DataFrame, size: int, num: int, den: int, cell: int = CELL, de
         released(docs.sparkSession)
         pairs = stored(_near(rows.where("near").select(one).distinct(), classes, num, den), "pairs")
         needed = pairs.select("pivot").union(pairs.select("fp")).distinct().select(F.col("pivot").alias("fp"))
-        sets = stored(contents(docs, needed.join(reps, "fp"), size), "sets")
+        needed = needed.join(reps, "fp")
+        ids = _marks(needed, "doc_id")
+        sets = stored(contents(docs, needed, size, ids), "sets")
+        ids.destroy()
         linked = stored(_exact(pairs, sets).where(close).select(one), "linked")
         discarded(sets)
         released(docs.sparkSession)
@@ -526,9 +542,12 @@ def _linked(docs: DataFrame, size: int, num: int, den: int, cell: int = CELL, de
         members = stored(cells.join(pivots, "region").select("region", "level", "pivot", "fp"), "regions")
     near = reduce(DataFrame.unionByName, groups)
     released(docs.sparkSession)
-    sets = contents(docs, near.select("fp").distinct().join(reps, "fp"), size)
+    needed = near.select("fp").distinct().join(reps, "fp")
+    ids = _marks(needed, "doc_id")
+    sets = contents(docs, needed, size, ids)
     links.append(near.join(sets, "fp").groupBy("cell").applyInArrow(_compare(num, den), "u long, v long"))
     found = stored(reduce(DataFrame.unionByName, links), "found")
+    ids.destroy()
     released(docs.sparkSession)
     return prof, reps, found
 
@@ -538,6 +557,7 @@ def _classified(docs: DataFrame, size: int, num: int, den: int, **options) -> Da
     component.  Components are of sets, not ids: two texts of one id are linked only if they are alike."""
     prof, _, links = _linked(docs, size, num, den, **options)
     comp = components(links).select(F.col("u").alias("fp"), F.col("v").alias("root"))
+    released(docs.sparkSession)
     reps = prof.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"))
     rooted = reps.join(comp, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     # The least id, and of its sets the one with the least hash; sets that have no id come last.
@@ -566,6 +586,7 @@ def near_duplicates_removed(docs: DataFrame, size: int = 5, num: int = 80, den:
     gone = stored(gone.where("doc_id is not null"), "gone")
     several = ids.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a != b")
     several = stored(several.select("doc_id"), "several")
+    released(docs.sparkSession)
     # The id tells the text, but for ids with several texts: of these the sets are looked at again.
     left = docs.join(gone.join(several, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_anti")
     if several.isEmpty():

@@ -1,7 +1,9 @@
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import types as T
 
+from skein.llm import common
 from skein.llm.common import append
 
 
@@ -31,3 +33,24 @@ def test_a_worker_keeps_no_memory_of_a_finished_task(spark):
     again = [x for x in seen.values() if len(x) > 1]
     assert again
     assert all(x[1] - x[0] < 60 for x in again), seen
+
+
+def test_the_driver_gives_back_what_its_jvm_has_freed(spark):
+    jvm = spark.sparkContext._jvm
+    pid = jvm.java.lang.ProcessHandle.current().pid()
+
+    def resident() -> float:
+        with open(f"/proc/{pid}/smaps_rollup") as f:
+            return sum(int(line.split()[1]) for line in f if line.startswith(("Pss_Anon:", "Pss_Shmem:"))) / 1024
+
+    common.released(spark)
+    # Memory outside the heap; a few pieces that stay lie among those that go again.
+    made = [jvm.java.util.zip.Deflater() for _ in range(600)]
+    for i, d in enumerate(made):
+        if i % 30:
+            d.end()
+    before = resident()
+    common.released(spark)
+    if hasattr(common, "trimmed_jvm") and not common.trimmed_jvm(spark):
+        pytest.skip("this JVM has no command for it")
+    assert before - resident() > 40, before

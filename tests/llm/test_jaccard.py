@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from llm_rows import SF01, none, odd  # noqa: F401
 from skein.llm import jaccard
@@ -156,3 +157,23 @@ def test_one_id_on_several_texts(spark):
         assert [x for x in left if x[0] != 11] == [(1, "a", 100), (1, "b", 100), (2, "u", 100), (3, "p", 101), (7, "q", 100)]
         # Of one id's two like texts one stays, with its repeats.
         assert [x for x in left if x[0] == 11] in ([(11, "r", 100)] * 2, [(11, "r", 101)])
+
+
+def test_a_filter_is_collected_in_pieces_and_whole(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PIECE", 1 << 12, raising=False)
+    kind = type(spark.range(0))
+    got, collect = [], kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda df: got.append(collect(df)) or got[-1])
+    bits = jaccard._marks(spark.range(1 << 17).select(F.xxhash64("id").alias("region")), "region").value
+    assert len(bits) == 1 << 15 and max(t.num_rows for t in got) <= 1 << 12
+    keys = spark.range(1 << 18).select(F.xxhash64("id").alias("region")).toPandas()["region"].to_numpy()
+    assert jaccard._marked(bits, keys[: 1 << 17]).all() and jaccard._marked(bits, keys[1 << 17 :]).mean() < 0.15
+
+
+def test_filters_are_let_go(spark, monkeypatch):
+    made, marks = [], jaccard._marks
+    monkeypatch.setattr(jaccard, "_marks", lambda *a: made.append(marks(*a)) or made[-1])
+    docs = spark.createDataFrame(copies(3, 6, 14, 6), "doc_id long, text string")
+    left = jaccard.near_duplicates_removed(docs, cell=4)
+    assert made and not any(b._jbroadcast.isValid() for b in made)
+    assert 0 < left.count() < docs.count()
