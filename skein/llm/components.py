@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import stored
+from skein.llm.common import released, stored
 
 
 def _large(e: DataFrame) -> DataFrame:
@@ -41,6 +41,7 @@ def components(links: DataFrame) -> DataFrame:
     while mark[0]:
         e = stored(_small(_large(e)), "links")
         new = _mark(e)
+        released(e.sparkSession)
         if new == mark:
             break
         mark = new

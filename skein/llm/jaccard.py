@@ -240,7 +240,10 @@ def _marks(keys: DataFrame, key: str) -> Broadcast:
         trimmed()
     if several is not None:
         discarded(several)
-    return keys.sparkSession.sparkContext.broadcast(bits)
+    shared = keys.sparkSession.sparkContext.broadcast(bits)
+    del bits
+    released(keys.sparkSession)
+    return shared
 
 
 def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
